@@ -41,7 +41,7 @@ def nonblank_trimmed(c: Column | str) -> Column:
 
 def clean_whitespace(c: Column | str) -> Column:
     """Newlines to spaces, runs of white space to one space, ends trimmed."""
-    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
 
 
 def na_to_null(c: Column | str) -> Column:

@@ -10,7 +10,7 @@ record per block.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import or_
 
@@ -343,6 +343,10 @@ class Derivation:
     tracked: bool
     refused: list[tuple[str, str, str, str]]
 
+    def reading(self, staged: Mapping[str, DataFrame]) -> Derivation:
+        """The same derivation over stored copies of its staged frames."""
+        return replace(self, staged=staged)
+
     @property
     def fanned(self) -> DataFrame:
         """Records of every table, failed rows and the error column included."""

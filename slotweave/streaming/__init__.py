@@ -1,0 +1,18 @@
+"""Derivations over streaming tables.
+
+A derivation is a stateless projection with joins to static tables, so a
+catalogue may hold a streaming DataFrame; the records are then a stream.
+"""
+
+from pyspark.sql import DataFrame
+
+from slotweave.errors import SpecError
+from slotweave.plans.derive import Mapper
+
+
+def stream_records(mapper: Mapper, entity: str) -> DataFrame:
+    """The records of an entity as a stream; each of its source tables must be one."""
+    static = [b.populated_from for b in mapper.specs.blocks(entity) if not mapper.catalog[b.populated_from].isStreaming]
+    if static:
+        raise SpecError(f"{entity!r} reads tables that are not streams: {sorted(set(static))}")
+    return mapper.derive(entity).records
