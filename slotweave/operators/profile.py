@@ -169,11 +169,16 @@ def infer_table(df: DataFrame, options: InferenceOptions = InferenceOptions()) -
 
 
 def infer_schema(catalog: Catalog, options: InferenceOptions = InferenceOptions()) -> TargetSchema:
-    """The source schema: one class per table."""
+    """The source schema: one class per table.
+
+    An enum is named after its column; tables that share a column name share
+    the enum, which then holds the values of all of them.
+    """
     classes, enums, unique = {}, {}, {}
     for table in catalog:
         classes[table], found, keys = infer_table(catalog[table], options)
-        enums.update(found)
+        for name, values in found.items():
+            enums[name] = tuple(sorted({*enums.get(name, ()), *values}))
         if keys:
             unique[table] = keys
     return TargetSchema(classes, enums, unique)

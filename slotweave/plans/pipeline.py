@@ -15,7 +15,7 @@ from slotweave.plans.derive import Mapper
 from slotweave.plans.schema import TargetSchema, load_schema
 from slotweave.plans.spec import SpecSet, load_specs
 from slotweave.sinks.writers import write_entity
-from slotweave.sources.archive import archive_catalog
+from slotweave.sources.archive import FILE, archive_catalog
 from slotweave.sources.catalog import Catalog
 
 
@@ -101,12 +101,14 @@ def run_pipeline(
         tables = store_tables(archive_catalog(spark, raw_dir, spec_dir), f"{output_dir}/prepared")
     else:
         tables = tables.only(specs.tables())
-    schema = infer_schema(tables, options.inference)
+    # The file a row came from is ours, not the study's.
+    study = Catalog.of(spark, {t: tables[t].drop(FILE) for t in tables})
+    schema = infer_schema(study, options.inference)
     text = schema_yaml(options.schema_name, schema)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{output_dir}/{options.schema_name}.yaml"
     )
-    verdict = validate_tables(tables, schema)
+    verdict = validate_tables(study, schema)
     validated = gate(verdict, options.strict_validation)
     mapper = Mapper(tables, specs, load_schema(spark, target_schema), options.strict)
     outputs, errors = map_entities(mapper, f"{output_dir}/mapped-data", options)

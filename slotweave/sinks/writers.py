@@ -2,7 +2,7 @@
 
 Every writer leaves a directory of part files written by many tasks. Where a
 format needs a frame around all records, the parts in name order are the
-document.
+document; tabular parts each carry the header.
 """
 
 from __future__ import annotations
