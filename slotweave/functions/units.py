@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.errors import SpecError
+from slotweave.functions.local import local_frame
 
 # Canonical unit, then the folded spellings that stand for it.
 UNIT_SPELLINGS = """
@@ -126,7 +127,7 @@ def unit_aliases() -> dict[str, str]:
 def alias_table(spark: SparkSession, aliases: dict[str, str] | None = None) -> DataFrame:
     """The alias table as a DataFrame(alias, canonical)."""
     rows = sorted((unit_aliases() if aliases is None else aliases).items())
-    return spark.createDataFrame(rows, "alias string, canonical string")
+    return local_frame(spark, rows, "alias string, canonical string")
 
 
 def folded_unit(c: Column) -> Column:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotweave.functions.text import CURIE_PATTERN, curies
 from slotweave.operators.joins import lookup_join
 
-LITERAL_ENTRIES = 64
+# A map up to this many entries (and characters) travels with the plan.
+LITERAL_ENTRIES = 100_000
+LITERAL_CHARACTERS = 16_000_000
 MARK = "\u0001"
 
 
@@ -37,21 +41,36 @@ def _tokens(column: Column) -> Column:
 def remap_curies(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     """Replace every listed CURIE of a text column in one pass.
 
-    ``mapping`` has columns ``old`` and ``new``. A short mapping becomes a
-    literal; a long one is joined to the CURIEs of the distinct texts, so the
-    work grows with the distinct texts and no lookup table is held in a task.
+    ``mapping`` has columns ``old`` and ``new``. A map of a known size travels
+    as a literal, so the texts never move. A larger one is joined to the CURIEs
+    of the distinct texts.
     """
     mapping = mapping.select("old", "new").filter(F.col("old").isNotNull()).groupBy("old").agg(F.max("new").alias("new"))
-    first = mapping.limit(LITERAL_ENTRIES + 1).collect()
-    if len(first) <= LITERAL_ENTRIES:
-        if not first:
-            return df
-        entries = F.create_map(*[F.lit(x) for r in first for x in (r.old, r.new)])
-        remapped = F.array_join(
-            F.transform(_tokens(F.col(f"`{column}`")), lambda t: F.coalesce(F.try_element_at(entries, t), t)), ""
-        )
-        return df.withColumn(column, remapped)
-    return _remap_by_join(df, column, mapping)
+    size = mapping.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("old") + F.coalesce(F.length("new"), F.lit(0))).alias("characters")
+    ).first()
+    if not size.n:
+        return df
+    if size.n > LITERAL_ENTRIES or size.characters > LITERAL_CHARACTERS:
+        return _remap_by_join(df, column, mapping)
+    entry = _dictionary(mapping, max(1, size.n // 4))
+    remapped = F.transform(_tokens(F.col(f"`{column}`")), lambda t: F.coalesce(entry(t), t))
+    touched = F.col(f"`{column}`").rlike(CURIE_PATTERN)
+    return df.withColumn(column, F.when(touched, F.array_join(remapped, "")).otherwise(F.col(f"`{column}`")))
+
+
+def _dictionary(mapping: DataFrame, buckets: int):
+    """A lookup function over the map, spread over hash buckets of a few entries.
+
+    Finding a key in a map value is a linear search, so one large map would be
+    slow; the buckets keep every search short.
+    """
+    maps: list[dict[str, str]] = [{} for _ in range(buckets)]
+    placed = mapping.filter(F.col("new").isNotNull()).select(F.pmod(F.hash("old"), F.lit(buckets)).alias("b"), "old", "new")
+    for r in placed.collect():
+        maps[r.b][r.old] = r.new
+    table = F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
+    return lambda t: F.try_element_at(F.get(table, F.pmod(F.hash(t), F.lit(buckets))), t)
 
 
 def _remap_by_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:

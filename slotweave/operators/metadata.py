@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotweave.errors import SpecError
+from slotweave.functions.local import local_frame
 from slotweave.functions.text import label_key, nonblank, preferred
 from slotweave.operators import clean
 from slotweave.operators.flags import normalize_numeric_flags, quality_flags
@@ -104,15 +105,13 @@ def label_overrides(df: DataFrame, with_rule: bool) -> DataFrame:
 
 
 def default_conversion_overrides(spark) -> DataFrame:
-    return spark.createDataFrame(
-        list(CONVERSION_OVERRIDES), "bdchm_label string, var_units string, bdchm_unit string, conversion_rule string"
+    return local_frame(
+        spark, CONVERSION_OVERRIDES, "bdchm_label string, var_units string, bdchm_unit string, conversion_rule string"
     )
 
 
 def default_equivalency_overrides(spark) -> DataFrame:
-    return spark.createDataFrame(
-        list(EQUIVALENCY_OVERRIDES), "bdchm_label string, var_units string, bdchm_unit string"
-    )
+    return local_frame(spark, EQUIVALENCY_OVERRIDES, "bdchm_label string, var_units string, bdchm_unit string")
 
 
 # --- raw rows --------------------------------------------------------------

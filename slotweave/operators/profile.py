@@ -57,9 +57,11 @@ def profile_columns(df: DataFrame, exact: bool = False) -> DataFrame:
     measures = []
     for i, f in enumerate(fields):
         text = _c(f.name).cast("string")
+        # The exact count comes from its own pass, so no sketch is kept for it.
+        distinct = F.lit(0).cast("bigint") if exact else F.approx_count_distinct(_c(f.name), DISTINCT_ERROR)
         measures += [
             F.count(_c(f.name)).alias(f"present{i}"),
-            F.approx_count_distinct(_c(f.name), DISTINCT_ERROR).alias(f"distinct{i}"),
+            F.max(distinct).alias(f"distinct{i}") if exact else distinct.alias(f"distinct{i}"),
             F.min(F.length(text)).alias(f"min{i}"),
             F.max(F.length(text)).alias(f"max{i}"),
             F.max(text).alias(f"example{i}"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotweave.errors import DataError
+from slotweave.functions.local import local_frame
 from slotweave.operators.joins import duplicate_keys
 
 MAX_PIVOT_VALUES = 1000  # pivot values become columns, so there must be few
@@ -93,17 +94,23 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).distinct()
 
 
-def distinct_spellings(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
-    """Names unique without regard to case; the last spelling stands."""
-    last = F.max_by(_c(name), F.struct(*[_c(o) for o in order]))
-    return df.groupBy(F.lower(_c(name)).alias("__folded")).agg(last.alias(name)).select(name)
+def distinct_spellings(df: DataFrame, name: str, order: Column | str) -> DataFrame:
+    """Names unique without regard to case; the last spelling stands.
+
+    The exact spellings are reduced first, which a hash aggregate does in the
+    map tasks when the order is a number; few rows are left for the rest.
+    """
+    order = _c(order) if isinstance(order, str) else order
+    spellings = df.groupBy(_c(name).alias("__name")).agg(F.max(order).alias("__last"))
+    last = F.max_by("__name", "__last")
+    return spellings.groupBy(F.lower("__name").alias("__folded")).agg(last.alias(name)).select(name)
 
 
 def header_names(columns: Sequence[str], spark, start: int = 1) -> DataFrame:
     """Header cells from the ``start``-th column on, distinct and sorted."""
     rows = [(i, c) for i, c in enumerate(columns, 1) if i >= start]
-    named = spark.createDataFrame(rows, "pos int, conditions string")
-    return distinct_spellings(named, "conditions", ["pos"]).orderBy("conditions")
+    named = local_frame(spark, rows, "pos int, conditions string")
+    return distinct_spellings(named, "conditions", "pos").orderBy("conditions")
 
 
 def version_key(version: Column | str) -> Column:

@@ -119,6 +119,8 @@ def apply_rules(df: DataFrame, rules: list[CleanupRule]) -> DataFrame:
     state = start
     for rule in active:
         state = _bound(state, rule, columns)
-    ruled = df.withColumn("__state", state)
-    kept = ruled.filter(F.col(f"__state.{KEEP}")) if any(r.rule_type == "drop" for r in active) else ruled
-    return kept.select(*[F.col(f"__state.`{c}`").alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
+    # A dropped row leaves an empty list, so the state is computed only once.
+    kept = F.filter(F.array(state), lambda s: s.getField(KEEP)) if any(r.rule_type == "drop" for r in active) else F.array(state)
+    others = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    ruled = df.select(*others, F.inline(kept))
+    return ruled.select(*[F.col(f"`{c}`") for c in df.columns])

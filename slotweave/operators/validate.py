@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import logging
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotweave.errors import DataError
+from slotweave.functions.local import local_frame
 from slotweave.functions.text import nonblank
 from slotweave.operators.joins import duplicate_keys
 from slotweave.plans.schema import TargetSchema, TargetSlot
@@ -46,7 +48,7 @@ def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None
     spark = df.sparkSession
     shape = [(table, c, "unknown column", None) for c in types if c not in slots]
     shape += [(table, s.name, "missing column", None) for s in slots.values() if s.required and s.name not in types]
-    parts = [spark.createDataFrame(shape, VIOLATION)] if shape else []
+    parts = [local_frame(spark, shape, VIOLATION)] if shape else []
     checks = []
     for slot in slots.values():
         if slot.name not in types:
@@ -60,7 +62,10 @@ def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None
             rule, test = misfit
             checks.append(_check(nonblank(text) & test, slot.name, rule, text))
     if checks:
-        found = df.select(F.explode(F.array_compact(F.array(*checks))).alias("v"))
+        # Clean rows, the most of them, are passed over by one plain condition.
+        broken = reduce(or_, [test for test, _ in checks])
+        listed = F.array_compact(F.array(*[F.when(test, entry) for test, entry in checks]))
+        found = df.filter(broken).select(F.explode(listed).alias("v"))
         parts.append(found.select(F.lit(table).alias("table"), "v.slot", "v.rule", "v.value"))
     unique = [s.name for s in slots.values() if s.identifier] + list(schema.unique_keys.get(cls or table, ()))
     for name in unique:
@@ -75,14 +80,13 @@ def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None
                 )
             )
     if not parts:
-        return spark.createDataFrame([], VIOLATION)
+        return local_frame(spark, [], VIOLATION)
     return reduce(DataFrame.unionAll, parts)
 
 
-def _check(broken: Column, slot: str, rule: str, value: Column) -> Column:
-    return F.when(
-        broken, F.struct(F.lit(slot).alias("slot"), F.lit(rule).alias("rule"), value.alias("value"))
-    )
+def _check(broken: Column, slot: str, rule: str, value: Column) -> tuple[Column, Column]:
+    entry = F.struct(F.lit(slot).alias("slot"), F.lit(rule).alias("rule"), value.alias("value"))
+    return F.coalesce(broken, F.lit(False)), entry
 
 
 def violation_counts(found: DataFrame) -> DataFrame:
@@ -92,7 +96,7 @@ def violation_counts(found: DataFrame) -> DataFrame:
 
 def verdicts(found: DataFrame, tables: list[str]) -> DataFrame:
     """One verdict per table: the number of violations and whether it passes."""
-    all_tables = found.sparkSession.createDataFrame([(t,) for t in tables], "`table` string")
+    all_tables = local_frame(found.sparkSession, [(t,) for t in tables], "`table` string")
     counted = found.groupBy("table").agg(F.count(F.lit(1)).alias("n"))
     joined = all_tables.join(counted, "table", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
     return joined.select("table", F.col("n").alias("n_violations"), (F.col("n") == 0).alias("passed"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotweave.errors import DataError, SourceError, SpecError
+from slotweave.functions.local import local_frame
 from slotweave.functions.text import nonblank
 from slotweave.functions.units import convert
 from slotweave.functions.values import coerce, lookup
@@ -40,7 +41,7 @@ from slotweave.sources.catalog import Catalog
 
 ERRORS = "_errors"
 ERROR_TYPE = "array<struct<slot:string,message:string>>"
-ERROR_SUMMARY = "entity string, table string, slot string, message string, n bigint"
+ERROR_SUMMARY = "entity string, `table` string, slot string, message string, n bigint"
 
 
 # --- compiled blocks -------------------------------------------------------
@@ -370,7 +371,7 @@ class Derivation:
     @property
     def errors(self) -> DataFrame:
         """Row errors counted per table and slot; ``n`` is null for a refused block."""
-        refused = self.spark.createDataFrame([(*r, None) for r in self.refused], ERROR_SUMMARY)
+        refused = local_frame(self.spark, [(*r, None) for r in self.refused], ERROR_SUMMARY)
         if not self.tracked:
             return refused
         counted = [

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from slotweave.errors import SpecError
+from slotweave.functions.local import local_frame
 from slotweave.operators.profile import InferenceOptions, infer_schema, schema_yaml
 from slotweave.operators.validate import gate, verdicts, violations
 from slotweave.plans.derive import Mapper
@@ -105,7 +106,7 @@ def run_pipeline(
     study = Catalog.of(spark, {t: tables[t].drop(FILE) for t in tables})
     schema = infer_schema(study, options.inference)
     text = schema_yaml(options.schema_name, schema)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
+    local_frame(spark, [(text,)], "value string").write.mode("overwrite").text(
         f"{output_dir}/{options.schema_name}.yaml"
     )
     verdict = validate_tables(study, schema)

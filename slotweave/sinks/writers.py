@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotweave.errors import SpecError
+from slotweave.functions.local import local_frame
 from slotweave.sinks.flatten import flatten
 
 
@@ -43,8 +44,8 @@ def write_wrapped_json(df: DataFrame, path: str, key: str) -> None:
     comma = F.when(F.col("id") == F.lit(first), F.lit("")).otherwise(F.lit(","))
     body = numbered.select(F.concat(comma, "value").alias("value"))
     spark = df.sparkSession
-    head = spark.createDataFrame([(f'{{"{key}": [',)], "value string").coalesce(1)
-    tail = spark.createDataFrame([("]}",)], "value string").coalesce(1)
+    head = local_frame(spark, [(f'{{"{key}": [',)], "value string")
+    tail = local_frame(spark, [("]}",)], "value string")
     head.unionAll(body).unionAll(tail).write.mode("overwrite").text(path)
 
 

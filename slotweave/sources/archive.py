@@ -9,14 +9,15 @@ task; all filters run on the line before it is split.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.errors import SourceError
+from slotweave.functions.local import local_frame
 from slotweave.functions.text import table_id
 
 SUBJECT = "dbGaP_Subject_ID"
@@ -32,31 +33,20 @@ def header_columns(line: str) -> list[str]:
     return names
 
 
-def _header_lines(limit: int):
-    """Finds each file's first ``##`` line; stops early in a file that fills a task alone."""
+def archive_headers(spark: SparkSession, paths: list[str], parallel: int = 16) -> dict[str, str]:
+    """First accession line of each file.
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[str] = set()
-        for batch in batches:
-            found = batch[batch["value"].str.startswith("##") & ~batch["path"].isin(seen)].drop_duplicates("path")
-            seen.update(found["path"])
-            if len(found):
-                yield found[["path", "value"]]
-            if len(seen) == 1 and (batch["size"] >= limit).all():
-                return
-
-    return find
+    Each file is a job of its own that stops at that line, so no file is
+    decompressed further than its comment block; a few jobs run side by side.
+    """
 
+    def first(path: str) -> str | None:
+        rows = spark.read.text(path).filter(F.col("value").startswith("##")).head(1)
+        return rows[0].value if rows else None
 
-def archive_headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """First accession line of each file."""
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    limit = int(re.match(r"\d+", text)[0])
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), "value"
-    )
-    found = lines.mapInPandas(_header_lines(limit), "path string, value string")
-    return {r.path: r.value for r in found.collect()}
+    with ThreadPoolExecutor(parallel) as pool:
+        found = dict(zip(paths, pool.map(first, paths)))
+    return {path: line for path, line in found.items() if line is not None}
 
 
 def is_data_line(line: Column) -> Column:
@@ -69,10 +59,16 @@ def is_data_line(line: Column) -> Column:
     )
 
 
-def split_line(line: Column, names: list[str]) -> list[Column]:
-    """The cells of a line by position; a missing or empty cell is null."""
-    cells = F.split(line, "\t", -1)
-    return [F.nullif(F.get(cells, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]
+def split_lines(lines: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """The cells of a line by position; a missing or empty cell is null.
+
+    Other columns are kept behind the cells. The line is split in a step of its
+    own, so it is split once however many columns there are.
+    """
+    others = [F.col(f"`{c}`") for c in lines.columns if c != column]
+    cells = lines.select(F.split(F.col(f"`{column}`"), "\t", -1).alias("__cells"), *others)
+    picked = [F.nullif(F.get("__cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]
+    return cells.select(*picked, *others)
 
 
 def read_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -91,7 +87,7 @@ def read_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
     for names, files in by_header.items():
         lines = spark.read.text(files).filter(is_data_line(F.col("value")))
         source = F.substring_index(F.col("_metadata.file_path"), "/", -1).alias(FILE)
-        frames.append(lines.select(*split_line(F.col("value"), list(names)), source))
+        frames.append(split_lines(lines.select("value", source), "value", list(names)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -126,7 +122,8 @@ def read_after_blank_line(spark: SparkSession, paths: list[str]) -> DataFrame:
         start = head.s if head.s is not None and head.s.value.startswith(SUBJECT) else head.h
         at = F.struct(F.lit(start.at.block).cast("bigint").alias("block"), F.lit(start.at.row).cast("bigint").alias("row"))
         rows = numbered.filter((F.col("path") == head.path) & (F.col("at") > at))
-        frames.append(rows.select(*split_line(F.col("value"), names), F.substring_index("path", "/", -1).alias(FILE)))
+        source = F.substring_index("path", "/", -1).alias(FILE)
+        frames.append(split_lines(rows.select("value", source), "value", names))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -149,7 +146,7 @@ def archive_tables(spark: SparkSession, directory: str, spec_dir: str | None = N
     from pyspark.errors import AnalysisException
 
     files = spark.read.format("binaryFile").load(directory, pathGlobFilter="*.txt.gz").select("path")
-    references = spark.createDataFrame([], "table_id string")
+    references = local_frame(spark, [], "table_id string")
     if spec_dir is not None:
         try:
             texts = spark.read.text(spec_dir, recursiveFileLookup=True, pathGlobFilter="*.{yaml,yml}")

@@ -7,6 +7,7 @@ import dataclasses
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotweave.functions.local import local_frame
 from slotweave.plans.spec import ClassDerivation, SlotDerivation, SpecSet
 from slotweave.sources.catalog import Catalog
 
@@ -16,7 +17,7 @@ ACCESSION = r"(phv\d{8})"
 def column_catalogue(catalog: Catalog) -> DataFrame:
     """(table, column) of every table in the catalogue."""
     rows = [(t, c) for t in catalog for c in catalog[t].columns]
-    return catalog.spark.createDataFrame(rows, "`table` string, `column` string")
+    return local_frame(catalog.spark, rows, "`table` string, `column` string")
 
 
 def tables_of_references(texts: DataFrame, catalogue: DataFrame, column: str = "value") -> DataFrame:

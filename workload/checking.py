@@ -7,7 +7,7 @@ from slotweave.operators.validate import summary, verdicts, violation_counts, vi
 from slotweave.plans.schema import parse_schema
 from slotweave.sinks.flatten import flatten
 from slotweave.sinks.writers import drop_columns, json_lines, yaml_documents
-from slotweave.sources.archive import is_data_line, prune_files, referenced_tables, split_line
+from slotweave.sources.archive import is_data_line, prune_files, referenced_tables, split_lines
 from slotweave.sources.columns import tables_of_references
 from slotweave.sources.digests import pair_digests
 from workload.common import Registry, table
@@ -163,7 +163,7 @@ def archive_lines(spark, sf_dir):
         .otherwise(F.concat(key, F.lit("\t\t"), F.col("c_mktsegment"), F.lit("\textra")))
     )
     lines = table(spark, sf_dir, "customer").select(line.alias("line"))
-    return lines.filter(is_data_line(F.col("line"))).select(*split_line(F.col("line"), ["subject", "phv1", "phv2"]))
+    return split_lines(lines.filter(is_data_line(F.col("line"))), "line", ["subject", "phv1", "phv2"])
 
 
 @registry.add("""

@@ -249,8 +249,8 @@ def curie_remap(spark, sf_dir):
 
 
 @registry.add(_remap_sql("CASE WHEN starts_with(t, 'S:src') THEN 'SRC:' || substr(t, 6) ELSE t END"))
-def curie_remap_join(spark, sf_dir):
-    """A CURIE map too long for a literal becomes a join over the distinct texts."""
+def curie_remap_many(spark, sf_dir):
+    """A CURIE map of thousands of entries, spread over hash buckets."""
     sources = table(spark, sf_dir, "documents").select(F.concat(F.lit("S:"), F.col("source")).alias("old")).distinct()
     listed = sources.select("old", F.concat(F.lit("SRC:"), F.substring(F.col("old"), F.lit(6), F.length("old"))).alias("new"))
     unused = table(spark, sf_dir, "customer").select(
@@ -335,7 +335,7 @@ GROUP BY lower(word)
 def distinct_words(spark, sf_dir):
     """Names unique without regard to case, the last spelling kept, over all words of all texts."""
     words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("at", "word"))
-    return distinct_spellings(words, "word", ["doc_id", "at"])
+    return distinct_spellings(words, "word", F.shiftleft("doc_id", 32) + F.col("at"))
 
 
 @registry.add("""
