@@ -83,6 +83,15 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int
     return salted_left_join(left, right, on, keys, salts)
 
 
+def dictionary_join(
+    df: DataFrame, dictionary: DataFrame, key: str, dictionary_key: str, columns: Sequence[str]
+) -> DataFrame:
+    """Left join with a dictionary whose key has another name; its key is dropped."""
+    ours = dictionary.select(F.col(f"`{dictionary_key}`").alias(key), *[F.col(f"`{c}`") for c in columns])
+    joined = lookup_join(df, ours, [key])
+    return joined.select(*[F.col(f"`{c}`") for c in [*df.columns, *columns]])
+
+
 def one_row_per_key(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row per key, the least by all its columns; rows without a key are dropped."""
     keys = [F.col(f"`{k}`") for k in on]

@@ -102,7 +102,7 @@ def profile_columns(df: DataFrame, exact: bool = False) -> DataFrame:
 def exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, n_distinct): values are reduced to distinct ones before the shuffle."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("value")) for c in columns])
-    values = df.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct()
+    values = df.select(F.explode(cells).alias("c")).select("c.*").filter(F.col("value").isNotNull()).distinct()
     return values.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 

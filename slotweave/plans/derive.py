@@ -1,7 +1,7 @@
 """Class derivations compiled to one DataFrame plan per entity.
 
 All blocks of an entity that read one table share one scan: each block becomes
-a struct of typed slots, the structs of a table form an array, and ``inline``
+a struct of typed slots, the structs of a table form an array, and ``explode``
 turns the array into records. Cross-table references become left joins that
 keep exactly one right row per key, so every source row yields exactly one
 record per block.
@@ -262,9 +262,9 @@ class Mapper:
     def _fan_out(self, table: str, blocks: list[Block], shape: Shape, tracked: bool) -> DataFrame:
         base = self._base(table, blocks)
         structs = [self._block_struct(b, shape, tracked) for b in blocks]
-        if len(structs) == 1:
-            return base.select(structs[0].alias("__r")).select("__r.*")
-        return base.select(F.inline(F.array(*structs)))
+        # explode, unlike inline, is part of whole-stage code generation.
+        record = structs[0] if len(structs) == 1 else F.explode(F.array(*structs))
+        return base.select(record.alias("__r")).select("__r.*")
 
     def _base(self, table: str, blocks: list[Block]) -> DataFrame:
         base = self.catalog[table]

@@ -66,6 +66,13 @@ class SpecSet:
     def blocks(self, entity: str) -> list[ClassDerivation]:
         return [c for c in self.classes if c.name == entity]
 
+    def first_block(self, entity: str) -> ClassDerivation:
+        """The first block of an entity in file order."""
+        found = self.blocks(entity)
+        if not found:
+            raise SpecError(f"no class derivation for {entity!r}; known: {self.entities()}")
+        return found[0]
+
     def tables(self) -> set[str]:
         """Every table a spec reads, joined ones included."""
         found: set[str] = set()

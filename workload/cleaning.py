@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from slotweave.functions.text import exam_mention, source_text
 from slotweave.functions.units import normalize_units
 from slotweave.operators import clean
+from slotweave.operators.conditions import COLLAPSED, condition_table
 from slotweave.operators.curies import curie_audit, curie_inventory, remap_curies
 from slotweave.operators.joins import duplicate_keys
 from slotweave.operators.replace import replace_cells
@@ -347,3 +348,75 @@ def latest_versions(spark, sf_dir):
     """Highest version per group by version order, not text order."""
     version = F.concat(F.lit("v"), F.col("p_size").cast("string"), F.lit("."), (F.col("p_partkey") % 12).cast("string"))
     return latest_version(table(spark, sf_dir, "part").select("p_brand", version.alias("version")), "version", ["p_brand"])
+
+
+@registry.add("""
+SELECT event_id, CASE WHEN event_type = 'error' THEN '' ELSE event_type END AS event_type,
+       CASE WHEN user_id % 5 < 3 THEN '' ELSE CAST(user_id AS VARCHAR) END AS user_code
+FROM events
+""")
+def missing_words(spark, sf_dir):
+    """Missing-value words nulled, then nulls written as blanks."""
+    user = F.col("user_id")
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(F.col("event_type") == "error", "NaN").otherwise(F.col("event_type")).alias("event_type"),
+        F.when(user % 5 == 0, "N/A").when(user % 5 == 1, "None").when(user % 5 == 2, "").otherwise(user.cast("string")).alias("user_code"),
+    )
+    return clean.blank_nulls(clean.null_tokens(events))
+
+
+@registry.add("""
+WITH notes AS (
+  SELECT l_suppkey AS id, l_returnflag AS timepoint, p_type AS condition_name, l_linestatus AS has, CAST(l_suppkey % 7 AS VARCHAR) AS uuid,
+         'HP:' || (l_partkey % 50) AS hpo, p_brand AS hpo_label, CASE WHEN l_quantity > 45 THEN 'MONDO:' || l_linenumber END AS mondo
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+collapsed AS (
+  SELECT id, timepoint, condition_name, string_agg(DISTINCT hpo, ', ' ORDER BY hpo) AS hpo,
+         string_agg(DISTINCT hpo_label, ', ' ORDER BY hpo_label) AS hpo_label,
+         coalesce(string_agg(DISTINCT mondo, ', ' ORDER BY mondo), '') AS mondo
+  FROM notes GROUP BY id, timepoint, condition_name, has, uuid
+),
+dict AS (SELECT DISTINCT p_type AS variable, p_type || ' - Yes' AS text FROM part WHERE p_type <> 'SMALL'),
+ages AS (SELECT s_suppkey AS id, s_nationkey AS a1, CASE WHEN s_acctbal > 0 THEN s_nationkey + 3 END AS a3 FROM supplier),
+means AS (
+  SELECT l_suppkey AS id, count(*) FILTER (l_linenumber = 1) AS n1, count(*) FILTER (l_linenumber = 3) AS n3,
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 1) / count(*) FILTER (l_linenumber = 1) AS q1,
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 3) / count(*) FILTER (l_linenumber = 3) AS q3
+  FROM lineitem GROUP BY l_suppkey
+)
+SELECT CAST(id AS VARCHAR) AS id, timepoint, condition_name, hpo AS hpo_result_curie, hpo_label AS hpo_result_label,
+       mondo AS mondo_result_curie, '' AS mondo_result_label, coalesce(text, '') AS "conditionMeasureSourceText",
+       coalesce(CAST(a1 AS VARCHAR), '') AS age_at_timepoint_1, coalesce(CAST(a3 AS VARCHAR), '') AS age_at_timepoint_3,
+       coalesce(CAST(q1 > 25 AS VARCHAR), '') AS above_timepoint_1, coalesce(CAST(q3 > 25 AS VARCHAR), '') AS above_timepoint_3
+FROM collapsed LEFT JOIN dict ON condition_name = variable LEFT JOIN ages USING (id) LEFT JOIN means USING (id)
+""")
+def condition_rows(spark, sf_dir):
+    """Annotations collapsed per condition, with source texts, ages and measures per time point."""
+    lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    suppliers = table(spark, sf_dir, "supplier")
+    nothing = F.lit(None).cast("string")
+    notes = lines.join(part, lines.l_partkey == part.p_partkey).select(
+        F.col("l_suppkey").alias("id"),
+        F.col("l_returnflag").alias("timepoint"),
+        F.col("p_type").alias("condition_name"),
+        F.col("l_linestatus").alias("has_condition"),
+        (F.col("l_suppkey") % 7).cast("string").alias("UUID"),
+        F.concat(F.lit("HP:"), (F.col("l_partkey") % 50).cast("string")).alias("hpo_result_curie"),
+        F.col("p_brand").alias("hpo_result_label"),
+        F.when(F.col("l_quantity") > 45, F.concat(F.lit("MONDO:"), F.col("l_linenumber").cast("string"))).alias("mondo_result_curie"),
+        *[nothing.alias(c) for c in COLLAPSED if c not in ("hpo_result_curie", "hpo_result_label", "mondo_result_curie")],
+    )
+    types = part.select("p_type").distinct()
+    dictionary = types.select(
+        F.when(F.col("p_type") == "SMALL", "timepoint").otherwise(F.col("p_type")).alias("variable"),
+        F.concat(F.col("p_type"), F.lit(" (type) (x)")).alias("description"),
+    )
+    ages = suppliers.select(F.col("s_suppkey").alias("id"), F.lit(1).alias("timepoint"), F.col("s_nationkey").alias("age_at_visit")).unionAll(
+        suppliers.filter("s_acctbal > 0").select("s_suppkey", F.lit(3), F.col("s_nationkey") + 3)
+    )
+    measures = lines.select(F.col("l_suppkey").alias("id"), F.col("l_linenumber").alias("timepoint"), F.col("l_quantity").alias("above"))
+    wide = condition_table(notes, dictionary, ages, measures, [1, 3])
+    means = {f"above_timepoint_{t}": F.col(f"above_timepoint_{t}").try_cast("double") for t in (1, 3)}
+    return wide.withColumns({c: F.coalesce((m > 25).cast("string"), F.lit("")) for c, m in means.items()})

@@ -10,6 +10,10 @@ from workload.common import Registry, table
 
 registry = Registry()
 
+def _unit(number):
+    return F.concat(F.lit("u"), number.cast("string"))
+
+
 # --- reference tables ------------------------------------------------------
 
 
@@ -75,6 +79,21 @@ def reference_conversions(spark, sf_dir):
     return metadata.unit_conversions(conversions, ucum)
 
 
+@registry.add("""
+SELECT DISTINCT 'u' || s_nationkey AS this_unit, 'u' || (s_nationkey % 3) AS that_unit, 1 AS equivalent_units
+FROM supplier WHERE s_acctbal > 0 AND s_nationkey <> 4
+""")
+def reference_equivalencies(spark, sf_dir):
+    """Unit pairs that are always equivalent, each once."""
+    nation = F.col("s_nationkey")
+    raw = table(spark, sf_dir, "supplier").select(
+        F.when(nation != 4, _unit(nation)).alias("this_unit"),
+        _unit(nation % 3).alias("that_unit"),
+        F.when(F.col("s_acctbal") > 0, "1").otherwise("0").alias("equivalency_always"),
+    )
+    return metadata.unit_equivalencies(raw)
+
+
 # --- rules -----------------------------------------------------------------
 
 RULES = parse_rules([
@@ -187,10 +206,6 @@ FROM units
 """
 
 
-def _unit(number):
-    return F.concat(F.lit("u"), number.cast("string"))
-
-
 def _variables(spark, sf_dir):
     """One variable per (part, supplier) of the line items."""
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
