@@ -13,7 +13,8 @@ from slotweave.operators.joins import lookup_join
 # A map up to this many entries (and characters) travels with the plan.
 LITERAL_ENTRIES = 100_000
 LITERAL_CHARACTERS = 16_000_000
-MARK = "\u0001"
+# A cut is two control characters; the first one is escaped where a text has it.
+CUT, ESCAPE, ESCAPED = "\u0001\u0002", "\u0001", "\u0001\u0003"
 
 
 def curie_inventory(df: DataFrame, column: str) -> DataFrame:
@@ -35,7 +36,13 @@ def curie_audit(df: DataFrame, column: str, file: str) -> DataFrame:
 
 def _tokens(column: Column) -> Column:
     """The text cut before and after every CURIE."""
-    return F.split(F.regexp_replace(column, CURIE_PATTERN, f"{MARK}$1{MARK}"), MARK)
+    guarded = F.replace(column, F.lit(ESCAPE), F.lit(ESCAPED))
+    return F.split(F.regexp_replace(guarded, CURIE_PATTERN, f"{CUT}$1{CUT}"), CUT)
+
+
+def _joined(tokens: Column) -> Column:
+    """The text of its tokens."""
+    return F.replace(F.array_join(tokens, ""), F.lit(ESCAPED), F.lit(ESCAPE))
 
 
 def remap_curies(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
@@ -56,7 +63,7 @@ def remap_curies(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     entry = _dictionary(mapping, max(1, size.n // 4))
     remapped = F.transform(_tokens(F.col(f"`{column}`")), lambda t: F.coalesce(entry(t), t))
     touched = F.col(f"`{column}`").rlike(CURIE_PATTERN)
-    return df.withColumn(column, F.when(touched, F.array_join(remapped, "")).otherwise(F.col(f"`{column}`")))
+    return df.withColumn(column, F.when(touched, _joined(remapped)).otherwise(F.col(f"`{column}`")))
 
 
 def _dictionary(mapping: DataFrame, buckets: int):
@@ -82,6 +89,6 @@ def _remap_by_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     rebuilt = known.groupBy("__key").agg(
         F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("new", "old").alias("t")))).alias("__parts")
     )
-    rebuilt = rebuilt.select("__key", F.array_join(F.col("__parts.t"), "").alias("__new"))
+    rebuilt = rebuilt.select("__key", _joined(F.col("__parts.t")).alias("__new"))
     joined = lookup_join(keyed, rebuilt, ["__key"])
     return joined.withColumn(column, F.coalesce("__new", text)).select(*df.columns)

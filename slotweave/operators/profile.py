@@ -155,17 +155,20 @@ def infer_table(df: DataFrame, options: InferenceOptions = InferenceOptions()) -
     exact = {}
     if possible_key | possible_enum:
         exact = {r.column: r.n_distinct for r in exact_distinct(df, sorted(possible_key | possible_enum)).collect()}
-    enums: dict[str, tuple[str, ...]] = {}
+    listed = [
+        r.column for r in profile if r.column in possible_enum and options.is_enum(r.type, exact[r.column], r.n_rows)
+    ]
+    values = {}
+    if listed:  # each set holds at most max_enum_size values
+        sets = df.agg(*[F.collect_set(_c(c)).alias(f"s{i}") for i, c in enumerate(listed)]).first()
+        values = {c: tuple(sorted(sets[i])) for i, c in enumerate(listed)}
+    enums = {f"{c}_enum": vs for c, vs in values.items()}
     slots: dict[str, TargetSlot] = {}
     keys: list[str] = []
     for r in profile:
-        kind = r.type
-        if r.column in possible_enum and options.is_enum(kind, exact[r.column], r.n_rows):
-            kind = f"{r.column}_enum"
-            found = df.select(_c(r.column)).filter(_c(r.column).isNotNull()).distinct()  # at most max_enum_size rows
-            enums[kind] = tuple(sorted(str(v[0]) for v in found.collect()))
         if r.column in possible_key and exact[r.column] == r.n_rows:
             keys.append(r.column)
+        kind = f"{r.column}_enum" if r.column in values else r.type
         slots[r.column] = TargetSlot(r.column, kind, identifier=keys == [r.column])
     return slots, enums, tuple(keys[1:])
 

@@ -81,15 +81,16 @@ def test_many_replacements_agree_with_few(spark, frame, monkeypatch):
     assert sorted(map(tuple, replace_cells(df, rules, "f").collect())) == many
 
 
-TEXTS = [("f1", "see OMOP:1, OMOP:12 and xOMOP:1 or MONDO:0004;"), ("f1", None), ("f2", "nothing here a:b"), ("f2", "OMOP:1"), ("f3", "OMOP:1")]
+TEXTS = [("f1", "see OMOP:1, OMOP:12 and xOMOP:1 or MONDO:0004;"), ("f1", None), ("f2", "nothing here a:b"), ("f2", "OMOP:1"), ("f3", "OMOP:1"),
+         ("f3", "a\x01\x02OMOP:1\x01")]
 
 
 def test_curies(frame, monkeypatch):
     df = frame(TEXTS, ("file", "text"))
-    assert {tuple(r) for r in curies.curie_inventory(df, "text").collect()} == {("OMOP:1", 3), ("OMOP:12", 1), ("MONDO:0004", 1)}
-    assert {tuple(r) for r in curies.curie_audit(df, "text", "file").collect()} == {("f1", 1, 3), ("f2", 1, 1), ("f3", 1, 1)}
+    assert {tuple(r) for r in curies.curie_inventory(df, "text").collect()} == {("OMOP:1", 4), ("OMOP:12", 1), ("MONDO:0004", 1)}
+    assert {tuple(r) for r in curies.curie_audit(df, "text", "file").collect()} == {("f1", 1, 3), ("f2", 1, 1), ("f3", 2, 2)}
     mapping = frame([("OMOP:1", "NEW:9"), ("MONDO:0004", "OMOP:1"), (None, "x")], ("old", "new"))
-    want = [("f1", "see NEW:9, OMOP:12 and xOMOP:1 or OMOP:1;"), ("f1", None), ("f2", "nothing here a:b"), ("f2", "NEW:9"), ("f3", "NEW:9")]
+    want = [("f1", "see NEW:9, OMOP:12 and xOMOP:1 or OMOP:1;"), ("f1", None), ("f2", "nothing here a:b"), ("f2", "NEW:9"), ("f3", "NEW:9"), ("f3", "a\x01\x02NEW:9\x01")]
     assert [tuple(r) for r in curies.remap_curies(df, "text", mapping).collect()] == want
     monkeypatch.setattr(curies, "LITERAL_ENTRIES", 0)
     joined = curies.remap_curies(df, "text", mapping)
