@@ -1,7 +1,9 @@
 """Left joins with a reference table, safe for large tables and hot keys.
 
 A right side that Spark estimates under its broadcast threshold joins without
-a shuffle, and Spark itself makes that choice. Beyond the threshold both sides
+a shuffle, and Spark itself makes that choice. Where the estimate is larger,
+which it also is for a source of unknown size, the side is measured up to the
+threshold and broadcast only when it fits. Beyond the threshold both sides
 shuffle on the key, and a key that holds a large share of the left rows would
 land in one task; such keys are found first and spread over several salts.
 """
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 HOT_SHARE = 1 / 200  # a key above this share of the left rows is salted
 SALTS = 64
+MEASURED_ROWS = 50_000  # a side with more rows is not measured further
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -42,6 +45,16 @@ def broadcasts_itself(df: DataFrame) -> bool:
     return size is None or size <= broadcast_limit(df)
 
 
+def measures_small(df: DataFrame) -> bool:
+    """Whether the rows, fetched one number each and no further than needed, fit the threshold."""
+    limit = broadcast_limit(df)
+    if limit < 0:
+        return False
+    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    widths = [r[0] for r in df.select(width).take(MEASURED_ROWS + 1)]
+    return len(widths) <= MEASURED_ROWS and sum(widths) <= limit
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
     """Key values, null included, that hold more than ``share`` of the rows: at most 1/share."""
     total = df.count()
@@ -77,6 +90,8 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int
     """``left`` with the columns of the matching ``right`` rows; keys share their names."""
     if left.isStreaming or broadcasts_itself(right):
         return left.join(right, list(on), "left")
+    if measures_small(right):
+        return left.join(F.broadcast(right), list(on), "left")
     keys = hot_keys(left, on)
     if not keys:
         return left.join(right, list(on), "left")

@@ -18,6 +18,7 @@ def test_hot_keys_and_salting(spark):
 
 def test_large_right_side_takes_the_salted_path(spark, monkeypatch):
     monkeypatch.setattr(joins, "broadcasts_itself", lambda df: False)
+    monkeypatch.setattr(joins, "MEASURED_ROWS", 10)
     left = spark.range(600).selectExpr("case when id < 500 then 1 else id end a", "'x' b", "id")
     right = spark.range(400, 700).selectExpr("id a", "'x' b", "id * 2 v").unionAll(spark.sql("select 1L a, 'x' b, 7L v"))
     got = joins.lookup_join(left, right, ["a", "b"])
@@ -27,6 +28,16 @@ def test_large_right_side_takes_the_salted_path(spark, monkeypatch):
     assert few.count() == 5
 
 
+def test_a_side_of_unknown_size_is_measured(spark):
+    left = spark.range(10).selectExpr("cast(id as string) k")
+    right = spark.createDataFrame([("1", "x")], "k string, v string")
+    assert not joins.broadcasts_itself(right) and joins.measures_small(right)
+    plan = joins.lookup_join(left, right, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert not joins.measures_small(spark.range(60_000))
+    assert not joins.measures_small(spark.range(20_000).selectExpr("id", "repeat('x', 1000) s"))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3)), min_size=1, max_size=30),
