@@ -73,12 +73,13 @@ def salted_left_join(
 ) -> DataFrame:
     """Left equi-join with the rows of the given keys spread over ``salts`` groups.
 
-    The salt is a hash of the row, so a recomputed task sends every row where
-    it went before. Only the right rows of hot keys are replicated; a missing
-    key can be hot on the left and has no match.
+    The salt is a hash of the row and its partition, so a recomputed task sends
+    every row where it went before, and copies of one row spread as well. Only
+    the right rows of hot keys are replicated; a missing key can be hot on the
+    left and has no match.
     """
     hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    spread = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(salts)).cast("int")
     salted = left.withColumn("__salt", F.when(_is_hot(on, keys), spread).otherwise(F.lit(0)))
     copies = F.when(_is_hot(on, keys), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     present = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in on])

@@ -19,6 +19,7 @@ from slotweave.plans.schema import TargetSchema, TargetSlot
 logger = logging.getLogger(__name__)
 
 VIOLATION = "`table` string, slot string, rule string, value string"
+VIOLATION_COUNT = "`table` string, slot string, rule string, n bigint"
 
 
 def _misfit(column: Column, dtype: T.DataType, slot: TargetSlot, schema: TargetSchema) -> tuple[str, Column] | None:
@@ -94,10 +95,10 @@ def violation_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("table", "slot", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
-def verdicts(found: DataFrame, tables: list[str]) -> DataFrame:
-    """One verdict per table: the number of violations and whether it passes."""
-    all_tables = local_frame(found.sparkSession, [(t,) for t in tables], "`table` string")
-    counted = found.groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+def verdicts(counts: DataFrame, tables: list[str]) -> DataFrame:
+    """One verdict per table from the violation counts: how many, and whether it passes."""
+    all_tables = local_frame(counts.sparkSession, [(t,) for t in tables], "`table` string")
+    counted = counts.groupBy("table").agg(F.sum("n").alias("n"))
     joined = all_tables.join(counted, "table", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
     return joined.select("table", F.col("n").alias("n_violations"), (F.col("n") == 0).alias("passed"))
 

@@ -363,6 +363,13 @@ class Derivation:
             return self.fanned
         return self.fanned.filter(F.col(ERRORS).isNull()).drop(ERRORS)
 
+    @property
+    def failed(self) -> DataFrame:
+        """Records whose row had an error, with the errors."""
+        if not self.tracked:
+            return self.fanned.withColumn(ERRORS, F.lit(None).cast(ERROR_TYPE)).filter(F.lit(False))
+        return self.fanned.filter(F.col(ERRORS).isNotNull())
+
     @property
     def nonempty_records(self) -> DataFrame:
         """Records with at least one slot set."""

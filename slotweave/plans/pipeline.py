@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from slotweave.errors import SpecError
 from slotweave.functions.local import local_frame
 from slotweave.operators.profile import InferenceOptions, infer_schema, schema_yaml
-from slotweave.operators.validate import gate, verdicts, violations
-from slotweave.plans.derive import Mapper
+from slotweave.operators.validate import VIOLATION_COUNT, gate, verdicts, violation_counts, violations
+from slotweave.plans.derive import ERROR_SUMMARY, Mapper
 from slotweave.plans.schema import TargetSchema, load_schema
 from slotweave.plans.spec import SpecSet, load_specs
 from slotweave.sinks.writers import write_entity
@@ -20,6 +20,9 @@ from slotweave.sources.archive import FILE, archive_catalog
 from slotweave.sources.catalog import Catalog
 
 
+RECORDS_PER_FILE = 5_000_000
+
+
 @dataclass(frozen=True)
 class Options:
     formats: Sequence[str] = ("yaml",)
@@ -37,8 +40,9 @@ class Run:
 
     source_schema: TargetSchema
     validated: bool
+    violations: DataFrame  # counted per table, slot and rule
     verdicts: DataFrame
-    errors: DataFrame
+    errors: DataFrame  # counted per entity, table and slot
     outputs: dict[str, list[str]] = field(default_factory=dict)
 
 
@@ -46,17 +50,25 @@ def store_tables(catalog: Catalog, directory: str) -> Catalog:
     """Every table written once as Parquet and read back.
 
     Compressed text is decompressed and split once, by one task per file;
-    later scans read columns in parallel and survive a lost executor.
+    later scans read columns in parallel and survive a lost executor. A large
+    archive is cut into several files.
     """
     for name in catalog:
-        catalog[name].write.mode("overwrite").parquet(f"{directory}/{name}.parquet")
+        cut = catalog[name].write.mode("overwrite").option("maxRecordsPerFile", RECORDS_PER_FILE)
+        cut.parquet(f"{directory}/{name}.parquet")
     return Catalog.parquet(catalog.spark, directory, list(catalog), unique_keys=catalog.unique_keys)
 
 
-def validate_tables(catalog: Catalog, schema: TargetSchema) -> DataFrame:
-    """One verdict per table."""
+def stored(df: DataFrame, path: str, ddl: str) -> DataFrame:
+    """A summary written as JSON Lines and read back, so it is computed once."""
+    df.coalesce(1).write.mode("overwrite").json(path)
+    return df.sparkSession.read.schema(ddl).json(path)
+
+
+def validate_tables(catalog: Catalog, schema: TargetSchema, path: str) -> DataFrame:
+    """Violations of all tables, counted and stored."""
     found = reduce(DataFrame.unionAll, [violations(catalog[t], t, schema) for t in catalog])
-    return verdicts(found, list(catalog))
+    return stored(violation_counts(found), path, VIOLATION_COUNT)
 
 
 def map_entities(mapper: Mapper, directory: str, options: Options) -> tuple[dict[str, list[str]], DataFrame]:
@@ -72,13 +84,13 @@ def map_entities(mapper: Mapper, directory: str, options: Options) -> tuple[dict
         derivation = mapper.derive(entity)
         for table, staged in derivation.staged.items():
             staged.write.mode("overwrite").parquet(f"{directory}/_staged/{entity}/{table}")
-        stored = {t: spark.read.parquet(f"{directory}/_staged/{entity}/{t}") for t in derivation.staged}
-        derivation = derivation.reading(stored)
+        copies = {t: spark.read.parquet(f"{directory}/_staged/{entity}/{t}") for t in derivation.staged}
+        derivation = derivation.reading(copies)
         outputs[entity] = write_entity(
             derivation.records, directory, entity, options.formats, options.prefix, options.postfix
         )
         summaries.append(derivation.errors)
-    return outputs, reduce(DataFrame.unionAll, summaries)
+    return outputs, stored(reduce(DataFrame.unionAll, summaries), f"{directory}/_errors", ERROR_SUMMARY)
 
 
 def run_pipeline(
@@ -109,8 +121,9 @@ def run_pipeline(
     local_frame(spark, [(text,)], "value string").write.mode("overwrite").text(
         f"{output_dir}/{options.schema_name}.yaml"
     )
-    verdict = validate_tables(study, schema)
+    found = validate_tables(study, schema, f"{output_dir}/validation")
+    verdict = verdicts(found, list(study))
     validated = gate(verdict, options.strict_validation)
     mapper = Mapper(tables, specs, load_schema(spark, target_schema), options.strict)
     outputs, errors = map_entities(mapper, f"{output_dir}/mapped-data", options)
-    return Run(schema, validated, verdict, errors, outputs)
+    return Run(schema, validated, found, verdict, errors, outputs)

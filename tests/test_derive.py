@@ -235,3 +235,11 @@ def test_streams_pass_through(spark, tmp_path):
     assert sorted(r.v for r in spark.table("streamed").collect()) == [0.0, 2.0, 4.0]
     with pytest.raises(SpecError, match="not streams"):
         stream_records(mapper(spark, {"t": spark.read.parquet(str(tmp_path / "in"))}, slots(v="{populated_from: a}")), "C")
+
+
+def test_failed_records(spark, frame):
+    df = frame([("1", "k1"), ("x", "k2")], ("a", "k"))
+    d = mapper(spark, {"t": df}, slots(k="{populated_from: k}", v="{expr: '{a} * 2'}")).derive("C")
+    (row,) = d.failed.collect()
+    assert row.k == "k2" and [(e.slot, e.message) for e in row._errors] == [("v", "non-numeric value")]
+    assert mapper(spark, {"t": df}, slots(k="{populated_from: k}")).derive("C").failed.count() == 0

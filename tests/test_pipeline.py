@@ -92,7 +92,7 @@ def test_formats_agree(study):
 
 
 def test_no_errors_on_clean_data(study):
-    assert study[1].errors.count() == 0
+    assert study[1].errors.count() == 0 and study[1].violations.count() == 0
 
 
 def test_lenient_run_reports_errors(spark, tmp_path):
@@ -136,7 +136,7 @@ def test_entities(spark, tmp_path):
 
 def test_validation_gate(spark, frame, tmp_path):
     from slotweave import parse_schema
-    from slotweave.operators.validate import gate, verdicts, violations
+    from slotweave.operators.validate import gate, verdicts, violation_counts, violations
 
     schema = parse_schema("classes: {t: {attributes: {a: {range: integer, identifier: true}, b: {required: true}, c: {range: date}}}}")
     df = frame([("1", "x", "2024-01-01"), ("1", None, "soon"), ("1.5", " ", None), (None, "y", "")], ("a", "b", "c"))
@@ -145,7 +145,7 @@ def test_validation_gate(spark, frame, tmp_path):
         ("a", "duplicate", "1"), ("a", "type", "1.5"), ("c", "type", "soon"),
     ]
     assert sorted(r.slot for r in found.filter("rule = 'required'").collect()) == ["a", "b"]
-    verdict = verdicts(found, ["t", "clean"])
+    verdict = verdicts(violation_counts(found), ["t", "clean"])
     assert gate(verdict, strict=False) is False
     assert gate(verdict.filter("passed"), strict=True) is True
     with pytest.raises(DataError, match="1 of 2 tables fail validation: t"):

@@ -139,7 +139,7 @@ def validate_counts(spark, sf_dir):
 def validate_summary(spark, sf_dir):
     """How many tables fail validation, and which."""
     good = violations(table(spark, sf_dir, "customer"), "customer", parse_schema(ORDER_SCHEMA))
-    return summary(verdicts(good.unionAll(_order_violations(spark, sf_dir)), ["customer", "orders"]))
+    return summary(verdicts(violation_counts(good.unionAll(_order_violations(spark, sf_dir))), ["customer", "orders"]))
 
 
 # --- scans -----------------------------------------------------------------
