@@ -86,7 +86,7 @@ class _BlockCompiler:
         self.block = block
         self.mapper = mapper
         self.catalog = mapper.catalog
-        self.source = {f.name: f.dataType for f in self.catalog[block.populated_from].schema.fields}
+        self.source = mapper.types(block.populated_from)
         self.joins: dict[str, str] = dict(block.joins)
         self.joined: dict[tuple[str, str], set[str]] = {}
         self.errors: list[tuple[str, RowError]] = []
@@ -102,17 +102,17 @@ class _BlockCompiler:
     def resolve(self, name: str) -> Value:
         table, _, column = name.partition(".")
         if column and table in self.joins:
-            types = {f.name: f.dataType for f in self.catalog[table].schema.fields}
+            types = self.mapper.types(table)
             if column not in types:
                 raise SpecError(f"table {table!r} has no column {column!r}")
             key = self.joins[table]
             self.joined.setdefault((table, key), set()).add(column)
-            return _cell(F.col(f"`{_joined_name(table, key, column)}`"), types[column])
+            return self.mapper.cell(_joined_name(table, key, column), types[column])
         if column and table == self.block.populated_from and column in self.source:
             name = column
         if name not in self.source:
             raise SpecError(f"table {self.block.populated_from!r} has no column {name!r}")
-        return _cell(F.col(f"`{name}`"), self.source[name])
+        return self.mapper.cell(name, self.source[name])
 
     def _class(self, block: ClassDerivation, path: str) -> Record:
         if block.populated_from != self.block.populated_from and block.populated_from not in self.joins:
@@ -168,10 +168,6 @@ class _BlockCompiler:
         return self.resolve(name)
 
 
-def _cell(column: Column, dtype: T.DataType) -> Value:
-    return Value(column, dtype, raw=isinstance(dtype, T.StringType))
-
-
 # --- shapes: one record type for all blocks --------------------------------
 
 
@@ -207,6 +203,20 @@ class Mapper:
         self.target = target or TargetSchema({})
         self.strict = strict
         self.functions: dict[str, SlotFunction] = dict(functions or {})
+        self._types: dict[str, dict[str, T.DataType]] = {}
+        self._cells: dict[tuple[str, T.DataType], Value] = {}
+
+    def types(self, table: str) -> dict[str, T.DataType]:
+        """Column types of a table."""
+        if table not in self._types:
+            self._types[table] = {f.name: f.dataType for f in self.catalog[table].schema.fields}
+        return self._types[table]
+
+    def cell(self, name: str, dtype: T.DataType) -> Value:
+        """A source cell, built once however many slots read it."""
+        if (name, dtype) not in self._cells:
+            self._cells[name, dtype] = Value(F.col(f"`{name}`"), dtype, raw=isinstance(dtype, T.StringType))
+        return self._cells[name, dtype]
 
     def register_function(self, name: str, fn: SlotFunction) -> None:
         """Make ``fn`` (columns to column) callable in slot expressions."""
@@ -263,8 +273,11 @@ class Mapper:
         base = self._base(table, blocks)
         structs = [self._block_struct(b, shape, tracked) for b in blocks]
         # explode, unlike inline, is part of whole-stage code generation.
-        record = structs[0] if len(structs) == 1 else F.explode(F.array(*structs))
-        return base.select(record.alias("__r")).select("__r.*")
+        # The array is a projection of its own, where what the blocks have in
+        # common (a parsed cell, a mapped code) is computed once per row.
+        if len(structs) == 1:
+            return base.select(structs[0].alias("__r")).select("__r.*")
+        return base.select(F.array(*structs).alias("__all")).select(F.explode("__all").alias("__r")).select("__r.*")
 
     def _base(self, table: str, blocks: list[Block]) -> DataFrame:
         base = self.catalog[table]

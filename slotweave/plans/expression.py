@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import ast
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,6 +42,7 @@ class Value:
     raw: bool = False
     errors: tuple[RowError, ...] = ()
     constant: object = None
+    number_view: Value | None = field(default=None, compare=False, repr=False)  # kept by as_number
 
     @property
     def is_number(self) -> bool:
@@ -59,11 +60,15 @@ SlotFunction = Callable[..., Column]
 
 def as_number(v: Value) -> Value:
     """Numeric view; source text that is no number is a row error."""
-    if v.is_number:
-        return Value(v.column.cast("double"), T.DoubleType(), errors=v.errors, constant=v.constant)
-    parsed = number(v.column)
-    bad = nonblank(v.column.cast("string")) & parsed.isNull()
-    return Value(parsed, T.DoubleType(), errors=(*v.errors, RowError(bad, NON_NUMERIC)))
+    if v.number_view is None:
+        if v.is_number:
+            view = Value(v.column.cast("double"), T.DoubleType(), errors=v.errors, constant=v.constant)
+        else:
+            parsed = number(v.column)
+            bad = nonblank(v.column.cast("string")) & parsed.isNull()
+            view = Value(parsed, T.DoubleType(), errors=(*v.errors, RowError(bad, NON_NUMERIC)))
+        object.__setattr__(v, "number_view", view)
+    return v.number_view
 
 
 def as_text(v: Value) -> Column:
@@ -248,10 +253,12 @@ def _branches(pairs: list[tuple[Value, Value]], default: Value | None) -> Value:
     result, errors, untaken = None, (), F.lit(True)
     for test, value in pairs:
         errors += tuple(RowError(untaken & e.condition, e.message) for e in test.errors)
-        taken = untaken & truth(test)
-        errors += tuple(RowError(taken & e.condition, e.message) for e in value.errors)
-        untaken = untaken & ~truth(test)
-        result = F.when(truth(test), cast(value)) if result is None else result.when(truth(test), cast(value))
+        condition = truth(test)
+        if value.errors:
+            taken = untaken & condition
+            errors += tuple(RowError(taken & e.condition, e.message) for e in value.errors)
+        untaken = untaken & ~condition
+        result = F.when(condition, cast(value)) if result is None else result.when(condition, cast(value))
     if default is not None:
         errors += tuple(RowError(untaken & e.condition, e.message) for e in default.errors)
         result = result.otherwise(cast(default))

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites are not recorded: a large spec builds many thousand columns.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
