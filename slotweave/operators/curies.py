@@ -62,8 +62,7 @@ def remap_curies(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
         return _remap_by_join(df, column, mapping)
     entry = _dictionary(mapping, max(1, size.n // 4))
     remapped = F.transform(_tokens(F.col(f"`{column}`")), lambda t: F.coalesce(entry(t), t))
-    touched = F.col(f"`{column}`").rlike(CURIE_PATTERN)
-    return df.withColumn(column, F.when(touched, _joined(remapped)).otherwise(F.col(f"`{column}`")))
+    return df.withColumn(column, _joined(remapped))
 
 
 def _dictionary(mapping: DataFrame, buckets: int):

@@ -91,39 +91,54 @@ def read_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+LEADING_LINES = 4096  # lines looked at on the driver for a header
+
+
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of one file with their place: block, then row within the task.
+
+    A file read alone starts its first block at the first row of a task, so the
+    rows of that block are numbered from zero.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block"), row.alias("row"), "value")
+
+
+def _header_place(lines: DataFrame) -> list[tuple[int, int, str]]:
+    """(block, row, text) of the two lines after the first blank one.
+
+    They are almost always near the top, where reading stops; otherwise the
+    blank line is searched for by all tasks.
+    """
+    leading = lines.head(LEADING_LINES)
+    blank = next((i for i, r in enumerate(leading) if r.value == ""), None)
+    if blank is not None and (blank + 2 < len(leading) or len(leading) < LEADING_LINES):
+        return [tuple(r) for r in leading[blank + 1 : blank + 3]]
+    at = F.struct("block", "row")
+    first = lines.filter(F.col("value") == "").agg(F.min(at).alias("at")).first().at
+    if first is None:
+        return []
+    after = (F.col("block") > first.block) | ((F.col("block") == first.block) & (F.col("row") > first.row))
+    return [tuple(r) for r in lines.filter(after).orderBy("block", "row").limit(2).collect()]
+
+
 def read_after_blank_line(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Archives without markers: the header is the line after the first blank line.
 
     Lines up to the blank one are dropped, and so is a repeated names line
-    right after the header. Line order is the file's block order, then the
-    order within the block.
+    right after the header.
     """
-    numbered = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
-        "value",
-    )
-    blanks = numbered.filter(F.col("value") == "").groupBy("path").agg(F.min("at").alias("blank"))
-    after = numbered.join(blanks, "path").filter(F.col("at") > F.col("blank"))
-    # Two lines per file are enough to tell the header and the names line.
-    first = after.groupBy("path").agg(F.min(F.struct("at", "value")).alias("h"))
-    second = (
-        after.join(first, "path")
-        .filter(F.col("at") > F.col("h.at"))
-        .groupBy("path")
-        .agg(F.min(F.struct("at", "value")).alias("s"))
-    )
-    heads = first.join(second, "path", "left").select("path", "h", "s").collect()
-    if not heads:
-        raise SourceError(f"no blank line before a header in {paths}")
     frames = []
-    for head in heads:  # one entry per file
-        names = [re.sub(r"(phv[0-9]{8})\.\S*", r"\1", c) for c in re.sub("^##", SUBJECT, head.h.value).split("\t")]
-        start = head.s if head.s is not None and head.s.value.startswith(SUBJECT) else head.h
-        at = F.struct(F.lit(start.at.block).cast("bigint").alias("block"), F.lit(start.at.row).cast("bigint").alias("row"))
-        rows = numbered.filter((F.col("path") == head.path) & (F.col("at") > at))
-        source = F.substring_index("path", "/", -1).alias(FILE)
-        frames.append(split_lines(rows.select("value", source), "value", names))
+    for path in paths:
+        lines = _numbered(spark, path)
+        found = _header_place(lines)
+        if not found:
+            raise SourceError(f"no header after a blank line in {path}")
+        names = [re.sub(r"(phv[0-9]{8})\.\S*", r"\1", c) for c in re.sub("^##", SUBJECT, found[0][2]).split("\t")]
+        block, row, _ = found[1] if len(found) > 1 and found[1][2].startswith(SUBJECT) else found[0]
+        body = lines.filter((F.col("block") > block) | ((F.col("block") == block) & (F.col("row") > row)))
+        source = F.lit(path.rsplit("/", 1)[-1]).alias(FILE)
+        frames.append(split_lines(body.select("value", source), "value", names))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
