@@ -51,5 +51,6 @@ def condition_table(
     described = dictionary_join(collapsed, texts, "condition_name", "variable", [SOURCE_TEXT])
     by_age = pivot_unique(ages, "id", "timepoint", "age_at_visit", "age_at_timepoint_{}", timepoints)
     by_measure = pivot_mean(measures, "id", "timepoint", values=timepoints)
-    wide = lookup_join(lookup_join(described, by_age, ["id"]), by_measure, ["id"])
+    aged = lookup_join(described, by_age, ["id"], measure=ages)
+    wide = lookup_join(aged, by_measure, ["id"], measure=measures)
     return blank_nulls(wide.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in wide.columns]))

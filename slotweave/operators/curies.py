@@ -89,5 +89,5 @@ def _remap_by_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("new", "old").alias("t")))).alias("__parts")
     )
     rebuilt = rebuilt.select("__key", _joined(F.col("__parts.t")).alias("__new"))
-    joined = lookup_join(keyed, rebuilt, ["__key"])
+    joined = lookup_join(keyed, rebuilt, ["__key"], measure=keyed.select("__key", text))
     return joined.withColumn(column, F.coalesce("__new", text)).select(*df.columns)

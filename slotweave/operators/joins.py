@@ -87,11 +87,18 @@ def salted_left_join(
     return salted.join(replicated, [*on, "__salt"], "left").drop("__salt")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """``left`` with the columns of the matching ``right`` rows; keys share their names."""
+def lookup_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS, measure: DataFrame | None = None
+) -> DataFrame:
+    """``left`` with the columns of the matching ``right`` rows; keys share their names.
+
+    ``measure`` stands in for the right side when its size is taken: a table
+    with at least as many rows that costs less to read, such as the rows the
+    right side was grouped from.
+    """
     if left.isStreaming or broadcasts_itself(right):
         return left.join(right, list(on), "left")
-    if measures_small(right):
+    if measures_small(right if measure is None else measure):
         return left.join(F.broadcast(right), list(on), "left")
     keys = hot_keys(left, on)
     if not keys:

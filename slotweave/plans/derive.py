@@ -290,13 +290,13 @@ class Mapper:
                 F.col(f"`{key}`"),
                 *[F.col(f"`{c}`").alias(_joined_name(other, key, c)) for c in sorted(columns)],
             )
-            if key in self.catalog.unique_keys.get(other, ()):
-                right = right.filter(F.col(f"`{key}`").isNotNull())
-            else:
+            right = right.filter(F.col(f"`{key}`").isNotNull())
+            single = right
+            if key not in self.catalog.unique_keys.get(other, ()):
                 if self.strict:
                     self._require_unique(other, key)
-                right = one_row_per_key(right, [key])
-            base = lookup_join(base, right, [key])
+                single = one_row_per_key(right, [key])
+            base = lookup_join(base, single, [key], measure=right)
         return base
 
     def _require_unique(self, table: str, key: str) -> None:
