@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slotweave.errors import SpecError
 from slotweave.functions.text import (
     accession,
     backfill,
@@ -145,6 +146,8 @@ def is_categorical(df: DataFrame) -> Column | None:
 def standardize(df: DataFrame) -> DataFrame:
     """Accessions, case, units and the categorical type of raw metadata rows."""
     df = split_accessions(df.drop("bdchm_variable"))
+    if "phv" not in df.columns:
+        raise SpecError("metadata rows have no variable id column")
     df = df.filter(nonblank("phv"))
     df = df.select(*[F.lower(_c(c)).alias(c) if c in LOWER_CASED else _c(c) for c in df.columns])
     if "var_units" in df.columns:

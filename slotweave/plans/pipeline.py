@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotweave.errors import SpecError
+from slotweave.errors import SourceError, SpecError
 from slotweave.functions.local import local_frame
 from slotweave.operators.profile import InferenceOptions, infer_schema, schema_yaml
 from slotweave.operators.validate import VIOLATION_COUNT, gate, verdicts, violation_counts, violations
@@ -79,7 +79,7 @@ def map_entities(mapper: Mapper, directory: str, options: Options) -> tuple[dict
     """
     spark = mapper.catalog.spark
     outputs: dict[str, list[str]] = {}
-    summaries: list[DataFrame] = []
+    summaries: list[DataFrame] = [local_frame(spark, [], ERROR_SUMMARY)]
     for entity in mapper.specs.entities():
         derivation = mapper.derive(entity)
         for table, staged in derivation.staged.items():
@@ -114,6 +114,8 @@ def run_pipeline(
         tables = store_tables(archive_catalog(spark, raw_dir, spec_dir), f"{output_dir}/prepared")
     else:
         tables = tables.only(specs.tables())
+    if not len(tables):
+        raise SourceError("no table to read: neither the archives nor the catalogue hold one the specs mention")
     # The file a row came from is ours, not the study's.
     study = Catalog.of(spark, {t: tables[t].drop(FILE) for t in tables})
     schema = infer_schema(study, options.inference)

@@ -4,7 +4,7 @@ import json
 import pytest
 import yaml
 
-from slotweave import Catalog, DataError, Options, SpecError, list_entities, run_pipeline
+from slotweave import Catalog, DataError, Options, SourceError, SpecError, list_entities, run_pipeline
 from slotweave.operators.profile import InferenceOptions
 from study_fixture import SUBJECTS, write_study
 
@@ -126,6 +126,20 @@ def test_ready_tables(spark, frame, tmp_path):
         run_pipeline(spark, specs, schema, str(tmp_path / "x"))
 
 
+def test_nothing_to_read(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    _, specs, schema = write_study(tmp_path / "study")
+    with pytest.raises(SourceError, match="no table"):
+        run_pipeline(spark, specs, schema, str(tmp_path / "out"), raw_dir=str(tmp_path / "raw"))
+
+
+def test_no_specs(spark, frame, tmp_path):
+    _, _, schema = write_study(tmp_path / "study")
+    tables = Catalog.of(spark, {"t": frame([("1",)], ("a",))})
+    run = run_pipeline(spark, str(tmp_path / "absent"), schema, str(tmp_path / "out"), tables=tables)
+    assert run.outputs == {} and run.errors.count() == 0 and set(run.source_schema.classes) == {"t"}
+
+
 def test_entities(spark, tmp_path):
     _, specs, _ = write_study(tmp_path)
     assert list_entities(spark, specs) == [
