@@ -20,12 +20,10 @@ from pyspark.sql import types as T
 
 from slotweave.errors import DataError, SourceError, SpecError
 from slotweave.functions.local import local_frame
-from slotweave.functions.text import nonblank
 from slotweave.functions.units import convert
 from slotweave.functions.values import coerce, lookup
 from slotweave.operators.joins import duplicate_keys, lookup_join, one_row_per_key
 from slotweave.plans.expression import (
-    NON_NUMERIC,
     ExpressionCompiler,
     RowError,
     SlotFunction,
