@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import decontaminate, langid, mixing, near_dup, sharding, tokens
+from slotweave.llm import decontaminate, langid, line_dedup, mixing, near_dup, sharding, tokens, topk, warc
 from workload.common import Registry, table
 
 registry = Registry()
@@ -15,12 +15,56 @@ def _documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", *more)
 
 
+@registry.add("""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), letters AS (
+    SELECT page_id, payload_bytes,
+        array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 1 + 5 * g, 5))::BIGINT >> s::INT) & 31)::INT + 1, 1)), '')), '')
+        AS payload_digest
+    FROM payloads
+), ranked AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM letters
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last THEN last END AS refers_to
+FROM ranked
+""")
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record per page, written into Zstandard archives and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 @registry.add()
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards over fixed virtual slots, bytes nearly equal."""
     return sharding.sharded(_documents(spark, sf_dir), 8).withColumnRenamed("id", "doc_id")
 
 
+@registry.add("""
+WITH q AS (
+    SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+    SELECT vec_id, d, count(*) OVER (PARTITION BY vec_id) AS dims, floor(1024 * x::DOUBLE)::BIGINT AS x FROM q
+), s AS (
+    SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score
+    FROM v a JOIN v b ON a.d = b.d AND a.dims = b.dims AND a.vec_id <> b.vec_id
+    WHERE a.vec_id % 100 = 0 GROUP BY ALL
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products for every hundredth vector, against all vectors."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return topk.top_k(vectors, F.col("id") % 100 == 0, k=10)
+
+
 def held_out() -> F.Column:
     return F.crc32(F.col("id").cast("string")) % 4 == 2
 
@@ -34,6 +78,28 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(F.col("id").alias("doc_id"), F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@registry.add("""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+    SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split
+), keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), owned AS (
+    SELECT *, length(key) >= 10 AND min(doc_id) OVER (PARTITION BY key) < doc_id AS gone FROM keyed
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM owned GROUP BY doc_id
+""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated lines of all documents dropped but in the smallest document."""
+    kept = line_dedup.without_repeated_lines(_documents(spark, sf_dir))
+    return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @registry.add()
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document, within the edit budget."""
@@ -47,7 +113,30 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.counted(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
-@registry.add()
+@registry.add(r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+        range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s
+    FROM words
+), rows AS (SELECT doc_id, md5(unnest(s)) AS g FROM sets),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT p.a, p.b FROM pairs p JOIN sets x ON x.doc_id = p.a JOIN sets y ON y.doc_id = p.b
+    WHERE 100 * p.n >= 85 * (len(x.s) + len(y.s) - p.n)
+), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, low) AS (
+    SELECT doc_id, doc_id FROM sets
+    UNION
+    SELECT e.b, r.low FROM reach r JOIN both_ways e ON e.a = r.id
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.low) AS component_id, s.doc_id = min(r.low) AS kept
+FROM sets s JOIN reach r ON r.id = s.doc_id GROUP BY s.doc_id, s.s
+""")
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents: shared 5-word shingles at least 85 % of all."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
