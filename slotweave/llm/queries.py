@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import decontaminate, langid, line_dedup, mixing, near_dup, sharding, tokens, topk, warc
+from slotweave.llm import decontaminate, html_text, langid, line_dedup, mixing, near_dup, sharding, tokens, topk, warc
 from workload.common import Registry, table
 
 registry = Registry()
@@ -37,6 +37,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+@registry.add()
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", "html")
+    told = html_text.extracted(pages)
+    return told.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @registry.add()
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards over fixed virtual slots, bytes nearly equal."""
