@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL_FILE = "piece_bpe_32k.model"
-SAMPLE = 500
+SAMPLE = 200
+LONGEST = 64  # characters: longer words are learned from in parts
 ROUNDS = 3
 SMOOTHING = 0.02
 WORD = re.compile(r"[^\W\d_]+")
@@ -81,7 +82,8 @@ def expectation_maximisation(counts: dict[str, int], path: str, rounds: int = RO
     """Expected piece counts (row -> count) of one language's words after some rounds."""
     vocab, unk, width = vocabulary(path), unknown_row(path), longest(path)
     size = len(vocab) + 1
-    prepared = [(n, _spans(w[:64], vocab, unk, width)) for w, n in sorted(counts.items())]
+    parts = ((w[i : i + LONGEST], n) for w, n in sorted(counts.items()) for i in range(0, len(w), LONGEST))
+    prepared = [(n, _spans(w, vocab, unk, width)) for w, n in parts]
     p: dict[int, float] = {}
     start = 1.0 / size
     for _ in range(rounds):
