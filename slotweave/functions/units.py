@@ -1,9 +1,7 @@
 """Unit spellings and unit conversion factors.
 
 Spellings: a unit string is folded (lower case, no spaces) and looked up in an
-alias table. Most canonical units are reached by folding the canonical
-spelling itself, so those entries come from a rule; the other spellings are
-the fixed values below.
+alias table, the fixed values below.
 """
 
 from __future__ import annotations
@@ -17,96 +15,259 @@ from pyspark.sql import functions as F
 from slotweave.errors import SpecError
 from slotweave.functions.local import local_frame
 
-# Canonical unit, then the folded spellings that stand for it.
-UNIT_SPELLINGS = """
-%	percent
-%{WBCs}	percentoftotalleukocytes
-%{normal}	%ofnormal
-1/2cup	1fruit,1/2cupor5dried	1/2cupor2-4sticks	1fruitor1/2cup	1/2cupofcarrotsor2-3oz.ofjuice	1/2fruitor1/2cup	1/2cupvegetables,or1cupofsoup	1earor1/2cup
-10*3/mm3	10^3/mm3	103/mm3	x1000/mm3	th/cmm
-10*3/uL	x10e3/ul	thou/ul(thousandspermicroliter)	10^3cells/ul	thousandspermicroliter	x10^3/ul	thousands/ul	10^3/ul
-10*6/mm3	106/mm3	m/cmm	10^6/mm3
-10*6/uL	count,x10e12	10^6/ul	x10e6/ul	millions/ul
-10*9/L	count,x10e9	10^9/l
-3-4oz	3-4oz.
-Cel	c
-L	litres	liters
-[IU]	i.u.	iu
-[IU]/L	iu/l	u/l
-[IU]/dL	iu/dl
-[IU]/mL	iu/ml
-[cup_us]	cup
-[ft_us]	ft	feet
-[hnsf'U]	hu	hounsfieldunits(hu)
-[in_us]	inches	inches,tonextlower1/4inch	inchestonextlower1/4inch	in	tonextlower1/4inch
-[lb_av]	lb	lbs	pounds	pounds,tonearestpound
-[oz_av]	1oz.or1/2cup	oz	1oz
-[pH]	ph
-[tbs_us]	tbs	1tbs
-a	yearsold	years	year	numberofyearssinceexam1
-cm	centimeters
-cs	hundredthsofsecond	hundredthsofasecond	hundredthsofasec.	hundredsofsecond
-d	days	dayssinceexam1	numberofdayssinceexam1
-dL	deciliter
-dg/dL	decigrams/100ml
-dm	cmx10
-fL	femtoliter
-g	gm
-g/d	g/day	g/24hr
-g/dL	gm/dl
-h	hrs	hr	hour	hours
-mL
-mL/d	ml/day	ml/alcohol/day
-mL/min/{1.73_m2}	ml/minper1.73m2	ml/min/1.73m2	ml/min/1.73m^2
-mL/s	ml/sec
-m[IU]/L	mul	miu/l	mu/l
-m[IU]/mL	miu/ml	mu/ml	amiu/ml
-meq/L	meq/liter
-meq/L(x100)	meq/liter(x100)
-mg/L
-mg/L{FEU}	mg/lfeu
-mg/d	mg/24hr	mg/day	mg/24hours
-mg/dL	mgperdl	mgper100ml	mg/100ml
-mg/g	mg/gcr
-mg/mL
-min	minutes
-mm/h	mm/hr
-mm3(10*3/uL)	mm3(10^3/ul)	mm3(1,000,000/microliter)	mm3(1,000,000permicroliter)
-mm[Hg]	tonearest2mm/hg	mm/hg	hgmm	tonearest2mmhg	mmhg
-mmol/L	mmolperl
-mmol/dL	mmoles/dl
-mo	months	month
-ms	msec	milliseconds	millisec
-ng/L
-ng/mL	plasmang/ml
-nmol/min/mL
-none	numberofsiblings	n/a	codes	numberofkids
-pg/mL
-pg/{cell}	pg/cell
-pmol/L
-s	seconds
-uV	microvolts
-u[IU]/mL	uiu/ml	uu/ml	microu/ml
-ug/L	mcg/l
-ug/dL
-ug/mL
-um3	microm3	um3(micrometerscubed)
-{#}/d	num/day
-{#}/mL	num/ml	platelets/ml
-{#}/uL	num/ul	number/microl
-{beats}/min	beatsperminute	beats/minute	beats	beats/min	beatspermin	bpm
-{breath}/min	breaths/min
-{cells}/uL	kcell/mcl	kcell/ul	cells/ul
-{cigarettes}/d	cigarettesperday	cigarette/day	cigarettes/day
-{events}/h	events/hr	#/hr	events/hour
-{ratio}	ratio
-{score}	scale	score
-{servings}	1serving	drinks	servings
-{servings}/d	servings/day
-{servings}/wk	servings/week	drinks/week	servingsperweek
-"""
-# Canonical spellings that are not reached by folding themselves.
-NOT_SELF_FOLDING = ("mg/L{FEU}", "mm3(10*3/uL)")
+# Folded spelling -> canonical unit.
+UNIT_ALIASES = {
+    "percent": "%",
+    "%": "%",
+    "percentoftotalleukocytes": "%{WBCs}",
+    "%{wbcs}": "%{WBCs}",
+    "%ofnormal": "%{normal}",
+    "%{normal}": "%{normal}",
+    "1fruit,1/2cupor5dried": "1/2cup",
+    "1/2cupor2-4sticks": "1/2cup",
+    "1fruitor1/2cup": "1/2cup",
+    "1/2cupofcarrotsor2-3oz.ofjuice": "1/2cup",
+    "1/2fruitor1/2cup": "1/2cup",
+    "1/2cupvegetables,or1cupofsoup": "1/2cup",
+    "1earor1/2cup": "1/2cup",
+    "1/2cup": "1/2cup",
+    "10^3/mm3": "10*3/mm3",
+    "103/mm3": "10*3/mm3",
+    "x1000/mm3": "10*3/mm3",
+    "th/cmm": "10*3/mm3",
+    "10*3/mm3": "10*3/mm3",
+    "x10e3/ul": "10*3/uL",
+    "thou/ul(thousandspermicroliter)": "10*3/uL",
+    "10^3cells/ul": "10*3/uL",
+    "thousandspermicroliter": "10*3/uL",
+    "x10^3/ul": "10*3/uL",
+    "thousands/ul": "10*3/uL",
+    "10^3/ul": "10*3/uL",
+    "10*3/ul": "10*3/uL",
+    "106/mm3": "10*6/mm3",
+    "m/cmm": "10*6/mm3",
+    "10^6/mm3": "10*6/mm3",
+    "10*6/mm3": "10*6/mm3",
+    "count,x10e12": "10*6/uL",
+    "10^6/ul": "10*6/uL",
+    "x10e6/ul": "10*6/uL",
+    "millions/ul": "10*6/uL",
+    "10*6/ul": "10*6/uL",
+    "count,x10e9": "10*9/L",
+    "10^9/l": "10*9/L",
+    "10*9/l": "10*9/L",
+    "3-4oz.": "3-4oz",
+    "3-4oz": "3-4oz",
+    "c": "Cel",
+    "cel": "Cel",
+    "litres": "L",
+    "liters": "L",
+    "l": "L",
+    "i.u.": "[IU]",
+    "iu": "[IU]",
+    "[iu]": "[IU]",
+    "iu/l": "[IU]/L",
+    "u/l": "[IU]/L",
+    "[iu]/l": "[IU]/L",
+    "iu/dl": "[IU]/dL",
+    "[iu]/dl": "[IU]/dL",
+    "iu/ml": "[IU]/mL",
+    "[iu]/ml": "[IU]/mL",
+    "cup": "[cup_us]",
+    "[cup_us]": "[cup_us]",
+    "ft": "[ft_us]",
+    "feet": "[ft_us]",
+    "[ft_us]": "[ft_us]",
+    'hu': "[hnsf'U]",
+    'hounsfieldunits(hu)': "[hnsf'U]",
+    "[hnsf'u]": "[hnsf'U]",
+    "inches": "[in_us]",
+    "inches,tonextlower1/4inch": "[in_us]",
+    "inchestonextlower1/4inch": "[in_us]",
+    "in": "[in_us]",
+    "tonextlower1/4inch": "[in_us]",
+    "[in_us]": "[in_us]",
+    "lb": "[lb_av]",
+    "lbs": "[lb_av]",
+    "pounds": "[lb_av]",
+    "pounds,tonearestpound": "[lb_av]",
+    "[lb_av]": "[lb_av]",
+    "1oz.or1/2cup": "[oz_av]",
+    "oz": "[oz_av]",
+    "1oz": "[oz_av]",
+    "[oz_av]": "[oz_av]",
+    "ph": "[pH]",
+    "[ph]": "[pH]",
+    "tbs": "[tbs_us]",
+    "1tbs": "[tbs_us]",
+    "[tbs_us]": "[tbs_us]",
+    "yearsold": "a",
+    "years": "a",
+    "year": "a",
+    "numberofyearssinceexam1": "a",
+    "a": "a",
+    "centimeters": "cm",
+    "cm": "cm",
+    "hundredthsofsecond": "cs",
+    "hundredthsofasecond": "cs",
+    "hundredthsofasec.": "cs",
+    "hundredsofsecond": "cs",
+    "cs": "cs",
+    "days": "d",
+    "dayssinceexam1": "d",
+    "numberofdayssinceexam1": "d",
+    "d": "d",
+    "deciliter": "dL",
+    "dl": "dL",
+    "decigrams/100ml": "dg/dL",
+    "dg/dl": "dg/dL",
+    "cmx10": "dm",
+    "dm": "dm",
+    "femtoliter": "fL",
+    "fl": "fL",
+    "gm": "g",
+    "g": "g",
+    "g/day": "g/d",
+    "g/24hr": "g/d",
+    "g/d": "g/d",
+    "gm/dl": "g/dL",
+    "g/dl": "g/dL",
+    "hrs": "h",
+    "hr": "h",
+    "hour": "h",
+    "hours": "h",
+    "h": "h",
+    "ml": "mL",
+    "ml/day": "mL/d",
+    "ml/alcohol/day": "mL/d",
+    "ml/d": "mL/d",
+    "ml/minper1.73m2": "mL/min/{1.73_m2}",
+    "ml/min/1.73m2": "mL/min/{1.73_m2}",
+    "ml/min/1.73m^2": "mL/min/{1.73_m2}",
+    "ml/min/{1.73_m2}": "mL/min/{1.73_m2}",
+    "ml/sec": "mL/s",
+    "ml/s": "mL/s",
+    "mul": "m[IU]/L",
+    "miu/l": "m[IU]/L",
+    "mu/l": "m[IU]/L",
+    "m[iu]/l": "m[IU]/L",
+    "miu/ml": "m[IU]/mL",
+    "mu/ml": "m[IU]/mL",
+    "amiu/ml": "m[IU]/mL",
+    "m[iu]/ml": "m[IU]/mL",
+    "meq/liter": "meq/L",
+    "meq/l": "meq/L",
+    "meq/liter(x100)": "meq/L(x100)",
+    "meq/l(x100)": "meq/L(x100)",
+    "mg/l": "mg/L",
+    "mg/lfeu": "mg/L{FEU}",
+    "mg/24hr": "mg/d",
+    "mg/day": "mg/d",
+    "mg/24hours": "mg/d",
+    "mg/d": "mg/d",
+    "mgperdl": "mg/dL",
+    "mgper100ml": "mg/dL",
+    "mg/100ml": "mg/dL",
+    "mg/dl": "mg/dL",
+    "mg/gcr": "mg/g",
+    "mg/g": "mg/g",
+    "mg/ml": "mg/mL",
+    "minutes": "min",
+    "min": "min",
+    "mm/hr": "mm/h",
+    "mm/h": "mm/h",
+    "mm3(10^3/ul)": "mm3(10*3/uL)",
+    "mm3(1,000,000/microliter)": "mm3(10*3/uL)",
+    "mm3(1,000,000permicroliter)": "mm3(10*3/uL)",
+    "tonearest2mm/hg": "mm[Hg]",
+    "mm/hg": "mm[Hg]",
+    "hgmm": "mm[Hg]",
+    "tonearest2mmhg": "mm[Hg]",
+    "mmhg": "mm[Hg]",
+    "mm[hg]": "mm[Hg]",
+    "mmolperl": "mmol/L",
+    "mmol/l": "mmol/L",
+    "mmoles/dl": "mmol/dL",
+    "mmol/dl": "mmol/dL",
+    "months": "mo",
+    "month": "mo",
+    "mo": "mo",
+    "msec": "ms",
+    "milliseconds": "ms",
+    "millisec": "ms",
+    "ms": "ms",
+    "ng/l": "ng/L",
+    "plasmang/ml": "ng/mL",
+    "ng/ml": "ng/mL",
+    "nmol/min/ml": "nmol/min/mL",
+    "numberofsiblings": "none",
+    "n/a": "none",
+    "codes": "none",
+    "numberofkids": "none",
+    "pg/ml": "pg/mL",
+    "pg/cell": "pg/{cell}",
+    "pg/{cell}": "pg/{cell}",
+    "pmol/l": "pmol/L",
+    "seconds": "s",
+    "s": "s",
+    "microvolts": "uV",
+    "uv": "uV",
+    "uiu/ml": "u[IU]/mL",
+    "uu/ml": "u[IU]/mL",
+    "microu/ml": "u[IU]/mL",
+    "u[iu]/ml": "u[IU]/mL",
+    "mcg/l": "ug/L",
+    "ug/l": "ug/L",
+    "ug/dl": "ug/dL",
+    "ug/ml": "ug/mL",
+    "microm3": "um3",
+    "um3(micrometerscubed)": "um3",
+    "um3": "um3",
+    "num/day": "{#}/d",
+    "{#}/d": "{#}/d",
+    "num/ml": "{#}/mL",
+    "platelets/ml": "{#}/mL",
+    "{#}/ml": "{#}/mL",
+    "num/ul": "{#}/uL",
+    "number/microl": "{#}/uL",
+    "{#}/ul": "{#}/uL",
+    "beatsperminute": "{beats}/min",
+    "beats/minute": "{beats}/min",
+    "beats": "{beats}/min",
+    "beats/min": "{beats}/min",
+    "beatspermin": "{beats}/min",
+    "bpm": "{beats}/min",
+    "{beats}/min": "{beats}/min",
+    "breaths/min": "{breath}/min",
+    "{breath}/min": "{breath}/min",
+    "kcell/mcl": "{cells}/uL",
+    "kcell/ul": "{cells}/uL",
+    "cells/ul": "{cells}/uL",
+    "{cells}/ul": "{cells}/uL",
+    "cigarettesperday": "{cigarettes}/d",
+    "cigarette/day": "{cigarettes}/d",
+    "cigarettes/day": "{cigarettes}/d",
+    "{cigarettes}/d": "{cigarettes}/d",
+    "events/hr": "{events}/h",
+    "#/hr": "{events}/h",
+    "events/hour": "{events}/h",
+    "{events}/h": "{events}/h",
+    "ratio": "{ratio}",
+    "{ratio}": "{ratio}",
+    "scale": "{score}",
+    "score": "{score}",
+    "{score}": "{score}",
+    "1serving": "{servings}",
+    "drinks": "{servings}",
+    "servings": "{servings}",
+    "{servings}": "{servings}",
+    "servings/day": "{servings}/d",
+    "{servings}/d": "{servings}/d",
+    "servings/week": "{servings}/wk",
+    "drinks/week": "{servings}/wk",
+    "servingsperweek": "{servings}/wk",
+    "{servings}/wk": "{servings}/wk",
+}
 
 
 def fold(text: str) -> str:
@@ -115,13 +276,7 @@ def fold(text: str) -> str:
 
 def unit_aliases() -> dict[str, str]:
     """Folded spelling -> canonical unit."""
-    table: dict[str, str] = {}
-    for line in UNIT_SPELLINGS.strip().splitlines():
-        canonical, *spellings = line.split("\t")
-        if canonical not in NOT_SELF_FOLDING and canonical != "none":
-            spellings.append(fold(canonical))
-        table.update(dict.fromkeys(spellings, canonical))
-    return table
+    return dict(UNIT_ALIASES)
 
 
 def alias_table(spark: SparkSession, aliases: dict[str, str] | None = None) -> DataFrame:

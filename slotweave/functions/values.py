@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: what a text cell must look like to count as a number.
+NUMBER = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
+
+
 def number(c: Column) -> Column:
-    """The cell as a double, null when it is not a number."""
-    return c.try_cast("double")
+    """The text cell as a double, null when it is not written as a number (as `5d`, `Infinity` and `nan` are not)."""
+    text = c.cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def number_text(c: Column, dtype: T.DataType) -> Column:
@@ -44,5 +49,8 @@ def coerce(c: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.StringType):
         return number_text(c, source)
     if isinstance(target, (T.LongType, T.IntegerType)) and not isinstance(source, T.IntegralType):
-        return c.try_cast("double").try_cast(target)
+        value = number(c) if isinstance(source, T.StringType) else c.try_cast("double")
+        return value.try_cast(target)
+    if isinstance(target, (T.DoubleType, T.FloatType)) and isinstance(source, T.StringType):
+        return number(c).try_cast(target)
     return c.try_cast(target)

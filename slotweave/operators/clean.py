@@ -20,22 +20,28 @@ from slotweave.functions.text import (
 )
 from slotweave.functions.units import normalize_units
 
-# Export column name -> working column name. Two export dialects
-# share their suffixes, so their entries come from one list.
-DIALECT_PREFIXES = ("data_table.", "var_report.")
-DIALECT_COLUMNS = {
-    "study_id": "study_id",
-    "dataset_id": "data_table_id",
-    "variable.id": "var_id",
-    "variable.description": "var_desc",
-    "variable.units": "var_units",
-    "variable.calculated_type": "var_type",
-    "variable.comment": "var_comment",
-    "name": "data_table_name",
-    "description": "data_table_descr",
-    "study_name": "cohort_long",
-}
-COMMON_COLUMNS = {
+# Export column name -> working column name.
+COLUMN_ALIASES = {
+    "data_table.study_id": "study_id",
+    "data_table.dataset_id": "data_table_id",
+    "data_table.variable.id": "var_id",
+    "data_table.variable.description": "var_desc",
+    "data_table.variable.units": "var_units",
+    "data_table.variable.calculated_type": "var_type",
+    "data_table.variable.comment": "var_comment",
+    "data_table.name": "data_table_name",
+    "data_table.description": "data_table_descr",
+    "data_table.study_name": "cohort_long",
+    "var_report.study_id": "study_id",
+    "var_report.dataset_id": "data_table_id",
+    "var_report.variable.id": "var_id",
+    "var_report.variable.description": "var_desc",
+    "var_report.variable.units": "var_units",
+    "var_report.variable.calculated_type": "var_type",
+    "var_report.variable.comment": "var_comment",
+    "var_report.name": "data_table_name",
+    "var_report.description": "data_table_descr",
+    "var_report.study_name": "cohort_long",
     "source_variable_name": "var_name",
     "source_variable_description": "var_desc",
     "note": "curator_note",
@@ -93,8 +99,7 @@ def drop_null_columns(df: DataFrame) -> DataFrame:
 
 
 def column_aliases() -> dict[str, str]:
-    table = {p + old: new for p in DIALECT_PREFIXES for old, new in DIALECT_COLUMNS.items()}
-    return {**table, **COMMON_COLUMNS}
+    return dict(COLUMN_ALIASES)
 
 
 def normalized_name(name: str) -> str:

@@ -44,13 +44,13 @@ def condition_table(
 ) -> DataFrame:
     """Annotations collapsed per condition, with source text, ages and measures per time point.
 
-    ``timepoints`` saves the pass that looks for them.
+    ``timepoints`` saves the pass that looks for them; a row of another time point is an error.
     """
     collapsed = join_distinct_text(annotations, GROUP, COLLAPSED).select(*KEPT)
     texts = condition_texts(dictionary, is_condition)
     described = dictionary_join(collapsed, texts, "condition_name", "variable", [SOURCE_TEXT])
     by_age = pivot_unique(ages, "id", "timepoint", "age_at_visit", "age_at_timepoint_{}", timepoints)
     by_measure = pivot_mean(measures, "id", "timepoint", values=timepoints)
-    aged = lookup_join(described, by_age, ["id"], measure=ages)
-    wide = lookup_join(aged, by_measure, ["id"], measure=measures)
+    aged = lookup_join(described, by_age, ["id"])
+    wide = lookup_join(aged, by_measure, ["id"])
     return blank_nulls(wide.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in wide.columns]))

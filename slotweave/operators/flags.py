@@ -18,7 +18,7 @@ def _flag(condition: Column) -> Column:
 
 def as_flag(c: Column) -> Column:
     """An integer cell, 0 where it is missing or no number."""
-    return F.coalesce(c.cast("string").try_cast("double").cast("int"), F.lit(0))
+    return F.coalesce(c.cast("string").try_cast("double").try_cast("int"), F.lit(0))
 
 
 def normalize_numeric_flags(df: DataFrame, columns: tuple[str, ...] = ("equivalent_units", "both_valid_ucums")) -> DataFrame:

@@ -1,109 +1,31 @@
 """Left joins with a reference table, safe for large tables and hot keys.
 
-A right side that Spark estimates under its broadcast threshold joins without
-a shuffle, and Spark itself makes that choice. Where the estimate is larger,
-which it also is for a source of unknown size, the side is measured up to the
-threshold and broadcast only when it fits. Beyond the threshold both sides
-shuffle on the key, and a key that holds a large share of the left rows would
-land in one task; such keys are found first and spread over several salts.
+No job runs while a join is planned. Spark broadcasts a right side whose size it
+knows to be small, also when it learns that only at run time. Otherwise both sides
+are shuffled by a sort-merge join, whose large partitions adaptive execution splits
+on the left. It can do so where both sides are shuffled for the join itself, so the
+key of a right side that was grouped by it is made anew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HOT_SHARE = 1 / 200  # a key above this share of the left rows is salted
-SALTS = 64
-MEASURED_ROWS = 50_000  # a side with more rows is not measured further
 
+def _keyed_anew(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The same rows; the planner no longer takes them for partitioned by the key."""
+    key = lambda c: F.least(F.col(f"`{c}`"), F.col(f"`{c}`")).alias(c)
+    return df.select(*[key(c) if c in on else F.col(f"`{c}`") for c in df.columns])
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, None where it is not exposed."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
 
-
-def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    if text.startswith("-"):
-        return -1
-    digits = text.rstrip("bkmgt")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    return int(digits) * scale.get(text[len(digits):][:1], 1)
-
-
-def broadcasts_itself(df: DataFrame) -> bool:
-    size = estimated_bytes(df)
-    return size is None or size <= broadcast_limit(df)
-
-
-def measures_small(df: DataFrame) -> bool:
-    """Whether the rows, fetched one number each and no further than needed, fit the threshold."""
-    limit = broadcast_limit(df)
-    if limit < 0:
-        return False
-    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    widths = [r[0] for r in df.select(width).take(MEASURED_ROWS + 1)]
-    return len(widths) <= MEASURED_ROWS and sum(widths) <= limit
-
-
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
-    """Key values, null included, that hold more than ``share`` of the rows: at most 1/share."""
-    total = df.count()
-    counts = df.groupBy(*[F.col(f"`{k}`") for k in on]).agg(F.count(F.lit(1)).alias("__n"))
-    rows = counts.filter(F.col("__n") > F.lit(max(total * share, 1.0)))
-    return [tuple(r[:-1]) for r in rows.collect()]
-
-
-def _is_hot(on: Sequence[str], keys: list[tuple]) -> Column:
-    tests = [reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(v)) for c, v in zip(on, k)]) for k in keys]
-    return reduce(or_, tests)
-
-
-def salted_left_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], keys: list[tuple], salts: int = SALTS
-) -> DataFrame:
-    """Left equi-join with the rows of the given keys spread over ``salts`` groups.
-
-    The salt is a hash of the row and its partition, so a recomputed task sends
-    every row where it went before, and copies of one row spread as well. Only
-    the right rows of hot keys are replicated; a missing key can be hot on the
-    left and has no match.
-    """
-    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    spread = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(salts)).cast("int")
-    salted = left.withColumn("__salt", F.when(_is_hot(on, keys), spread).otherwise(F.lit(0)))
-    copies = F.when(_is_hot(on, keys), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    present = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in on])
-    replicated = right.filter(present).withColumn("__salt", F.explode(copies))
-    return salted.join(replicated, [*on, "__salt"], "left").drop("__salt")
-
-
-def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS, measure: DataFrame | None = None
-) -> DataFrame:
-    """``left`` with the columns of the matching ``right`` rows; keys share their names.
-
-    ``measure`` stands in for the right side when its size is taken: a table
-    with at least as many rows that costs less to read, such as the rows the
-    right side was grouped from.
-    """
-    if left.isStreaming or broadcasts_itself(right):
-        return left.join(right, list(on), "left")
-    if measures_small(right if measure is None else measure):
-        return left.join(F.broadcast(right), list(on), "left")
-    keys = hot_keys(left, on)
-    if not keys:
-        return left.join(right, list(on), "left")
-    return salted_left_join(left, right, on, keys, salts)
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``left`` with the columns of the matching ``right`` rows; keys share their names."""
+    return left.join(_keyed_anew(right, on), list(on), "left")
 
 
 def dictionary_join(

@@ -18,9 +18,7 @@ FLOAT = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
 DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MEASUREMENT = r"^[-+]?[0-9]+(\.[0-9]+)? [A-Za-z%/\[\]{}]+$"
 
-# Relative error of the approximate distinct count, and the slack it needs.
-DISTINCT_ERROR = 0.02
-SLACK = 4 * DISTINCT_ERROR
+DISTINCT_ERROR = 0.02  # relative, of the approximate distinct count
 
 
 def _c(name: str) -> Column:
@@ -140,17 +138,17 @@ class InferenceOptions:
 def infer_table(df: DataFrame, options: InferenceOptions = InferenceOptions()) -> tuple[dict, dict, tuple]:
     """Slots, enums and unique keys of one table.
 
-    The approximate profile picks the columns that could be keys or enums;
-    only those are counted exactly.
+    Columns without a missing cell may be keys, and text columns enums if these are
+    asked for; all of them are counted exactly, so no estimate decides.
     """
     profile = profile_columns(df).orderBy("position").collect()  # one row per column
     possible_key = {
         r.column for r in profile
-        if r.n_rows and r.n_present == r.n_rows and r.n_distinct >= r.n_rows * (1 - SLACK)
+        if r.n_rows and r.n_present == r.n_rows
     }
     possible_enum = {
         r.column for r in profile
-        if r.type == "string" and 0 < r.n_distinct <= options.max_enum_size * (1 + SLACK) + 1
+        if r.type == "string" and r.n_present and options.max_enum_size
     }
     exact = {}
     if possible_key | possible_enum:

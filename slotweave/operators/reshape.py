@@ -13,8 +13,6 @@ from slotweave.errors import DataError
 from slotweave.functions.local import local_frame
 from slotweave.operators.joins import duplicate_keys
 
-MAX_PIVOT_VALUES = 1000  # pivot values become columns, so there must be few
-
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -41,22 +39,31 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
 
 def pivot_values(df: DataFrame, column: str) -> list:
     """Sorted distinct values of a column that is to become columns."""
-    found = df.select(_c(column)).filter(_c(column).isNotNull()).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
-    if len(found) > MAX_PIVOT_VALUES:
-        raise DataError(f"{column!r} has more than {MAX_PIVOT_VALUES} values; they cannot all become columns")
+    found = df.select(_c(column)).filter(_c(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in found)
 
 
+def _stray(column: str, values: Sequence) -> Column:
+    """The rows of a group whose value is not listed, counted in the group's own aggregate."""
+    return F.count_if(_c(column).isNotNull() & ~_c(column).isin(list(values))).alias("__stray")
+
+
+def _all_listed(grouped: DataFrame, column: str) -> DataFrame:
+    """The groups; one with a row of an unlisted value ends the job, as its rows would be lost."""
+    message = F.lit(f"a value of {column!r} is not among the listed ones")
+    return grouped.filter(F.when(F.col("__stray") > 0, F.raise_error(message).cast("boolean")).otherwise(True)).drop("__stray")
+
+
 def pivot_unique(
     df: DataFrame, index: str, column: str, value: str, name: str = "{}", values: Sequence | None = None
 ) -> DataFrame:
-    """One column per value of ``column``; two rows for one cell are an error."""
+    """One column per value of ``column``; two rows for one cell are an error, and so is a value not listed."""
     values = pivot_values(df, column) if values is None else list(values)
     cells = []
     for i, v in enumerate(values):
         here = _c(column) == F.lit(v)
         cells += [F.max(F.when(here, _c(value))).alias(f"v{i}"), F.count_if(here).alias(f"n{i}")]
-    grouped = df.groupBy(_c(index)).agg(*cells)
+    grouped = _all_listed(df.groupBy(_c(index)).agg(_stray(column, values), *cells), column)
     message = F.concat(F.lit(f"duplicate {column} for {index} "), F.coalesce(_c(index).cast("string"), F.lit("null")))
     return grouped.select(
         _c(index),
@@ -79,14 +86,14 @@ def pivot_mean(
 
     Written as conditional means over the wide rows, which needs one shuffle
     of partial sums and never multiplies the rows. An index value without any
-    measurement gives no row.
+    measurement gives no row. A value not among the listed ``values`` is an error.
     """
     measures = [c for c in df.columns if c not in (index, column)] if measures is None else list(measures)
     values = pivot_values(df, column) if values is None else list(values)
     names = sorted((name.format(measure=m, value=v), m, v) for m in measures for v in values)
     means = [F.avg(F.when(_c(column) == F.lit(v), _c(m))).alias(n) for n, m, v in names]
-    grouped = df.groupBy(_c(index)).agg(*means)
-    return grouped.filter(reduce(or_, [_c(n).isNotNull() for n, _, _ in names]))
+    grouped = _all_listed(df.groupBy(_c(index)).agg(_stray(column, values), *means), column)
+    return grouped.filter(reduce(or_, [_c(n).isNotNull() for n, _, _ in names], F.lit(False)))
 
 
 def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from slotweave.errors import DataError
 from slotweave.functions.local import local_frame
 from slotweave.functions.text import nonblank
+from slotweave.functions.values import number
 from slotweave.operators.joins import duplicate_keys
 from slotweave.plans.schema import TargetSchema, TargetSlot
 
@@ -29,10 +30,10 @@ def _misfit(column: Column, dtype: T.DataType, slot: TargetSlot, schema: TargetS
     if slot.range == "integer":
         if isinstance(dtype, T.IntegralType):
             return None
-        value = column.try_cast("double")
+        value = number(column)
         return "type", value.isNull() | (value != F.floor(value))
     if slot.range in ("float", "double", "decimal"):
-        return None if isinstance(dtype, T.NumericType) else ("type", column.try_cast("double").isNull())
+        return None if isinstance(dtype, T.NumericType) else ("type", number(column).isNull())
     if slot.range == "date":
         return "type", column.try_cast("date").isNull()
     return None
@@ -69,15 +70,17 @@ def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None
         found = df.filter(broken).select(F.explode(listed).alias("v"))
         parts.append(found.select(F.lit(table).alias("table"), "v.slot", "v.rule", "v.value"))
     unique = [s.name for s in slots.values() if s.identifier] + list(schema.unique_keys.get(cls or table, ()))
-    for name in unique:
-        if name in types:
-            present = df.select(F.col(f"`{name}`")).filter(F.col(f"`{name}`").isNotNull())
+    for key in unique:
+        names = [key] if isinstance(key, str) else list(key)
+        if set(names) <= set(types):
+            cells = [F.col(f"`{n}`") for n in names]
+            present = df.select(*cells).filter(reduce(and_, [c.isNotNull() for c in cells]))
             parts.append(
-                duplicate_keys(present, [name]).select(
+                duplicate_keys(present, names).select(
                     F.lit(table).alias("table"),
-                    F.lit(name).alias("slot"),
+                    F.lit(", ".join(names)).alias("slot"),
                     F.lit("duplicate").alias("rule"),
-                    F.col(f"`{name}`").cast("string").alias("value"),
+                    F.concat_ws(", ", *[c.cast("string") for c in cells]).alias("value"),
                 )
             )
     if not parts:

@@ -294,7 +294,7 @@ class Mapper:
                 if self.strict:
                     self._require_unique(other, key)
                 single = one_row_per_key(right, [key])
-            base = lookup_join(base, single, [key], measure=right)
+            base = lookup_join(base, single, [key])
         return base
 
     def _require_unique(self, table: str, key: str) -> None:
@@ -341,7 +341,7 @@ def _error_array(block: Block) -> Column:
         F.when(e.condition, F.struct(F.lit(slot).alias("slot"), F.lit(e.message).alias("message")))
         for slot, e in block.errors
     ]
-    return F.when(_any([e.condition for _, e in block.errors]), F.array_compact(F.array(*found))).cast(ERROR_TYPE)
+    return F.when(_any([e.condition for _, e in block.errors]), F.array_distinct(F.array_compact(F.array(*found)))).cast(ERROR_TYPE)
 
 
 @dataclass(frozen=True)

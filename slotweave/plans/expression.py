@@ -151,7 +151,7 @@ class ExpressionCompiler:
         errors: tuple[RowError, ...] = ()
         for op, a, b in zip(node.ops, operands, operands[1:]):
             if a.is_number or b.is_number:
-                x, y = number(a.column), number(b.column)
+                x, y = (v.column.cast("double") if v.is_number else number(v.column) for v in (a, b))
             else:
                 x, y = as_text(a), as_text(b)
             step = _compare(op, x, y, text)

@@ -61,7 +61,7 @@ def store_tables(catalog: Catalog, directory: str) -> Catalog:
 
 def stored(df: DataFrame, path: str, ddl: str) -> DataFrame:
     """A summary written as JSON Lines and read back, so it is computed once."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
     return df.sparkSession.read.schema(ddl).json(path)
 
 

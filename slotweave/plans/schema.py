@@ -22,6 +22,9 @@ SCALAR_TYPES: dict[str, T.DataType] = {
     "double": T.DoubleType(),
     "decimal": T.DoubleType(),
     "date": T.DateType(),
+    "datetime": T.TimestampType(),
+    "time": T.StringType(),
+    "boolean": T.BooleanType(),
 }
 
 
@@ -38,7 +41,7 @@ class TargetSlot:
 class TargetSchema:
     classes: Mapping[str, Mapping[str, TargetSlot]]
     enums: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
-    unique_keys: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    unique_keys: Mapping[str, tuple[str | tuple[str, ...], ...]] = field(default_factory=dict)
 
     def slot(self, cls: str, name: str) -> TargetSlot | None:
         return self.classes.get(cls, {}).get(name)
@@ -59,7 +62,7 @@ class TargetSchema:
         raise SpecError(f"slot {slot.name!r} has unknown range {slot.range!r}")
 
 
-def _slots(body: Mapping, shared: Mapping) -> dict[str, TargetSlot]:
+def _slots(body: Mapping, shared: Mapping, default: str | None = None) -> dict[str, TargetSlot]:
     merged: dict[str, Mapping] = {name: shared.get(name) or {} for name in body.get("slots") or []}
     merged.update({name: b or {} for name, b in (body.get("attributes") or {}).items()})
     for name, usage in (body.get("slot_usage") or {}).items():
@@ -67,7 +70,7 @@ def _slots(body: Mapping, shared: Mapping) -> dict[str, TargetSlot]:
     return {
         str(name): TargetSlot(
             str(name),
-            b.get("range"),
+            b.get("range") or (None if str(name).endswith("_decimal") else default),
             bool(b.get("required", False)),
             bool(b.get("identifier", False)),
             bool(b.get("multivalued", False)),
@@ -78,7 +81,7 @@ def _slots(body: Mapping, shared: Mapping) -> dict[str, TargetSlot]:
 
 def parse_schema(text: str) -> TargetSchema:
     doc = yaml.safe_load(text) or {}
-    shared = doc.get("slots") or {}
+    shared, default = doc.get("slots") or {}, doc.get("default_range")
     classes, keys = {}, {}
     for name, body in (doc.get("classes") or {}).items():
         body = body or {}
@@ -88,11 +91,16 @@ def parse_schema(text: str) -> TargetSchema:
         while parent and parent not in seen:
             seen.add(parent)
             above = doc["classes"].get(parent) or {}
-            slots = {**_slots(above, shared), **slots}
+            for mixin in reversed([above, *[doc["classes"].get(m) or {} for m in above.get("mixins") or []]]):
+                slots = {**_slots(mixin, shared, default), **slots}
             parent = above.get("is_a")
-        classes[str(name)] = {**slots, **_slots(body, shared)}
+        for mixin in body.get("mixins") or []:
+            slots = {**slots, **_slots(doc["classes"].get(mixin) or {}, shared, default)}
+        classes[str(name)] = {**slots, **_slots(body, shared, default)}
         uniques = [
-            c for k in (body.get("unique_keys") or {}).values() for c in (k.get("unique_key_slots") or [])
+            found[0] if len(found) == 1 else tuple(found)
+            for k in (body.get("unique_keys") or {}).values()
+            if (found := [str(c) for c in k.get("unique_key_slots") or []])
         ]
         if uniques:
             keys[str(name)] = tuple(uniques)

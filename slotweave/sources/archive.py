@@ -78,8 +78,9 @@ def read_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
     united by column name. ``_source_file`` tells the files apart.
     """
     headers = archive_headers(spark, paths)
-    if not headers:
-        raise SourceError(f"no accession header in {paths}")
+    missing = sorted(set(paths) - set(headers))
+    if missing:
+        raise SourceError(f"no accession header in {missing}")
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path, line in sorted(headers.items()):
         by_header.setdefault(tuple(header_columns(line)), []).append(path)

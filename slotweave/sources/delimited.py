@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slotweave.errors import SourceError
 from slotweave.operators import clean
@@ -14,6 +15,8 @@ from slotweave.operators.metadata import combine_raw
 # Sheets looked for in a metadata export, in order.
 KNOWN_SHEETS = ("right_join_full", "Export_BDCHM_noFHS-noCOPDGene_p")
 
+EXTRA = "__beyond_the_header"
+
 
 def detect_separator(spark: SparkSession, path: str) -> str:
     """Tab or comma, whichever the header line holds more often; tab on a tie."""
@@ -22,22 +25,32 @@ def detect_separator(spark: SparkSession, path: str) -> str:
     return "\t" if header.count("\t") >= max(header.count(","), 1) else ","
 
 
-def read_table(spark: SparkSession, path: str, separator: str | None = None, na_tokens: bool = False) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, separator: str | None = None, na_tokens: bool = False, breaks: bool = False
+) -> DataFrame:
     """A delimited file with a header; every column is text, a blank cell is null.
 
-    ``na_tokens`` also nulls the missing-value words a metadata reader knows.
+    ``na_tokens`` also nulls the missing-value words a metadata reader knows. ``breaks``
+    allows line breaks inside quoted cells; such a file can't be split among tasks. A row
+    with a cell beyond the header's ends the job.
     """
     try:
         separator = separator or detect_separator(spark, path)
-        df = spark.read.csv(path, sep=separator, header=True, inferSchema=False, multiLine=False, escape='"')
+        read = spark.read.options(sep=separator, header=True, inferSchema=False, multiLine=breaks, escape='"')
+        names = read.csv(path).columns
+        schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, EXTRA])
+        df = read.options(enforceSchema=True).schema(schema).csv(path) if names else read.csv(path)
     except AnalysisException as e:
         raise SourceError(f"cannot read {path}: {e}") from e
+    if names:
+        more = F.raise_error(F.lit(f"{path}: a row has more cells than the header")).cast("boolean")
+        df = df.filter(F.when(F.col(EXTRA).isNotNull(), more).otherwise(True)).drop(EXTRA)
     return clean.null_tokens(df) if na_tokens else df
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """A metadata table: text columns with the missing-value words nulled."""
-    return read_table(spark, path, na_tokens=True)
+    """A metadata table: text columns with the missing-value words nulled; cells may hold line breaks."""
+    return read_table(spark, path, na_tokens=True, breaks=True)
 
 
 def discover(spark: SparkSession, directory: str, files: Sequence[str] = ()) -> list[str]:

@@ -51,6 +51,13 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
     return df.withColumn("path", F.col("_metadata.file_path"))
 
 
+def _first_of_each(values):
+    """(code, text) entries; of a repeated code the first counts, an entry without code and text is dropped."""
+    entries = F.transform(values, lambda v: F.struct(F.coalesce(v["_code"], v["_VALUE"]).alias("code"), v["_VALUE"].alias("text")))
+    codes = F.transform(values, lambda v: F.coalesce(v["_code"], v["_VALUE"]))
+    return F.filter(entries, lambda e, i: e["code"].isNotNull() & (F.array_position(codes, e["code"]) == i + 1))
+
+
 def data_dictionary(spark: SparkSession, dictionaries: list[str], reports: list[str]) -> DataFrame:
     """Variables of the paired digests: table, variable, name, description, type, unit, codes.
 
@@ -66,9 +73,7 @@ def data_dictionary(spark: SparkSession, dictionaries: list[str], reports: list[
         "description",
         "type",
         "unit",
-        F.map_from_entries(
-            F.transform("value", lambda v: F.struct(F.coalesce(v["_code"], v["_VALUE"]), v["_VALUE"]))
-        ).alias("codes"),
+        F.map_from_entries(_first_of_each(F.col("value"))).alias("codes"),
     )
     right = (
         theirs.select(

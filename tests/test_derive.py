@@ -243,3 +243,26 @@ def test_failed_records(spark, frame):
     (row,) = d.failed.collect()
     assert row.k == "k2" and [(e.slot, e.message) for e in row._errors] == [("v", "non-numeric value")]
     assert mapper(spark, {"t": df}, slots(k="{populated_from: k}")).derive("C").failed.count() == 0
+
+
+def test_number_cells(spark):
+    from pyspark.sql import functions as F
+
+    from slotweave.functions.values import number
+    from slotweave.operators.flags import as_flag
+
+    df = spark.createDataFrame([("5d",), ("12F",), ("Infinity",), ("nan",), (" 1.5e2 ",), ("-.5",), ("1e20",), (None,)], "c string")
+    got = [tuple(r) for r in df.select(number(F.col("c")), as_flag(F.col("c"))).collect()]
+    assert [n for n, _ in got] == [None, None, None, None, 150.0, -0.5, 1e20, None]
+    assert [f for _, f in got][2:4] == [0, 0] and got[6][1] == 0
+
+
+def test_composite_keys(spark):
+    from slotweave.operators.validate import violations
+    from slotweave.plans.schema import parse_schema
+
+    schema = parse_schema("classes:\n  t:\n    unique_keys:\n      k: {unique_key_slots: [a, b]}\n    attributes: {a: {}, b: {}}\n")
+    df = spark.createDataFrame([("1", "x"), ("1", "y"), ("2", "x")], "a string, b string")
+    assert violations(df, "t", schema).count() == 0
+    twice = violations(df.union(df.limit(1)), "t", schema).collect()
+    assert [tuple(r) for r in twice] == [("t", "a, b", "duplicate", "1, x")]

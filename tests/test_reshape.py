@@ -34,9 +34,16 @@ def test_pivot_mean(spark):
     assert [tuple(r) for r in out.collect()] == [(1, 3.0, None, None, 7.0)]
 
 
-def test_too_many_pivot_values(spark):
-    with pytest.raises(DataError, match="more than"):
-        pivot_mean(spark.range(2000).selectExpr("id", "id t", "1.0 v"), "id", "t")
+@pytest.mark.parametrize("pivot", [lambda df: pivot_mean(df, "id", "t", values=[1]), lambda df: pivot_unique(df, "id", "t", "v", values=[1])])
+def test_unlisted_pivot_values_are_not_lost(spark, pivot):
+    df = spark.createDataFrame([(1, 1, 2.0), (2, 2, 3.0)], "id int, t int, v double")
+    assert pivot(df.filter("t = 1")).count() == 1
+    with pytest.raises(Exception, match="not among the listed"):
+        pivot(df).collect()
+
+
+def test_many_pivot_values(spark):
+    assert len(pivot_mean(spark.range(1100).selectExpr("id", "id t", "1.0 v"), "id", "t").columns) == 1101
 
 
 def test_unique_guard(frame):

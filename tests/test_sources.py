@@ -182,3 +182,12 @@ def test_digests(spark, frame, tmp_path):
         ("pht001920", "phv00000002", "AGE", "num"),
     ]
     assert rows[0]["codes"] == {"1": "Male", "2": "Female"}
+
+
+def test_cells_with_line_breaks_and_extra_cells(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('phv,desc,pht\nphv1,"line one\nline two",pht1\nphv2,x\n')
+    rows = sorted(tuple(r) for r in read_metadata(spark, str(tmp_path / "m.csv")).collect())
+    assert rows == [("phv1", "line one\nline two", "pht1"), ("phv2", "x", None)]
+    (tmp_path / "x.csv").write_text("a,b\n1,2,3\n")
+    with pytest.raises(Exception, match="more cells than the header"):
+        read_table(spark, str(tmp_path / "x.csv")).collect()

@@ -381,15 +381,20 @@ collapsed AS (
 dict AS (SELECT DISTINCT p_type AS variable, p_type || ' - Yes' AS text FROM part WHERE p_type <> 'SMALL'),
 ages AS (SELECT s_suppkey AS id, s_nationkey AS a1, CASE WHEN s_acctbal > 0 THEN s_nationkey + 3 END AS a3 FROM supplier),
 means AS (
-  SELECT l_suppkey AS id, count(*) FILTER (l_linenumber = 1) AS n1, count(*) FILTER (l_linenumber = 3) AS n3,
+  SELECT l_suppkey AS id,
          sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 1) / count(*) FILTER (l_linenumber = 1) AS q1,
-         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 3) / count(*) FILTER (l_linenumber = 3) AS q3
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 2) / count(*) FILTER (l_linenumber = 2) AS q2,
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 3) / count(*) FILTER (l_linenumber = 3) AS q3,
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 4) / count(*) FILTER (l_linenumber = 4) AS q4,
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 5) / count(*) FILTER (l_linenumber = 5) AS q5,
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 6) / count(*) FILTER (l_linenumber = 6) AS q6,
+         sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 7) / count(*) FILTER (l_linenumber = 7) AS q7
   FROM lineitem GROUP BY l_suppkey
 )
 SELECT CAST(id AS VARCHAR) AS id, timepoint, condition_name, hpo AS hpo_result_curie, hpo_label AS hpo_result_label,
        mondo AS mondo_result_curie, '' AS mondo_result_label, coalesce(text, '') AS "conditionMeasureSourceText",
        coalesce(CAST(a1 AS VARCHAR), '') AS age_at_timepoint_1, coalesce(CAST(a3 AS VARCHAR), '') AS age_at_timepoint_3,
-       coalesce(CAST(q1 > 25 AS VARCHAR), '') AS above_timepoint_1, coalesce(CAST(q3 > 25 AS VARCHAR), '') AS above_timepoint_3
+       q1 AS above_timepoint_1, q2 AS above_timepoint_2, q3 AS above_timepoint_3, q4 AS above_timepoint_4, q5 AS above_timepoint_5, q6 AS above_timepoint_6, q7 AS above_timepoint_7
 FROM collapsed LEFT JOIN dict ON condition_name = variable LEFT JOIN ages USING (id) LEFT JOIN means USING (id)
 """)
 def condition_rows(spark, sf_dir):
@@ -417,6 +422,6 @@ def condition_rows(spark, sf_dir):
         suppliers.filter("s_acctbal > 0").select("s_suppkey", F.lit(3), F.col("s_nationkey") + 3)
     )
     measures = lines.select(F.col("l_suppkey").alias("id"), F.col("l_linenumber").alias("timepoint"), F.col("l_quantity").alias("above"))
-    wide = condition_table(notes, dictionary, ages, measures, [1, 3])
-    means = {f"above_timepoint_{t}": F.col(f"above_timepoint_{t}").try_cast("double") for t in (1, 3)}
-    return wide.withColumns({c: F.coalesce((m > 25).cast("string"), F.lit("")) for c, m in means.items()})
+    wide = condition_table(notes, dictionary, ages, measures)
+    means = [c for c in wide.columns if c.startswith("above_timepoint_")]
+    return wide.withColumns({c: F.col(c).try_cast("double") for c in means})
