@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.llm import decontaminate, langid, mixing, near_dup, sharding
-from slotweave.llm.common import stored
+from slotweave.llm.common import flagged, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 NEAR_PERCENT = 80
@@ -22,16 +22,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates (similarity 0.8), that with the least id."""
     docs = docs.select(*COLUMNS)
     told = stored(near_dup.near_duplicates(docs, percent=NEAR_PERCENT).select("doc_id", "kept"), "kept")
-    kept = told.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
-    again = kept.where("n > 1").select("doc_id")
-    if again.limit(1).count():  # rows that share an id are one group
-        out = out.join(again, "doc_id", "left_anti").union(
-            out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        ).select(*COLUMNS)
-    if told.where("doc_id is null").limit(1).count():
-        out = out.union(docs.where("doc_id is null"))
-    return out
+    # Few documents go, so the texts stay where they are: only rows that may have to go are joined.
+    drop = told.where("not kept").select(F.col("doc_id").alias("id"))
+    repeated = told.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = stored(repeated, "repeated")
+    tested = flagged(docs, drop.union(repeated), id_col="doc_id")
+    maybe = tested.where("maybe").drop("maybe").join(drop.withColumnRenamed("id", "doc_id").distinct(), "doc_id", "left_anti")
+    once = maybe.join(repeated, "doc_id", "left_anti")
+    again = maybe.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows that share an id are one group
+    return tested.where("not maybe").select(*COLUMNS).union(once.select(*COLUMNS)).union(again.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_ROUNDS = 200
+FILTER_BITS = 25
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,6 +39,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def flagged(df: DataFrame, ids: DataFrame, name: str = "maybe", id_col: str = "id") -> DataFrame:
+    """df with a column that is false only where the id is surely not in ids(id); null ids are false.
+
+    The test is a bitmap of hashes of fixed size, FILTER_BITS bits, so it can be broadcast whatever the
+    number of ids. It spares a shuffle of wide rows; an exact join of the rows left has to follow.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+    found = ids.select(place("id").alias("h"))
+    bucket, position = F.bitmap_bucket_number("h"), F.bitmap_bit_position("h")
+    maps = found.groupBy(bucket.alias("filter_bucket")).agg(F.bitmap_construct_agg(position).alias("filter_bits"))
+    at = F.bitmap_bit_position(place(id_col))
+    told = df.join(F.broadcast(stored(maps, "filter")), F.bitmap_bucket_number(place(id_col)) == F.col("filter_bucket"), "left")
+    byte = F.conv(F.hex(F.substring("filter_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1
+    return told.withColumn(name, F.col(id_col).isNotNull() & F.coalesce(bit, F.lit(False))).drop("filter_bucket", "filter_bits")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in links(a, b); component is the least id reachable.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotweave.llm.common import components, stored
+from slotweave.llm.common import components, flagged, stored
 
 WORDS = 5
 BANDS, ROWS = 24, 5
@@ -176,7 +176,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame) -> DataFrame:
     """Full shingle sets of the nodes in ids(id)."""
     wanted = nodes.join(ids.distinct(), "id", "left_semi").select("id", "seq")
-    texts = docs.join(wanted.select("id").distinct(), "id", "left_semi")
+    wanted = stored(wanted, "wanted")
+    texts = flagged(docs, wanted).where("maybe").drop("maybe").join(wanted.select("id").distinct(), "id", "left_semi")
     return stored(signed(texts, keep_set=True).join(wanted, ["id", "seq"], "left_semi").dropDuplicates(["id", "seq"]), "sets")
 
 
