@@ -45,12 +45,12 @@ def _joined(tokens: Column) -> Column:
     return F.replace(F.array_join(tokens, ""), F.lit(ESCAPED), F.lit(ESCAPE))
 
 
-def remap_curies(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
+def remap_curies(df: DataFrame, column: str, mapping: DataFrame, literal_entries: int = LITERAL_ENTRIES) -> DataFrame:
     """Replace every listed CURIE of a text column in one pass.
 
-    ``mapping`` has columns ``old`` and ``new``. A map of a known size travels
-    as a literal, so the texts never move. A larger one is joined to the CURIEs
-    of the distinct texts.
+    ``mapping`` has columns ``old`` and ``new``. A map of at most ``literal_entries``
+    travels as a literal, so the texts never move. A larger one is joined to the
+    CURIEs of the distinct texts; both ways give the same texts.
     """
     mapping = mapping.select("old", "new").filter(F.col("old").isNotNull()).groupBy("old").agg(F.max("new").alias("new"))
     size = mapping.agg(
@@ -58,7 +58,7 @@ def remap_curies(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     ).first()
     if not size.n:
         return df
-    if size.n > LITERAL_ENTRIES or size.characters > LITERAL_CHARACTERS:
+    if size.n > literal_entries or size.characters > LITERAL_CHARACTERS:
         return _remap_by_join(df, column, mapping)
     entry = _dictionary(mapping, max(1, size.n // 4))
     remapped = F.transform(_tokens(F.col(f"`{column}`")), lambda t: F.coalesce(entry(t), t))
@@ -80,14 +80,12 @@ def _dictionary(mapping: DataFrame, buckets: int):
 
 
 def _remap_by_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
+    """Only the CURIEs of the distinct texts are joined to the map; each text then gets its part of it."""
     text = F.col(f"`{column}`")
     keyed = df.withColumn("__key", F.when(text.rlike(CURIE_PATTERN), F.sha2(text, 256)))
-    texts = keyed.filter(F.col("__key").isNotNull()).select("__key", text.alias("__text")).dropDuplicates(["__key"])
-    tokens = texts.select("__key", F.posexplode(_tokens(F.col("__text"))).alias("__pos", "old"))
-    known = lookup_join(tokens, mapping, ["old"])
-    rebuilt = known.groupBy("__key").agg(
-        F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("new", "old").alias("t")))).alias("__parts")
-    )
-    rebuilt = rebuilt.select("__key", _joined(F.col("__parts.t")).alias("__new"))
-    joined = lookup_join(keyed, rebuilt, ["__key"])
-    return joined.withColumn(column, F.coalesce("__new", text)).select(*df.columns)
+    found = keyed.filter(F.col("__key").isNotNull()).select("__key", F.explode(F.array_distinct(curies(column))).alias("old"))
+    known = lookup_join(found.distinct(), mapping, ["old"]).filter(F.col("new").isNotNull())
+    ours = known.groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("old", "new"))).alias("__map"))
+    joined = lookup_join(keyed, ours, ["__key"])
+    remapped = _joined(F.transform(_tokens(text), lambda t: F.coalesce(F.try_element_at("__map", t), t)))
+    return joined.withColumn(column, F.when(F.col("__map").isNull(), text).otherwise(remapped)).select(*df.columns)

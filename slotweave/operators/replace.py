@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotweave.operators.joins import lookup_join
 
-LITERAL_RULES = 64  # up to here the rules of a table become literal maps
-
 RULE_COLUMNS = ("filename", "column_name", "original_value", "replacement_value")
 
 
@@ -31,17 +29,10 @@ def latest_rules(rules: DataFrame, table: str) -> DataFrame:
 def replace_cells(df: DataFrame, rules: DataFrame, table: str) -> DataFrame:
     """Replace exact cell values; everything else stays as it is.
 
-    Each cell is looked up once, so a replacement is never replaced again.
+    Each cell is looked up once, so a replacement is never replaced again. The look-up
+    is one join for every column that has a rule.
     """
     latest = latest_rules(rules, table).filter(F.col("column_name").isin(df.columns))
-    first = latest.limit(LITERAL_RULES + 1).collect()
-    if len(first) <= LITERAL_RULES:
-        by_column: dict[str, dict[str, str]] = {}
-        for r in first:
-            by_column.setdefault(r.column_name, {})[r.original_value] = r.replacement_value
-        return df.select(*[
-            _replaced(c, by_column[c]).alias(c) if c in by_column else F.col(f"`{c}`") for c in df.columns
-        ])
     order = df.columns
     for (column,) in latest.select("column_name").distinct().collect():  # at most the columns of df
         ours = latest.filter(F.col("column_name") == column).select(
@@ -52,11 +43,3 @@ def replace_cells(df: DataFrame, rules: DataFrame, table: str) -> DataFrame:
         df = joined.withColumn(column, F.coalesce("__new", F.col(f"`{column}`").cast("string"))).select(*order)
     return df
 
-
-def _replaced(column: str, mapping: dict[str, str]) -> Column:
-    cell = F.col(f"`{column}`").cast("string")
-    key = F.coalesce(cell, F.lit(""))
-    branches = None
-    for old, new in mapping.items():
-        branches = F.when(key == old, F.lit(new)) if branches is None else branches.when(key == old, F.lit(new))
-    return branches.otherwise(cell)

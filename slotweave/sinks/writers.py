@@ -151,6 +151,16 @@ def layout_columns(layout: str) -> list[str]:
     return [n[1] for n in names]
 
 
+def spec_texts(rendered: DataFrame, layout: str = DEFAULT_LAYOUT) -> DataFrame:
+    """One spec text per cohort, quality and variable, its rows by phv and text.
+
+    A text is one cell, so it must fit into a task; `write_spec_files` has no such bound.
+    """
+    columns = layout_columns(layout)
+    rows = F.array_sort(F.collect_list(F.struct("phv", "text")))
+    return rendered.groupBy(*columns).agg(F.array_join(F.transform(rows, lambda r: r["text"]), "").alias("text"))
+
+
 def write_spec_files(rendered: DataFrame, directory: str, layout: str = DEFAULT_LAYOUT) -> None:
     """Rendered specs, one directory per cohort, quality and variable.
 

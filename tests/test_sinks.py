@@ -5,7 +5,7 @@ import yaml
 from pyspark.sql import functions as F
 
 from slotweave.sinks.flatten import flatten
-from slotweave.sinks.writers import output_name, write_tsv, write_wrapped_json, yaml_documents
+from slotweave.sinks.writers import output_name, spec_texts, write_tsv, write_wrapped_json, yaml_documents
 
 
 def test_wrapped_json_over_many_parts(spark, tmp_path):
@@ -57,3 +57,10 @@ def test_output_names():
     assert output_name("E", "tsv") == "E.tsv"
     assert output_name("E", "tsv", "P") == "P-E.tsv"
     assert output_name("E", "tsv", "", "Q") == "E-Q.tsv"
+
+
+def test_spec_texts(frame):
+    """One text per variable, its rows by phv."""
+    names = ("cohort", "quality", "varname", "phv", "text")
+    rows = frame([("c", "good", "v", "p2", "b\n"), ("c", "good", "v", "p1", "a\n"), ("c", "bad", "v", "p3", "x\n")], names)
+    assert {tuple(r) for r in spec_texts(rows).collect()} == {("c", "good", "v", "a\nb\n"), ("c", "bad", "v", "x\n")}

@@ -2,15 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from slotweave.operators.profile import distinct_ratio, profile_columns, unique_columns
+from slotweave.functions.local import local_frame
+from slotweave.operators.profile import InferenceOptions, distinct_ratio, infer_table, profile_columns, unique_columns
 from slotweave.operators.validate import summary, verdicts, violation_counts, violations
 from slotweave.plans.schema import parse_schema
 from slotweave.sinks.flatten import flatten
-from slotweave.sinks.writers import drop_columns, json_lines, yaml_documents
+from slotweave.sinks.writers import drop_columns, json_lines, write_quoted_csv, yaml_documents
 from slotweave.sources.archive import is_data_line, prune_files, referenced_tables, split_lines
 from slotweave.sources.columns import tables_of_references
+from slotweave.sources.delimited import read_table
 from slotweave.sources.digests import pair_digests
-from workload.common import Registry, table
+from workload.common import Registry, scratch, table
 
 registry = Registry()
 
@@ -142,9 +144,28 @@ def validate_summary(spark, sf_dir):
     return summary(verdicts(violation_counts(good.unionAll(_order_violations(spark, sf_dir))), ["customer", "orders"]))
 
 
+@registry.add(TEXT_SQL + "SELECT DISTINCT 'priority_enum' AS enum, priority AS value FROM t UNION ALL "
+              "SELECT DISTINCT 'status_enum', status FROM t WHERE status IS NOT NULL")
+def inferred_enums(spark, sf_dir):
+    """The enums inferred for text columns of few values, with their values."""
+    _, enums, _ = infer_table(_order_text(spark, sf_dir), InferenceOptions(max_enum_size=10))
+    return local_frame(spark, [(e, v) for e, values in enums.items() for v in values], "enum string, value string")
+
+
 # --- scans -----------------------------------------------------------------
 
 
+@registry.add("""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, chr(34) || coalesce(text, '') || chr(10) || lang || ',' || chr(34) AS text FROM documents
+""")
+def quoted_csv_round_trip(spark, sf_dir):
+    """Cells with quotes, separators and line breaks, written as quoted CSV and read back."""
+    quote = F.lit('"')
+    text = F.concat(quote, F.coalesce("text", F.lit("")), F.lit("\n"), F.col("lang"), F.lit(","), quote)
+    path = scratch(spark, "quoted-csv")
+    write_quoted_csv(table(spark, sf_dir, "documents").select("doc_id", text.alias("text")), path)
+    return read_table(spark, path, ",", breaks=True)
+
 
 @registry.add("""
 SELECT CAST(c_custkey AS VARCHAR) AS subject, CAST(NULL AS VARCHAR) AS phv1,
@@ -169,16 +190,20 @@ def archive_lines(spark, sf_dir):
 @registry.add("""
 SELECT 'phs0.pht' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') || '.v1.txt.gz' AS path,
        'pht' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS table_id
-FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' UNION SELECT o_custkey // 2 FROM orders WHERE o_orderstatus = 'P')
+FROM customer WHERE c_custkey IN (
+  SELECT CASE o_orderstatus WHEN 'P' THEN o_custkey ELSE 0 END FROM orders
+  UNION SELECT CASE o_orderstatus WHEN 'P' THEN o_custkey // 2 ELSE 0 END FROM orders)
 """)
 def spec_pruning(spark, sf_dir):
     """Files whose table some spec text mentions."""
     customer = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
     files = table(spark, sf_dir, "customer").select(F.concat(F.lit("phs0.pht"), customer, F.lit(".v1.txt.gz")).alias("path"))
     unnamed = table(spark, sf_dir, "supplier").select(F.concat(F.col("s_name"), F.lit(".txt.gz")).alias("path"))
-    first = F.lpad(F.col("o_custkey").cast("string"), 6, "0")
-    half = F.lpad(F.floor(F.col("o_custkey") / 2).cast("string"), 6, "0")
-    texts = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(
+    # The texts of other orders name tables that no file holds.
+    key = F.when(F.col("o_orderstatus") == "P", F.col("o_custkey")).otherwise(0)
+    first = F.lpad(key.cast("string"), 6, "0")
+    half = F.lpad(F.floor(key / 2).cast("string"), 6, "0")
+    texts = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("populated_from: pht"), first, F.lit("\nexpr: '{pht"), half, F.lit(".phv1}'")).alias("value")
     )
     return prune_files(files.unionAll(unnamed), referenced_tables(texts))

@@ -146,10 +146,10 @@ SELECT o_orderkey, coalesce('holder ' || c_mktsegment, CAST(o_custkey AS VARCHAR
 FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_nationkey > 5) ON o_custkey = c_custkey
 """)
 def replace_cells_many(spark, sf_dir):
-    """A rule table as long as the customer table becomes a join."""
+    """A rule table as long as the customer table; rules of another file don't count."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    rules = table(spark, sf_dir, "customer").filter("c_nationkey > 5").select(
-        F.lit("orders").alias("filename"),
+    rules = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_nationkey") > 5, "orders").otherwise("other").alias("filename"),
         F.lit("o_custkey").alias("column_name"),
         F.col("c_custkey").cast("string").alias("original_value"),
         F.concat(F.lit("holder "), F.col("c_mktsegment")).alias("replacement_value"),
@@ -260,6 +260,14 @@ def curie_remap_many(spark, sf_dir):
     return remap_curies(_tagged(spark, sf_dir), "text", listed.unionAll(unused))
 
 
+@registry.add(_remap_sql("CASE WHEN starts_with(t, 'S:src') THEN 'SRC:' || substr(t, 6) ELSE t END"))
+def curie_remap_joined(spark, sf_dir):
+    """The same remap for a map too large to travel with the plan: joined to the texts' CURIEs."""
+    sources = table(spark, sf_dir, "documents").select(F.concat(F.lit("S:"), F.col("source")).alias("old")).distinct()
+    mapping = sources.select("old", F.concat(F.lit("SRC:"), F.substring(F.col("old"), F.lit(6), F.length("old"))).alias("new"))
+    return remap_curies(_tagged(spark, sf_dir), "text", mapping, literal_entries=0)
+
+
 @registry.add("""
 SELECT brand, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS p_type,
        coalesce(string_agg(DISTINCT size, ', ' ORDER BY size), '') AS size

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; a temporary one where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="workload-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return Catalog.parquet(spark, sf_dir, TABLES, unique_keys=PRIMARY_KEYS)
 

@@ -6,6 +6,7 @@ from slotweave.operators import metadata
 from slotweave.operators.flags import quality_flags
 from slotweave.operators.render import render_specs
 from slotweave.operators.rules import apply_rules, parse_rules
+from slotweave.sinks.writers import spec_texts
 from workload.common import Registry, table
 
 registry = Registry()
@@ -55,7 +56,7 @@ def reference_context(spark, sf_dir):
 
 
 @registry.add("""
-WITH known AS (SELECT DISTINCT 'u' || s_nationkey AS code FROM supplier WHERE s_nationkey % 2 = 0)
+WITH known AS (SELECT DISTINCT CASE s_nationkey % 2 WHEN 0 THEN 'u' ELSE 'odd' END || s_nationkey AS code FROM supplier)
 SELECT DISTINCT 'u' || n_nationkey AS source_unit, 'u' || ((n_nationkey * 7) % 25) AS target_unit,
        '* ' || n_regionkey AS conversion_rule,
        CAST('u' || n_nationkey IN (SELECT code FROM known) AS INT) AS source_unit_valid,
@@ -74,8 +75,8 @@ def reference_conversions(spark, sf_dir):
         F.lit("x").alias("conversion_formula"),
         F.when(F.col("n_regionkey") == 3, "only then").when(F.col("n_regionkey") == 2, "").alias("conversion_condition"),
     )
-    even = table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") % 2 == 0)
-    ucum = even.select(F.concat(F.lit("u"), F.col("s_nationkey").cast("string")).alias("ucum_code"))
+    mark = F.when(F.col("s_nationkey") % 2 == 0, "u").otherwise("odd")
+    ucum = table(spark, sf_dir, "supplier").select(F.concat(mark, F.col("s_nationkey").cast("string")).alias("ucum_code"))
     return metadata.unit_conversions(conversions, ucum)
 
 
@@ -157,18 +158,18 @@ defs AS (
 conv AS (
   SELECT 'u' || (n_nationkey % 7) AS f, 'u' || (n_nationkey // 7) AS t, '* ' || n_nationkey AS conversion_rule,
          CAST(n_nationkey % 2 AS INT) AS both_valid_ucums
-  FROM nation WHERE n_nationkey < 21
+  FROM nation
 ),
-equiv AS (SELECT 'u' || n_nationkey AS f, 'u' || (n_nationkey + 1) AS t FROM nation WHERE n_nationkey < 3),
-over AS (SELECT p_name AS l, 'u1' AS f, 'u2' AS t, '* ' || max(p_partkey) AS r FROM part WHERE p_type = 'SMALL' GROUP BY p_name),
-same AS (SELECT DISTINCT p_name AS l, 'u4' AS f, 'u5' AS t FROM part WHERE p_type = 'ECONOMY'),
+equiv AS (SELECT 'u' || n_nationkey AS f, 'u' || (n_nationkey + 1) AS t FROM nation),
+over AS (SELECT CASE p_type WHEN 'SMALL' THEN p_name ELSE 'not ' || p_name END AS l, 'u1' AS f, 'u2' AS t, '* ' || max(p_partkey) AS r FROM part GROUP BY 1),
+same AS (SELECT DISTINCT CASE p_type WHEN 'ECONOMY' THEN p_name ELSE 'not ' || p_name END AS l, 'u4' AS f, 'u5' AS t FROM part),
 ctx AS (
-  SELECT 'pht' || n_nationkey AS pht, CASE WHEN n_regionkey < 4 THEN 'phv0' || n_nationkey END AS participantidphv,
+  SELECT CASE WHEN n_nationkey < 22 THEN 'pht' ELSE 'other' END || n_nationkey AS pht, CASE WHEN n_regionkey < 4 THEN 'phv0' || n_nationkey END AS participantidphv,
          CASE WHEN n_regionkey % 2 = 0 THEN 'VISIT ' || n_nationkey ELSE '' END AS associatedvisit,
          CASE WHEN n_regionkey > 1 THEN 'expr' END AS associatedvisit_expr,
          CASE WHEN n_nationkey % 3 = 0 THEN 'phv1' END AS ageinyearsphv,
          CASE WHEN n_nationkey = 7 THEN '1' END AS drop_table
-  FROM nation WHERE n_nationkey < 22
+  FROM nation
 ),
 joined AS (
   SELECT v.*, bdchm_varname, bdchm_entity, bdchm_unit, onto_id,
@@ -221,6 +222,12 @@ def _variables(spark, sf_dir):
     )
 
 
+def _label_of(kind):
+    """The label of parts of a kind; other parts get labels that no variable has."""
+    label = F.when(F.col("p_type") == kind, F.col("p_name")).otherwise(F.concat(F.lit("not "), F.col("p_name")))
+    return label.alias("bdchm_label")
+
+
 @registry.add(MERGE_SQL)
 def metadata_merge(spark, sf_dir):
     """All reference joins, label-keyed overrides, flags and the output projection."""
@@ -238,17 +245,17 @@ def metadata_merge(spark, sf_dir):
         )
     )
     key = F.col("n_nationkey")
-    conversions = nation.filter(key < 21).select(
+    conversions = nation.select(
         _unit(key % 7).alias("source_unit"),
         _unit(F.floor(key / 7)).alias("target_unit"),
         F.concat(F.lit("* "), key.cast("string")).alias("conversion_rule"),
         (key % 2).alias("both_valid_ucums"),
     )
-    equivalencies = nation.filter(key < 3).select(
+    equivalencies = nation.select(
         _unit(key).alias("this_unit"), _unit(key + 1).alias("that_unit"), F.lit(1).alias("equivalent_units")
     )
-    contextual = nation.filter(key < 22).select(
-        F.concat(F.lit("pht"), key.cast("string")).alias("pht"),
+    contextual = nation.select(
+        F.concat(F.when(key < 22, "pht").otherwise("other"), key.cast("string")).alias("pht"),
         F.when(F.col("n_regionkey") < 4, F.concat(F.lit("phv0"), key.cast("string"))).alias("participantidphv"),
         F.when(F.col("n_regionkey") % 2 == 0, F.concat(F.lit("VISIT "), key.cast("string"))).otherwise("").alias("associatedvisit"),
         F.when(F.col("n_regionkey") > 1, "expr").alias("associatedvisit_expr"),
@@ -256,13 +263,12 @@ def metadata_merge(spark, sf_dir):
         F.when(key == 7, "1").alias("drop_table"),
     )
     conversion_overrides = (
-        part.filter("p_type = 'SMALL'")
-        .groupBy(F.col("p_name").alias("bdchm_label"))
+        part.groupBy(_label_of("SMALL"))
         .agg(F.concat(F.lit("* "), F.max("p_partkey").cast("string")).alias("conversion_rule"))
         .withColumns({"var_units": F.lit("u1"), "bdchm_unit": F.lit("u2")})
     )
     equivalency_overrides = (
-        part.filter("p_type = 'ECONOMY'").select(F.col("p_name").alias("bdchm_label")).distinct()
+        part.select(_label_of("ECONOMY")).distinct()
         .withColumns({"var_units": F.lit("u4"), "bdchm_unit": F.lit("u5")})
     )
     return metadata.merge_reference(
@@ -483,3 +489,9 @@ def render_conditions(spark, sf_dir):
         F.when(n == 5, "OMOP:5").otherwise("").alias("relationship_to_participant"),
     )
     return render_specs(rows, "Condition")
+
+
+@registry.add(f"SELECT cohort, quality, varname, string_agg(text, '' ORDER BY phv, text) AS text FROM ({CONDITION_SQL}) GROUP BY ALL")
+def variable_specs(spark, sf_dir):
+    """One spec text per cohort, quality and variable."""
+    return spec_texts(render_conditions(spark, sf_dir))
