@@ -24,6 +24,7 @@ LEAST = 10  # code points of a line's key
 FANOUT = 2
 BATCHES = 4
 SLICE = 512
+HOT = 10_000  # a line is hot if it has over 1 / HOT of all (document, line) pairs, so fewer than HOT lines are
 LAST_ID = (1 << 63) - 1  # stands for a null id: one document after all others
 SPACE = b" \t\n\x0b\x0c\r"
 
@@ -106,19 +107,23 @@ class LineRuns:
             mark = f"in_{k}"
             lines = lines.join(run.select(F.col("h").alias(f"h_{k}"), F.lit(True).alias(mark)), F.col("h") == F.col(f"h_{k}"), "left")
             known = known | F.coalesce(mark, F.lit(False))
-        return lines.select("h", "first", "last", known.alias("known"))
+        return lines.select("h", "first", "last", "n", known.alias("known"))
 
     def batch(self, docs: DataFrame) -> DataFrame:
         """(id, h) of the lines that the batch docs(id, text) has to drop; its new lines join the runs.
 
         A line is dropped if a run knows it, or in the batch's documents after the first that holds it.
+        Hot lines, fewer than HOT, are broadcast, so that no task gets all documents of one.
         """
         lines = line_hashes(docs)
-        spans = lines.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        spans = lines.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
         spans = stored(self.seen(spans), "lines")
         self.add(spans.where("not known").select("h"))
-        shared = stored(spans.where("known or first < last").select("h", "first", "known"), "shared")
-        return stored(lines.join(shared, "h").where("known or id > first").select("id", "h").distinct(), "dropped")
+        shared = stored(spans.where("known or first < last").select("h", "first", "known", "n"), "shared")
+        pairs = spans.agg(F.sum("n")).first()[0] or 0
+        hot = F.broadcast(shared.where(F.col("n") * HOT > pairs))
+        drop = [lines.join(part, "h").where("known or id > first").select("id", "h") for part in (hot, shared.where(F.col("n") * HOT <= pairs))]
+        return stored(drop[0].union(drop[1]).distinct(), "dropped")
 
     def drop(self) -> None:
         for level in self.levels:

@@ -159,8 +159,9 @@ def brute_lines(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-def test_lines_against_brute_force(spark, batches):
+@pytest.mark.parametrize(("batches", "hot"), [(1, line_dedup.HOT), (3, 12)])
+def test_lines_against_brute_force(spark, monkeypatch, batches, hot):
+    monkeypatch.setattr(line_dedup, "HOT", hot)  # some lines, or all of them, are hot
     r = random.Random(batches)
     stock = [f"A line number {k} of the stock" for k in range(12)] + ["short", "", "  ÉCOLE en fête  ", "ÉCOLE en FÊTE", "é" * 9, "é" * 10]
     rows = [(i, "\n".join(r.choice([str.upper, str.lower, lambda x: f" {x}\t"])(x) for x in r.choices(stock, k=r.randint(0, 8)))) for i in range(40)]
