@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ Q = 10
 RATE = 0.07
 BLOCK_CHARS = 4_000_000
 SLICE = 256
+SLICE_CHARS = 4_000_000
+WINDOW = 1 << 20
 FILTER_BITS = 20
 BREAK = re.compile(r"[\W_]+")
 WORD = re.compile(r"[^\W_]+")
@@ -122,6 +125,20 @@ def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -
     return (int(row[best]), int(ends[best])) if row[best] <= most else None
 
 
+def _hits(c: np.ndarray, index: Items) -> tuple[np.ndarray, np.ndarray]:
+    """(position, number of the gram) wherever a q-gram of the index begins; only a window's grams are held at a time."""
+    places, numbers = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for start in range(0, len(c) if len(index.grams) else 0, WINDOW):
+        g = qgrams(c[start : start + WINDOW + Q - 1])
+        maybe = np.flatnonzero(index.filter[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        number = np.searchsorted(index.grams, g[maybe])
+        number[number == len(index.grams)] = 0
+        hit = index.grams[number] == g[maybe]
+        places.append(maybe[hit] + start)
+        numbers.append(number[hit])
+    return np.concatenate(places), np.concatenate(numbers)
+
+
 Leak = tuple[int, int, int, int, int]  # row of the slice, item number, start, end, edits
 
 
@@ -131,13 +148,7 @@ def leaks(texts: list[str], index: Items) -> list[Leak]:
     joined = "\0".join(texts)
     ends = np.cumsum([len(t) + 1 for t in texts])
     starts = ends - [len(t) + 1 for t in texts]
-    c = codes(joined)
-    g = qgrams(c)
-    maybe = np.flatnonzero(index.filter[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]) if len(index.grams) else np.empty(0, np.int64)
-    place = np.searchsorted(index.grams, g[maybe])
-    place[place == len(index.grams)] = 0
-    hit = index.grams[place] == g[maybe] if len(maybe) else np.empty(0, np.bool_)
-    at, place = maybe[hit], place[hit]
+    at, place = _hits(codes(joined), index)
     counts = index.starts[place + 1] - index.starts[place]
     flat = np.repeat(index.starts[place] - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
     item = index.item[flat]
@@ -218,10 +229,17 @@ def blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield indexed(sorted((r["id"], r["text"]) for r in benchmark.where(dealt == k).where("id is not null and text is not null").collect()))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], text_col: str = "text") -> Iterator[pa.RecordBatch]:
+    """At most SLICE rows and about SLICE_CHARS characters at a time; a longer text is alone."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            yield batch.slice(at, SLICE)
+        start, held = 0, 0
+        for at, size in enumerate(pc.binary_length(batch.column(text_col)).to_pylist()):
+            if at > start and (at - start == SLICE or held + (size or 0) > SLICE_CHARS):
+                yield batch.slice(start, at - start)
+                start, held = at, 0
+            held += size or 0
+        if batch.num_rows > start:
+            yield batch.slice(start)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -259,7 +277,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Data
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, sent=sent):
-            for piece in _slices(batches):
+            for piece in _slices(batches, text_col):
                 texts = [normal(t) for t in piece.column(text_col).to_pylist()]
                 dirty = {r for r, *_ in leaks(texts, sent.value)}
                 yield piece.filter(pa.array([r not in dirty for r in range(len(texts))], pa.bool_()))

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -201,7 +202,9 @@ def edit_distance(item, text):
     return min(row)
 
 
-def test_leaks_miss_nothing_within_the_budget():
+@pytest.mark.parametrize("window", [decontaminate.WINDOW, 16])
+def test_leaks_miss_nothing_within_the_budget(monkeypatch, window):
+    monkeypatch.setattr(decontaminate, "WINDOW", window)
     r = random.Random(7)
     for _ in range(60):
         item = prose(r, 30)
@@ -216,6 +219,14 @@ def test_leaks_miss_nothing_within_the_budget():
         assert [(x[0], x[4]) for x in found] == ([(1, least)] if least <= index.budget[0] else [])
 
 
+def test_slices_are_bounded(monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE_CHARS", 10)
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * n if n is not None else None for n in (4, 4, 30, None, 0, 9, 2)]})
+    sizes = [[len(t or "") for t in p.column("text").to_pylist()] for p in decontaminate._slices([batch])]
+    assert sizes == [[4, 4], [30], [0, 0, 9], [2]]
+    assert list(decontaminate._slices([batch.slice(0, 0)])) == []
+
+
 # --- near-duplicates -------------------------------------------------------------------------
 
 
