@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotweave.functions.text import CURIE_PATTERN, curies
 from slotweave.operators.joins import lookup_join
 
-# A map up to this many entries (and characters) travels with the plan.
-LITERAL_ENTRIES = 100_000
-LITERAL_CHARACTERS = 16_000_000
 # A cut is two control characters; the first one is escaped where a text has it.
 CUT, ESCAPE, ESCAPED = "\u0001\u0002", "\u0001", "\u0001\u0003"
 
@@ -45,47 +40,20 @@ def _joined(tokens: Column) -> Column:
     return F.replace(F.array_join(tokens, ""), F.lit(ESCAPED), F.lit(ESCAPE))
 
 
-def remap_curies(df: DataFrame, column: str, mapping: DataFrame, literal_entries: int = LITERAL_ENTRIES) -> DataFrame:
+def remap_curies(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     """Replace every listed CURIE of a text column in one pass.
 
-    ``mapping`` has columns ``old`` and ``new``. A map of at most ``literal_entries``
-    travels as a literal, so the texts never move. A larger one is joined to the
-    CURIEs of the distinct texts; both ways give the same texts.
+    ``mapping`` has columns ``old`` and ``new`` and may be of any size: only the CURIEs of
+    the distinct texts are joined to it; each text then gets its part of the map.
     """
     mapping = mapping.select("old", "new").filter(F.col("old").isNotNull()).groupBy("old").agg(F.max("new").alias("new"))
-    size = mapping.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("old") + F.coalesce(F.length("new"), F.lit(0))).alias("characters")
-    ).first()
-    if not size.n:
-        return df
-    if size.n > literal_entries or size.characters > LITERAL_CHARACTERS:
-        return _remap_by_join(df, column, mapping)
-    entry = _dictionary(mapping, max(1, size.n // 4))
-    remapped = F.transform(_tokens(F.col(f"`{column}`")), lambda t: F.coalesce(entry(t), t))
-    return df.withColumn(column, _joined(remapped))
-
-
-def _dictionary(mapping: DataFrame, buckets: int):
-    """A lookup function over the map, spread over hash buckets of a few entries.
-
-    Finding a key in a map value is a linear search, so one large map would be
-    slow; the buckets keep every search short.
-    """
-    maps: list[dict[str, str]] = [{} for _ in range(buckets)]
-    placed = mapping.filter(F.col("new").isNotNull()).select(F.pmod(F.hash("old"), F.lit(buckets)).alias("b"), "old", "new")
-    for r in placed.collect():
-        maps[r.b][r.old] = r.new
-    table = F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
-    return lambda t: F.try_element_at(F.get(table, F.pmod(F.hash(t), F.lit(buckets))), t)
-
-
-def _remap_by_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
-    """Only the CURIEs of the distinct texts are joined to the map; each text then gets its part of it."""
     text = F.col(f"`{column}`")
-    keyed = df.withColumn("__key", F.when(text.rlike(CURIE_PATTERN), F.sha2(text, 256)))
-    found = keyed.filter(F.col("__key").isNotNull()).select("__key", F.explode(F.array_distinct(curies(column))).alias("old"))
+    has = F.coalesce(text.rlike(CURIE_PATTERN), F.lit(False))
+    keyed = df.filter(has).withColumn("__key", F.sha2(text, 256))
+    found = keyed.select("__key", F.explode(F.array_distinct(curies(column))).alias("old"))
     known = lookup_join(found.distinct(), mapping, ["old"]).filter(F.col("new").isNotNull())
     ours = known.groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("old", "new"))).alias("__map"))
     joined = lookup_join(keyed, ours, ["__key"])
     remapped = _joined(F.transform(_tokens(text), lambda t: F.coalesce(F.try_element_at("__map", t), t)))
-    return joined.withColumn(column, F.when(F.col("__map").isNull(), text).otherwise(remapped)).select(*df.columns)
+    changed = joined.withColumn(column, F.when(F.col("__map").isNull(), text).otherwise(remapped)).select(*df.columns)
+    return df.filter(~has).union(changed)  # texts without a CURIE stay where they are

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slotweave.functions.local import local_frame
 from slotweave.plans.schema import TargetSchema, TargetSlot
 from slotweave.sources.catalog import Catalog
 
@@ -18,7 +20,11 @@ FLOAT = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
 DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MEASUREMENT = r"^[-+]?[0-9]+(\.[0-9]+)? [A-Za-z%/\[\]{}]+$"
 
-DISTINCT_ERROR = 0.02  # relative, of the approximate distinct count
+COLUMNS_AT_ONCE = 100  # groups of one aggregate, which Spark keeps in memory up to 128
+PROFILE = (
+    "position int, column string, n_rows bigint, n_present bigint, n_distinct bigint, "
+    "min_length int, max_length int, example string, type string"
+)
 
 
 def _c(name: str) -> Column:
@@ -29,63 +35,64 @@ def _scalar_columns(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema.fields if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
 
 
-def _tests(field: T.StructField, text: Column) -> list[Column]:
-    """Per type, whether a cell qualifies; typed columns are known without looking."""
-    if isinstance(field.dataType, T.StringType):
-        return [
-            text.rlike(INTEGER),
-            text.rlike(FLOAT),
-            text.rlike(DATE) & text.try_cast("date").isNotNull(),
-            text.rlike(MEASUREMENT),
-        ]
-    integral = isinstance(field.dataType, T.IntegralType)
-    numeric = isinstance(field.dataType, T.NumericType)
-    temporal = isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
-    return [F.lit(integral), F.lit(numeric), F.lit(temporal), F.lit(False)]
+def _kind(dtype: T.DataType) -> str:
+    """What is known of a column's cells without looking at them."""
+    if isinstance(dtype, T.StringType):
+        return "text"
+    if isinstance(dtype, T.IntegralType):
+        return "integer"
+    if isinstance(dtype, T.NumericType):
+        return "float"
+    return "date" if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "string"
 
 
 def profile_columns(df: DataFrame, exact: bool = False) -> DataFrame:
     """One row per scalar column: counts, lengths, an example, and the inferred type.
 
-    Everything comes from one aggregate over one scan. ``exact`` counts the
+    The cells of up to COLUMNS_AT_ONCE columns become rows (position, value) of one grouped
+    aggregate, so a plan does not grow with the columns. ``exact`` counts the
     distinct values exactly, in a second pass; otherwise the count is an
     estimate of about two percent.
     """
     fields = _scalar_columns(df)
-    measures = []
-    for i, f in enumerate(fields):
-        text = _c(f.name).cast("string")
-        # The exact count comes from its own pass, so no sketch is kept for it.
-        distinct = F.lit(0).cast("bigint") if exact else F.approx_count_distinct(_c(f.name), DISTINCT_ERROR)
-        measures += [
-            F.count(_c(f.name)).alias(f"present{i}"),
-            F.max(distinct).alias(f"distinct{i}") if exact else distinct.alias(f"distinct{i}"),
-            F.min(F.length(text)).alias(f"min{i}"),
-            F.max(F.length(text)).alias(f"max{i}"),
-            F.max(text).alias(f"example{i}"),
-            *[F.count_if(t & _c(f.name).isNotNull()).alias(f"t{j}_{i}") for j, t in enumerate(_tests(f, text))],
-        ]
-    totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *measures)
-    rows = []
-    for i, f in enumerate(fields):
-        present = F.col(f"present{i}")
-        typed = F.when(present == 0, "string")
-        for j, name in enumerate(("integer", "float", "date", "measurement")):
-            typed = typed.when(F.col(f"t{j}_{i}") == present, name)
-        rows.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(f.name).alias("column"),
-                F.col("n_rows"),
-                present.alias("n_present"),
-                F.col(f"distinct{i}").alias("n_distinct"),
-                F.col(f"min{i}").alias("min_length"),
-                F.col(f"max{i}").alias("max_length"),
-                F.col(f"example{i}").alias("example"),
-                typed.otherwise("string").alias("type"),
+    listed = local_frame(
+        df.sparkSession, [(i, f.name, _kind(f.dataType)) for i, f in enumerate(fields)], "position int, column string, kind string"
+    )
+    value = F.col("value")
+    tests = {
+        "integer": value.rlike(INTEGER),
+        "float": value.rlike(FLOAT),
+        "date": value.rlike(DATE) & value.try_cast("date").isNotNull(),
+        "measurement": value.rlike(MEASUREMENT),
+    }
+    parts = []
+    for at in range(0, len(fields), COLUMNS_AT_ONCE):
+        part = list(enumerate(fields))[at : at + COLUMNS_AT_ONCE]
+        cells = F.array(*[F.struct(F.lit(i).alias("position"), _c(f.name).cast("string").alias("value")) for i, f in part])
+        parts.append(
+            df.select(F.explode(cells).alias("c"))
+            .select("c.position", "c.value")
+            .groupBy("position")
+            .agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count(value).alias("n_present"),
+                F.hll_sketch_estimate(F.hll_sketch_agg(value)).alias("n_distinct"),
+                F.min(F.length(value)).cast("int").alias("min_length"),
+                F.max(F.length(value)).cast("int").alias("max_length"),
+                F.max(value).alias("example"),
+                *[F.count_if(test).alias(name) for name, test in tests.items()],
             )
         )
-    profile = totals.select(F.inline(F.array(*rows)))
+    if not parts:
+        return local_frame(df.sparkSession, [], PROFILE)
+    typed = F.when(F.coalesce("n_present", F.lit(0)) == 0, "string").when(F.col("kind") != "text", F.col("kind"))
+    for name in tests:
+        typed = typed.when(F.col(name) == F.col("n_present"), name)
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    profile = listed.join(reduce(DataFrame.unionAll, parts), "position", "left").select(
+        "position", "column", number("n_rows"), number("n_present"), number("n_distinct"), "min_length", "max_length", "example",
+        typed.otherwise("string").alias("type"),
+    )
     if not exact:
         return profile
     counted = exact_distinct(df, [f.name for f in fields])

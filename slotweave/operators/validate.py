@@ -15,7 +15,7 @@ from slotweave.functions.local import local_frame
 from slotweave.functions.text import nonblank
 from slotweave.functions.values import number
 from slotweave.operators.joins import duplicate_keys
-from slotweave.plans.schema import TargetSchema, TargetSlot
+from slotweave.plans.schema import SCALAR_TYPES, TargetSchema, TargetSlot
 
 logger = logging.getLogger(__name__)
 
@@ -34,16 +34,16 @@ def _misfit(column: Column, dtype: T.DataType, slot: TargetSlot, schema: TargetS
         return "type", value.isNull() | (value != F.floor(value))
     if slot.range in ("float", "double", "decimal"):
         return None if isinstance(dtype, T.NumericType) else ("type", number(column).isNull())
-    if slot.range == "date":
-        return "type", column.try_cast("date").isNull()
+    if slot.range in ("date", "datetime", "boolean"):
+        return "type", column.try_cast(SCALAR_TYPES[slot.range]).isNull()
     return None
 
 
 def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None = None) -> DataFrame:
     """Every broken rule as (table, slot, rule, value).
 
-    Row rules come from one scan; a duplicate identifier is one row per value,
-    found by counting partial sums of the identifier.
+    Row rules come from one scan; a duplicate key is one row per value, found for
+    all keys together by counting partial sums of their values.
     """
     slots = schema.classes[cls or table]
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -70,19 +70,24 @@ def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None
         found = df.filter(broken).select(F.explode(listed).alias("v"))
         parts.append(found.select(F.lit(table).alias("table"), "v.slot", "v.rule", "v.value"))
     unique = [s.name for s in slots.values() if s.identifier] + list(schema.unique_keys.get(cls or table, ()))
-    for key in unique:
-        names = [key] if isinstance(key, str) else list(key)
-        if set(names) <= set(types):
-            cells = [F.col(f"`{n}`") for n in names]
-            present = df.select(*cells).filter(reduce(and_, [c.isNotNull() for c in cells]))
-            parts.append(
-                duplicate_keys(present, names).select(
-                    F.lit(table).alias("table"),
-                    F.lit(", ".join(names)).alias("slot"),
-                    F.lit("duplicate").alias("rule"),
-                    F.concat_ws(", ", *[c.cast("string") for c in cells]).alias("value"),
-                )
+    keys = [(key,) if isinstance(key, str) else tuple(key) for key in unique]
+    keys = [key for key in keys if set(key) <= set(types)]
+    if keys:
+        # The cells of all keys come from one scan.
+        cells = {key: [F.col(f"`{n}`") for n in key] for key in keys}
+        entries = [
+            F.when(
+                reduce(and_, [c.isNotNull() for c in cs]),
+                F.struct(F.lit(", ".join(key)).alias("slot"), F.array(*[c.cast("string") for c in cs]).alias("cells")),
             )
+            for key, cs in cells.items()
+        ]
+        found = df.select(F.explode(F.array_compact(F.array(*entries))).alias("k")).select("k.slot", "k.cells")
+        parts.append(
+            duplicate_keys(found, ["slot", "cells"]).select(
+                F.lit(table).alias("table"), "slot", F.lit("duplicate").alias("rule"), F.array_join("cells", ", ").alias("value")
+            )
+        )
     if not parts:
         return local_frame(spark, [], VIOLATION)
     return reduce(DataFrame.unionAll, parts)

@@ -74,18 +74,19 @@ def validate_tables(catalog: Catalog, schema: TargetSchema, path: str) -> DataFr
 def map_entities(mapper: Mapper, directory: str, options: Options) -> tuple[dict[str, list[str]], DataFrame]:
     """Derive and write every entity of the specs; returns outputs and the error summary.
 
-    The derived records, failed ones included, are stored once per entity; the
-    formats and the error counts are read from there, so no derivation runs twice.
+    Where several readers (formats, error counts) need the derived records, these are
+    stored once per entity and read from there, so no derivation runs twice.
     """
     spark = mapper.catalog.spark
     outputs: dict[str, list[str]] = {}
     summaries: list[DataFrame] = [local_frame(spark, [], ERROR_SUMMARY)]
     for entity in mapper.specs.entities():
         derivation = mapper.derive(entity)
-        for table, staged in derivation.staged.items():
-            staged.write.mode("overwrite").parquet(f"{directory}/_staged/{entity}/{table}")
-        copies = {t: spark.read.parquet(f"{directory}/_staged/{entity}/{t}") for t in derivation.staged}
-        derivation = derivation.reading(copies)
+        if derivation.tracked or len(options.formats) > 1:
+            for table, staged in derivation.staged.items():
+                staged.write.mode("overwrite").parquet(f"{directory}/_staged/{entity}/{table}")
+            copies = {t: spark.read.parquet(f"{directory}/_staged/{entity}/{t}") for t in derivation.staged}
+            derivation = derivation.reading(copies)
         outputs[entity] = write_entity(
             derivation.records, directory, entity, options.formats, options.prefix, options.postfix
         )
@@ -126,6 +127,9 @@ def run_pipeline(
     found = validate_tables(study, schema, f"{output_dir}/validation")
     verdict = verdicts(found, list(study))
     validated = gate(verdict, options.strict_validation)
+    # Columns just counted as unique need no de-duplication in joins.
+    keys = {t: {s.name for s in schema.classes[t].values() if s.identifier} | set(schema.unique_keys.get(t, ())) for t in study}
+    tables = tables.knowing(keys)
     mapper = Mapper(tables, specs, load_schema(spark, target_schema), options.strict)
     outputs, errors = map_entities(mapper, f"{output_dir}/mapped-data", options)
     return Run(schema, validated, found, verdict, errors, outputs)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import yaml
 from pyspark.sql import types as T
@@ -62,6 +62,15 @@ class TargetSchema:
         raise SpecError(f"slot {slot.name!r} has unknown range {slot.range!r}")
 
 
+def _scalar(name: str | None, declared: Mapping) -> str | None:
+    """A declared type as the type it is made from; other ranges stay."""
+    seen: set = set()
+    while name in declared and name not in SCALAR_TYPES and name not in seen:
+        seen.add(name)
+        name = (declared[name] or {}).get("typeof") or "string"
+    return name
+
+
 def _slots(body: Mapping, shared: Mapping, default: str | None = None) -> dict[str, TargetSlot]:
     merged: dict[str, Mapping] = {name: shared.get(name) or {} for name in body.get("slots") or []}
     merged.update({name: b or {} for name, b in (body.get("attributes") or {}).items()})
@@ -104,6 +113,10 @@ def parse_schema(text: str) -> TargetSchema:
         ]
         if uniques:
             keys[str(name)] = tuple(uniques)
+    declared = doc.get("types") or {}
+    classes = {
+        c: {n: replace(slot, range=_scalar(slot.range, declared)) for n, slot in slots.items()} for c, slots in classes.items()
+    }
     enums = {
         str(name): tuple(str(v) for v in ((body or {}).get("permissible_values") or {}))
         for name, body in (doc.get("enums") or {}).items()

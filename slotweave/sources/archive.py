@@ -92,9 +92,6 @@ def read_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-LEADING_LINES = 4096  # lines looked at on the driver for a header
-
-
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """The lines of one file with their place: block, then row within the task.
 
@@ -106,15 +103,7 @@ def _numbered(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _header_place(lines: DataFrame) -> list[tuple[int, int, str]]:
-    """(block, row, text) of the two lines after the first blank one.
-
-    They are almost always near the top, where reading stops; otherwise the
-    blank line is searched for by all tasks.
-    """
-    leading = lines.head(LEADING_LINES)
-    blank = next((i for i, r in enumerate(leading) if r.value == ""), None)
-    if blank is not None and (blank + 2 < len(leading) or len(leading) < LEADING_LINES):
-        return [tuple(r) for r in leading[blank + 1 : blank + 3]]
+    """(block, row, text) of the two lines after the first blank one."""
     at = F.struct("block", "row")
     first = lines.filter(F.col("value") == "").agg(F.min(at).alias("at")).first().at
     if first is None:

@@ -76,6 +76,11 @@ class Catalog(Mapping[str, DataFrame]):
         kept = {n: o for n, o in self._openers.items() if not wanted or n in wanted}
         return Catalog(self.spark, kept, self.unique_keys)
 
+    def knowing(self, unique_keys: Mapping[str, Iterable[str]]) -> Catalog:
+        """The same tables with more unique columns known."""
+        keys = {t: self.unique_keys.get(t, frozenset()) | set(unique_keys.get(t, ())) for t in self}
+        return Catalog(self.spark, self._openers, keys)
+
     def extended(self, frames: Mapping[str, DataFrame]) -> Catalog:
         """The same tables plus some given as DataFrames."""
         openers = {**self._openers, **{n: (lambda df=df: df) for n, df in frames.items()}}

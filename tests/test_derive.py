@@ -266,3 +266,17 @@ def test_composite_keys(spark):
     assert violations(df, "t", schema).count() == 0
     twice = violations(df.union(df.limit(1)), "t", schema).collect()
     assert [tuple(r) for r in twice] == [("t", "a, b", "duplicate", "1, x")]
+
+
+def test_declared_types_and_booleans(frame):
+    from slotweave.operators.validate import violations
+
+    schema = parse_schema(
+        "types:\n  Age: {typeof: Years}\n  Years: {typeof: integer}\n"
+        "classes:\n  t:\n    attributes: {a: {range: Age}, b: {range: boolean}, d: {range: datetime}}\n"
+    )
+    assert schema.slot("t", "a").range == "integer"
+    df = frame([("1", "true", "2024-01-02 03:04:05"), ("x", "maybe", "soon"), (None, None, None)], ("a", "b", "d"))
+    assert sorted(tuple(r)[1:] for r in violations(df, "t", schema).collect()) == [
+        ("a", "type", "x"), ("b", "type", "maybe"), ("d", "type", "soon"),
+    ]

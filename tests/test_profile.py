@@ -22,6 +22,13 @@ def test_profile_is_one_aggregate(people):
     assert plan.count("Aggregate") == 1
 
 
+def test_profile_of_a_wide_table(spark):
+    df = spark.range(50).selectExpr(*[f"cast(id * {k} AS string) AS c{k}" for k in range(1000)])
+    got = profile_columns(df).collect()
+    assert sorted((r.position, r.column, r.n_rows, r.type) for r in got) == [(k, f"c{k}", 50, "integer") for k in range(1000)]
+    assert {r.n_present for r in got} == {50} and len(profile_columns(df.limit(0).select("c1")).collect()) == 1
+
+
 def test_counts(people):
     row = profile_columns(people, exact=True).filter("column = 'm'").first()
     assert (row.n_rows, row.n_present, row.n_distinct, row.min_length, row.max_length, row.example) == (3, 2, 2, 4, 6, "6.5 mg")

@@ -98,7 +98,6 @@ def test_curies(frame):
     assert {tuple(r) for r in curies.curie_audit(df, "text", "file").collect()} == {("f1", 1, 3), ("f2", 1, 1), ("f3", 2, 2)}
     mapping = frame([("OMOP:1", "NEW:9"), ("MONDO:0004", "OMOP:1"), (None, "x")], ("old", "new"))
     want = [("f1", "see NEW:9, OMOP:12 and xOMOP:1 or OMOP:1;"), ("f1", None), ("f2", "nothing here a:b"), ("f2", "NEW:9"), ("f3", "NEW:9"), ("f3", "a\x01\x02NEW:9\x01")]
-    assert [tuple(r) for r in curies.remap_curies(df, "text", mapping).collect()] == want
-    joined = curies.remap_curies(df, "text", mapping, literal_entries=0)
-    assert sorted(map(tuple, joined.collect()), key=str) == sorted(want, key=str)
-    assert curies.remap_curies(df, "text", mapping.limit(0)).collect() == df.collect()
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(curies.remap_curies(df, "text", mapping)) == sorted(want, key=str)
+    assert rows(curies.remap_curies(df, "text", mapping.limit(0))) == rows(df)
