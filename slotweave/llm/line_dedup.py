@@ -113,7 +113,8 @@ class LineRuns:
         """(id, h) of the lines that the batch docs(id, text) has to drop; its new lines join the runs.
 
         A line is dropped if a run knows it, or in the batch's documents after the first that holds it.
-        Hot lines, fewer than HOT, are broadcast, so that no task gets all documents of one.
+        A hot line's documents are dealt into as many parts as its share asks for, so that no part holds
+        more than about 1 / HOT of all pairs; the numbers of parts, fewer than HOT rows, are broadcast.
         """
         lines = line_hashes(docs)
         spans = lines.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
@@ -121,9 +122,11 @@ class LineRuns:
         self.add(spans.where("not known").select("h"))
         shared = stored(spans.where("known or first < last").select("h", "first", "known", "n"), "shared")
         pairs = spans.agg(F.sum("n")).first()[0] or 0
-        hot = F.broadcast(shared.where(F.col("n") * HOT > pairs))
-        drop = [lines.join(part, "h").where("known or id > first").select("id", "h") for part in (hot, shared.where(F.col("n") * HOT <= pairs))]
-        return stored(drop[0].union(drop[1]).distinct(), "dropped")
+        parts = F.ceil(F.col("n") * HOT / max(pairs, 1))
+        hot = shared.where(F.col("n") * HOT > pairs).select("h", parts.alias("parts"))
+        dealt = lines.join(F.broadcast(hot), "h", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))))
+        ours = shared.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1)) - 1)))
+        return stored(dealt.join(ours, ["h", "part"]).where("known or id > first").select("id", "h"), "dropped")
 
     def drop(self) -> None:
         for level in self.levels:
@@ -151,7 +154,7 @@ def without_repeated_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame
             part = part if low is None else part.where(F.col("id") > low)
             part = part if high is None else part.where(F.col("id") <= high)
             dropped.append(runs.batch(part))
-    gone = reduce(DataFrame.union, dropped).groupBy("id").agg(F.collect_list("h").alias("gone"))
+    gone = reduce(DataFrame.union, dropped).groupBy("id").agg(F.collect_set("h").alias("gone"))
 
     def run(parts):
         for piece in _slices(parts):
