@@ -7,6 +7,9 @@ counted in diagonal bands of twice that width that overlap by half; bands that
 reach the bound are verified by an alignment banded to the same diagonals. Texts
 are compared as lower-cased words of letters and digits with single spaces.
 
+A long item is also cut into overlapping passages, each looked for whole under its
+own budget, so that a document that quotes a large part of it is found.
+
 The benchmark is the query set: it goes to the tasks in blocks of at most
 BLOCK_CHARS characters, and every block meets every row.
 """
@@ -23,12 +26,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Q = 10
-RATE = 0.07
+Q = 6
+RATE = 0.15
+LEAST = 12  # shared q-grams the budget leaves at least, in an item of 36 characters or more
+SHORT = 10
+PASSAGE = 240
+STEP = PASSAGE // 2
 BLOCK_CHARS = 4_000_000
 SLICE = 256
-SLICE_CHARS = 4_000_000
-WINDOW = 1 << 20
+SLICE_CHARS = 1_000_000
+WINDOW = 1 << 16
+DENSE = 8  # cells a hit, up to which they are counted in place
 FILTER_BITS = 20
 BREAK = re.compile(r"[\W_]+")
 WORD = re.compile(r"[^\W_]+")
@@ -44,34 +52,37 @@ def codes(text: str) -> np.ndarray:
 
 
 def qgrams(c: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of all substrings of Q (10) characters, by doubling."""
+    """64-bit fingerprints of all substrings of Q characters."""
     if len(c) < Q:
         return np.empty(0, np.uint64)
+    one, n = c.astype(np.uint64) + np.uint64(1), len(c) + 1 - Q
+    out = one[:n].copy()
+    for k in range(1, Q):
+        out *= BASE
+        out += one[k : k + n]
+    return out * np.uint64(0xD6E8FEB86659FD93)
 
-    def joined(x: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
-        power = np.uint64(pow(int(BASE), width, 1 << 64))
-        n = min(len(x), len(y) - width if y is x else len(y))
-        return x[:n] * power + (y[width : width + n] if y is x else y[:n])
 
-    one = c.astype(np.uint64) + np.uint64(1)
-    two = joined(one, one, 1)
-    four = joined(two, two, 2)
-    eight = joined(four, four, 4)
-    ten = joined(eight, two[8:], 2)
-    return ten * np.uint64(0xD6E8FEB86659FD93)
+def edit_budget(m: int, rate: float = RATE, q: int = Q) -> int:
+    """Edits allowed for an item of m characters: the rate, but never so many that the lemma's bound falls below LEAST or a third."""
+    return max(0, min(int(m * rate), (m + 1 - min(LEAST, m // 3)) // q - 1))
 
 
-def edit_budget(m: int, rate: float = RATE, q: int = Q) -> int:
-    """Edits allowed for an item of m characters: the rate, but never so many that the lemma's bound falls below 1."""
-    return max(0, min(int(m * rate), m // q - 1))
+def passages(text: str) -> list[str]:
+    """Overlapping passages of a long text, the last one at its end; none where the whole with its budget covers as much."""
+    if len(text) * (1 - RATE) <= PASSAGE:
+        return []
+    last = len(text) - PASSAGE
+    return [text[at : at + PASSAGE] for at in [*range(0, last, STEP), last]]
 
 
 @dataclass(frozen=True)
 class Items:
-    """A block of items and the inverted index of their q-grams."""
+    """A block of items and the inverted index of their q-grams; the units looked for are the items, then their passages."""
 
     ids: tuple[int, ...]
-    texts: tuple[str, ...]
+    texts: tuple[str, ...]  # of the units, as all up to budget
+    owner: np.ndarray  # number of the item
     length: np.ndarray
     budget: np.ndarray
     grams: np.ndarray  # sorted distinct
@@ -79,15 +90,17 @@ class Items:
     item: np.ndarray
     at: np.ndarray
     filter: np.ndarray  # bytes addressed by the upper bits of a gram
-    short: tuple[int, ...]  # items of fewer than Q characters, looked for as they are
+    short: tuple[int, ...]  # items of fewer than SHORT characters, looked for as they are
 
 
 def indexed(items: list[tuple[int, str | None]]) -> Items:
     pairs = [(i, t) for i, text in items if (t := normal(text))]
-    texts = tuple(t for _, t in pairs)
+    cut = [(i, t) for i, (_, whole) in enumerate(pairs) for t in passages(whole)]
+    texts = tuple([t for _, t in pairs] + [t for _, t in cut])
+    owner = np.array([*range(len(pairs)), *(i for i, _ in cut)], np.int64)
     length = np.array([len(t) for t in texts], np.int64)
     budget = np.array([edit_budget(len(t)) for t in texts], np.int64)
-    found = [qgrams(codes(t)) for t in texts]
+    found = [qgrams(codes(t if len(t) >= SHORT else "")) for t in texts]
     all_grams = np.concatenate([np.empty(0, np.uint64), *found])
     item = np.repeat(np.arange(len(texts)), [len(g) for g in found]).astype(np.int64)
     at = np.concatenate([np.empty(0, np.int64), *(np.arange(len(g)) for g in found)]).astype(np.int64)
@@ -95,9 +108,9 @@ def indexed(items: list[tuple[int, str | None]]) -> Items:
     grams, first = np.unique(all_grams[order], return_index=True)
     table = np.zeros(1 << FILTER_BITS, np.bool_)
     table[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-    short = tuple(i for i, t in enumerate(texts) if len(t) < Q)
+    short = tuple(i for i, t in enumerate(texts) if len(t) < SHORT)
     ids = tuple(i for i, _ in pairs)
-    return Items(ids, texts, length, budget, grams, np.append(first, len(order)), item[order], at[order], table, short)
+    return Items(ids, texts, owner, length, budget, grams, np.append(first, len(order)), item[order].astype(np.int32), at[order].astype(np.int32), table, short)
 
 
 def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int] | None:
@@ -126,61 +139,109 @@ def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -
 
 
 def _hits(c: np.ndarray, index: Items) -> tuple[np.ndarray, np.ndarray]:
-    """(position, number of the gram) wherever a q-gram of the index begins; only a window's grams are held at a time."""
-    places, numbers = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    """(position, number of the gram) wherever a q-gram of the index begins."""
+    g = qgrams(c)
+    maybe = np.flatnonzero(index.filter[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+    number = np.searchsorted(index.grams, g[maybe])
+    number[number == len(index.grams)] = 0
+    hit = index.grams[number] == g[maybe]
+    return maybe[hit], number[hit]
+
+
+def _bands(c: np.ndarray, index: Items) -> set[tuple[int, int]]:
+    """(unit, lowest diagonal) of the bands, twice the lemma's width, that reach its bound.
+
+    Only a window is held at a time. Windows overlap by the longest match, so each match lies in one.
+    """
+    out: set[tuple[int, int]] = set()
+    longest, half = int(index.length.max(initial=0)), index.budget + 1
+    bound = np.maximum(index.length + 1 - Q * half, 1)
+    narrow = half.astype(np.int32)
     for start in range(0, len(c) if len(index.grams) else 0, WINDOW):
-        g = qgrams(c[start : start + WINDOW + Q - 1])
-        maybe = np.flatnonzero(index.filter[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        number = np.searchsorted(index.grams, g[maybe])
-        number[number == len(index.grams)] = 0
-        hit = index.grams[number] == g[maybe]
-        places.append(maybe[hit] + start)
-        numbers.append(number[hit])
-    return np.concatenate(places), np.concatenate(numbers)
+        at, place = _hits(c[start : start + WINDOW + longest + int(index.budget.max())], index)
+        if not len(at):
+            continue
+        counts = index.starts[place + 1] - index.starts[place]
+        total = int(counts.sum())
+        flat = np.repeat((index.starts[place] - np.cumsum(counts) + counts).astype(np.int32), counts) + np.arange(total, dtype=np.int32)
+        unit = index.item[flat]
+        diagonal = np.repeat((at + longest).astype(np.int32), counts) - index.at[flat]  # from the window's start on, not negative
+        band = diagonal // narrow[unit]
+        # A unit's bands of this window are neighbouring cells, with an empty one on both sides.
+        least = int(at[0]) // half - 1
+        held = (longest + int(at[-1])) // half - least + 2
+        base = np.cumsum(held) - held
+        cell = (base - least)[unit] + band
+        if held.sum() <= DENSE * len(cell):
+            n = np.bincount(cell, minlength=int(held.sum()))
+            cells = np.flatnonzero(n[:-1] + n[1:] >= np.repeat(bound, held)[:-1])
+            slot = np.full(len(n), -1, np.int32)
+            slot[cells] = np.arange(len(cells))
+            numbers = [slot[cell], slot[cell - 1]]
+        else:  # many units and few hits
+            cells, n = np.unique(np.concatenate([cell, cell - 1]), return_counts=True)
+            cells = cells[n >= bound[np.searchsorted(base, cells, side="right") - 1]]
+            ends = np.append(cells, -1)
+            numbers = [np.where(ends[k := np.searchsorted(cells, c)] == c, k, -1) for c in (cell, cell - 1)]
+        units = np.searchsorted(base, cells, side="right") - 1
+        low = (cells - base[units] + least[units]) * half[units]
+        kept = _narrow(numbers, low, half[units], bound[units], diagonal, index.at[flat])
+        cells, units = cells[kept], units[kept]
+        out.update(zip(units.tolist(), (low[kept] + (start - longest)).tolist()))
+    return out
+
+
+def _narrow(numbers: list[np.ndarray], low: np.ndarray, half: np.ndarray, bound: np.ndarray, diagonal: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which bands (from diagonal low on) reach the bound by different item positions within little more than the lemma's width.
+
+    `numbers` are the bands each hit counts in, -1 for none. A match's diagonals, half in number, lie in one of four
+    windows that are wider by a quarter.
+    """
+    found = []
+    for number in numbers:
+        hit = np.flatnonzero(number >= 0)
+        k = number[hit].astype(np.int64)
+        inside, quarter = diagonal[hit] - low[k], -(-half[k] // 4)
+        for j in range(4):
+            of = (inside >= j * quarter) & (inside < (j + 1) * quarter + half[k])
+            found.append((4 * k[of] + j << 40) | at[hit[of]])
+    n = np.bincount(np.unique(np.concatenate(found)) >> 40, minlength=4 * len(low)).reshape(-1, 4)
+    return n.max(axis=1, initial=0) >= bound
 
 
 Leak = tuple[int, int, int, int, int]  # row of the slice, item number, start, end, edits
 
 
 def leaks(texts: list[str], index: Items) -> list[Leak]:
-    """The best match of every item in every text of a slice of normal texts, at most one per text and item."""
-    out: dict[tuple[int, int], tuple[int, int, int]] = {}
-    joined = "\0".join(texts)
+    """The best match of every item in every text of a slice of normal texts, at most one per text and item.
+
+    A whole item goes before a passage; the fewest edits, then the first place.
+    """
+    out: dict[tuple[int, int], tuple[bool, int, int, int]] = {}
     ends = np.cumsum([len(t) + 1 for t in texts])
     starts = ends - [len(t) + 1 for t in texts]
-    at, place = _hits(codes(joined), index)
-    counts = index.starts[place + 1] - index.starts[place]
-    flat = np.repeat(index.starts[place] - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
-    item = index.item[flat]
-    diagonal = np.repeat(at, counts) - index.at[flat] + int(index.length.max(initial=0))  # not negative
-    band = diagonal // (index.budget[item] + 1)
-    key = (item << 40) | (band + 1)
-    # Each hit counts in its band and in the one that begins half a width earlier.
-    keys, n = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-    items = keys >> 40
-    bound = index.length[items] + 1 - Q * (index.budget[items] + 1)
-    for k in np.flatnonzero(n >= np.maximum(bound, 1)):
-        i = int(items[k])
-        half = int(index.budget[i]) + 1
-        low = ((int(keys[k]) & ((1 << 40) - 1)) - 1) * half - int(index.length.max(initial=0))
+    for u, low in sorted(_bands(codes("\0".join(texts)), index)):
+        i = int(index.owner[u])
+        half = int(index.budget[u]) + 1
         high = low + 2 * half - 1
         # The band names its text; a band over a border may belong to either side.
         first = int(np.searchsorted(ends, max(low, 0), side="right"))
-        last = int(np.searchsorted(ends, max(high, 0) + int(index.length[i]), side="right"))
+        last = int(np.searchsorted(ends, max(high, 0) + int(index.length[u]), side="right"))
         for r in range(first, min(last, len(texts) - 1) + 1):
             start = int(starts[r])
-            _better(out, (r, i), _verified(texts[r], index, i, low - start, high - start))
+            if u == i or (r, i) not in out or out[r, i][0]:
+                _better(out, (r, i), u != i, _verified(texts[r], index, u, low - start, high - start))
     for i in index.short:
         t = f" {index.texts[i]} "
         for r, text in enumerate(texts):
             if (p := f" {text} ".find(t)) >= 0:
-                _better(out, (r, i), (0, p, p + len(index.texts[i])))
-    return [(r, i, s, e, d) for (r, i), (d, s, e) in sorted(out.items())]
+                _better(out, (r, i), False, (0, p, p + len(index.texts[i])))
+    return [(r, i, s, e, d) for (r, i), (_, d, s, e) in sorted(out.items())]
 
 
-def _better(out: dict, key: tuple[int, int], found: tuple[int, int, int] | None) -> None:
-    if found and (key not in out or found < out[key]):
-        out[key] = found
+def _better(out: dict, key: tuple[int, int], cut: bool, found: tuple[int, int, int] | None) -> None:
+    if found and (key not in out or (cut, *found) < out[key]):
+        out[key] = (cut, *found)
 
 
 def _verified(text: str, index: Items, i: int, low: int, high: int) -> tuple[int, int, int] | None:
@@ -245,7 +306,8 @@ def _slices(batches: Iterator[pa.RecordBatch], text_col: str = "text") -> Iterat
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(id, item_id, start, end, edits) per document and item that lies in it; positions are characters of the text.
 
-    Of several places of an item in a document the one with the fewest edits counts, then the first.
+    Of several places of an item in a document the one with the fewest edits counts, then the first. Where the
+    whole item is in none, but a passage of PASSAGE characters of it is, the best passage's place and edits are told.
     Null and empty texts and items match nothing; items equal in text are all told.
     """
     schema = "id long, item_id long, start long, end long, edits int"
@@ -272,7 +334,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows, all columns, that hold no item of benchmark(id, text)."""
+    """The rows, all columns, that hold no item of benchmark(id, text), nor a passage of one."""
     for index in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 

@@ -219,6 +219,46 @@ def test_leaks_miss_nothing_within_the_budget(monkeypatch, window):
         assert [(x[0], x[4]) for x in found] == ([(1, least)] if least <= index.budget[0] else [])
 
 
+def edited(r, item, n, words):
+    w = item.split()
+    for k in r.sample(range(len(w)), n):
+        w[k] = r.choice(words)
+    return " ".join(w)
+
+
+def test_edited_and_partial_copies_are_found_and_clean_texts_are_not(spark):
+    r = random.Random(8)
+    items = [decontaminate.normal(x["text"]) for x in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect()]
+    index, words = decontaminate.indexed(list(enumerate(items))), " ".join(items).split()
+    for least, n in ((1.0, lambda w: 1), (0.95, lambda w: 2), (0.95, lambda w: -(-w // 10))):
+        copies = [(k, edited(r, t, n(len(t.split())), words)) for k, t in enumerate(items) for _ in range(5)]
+        found = {(x[0], x[1]) for x in decontaminate.leaks([f"{prose(r, 20)} {c} {prose(r, 20)}" for _, c in copies], index)}
+        assert sum((row, k) in found for row, (k, _) in enumerate(copies)) >= least * len(copies)
+    assert decontaminate.leaks([" ".join(r.choices(words, k=300)) for _ in range(50)], index) == []
+
+
+def test_long_items_are_found_by_their_passages():
+    r = random.Random(9)
+    item = decontaminate.normal(prose(r, 300))
+    index = decontaminate.indexed([(5, item)])
+    for at in range(0, len(item) - 300, 70):
+        quote = item[at : at + 300]
+        ((_, i, start, end, edits),) = decontaminate.leaks([f"{prose(r, 50)} {quote} {prose(r, 50)}"], index)
+        assert i == 0 and end - start >= 200 and edits <= decontaminate.edit_budget(decontaminate.PASSAGE)
+    assert [x[1:] for x in decontaminate.leaks([item], index)] == [(0, 0, len(item), 0)]
+    assert decontaminate.leaks([item[:120] + " " + prose(r, 100)], index) == []
+
+
+def test_many_items_are_counted_as_few(monkeypatch):
+    r = random.Random(10)
+    items = [(k, prose(r, 40)) for k in range(60)]
+    text = decontaminate.normal(" ".join([prose(r, 200), items[3][1], prose(r, 200), items[50][1]]))
+    index = decontaminate.indexed(items)
+    want = decontaminate.leaks([text, ""], index)
+    monkeypatch.setattr(decontaminate, "DENSE", 0)
+    assert decontaminate.leaks([text, ""], index) == want and {x[1] for x in want} == {3, 50}
+
+
 def test_slices_are_bounded(monkeypatch):
     monkeypatch.setattr(decontaminate, "SLICE_CHARS", 10)
     batch = pa.RecordBatch.from_pydict({"text": ["a" * n if n is not None else None for n in (4, 4, 30, None, 0, 9, 2)]})
