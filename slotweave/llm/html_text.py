@@ -37,7 +37,9 @@ BLOCKS = frozenset(
     tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())  # text up to the end tag or the page's end
+SKIPPED = frozenset("svg template annotation annotation-xml".split())  # not shown; left out only where they are closed
+HTML_IN_SVG = frozenset("foreignobject desc title".split())
 CLOSES_P = BLOCKS - {"body", "button", "dd", "dt", "li", "option", "select", "tbody", "td", "tfoot", "th", "thead", "tr"}
 SELF_CLOSING = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -69,8 +71,11 @@ LEXICON = {word: k for k, words in enumerate(KINDS.values()) for word in words.s
 BAD_TAGS = frozenset("nav header footer aside dialog form fieldset button select menu".split())
 GOOD_TAGS = frozenset("article main".split())
 
+# Quotes enclose a value only right after its "="; elsewhere, and where none closes them, a tag ends at the first ">".
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+>""", re.S
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>
+    |<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++)?+)?+|=)*+)>""",
+    re.S | re.X,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAMED = frozenset("class id role itemprop".split())
@@ -109,7 +114,9 @@ def parse(source: str) -> Page:
     stack = [page.add("body", -1)]
     opened: Counter = Counter({"body": 1})
     buffer: list[str] = []
-    links = linked = 0
+    links = linked = svg = inner = 0
+    math = False
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -136,7 +143,7 @@ def parse(source: str) -> Page:
     while True:
         found = TOKEN.search(source, at)
         text = source[at : found.start() if found else len(source)]
-        if text and not head:
+        if text and not head and not svg:
             buffer.append(text)
             if links:
                 linked += len(text)
@@ -147,6 +154,15 @@ def parse(source: str) -> Page:
         if tag is None:
             continue
         tag, end = tag.lower(), found[1]
+        empty = found[3].endswith("/")
+        if svg:  # up to its end tag, or to a block that can't lie in it
+            if tag == "svg" and not empty:
+                svg += -1 if end else 1
+            elif tag in HTML_IN_SVG and not empty:
+                inner = max(0, inner + (-1 if end else 1))
+            if tag not in BLOCKS or inner or (end and tag != "p"):
+                continue
+            svg = 0
         if tag == "head":
             head = not end
             continue
@@ -155,6 +171,21 @@ def parse(source: str) -> Page:
                 close = _closing(tag).search(source, at)
                 at = close.end() if close else len(source)
             continue
+        if tag in SKIPPED:
+            if not end and not empty and tag not in unclosed:
+                close = _closing(tag).search(source, at)
+                if not close:
+                    unclosed.add(tag)
+                elif tag == "svg":
+                    svg, inner = 1, 0
+                else:
+                    at = close.end()
+            continue
+        if tag == "math":
+            math = not end and not empty
+            continue
+        if tag == "noscript":
+            continue
         if tag == "body":
             head = False
             if not end and not page.attributes[0]:
@@ -163,7 +194,7 @@ def parse(source: str) -> Page:
         if tag == "html":
             continue
         if tag in BLOCKS:
-            head = False
+            head = math = False
             if end:
                 if opened[tag]:
                     pop_to((tag,), frozenset())
@@ -184,7 +215,7 @@ def parse(source: str) -> Page:
         else:
             if tag == "a":
                 links = 0 if end else 1
-            if not end:
+            if not end and not math:
                 page.inline[stack[-1]] += 1
             if tag in ("br", "img", "input", "wbr"):
                 buffer.append(" " if tag == "br" else "")

@@ -112,6 +112,33 @@ def test_markup_is_read_as_browsers_do():
     assert [t for _, t, _ in page.runs] == ["one two three", "four &amp; <x>", "five", "six seven"]
 
 
+@pytest.mark.parametrize(
+    ("source", "runs"),
+    [
+        ("<p>one <svg/>two</p><p>three</p>", ["one two", "three"]),
+        ('<p>one <svg class="x" />two</p><svg><text>no</text></svg><p>three</p>', ["one two", "three"]),
+        ("<p>one <svg><g><svg><text>no</text></svg>no</g></svg>two", ["one two"]),
+        ("<p>one <svg><title>no</title><foreignObject><p>no</p></foreignObject><text>no</text></svg>two", ["one two"]),
+        ("<p>one <svg><path d='x'>two</p><p>three", ["one two", "three"]),
+        ("<svg><path><p>one</p><p>two <svg><path/></svg>three</p>", ["one", "two three"]),
+        ("<p>one <math/>two</p><p>three", ["one two", "three"]),
+        ("<p>one <math><mi>x</mi><mo>=</mo><mn>1</mn></math> two", ["one x=1 two"]),
+        ("<p>one <math><semantics><mi>x</mi><annotation>no</annotation></semantics></math> two", ["one x two"]),
+        ("<p>one <math><mi>x</mi> two</p><p>three", ["one x two", "three"]),
+        ("<p>one <noscript>two</noscript> three</p><noscript><p>four", ["one two three", "four"]),
+        ("<template><p>no</p></template><p>one</p><template><p>two</p>", ["one", "two"]),
+        ("<p title=it's>Main text here.</p><p>It doesn't end</p>", ["Main text here.", "It doesn't end"]),
+        ('<p data-x="5" y">body text <a href="u">link</a></p>', ["body text link"]),
+        ("<p title = 'a > b'>one</p><p title=\"a > b\"class='>'>two</p>", ["one", "two"]),
+        ('<p title="never closed>one</p><p>two', ["one", "two"]),
+        ("<p title=>one</p><p =\"x>two</p><p a='b'=c d=/e/>three</p>", ["one", "two", "three"]),
+        ("<p>one</p><script>if (a<b) '</p>'", ["one"]),
+    ],
+)
+def test_no_text_is_lost_in_odd_markup(source, runs):
+    assert [t for _, t, _ in html_text.parse(source).runs] == runs
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<"), (4, "u", "<div" * 2000), (5, "u", "<div>" * 3000 + "x"), (None, "u", "</p></p>text")]
     got = html_text.extracted(spark.createDataFrame(rows, "id long, url string, html string")).collect()
