@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +105,16 @@ def map_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(r["version"] for r in spark.read.parquet(path).select("version").distinct().collect())
 
 
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The newest stored version, 0 where there is none."""
+    try:
+        return max(map_versions(spark, path), default=0)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return 0
+        raise
+
+
 def as_dict(rows: Iterable) -> dict[int, int]:
     return {r["map_slot"]: r["shard"] for r in rows}
 
@@ -113,16 +124,22 @@ def sharded(docs: DataFrame, shards: int = 8, slots: int = VIRTUAL_SLOTS, path:
 
     `slot` is the row's place in its shard, gapless from 0: the rows of the shard's virtual slots one after
     another, each by id. Null texts count one byte, null ids are placed by their text; rows equal in both
-    share a virtual slot and get places of their own. An empty table gives none. The map (version 1) is
-    stored under `path`, or in the shared folder.
+    share a virtual slot and get places of their own. An empty table gives none. The map is stored under
+    `path`, or in the shared folder. Where `path` holds a map, its newest version is edited for the rows' sizes
+    and the number of shards, and the next version is stored and places the rows; else version 1 is.
     """
     spark = docs.sparkSession
     rows = measured(docs, slots).select("id", "size", "text_crc32", "virtual_slot")
     rows = stored(rows, "sized")
     sizes = slot_sizes(rows)
     path = path or new_path(spark, "slot-map")
-    write_map(spark, path, 1, balanced(sizes, shards, slots), sizes)
-    shard_map = F.broadcast(read_map(spark, path, 1))  # one row per virtual slot
+    last = newest_version(spark, path)
+    old = as_dict(read_map(spark, path, last).collect()) if last else {}
+    if last and set(old) != set(range(slots)):
+        raise ValueError(f"the map under {path} is not for {slots} virtual slots")
+    version = last + 1
+    write_map(spark, path, version, rebalanced(old, sizes, shards) if last else balanced(sizes, shards, slots), sizes)
+    shard_map = F.broadcast(read_map(spark, path, version))  # one row per virtual slot
     within = Window.partitionBy("virtual_slot").orderBy("id", "text_crc32", "size")
     placed = rows.withColumn("nth", F.row_number().over(within))
     placed = placed.join(shard_map, F.col("virtual_slot") == F.col("map_slot"))
@@ -135,5 +152,5 @@ def sharded(docs: DataFrame, shards: int = 8, slots: int = VIRTUAL_SLOTS, path:
         (F.col("first_row") + F.col("nth") - 1).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
-        F.lit(1).alias("map_version"),
+        F.lit(version).alias("map_version"),
     )

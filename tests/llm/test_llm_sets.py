@@ -128,6 +128,28 @@ def test_map_is_versioned_and_edited(spark):
     assert set(sharding.rebalanced(first, sizes, 7).values()) == set(range(7))
 
 
+def test_rows_are_placed_by_an_edited_map(spark):
+    r = random.Random(4)
+    rows = [(i, prose(r, r.randint(1, 100))) for i in range(600)] + [(None, "a"), (7, "twice"), (7, "twice")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    path = new_path(spark, "map-test")
+    runs = []
+    for version, (docs, shards) in enumerate([(df.where("id < 400"), 8), (df, 8), (df, 9), (df, 5)], 1):
+        got = sharding.sharded(docs, shards, slots=256, path=path).collect()
+        assert len(got) == docs.count() and {x["map_version"] for x in got} == {version}
+        stored = sharding.as_dict(sharding.read_map(spark, path, version).collect())
+        assert all(stored[x["virtual_slot"]] == x["shard"] for x in got) and {x["shard"] for x in got} == set(range(shards))
+        places = defaultdict(list)
+        for x in got:
+            places[x["shard"]].append(x["slot"])
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+        runs.append(stored)
+    assert sharding.map_versions(spark, path) == [1, 2, 3, 4]
+    assert sum(runs[0][s] != runs[1][s] for s in range(256)) < 64 and sum(runs[1][s] != runs[2][s] for s in range(256)) < 64
+    with pytest.raises(ValueError, match="virtual slots"):
+        sharding.sharded(df, 8, slots=128, path=path)
+
+
 # --- top-k --------------------------------------------------------------------------
 
 
