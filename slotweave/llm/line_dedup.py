@@ -15,7 +15,7 @@ from functools import reduce
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.llm.common import stored
@@ -43,19 +43,24 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
+def row_key() -> Column:
+    return F.xxhash64(F.col("text").cast("binary")).alias("row")
+
+
 def line_hashes(docs: DataFrame) -> DataFrame:
-    """(id, h): the distinct hashes of every row of docs(id, text)."""
+    """(id, row, h): the distinct hashes of every row of docs(id, text); `row` is a hash of the text, so rows of one id part."""
 
     def run(batches):
         for piece in _slices(batches):
-            ids, out = [], []
-            for i, text in zip(piece.column("id").to_pylist(), piece.column("text").to_pylist()):
+            ids, rows, out = [], [], []
+            for i, row, text in zip(*(piece.column(c).to_pylist() for c in ("id", "row", "text"))):
                 found = {h for line in (text or b"").split(b"\n") if (h := line_hash(line))}
                 ids += [i] * len(found)
+                rows += [row] * len(found)
                 out += found
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(out, pa.binary())], ["id", "row", "h"])
 
-    return docs.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, h binary")
+    return docs.select("id", row_key(), F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, row long, h binary")
 
 
 class LineRuns:
@@ -110,7 +115,7 @@ class LineRuns:
         return lines.select("h", "first", "last", "n", known.alias("known"))
 
     def batch(self, docs: DataFrame) -> DataFrame:
-        """(id, h) of the lines that the batch docs(id, text) has to drop; its new lines join the runs.
+        """(id, row, h) of the lines that the batch docs(id, text) has to drop; its new lines join the runs.
 
         A line is dropped if a run knows it, or in the batch's documents after the first that holds it.
         A hot line's documents are dealt into as many parts as its share asks for, so that no part holds
@@ -124,9 +129,9 @@ class LineRuns:
         pairs = spans.agg(F.sum("n")).first()[0] or 0
         parts = F.ceil(F.col("n") * HOT / max(pairs, 1))
         hot = shared.where(F.col("n") * HOT > pairs).select("h", parts.alias("parts"))
-        dealt = lines.join(F.broadcast(hot), "h", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))))
+        dealt = lines.join(F.broadcast(hot), "h", "left").withColumn("part", F.pmod(F.xxhash64("id", "row"), F.coalesce("parts", F.lit(1))))
         ours = shared.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1)) - 1)))
-        return stored(dealt.join(ours, ["h", "part"]).where("known or id > first").select("id", "h"), "dropped")
+        return stored(dealt.join(ours, ["h", "part"]).where("known or id > first").select("id", "row", "h"), "dropped")
 
     def drop(self) -> None:
         for level in self.levels:
@@ -154,7 +159,7 @@ def without_repeated_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame
             part = part if low is None else part.where(F.col("id") > low)
             part = part if high is None else part.where(F.col("id") <= high)
             dropped.append(runs.batch(part))
-    gone = reduce(DataFrame.union, dropped).groupBy("id").agg(F.collect_set("h").alias("gone"))
+    gone = reduce(DataFrame.union, dropped).groupBy("id", "row").agg(F.collect_set("h").alias("gone"))
 
     def run(parts):
         for piece in _slices(parts):
@@ -169,7 +174,7 @@ def without_repeated_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame
             arrays = [piece.column("id"), pa.array(n, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "n_lines", "n_dropped", "kept"])
 
-    told = source.withColumn("text", F.col("text").cast("binary")).join(gone, "id", "left")
+    told = source.select("id", row_key(), F.col("text").cast("binary").alias("text")).join(gone, ["id", "row"], "left")
     out = told.mapInArrow(run, "id long, n_lines long, n_dropped long, kept binary")
     own = F.when(F.col("id") != LAST_ID, F.col("id"))
     return out.select(own.alias("id"), "n_lines", "n_dropped", F.col("kept").cast("string").alias("text"))

@@ -210,3 +210,15 @@ def test_runs_are_compacted(spark):
 
 def test_no_lines(spark):
     assert line_dedup.without_repeated_lines(spark.createDataFrame([], "id long, text string")).count() == 0
+
+
+def test_rows_without_an_id_get_only_their_own_dropped_lines(spark):
+    shared = [f"a line that is shared {k}" for k in range(60)]
+    rows = [(1, "\n".join(shared)), *((None, f"{line}\nits own line {k}") for k, line in enumerate(shared)), (None, None)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    with line_dedup.LineRuns(spark) as runs:
+        dropped = runs.batch(df.selectExpr(f"coalesce(id, {line_dedup.LAST_ID}) AS id", "text"))
+        assert max(r["count"] for r in dropped.groupBy("id", "row").count().collect()) == 1
+    got = line_dedup.without_repeated_lines(df, batches=2).collect()
+    assert sorted(r["text"] for r in got) == sorted(["\n".join(shared), "", *(f"its own line {k}" for k in range(60))])
+    assert sum(r["n_dropped"] for r in got) == 60
