@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from slotweave.errors import SourceError, SpecError
 from slotweave.functions.local import local_frame
@@ -16,8 +17,9 @@ from slotweave.plans.derive import ERROR_SUMMARY, Mapper
 from slotweave.plans.schema import TargetSchema, load_schema
 from slotweave.plans.spec import SpecSet, load_specs
 from slotweave.sinks.writers import write_entity
-from slotweave.sources.archive import FILE, archive_catalog
+from slotweave.sources.archive import BEYOND, FILE, archive_catalog, ragged_rows
 from slotweave.sources.catalog import Catalog
+from slotweave.sources.delimited import discover
 
 
 RECORDS_PER_FILE = 5_000_000
@@ -32,6 +34,8 @@ class Options:
     strict_validation: bool = False
     inference: InferenceOptions = InferenceOptions()
     schema_name: str = "SourceSchema"
+    layout: str = "markers"  # of archives, see sources.files
+    archive_pattern: str = "*.txt.gz"
 
 
 @dataclass
@@ -46,17 +50,31 @@ class Run:
     outputs: dict[str, list[str]] = field(default_factory=dict)
 
 
-def store_tables(catalog: Catalog, directory: str) -> Catalog:
-    """Every table written once as Parquet and read back.
+def store_tables(catalog: Catalog, directory: str) -> tuple[Catalog, list[str]]:
+    """Every table written once as Parquet and read back; also the tables with rows longer than their header.
 
     Compressed text is decompressed and split once, by one task per file;
     later scans read columns in parallel and survive a lost executor. A large
-    archive is cut into several files.
+    archive is cut into several files. Long rows are counted by the same pass.
     """
+    ragged = []
     for name in catalog:
-        cut = catalog[name].write.mode("overwrite").option("maxRecordsPerFile", RECORDS_PER_FILE)
+        table, seen = catalog[name], None
+        if BEYOND in table.columns:
+            seen = Observation(f"stored {name}")
+            table = table.observe(seen, F.count(F.col(BEYOND)).alias("n"))
+        cut = table.write.mode("overwrite").option("maxRecordsPerFile", RECORDS_PER_FILE)
         cut.parquet(f"{directory}/{name}.parquet")
-    return Catalog.parquet(catalog.spark, directory, list(catalog), unique_keys=catalog.unique_keys)
+        if seen is not None and seen.get["n"]:
+            ragged.append(name)
+    return Catalog.parquet(catalog.spark, directory, list(catalog), unique_keys=catalog.unique_keys), ragged
+
+
+def ragged_errors(catalog: Catalog, names: Sequence[str]) -> list[DataFrame]:
+    """Rows longer than their header in the named tables, as an error per file."""
+    message = F.concat(F.lit("rows with cells beyond the header in "), F.col("file")).alias("message")
+    told = ragged_rows({n: catalog[n] for n in names})
+    return [r.select(F.lit("").alias("entity"), "table", F.lit("").alias("slot"), message, "n") for r in told]
 
 
 def stored(df: DataFrame, path: str, ddl: str) -> DataFrame:
@@ -71,15 +89,17 @@ def validate_tables(catalog: Catalog, schema: TargetSchema, path: str) -> DataFr
     return stored(violation_counts(found), path, VIOLATION_COUNT)
 
 
-def map_entities(mapper: Mapper, directory: str, options: Options) -> tuple[dict[str, list[str]], DataFrame]:
-    """Derive and write every entity of the specs; returns outputs and the error summary.
+def map_entities(
+    mapper: Mapper, directory: str, options: Options, found: Sequence[DataFrame] = ()
+) -> tuple[dict[str, list[str]], DataFrame]:
+    """Derive and write every entity of the specs; returns outputs and the error summary, with errors found before.
 
     Where several readers (formats, error counts) need the derived records, these are
     stored once per entity and read from there, so no derivation runs twice.
     """
     spark = mapper.catalog.spark
     outputs: dict[str, list[str]] = {}
-    summaries: list[DataFrame] = [local_frame(spark, [], ERROR_SUMMARY)]
+    summaries: list[DataFrame] = [local_frame(spark, [], ERROR_SUMMARY), *found]
     for entity in mapper.specs.entities():
         derivation = mapper.derive(entity)
         if derivation.tracked or len(options.formats) > 1:
@@ -102,23 +122,36 @@ def run_pipeline(
     raw_dir: str | None = None,
     tables: Catalog | None = None,
     options: Options = Options(),
+    input_dir: str | None = None,
+    input_files: Sequence[str] = (),
+    replacements: DataFrame | None = None,
 ) -> Run:
-    """Raw archives (or ready tables) and specs to written entities.
+    """Raw archives, delimited files or ready tables, and specs, to written entities.
 
-    Give either a directory of archives, of which the tables the specs mention
-    are read, or a catalogue of tables.
+    Give one of: a directory of archives; a directory (or a list) of delimited files, in which
+    ``replacements`` (file name, column, old and new value) are made; a catalogue of tables. Of all
+    of these the tables that the specs mention are read.
     """
-    if (raw_dir is None) == (tables is None):
-        raise SpecError("give either raw_dir or tables")
+    given = (raw_dir is not None) + (tables is not None) + (input_dir is not None or bool(input_files))
+    if given != 1:
+        raise SpecError("give either raw_dir, tables, or input_dir or input_files")
+    if replacements is not None and not (input_dir or input_files):
+        raise SpecError("replacements are made in delimited files only")
     specs: SpecSet = load_specs(spark, spec_dir)
+    ragged: list[str] = []
     if tables is None:
-        tables = store_tables(archive_catalog(spark, raw_dir, spec_dir), f"{output_dir}/prepared")
+        if raw_dir is not None:
+            tables = archive_catalog(spark, raw_dir, spec_dir, options.layout, options.archive_pattern)
+        else:
+            paths = discover(spark, input_dir or "", input_files)
+            tables = Catalog.delimited(spark, paths, replacements=replacements).only(specs.tables())
+        tables, ragged = store_tables(tables, f"{output_dir}/prepared")
     else:
         tables = tables.only(specs.tables())
     if not len(tables):
-        raise SourceError("no table to read: neither the archives nor the catalogue hold one the specs mention")
+        raise SourceError("no table to read: neither the files nor the catalogue hold one the specs mention")
     # The file a row came from is ours, not the study's.
-    study = Catalog.of(spark, {t: tables[t].drop(FILE) for t in tables})
+    study = Catalog.of(spark, {t: tables[t].drop(FILE, BEYOND) for t in tables})
     schema = infer_schema(study, options.inference)
     text = schema_yaml(options.schema_name, schema)
     local_frame(spark, [(text,)], "value string").write.mode("overwrite").text(
@@ -131,5 +164,5 @@ def run_pipeline(
     keys = {t: {s.name for s in schema.classes[t].values() if s.identifier} | set(schema.unique_keys.get(t, ())) for t in study}
     tables = tables.knowing(keys)
     mapper = Mapper(tables, specs, load_schema(spark, target_schema), options.strict)
-    outputs, errors = map_entities(mapper, f"{output_dir}/mapped-data", options)
+    outputs, errors = map_entities(mapper, f"{output_dir}/mapped-data", options, ragged_errors(tables, ragged))
     return Run(schema, validated, found, verdict, errors, outputs)

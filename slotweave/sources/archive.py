@@ -9,8 +9,7 @@ task; all filters run on the line before it is split.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,12 +18,15 @@ from pyspark.sql import functions as F
 from slotweave.errors import SourceError
 from slotweave.functions.local import local_frame
 from slotweave.functions.text import table_id
+from slotweave.sources.files import SUBJECT, file_headers, headed_text
 
-SUBJECT = "dbGaP_Subject_ID"
+# Marks of the format.
 PLACEHOLDER = "Intentionally Blank"
-FILE = "_source_file"
 ACCESSION = r"(phv\d{8})\..*"
 
+FILE = "_source_file"
+BEYOND = "_beyond_header"
+
 
 def header_columns(line: str) -> list[str]:
     """Column names of an accession line: the subject id, then version-free accessions."""
@@ -33,20 +35,13 @@ def header_columns(line: str) -> list[str]:
     return names
 
 
-def archive_headers(spark: SparkSession, paths: list[str], parallel: int = 16) -> dict[str, str]:
-    """First accession line of each file.
+def blank_header_columns(line: str) -> list[str]:
+    """Column names of a header that follows a blank line."""
+    return [re.sub(r"(phv[0-9]{8})\.\S*", r"\1", c) for c in re.sub("^##", SUBJECT, line).split("\t")]
 
-    Each file is a job of its own that stops at that line, so no file is
-    decompressed further than its comment block; a few jobs run side by side.
-    """
 
-    def first(path: str) -> str | None:
-        rows = spark.read.text(path).filter(F.col("value").startswith("##")).head(1)
-        return rows[0].value if rows else None
-
-    with ThreadPoolExecutor(parallel) as pool:
-        found = dict(zip(paths, pool.map(first, paths)))
-    return {path: line for path, line in found.items() if line is not None}
+NAMES = {"markers": header_columns, "blank": blank_header_columns}
+NO_HEADER = {"markers": "no accession header in", "blank": "no header after a blank line in"}
 
 
 def is_data_line(line: Column) -> Column:
@@ -59,57 +54,52 @@ def is_data_line(line: Column) -> Column:
     )
 
 
-def split_lines(lines: DataFrame, column: str, names: list[str]) -> DataFrame:
+def split_lines(lines: DataFrame, column: str, names: list[str], beyond: str | None = None) -> DataFrame:
     """The cells of a line by position; a missing or empty cell is null.
 
-    Other columns are kept behind the cells. The line is split in a step of its
-    own, so it is split once however many columns there are.
+    ``beyond`` names a column for the cells after the last name, joined by tabs; it is
+    null where these are missing or blank. Other columns are kept behind the cells. The line
+    is split in a step of its own, so it is split once however many columns there are.
     """
     others = [F.col(f"`{c}`") for c in lines.columns if c != column]
     cells = lines.select(F.split(F.col(f"`{column}`"), "\t", -1).alias("__cells"), *others)
     picked = [F.nullif(F.get("__cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]
+    if beyond:
+        more = F.array_join(F.slice("__cells", len(names) + 1, F.greatest(F.size("__cells") - len(names), F.lit(0))), "\t")
+        picked.append(F.when(more.rlike(r"\S"), more).alias(beyond))
     return cells.select(*picked, *others)
 
 
-def read_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The data rows of archives of one table.
+def read_archive(
+    spark: SparkSession, paths: list[str], layout: str = "markers", headers: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The data rows of archives of one table, by either layout of their header (see ``files.headed``).
 
     Files with one header share a scan; files with different headers are
-    united by column name. ``_source_file`` tells the files apart.
+    united by column name. ``_source_file`` tells the files apart; ``_beyond_header`` holds
+    what a row has beyond its header. ``headers`` spares the job that finds them.
     """
-    headers = archive_headers(spark, paths)
+    if headers is None:
+        headers = file_headers(spark, paths, layout)
     missing = sorted(set(paths) - set(headers))
     if missing:
-        raise SourceError(f"no accession header in {missing}")
+        raise SourceError(f"{NO_HEADER[layout]} {missing}")
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path, line in sorted(headers.items()):
-        by_header.setdefault(tuple(header_columns(line)), []).append(path)
+    for path in sorted(paths):
+        by_header.setdefault(tuple(NAMES[layout](headers[path])), []).append(path)
     frames = []
     for names, files in by_header.items():
-        lines = spark.read.text(files).filter(is_data_line(F.col("value")))
-        source = F.substring_index(F.col("_metadata.file_path"), "/", -1).alias(FILE)
-        frames.append(split_lines(lines.select("value", source), "value", list(names)))
+        if layout == "markers":  # rows are told by themselves
+            lines = spark.read.text(files).filter(is_data_line(F.col("value")))
+            lines = lines.select("value", _file_name(F.col("_metadata.file_path")))
+        else:  # rows are told by their place
+            lines = headed_text(spark, files, layout, rows=True).select(F.col("line").alias("value"), _file_name(F.col("path")))
+        frames.append(split_lines(lines, "value", list(names), BEYOND))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of one file with their place: block, then row within the task.
-
-    A file read alone starts its first block at the first row of a task, so the
-    rows of that block are numbered from zero.
-    """
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block"), row.alias("row"), "value")
-
-
-def _header_place(lines: DataFrame) -> list[tuple[int, int, str]]:
-    """(block, row, text) of the two lines after the first blank one."""
-    at = F.struct("block", "row")
-    first = lines.filter(F.col("value") == "").agg(F.min(at).alias("at")).first().at
-    if first is None:
-        return []
-    after = (F.col("block") > first.block) | ((F.col("block") == first.block) & (F.col("row") > first.row))
-    return [tuple(r) for r in lines.filter(after).orderBy("block", "row").limit(2).collect()]
+def _file_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1).alias(FILE)
 
 
 def read_after_blank_line(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -118,18 +108,18 @@ def read_after_blank_line(spark: SparkSession, paths: list[str]) -> DataFrame:
     Lines up to the blank one are dropped, and so is a repeated names line
     right after the header.
     """
-    frames = []
-    for path in paths:
-        lines = _numbered(spark, path)
-        found = _header_place(lines)
-        if not found:
-            raise SourceError(f"no header after a blank line in {path}")
-        names = [re.sub(r"(phv[0-9]{8})\.\S*", r"\1", c) for c in re.sub("^##", SUBJECT, found[0][2]).split("\t")]
-        block, row, _ = found[1] if len(found) > 1 and found[1][2].startswith(SUBJECT) else found[0]
-        body = lines.filter((F.col("block") > block) | ((F.col("block") == block) & (F.col("row") > row)))
-        source = F.lit(path.rsplit("/", 1)[-1]).alias(FILE)
-        frames.append(split_lines(body.select("value", source), "value", names))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return read_archive(spark, paths, "blank")
+
+
+def ragged_rows(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Per table that tells: (table, file, n), how many rows of each file hold cells beyond its header."""
+    return [
+        df.filter(F.col(BEYOND).isNotNull())
+        .groupBy(F.lit(name).alias("table"), F.col(FILE).alias("file"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        for name, df in tables.items()
+        if BEYOND in df.columns
+    ]
 
 
 def referenced_tables(texts: DataFrame, column: str = "value") -> DataFrame:
@@ -146,11 +136,13 @@ def prune_files(files: DataFrame, references: DataFrame, path: str = "path") ->
     return named.join(references, "table_id", "left_semi")
 
 
-def archive_tables(spark: SparkSession, directory: str, spec_dir: str | None = None) -> dict[str, list[str]]:
+def archive_tables(
+    spark: SparkSession, directory: str, spec_dir: str | None = None, pattern: str = "*.txt.gz"
+) -> dict[str, list[str]]:
     """Archive files per table id, limited to the tables the specs mention."""
     from pyspark.errors import AnalysisException
 
-    files = spark.read.format("binaryFile").load(directory, pathGlobFilter="*.txt.gz").select("path")
+    files = spark.read.format("binaryFile").load(directory, pathGlobFilter=pattern).select("path")
     references = local_frame(spark, [], "table_id string")
     if spec_dir is not None:
         try:
@@ -165,9 +157,24 @@ def archive_tables(spark: SparkSession, directory: str, spec_dir: str | None = N
     return tables
 
 
-def archive_catalog(spark: SparkSession, directory: str, spec_dir: str | None = None):
-    """A catalogue of the archives of a directory, one table per accession."""
+def archive_catalog(
+    spark: SparkSession, directory: str, spec_dir: str | None = None, layout: str = "markers", pattern: str = "*.txt.gz"
+):
+    """A catalogue of the archives of a directory, one table per accession; one job finds all headers."""
     from slotweave.sources.catalog import Catalog
 
-    tables: dict[str, Iterable[str]] = archive_tables(spark, directory, spec_dir)
-    return Catalog(spark, {t: (lambda ps=ps: read_archive(spark, list(ps))) for t, ps in tables.items()})
+    tables = archive_tables(spark, directory, spec_dir, pattern)
+    headers = file_headers(spark, [p for paths in tables.values() for p in paths], layout)
+    return Catalog(spark, {t: (lambda ps=ps: read_archive(spark, ps, layout, headers)) for t, ps in tables.items()})
+
+
+def archive_columns(spark: SparkSession, files: Mapping[str, list[str]], layout: str = "markers") -> DataFrame:
+    """(table, column) of the tables' files, read from their headers alone and named on the executors."""
+    placed = local_frame(spark, [(t, p) for t, ps in files.items() for p in ps], "`table` string, path string")
+    found = headed_text(spark, [p for ps in files.values() for p in ps], layout).join(placed, "path")
+    cut = r"(phv\d{8})\..*" if layout == "markers" else r"(phv[0-9]{8})\.\S*"
+    cells = F.split(F.regexp_replace("line", "^#+", "" if layout == "markers" else SUBJECT), "\t", -1)
+    named = F.transform(cells, lambda c: F.trim(F.regexp_replace(c, cut, "$1")))
+    if layout == "markers":
+        named = F.concat(F.array(F.lit(SUBJECT)), F.filter(F.slice(named, 2, F.greatest(F.size(named) - 1, F.lit(0))), lambda c: c != ""))
+    return found.select("table", F.explode(named).alias("column")).distinct()

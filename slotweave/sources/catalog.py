@@ -42,17 +42,28 @@ class Catalog(Mapping[str, DataFrame]):
         )
 
     @classmethod
-    def delimited(cls, spark: SparkSession, paths: Iterable[str], **kw) -> Catalog:
-        """One all-text table per delimited file, named after the file."""
-        from slotweave.sources.delimited import read_table
+    def delimited(cls, spark: SparkSession, paths: Iterable[str], replacements: DataFrame | None = None, **kw) -> Catalog:
+        """One all-text table per delimited file, named after the file; one job finds all headers.
 
-        openers: dict[str, Callable[[], DataFrame]] = {}
+        ``replacements`` are made by file name, column and old value (see ``operators.replace``).
+        """
+        from slotweave.operators.replace import replace_cells
+        from slotweave.sources.delimited import read_table, separator_of
+        from slotweave.sources.files import file_headers
+
+        named: dict[str, str] = {}
         for path in paths:
             name = class_name_of_file(path)
-            if name in openers:
+            if name in named:
                 raise SourceError(f"two files give table {name!r}: {path}")
-            openers[name] = lambda path=path: read_table(spark, path)
-        return cls(spark, openers, **kw)
+            named[name] = path
+        headers = file_headers(spark, list(named.values()), "first")
+
+        def opened(path: str) -> DataFrame:
+            df = read_table(spark, path, separator_of(headers.get(path, "")))
+            return df if replacements is None else replace_cells(df, replacements, path.rsplit("/", 1)[-1])
+
+        return cls(spark, {n: (lambda p=p: opened(p)) for n, p in named.items()}, **kw)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.errors import SourceError
@@ -15,13 +16,25 @@ from slotweave.operators.metadata import combine_raw
 # Sheets looked for in a metadata export, in order.
 KNOWN_SHEETS = ("right_join_full", "Export_BDCHM_noFHS-noCOPDGene_p")
 
-EXTRA = "__beyond_the_header"
+RECORD = "__record"
+
+
+def _separators(record: Column, separator: str) -> Column:
+    """Separators of a record outside its quoted cells."""
+    sep = re.escape(separator)
+    bare = F.regexp_replace(record, f'(^|{sep})"(?:[^"]|"")*"', "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit("")))
 
 
 def detect_separator(spark: SparkSession, path: str) -> str:
     """Tab or comma, whichever the header line holds more often; tab on a tie."""
     first = spark.read.text(path).head(1)
-    header = first[0].value[:1024] if first else ""
+    return separator_of(first[0].value if first else "")
+
+
+def separator_of(header: str) -> str:
+    """Tab or comma, whichever a header line holds more often in its first 1024 characters; tab on a tie."""
+    header = header[:1024]
     return "\t" if header.count("\t") >= max(header.count(","), 1) else ","
 
 
@@ -38,13 +51,16 @@ def read_table(
         separator = separator or detect_separator(spark, path)
         read = spark.read.options(sep=separator, header=True, inferSchema=False, multiLine=breaks, escape='"')
         names = read.csv(path).columns
-        schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, EXTRA])
-        df = read.options(enforceSchema=True).schema(schema).csv(path) if names else read.csv(path)
+        schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, RECORD])
+        told = read.options(enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+        df = told.schema(schema).csv(path) if names else read.csv(path)
     except AnalysisException as e:
         raise SourceError(f"cannot read {path}: {e}") from e
     if names:
-        more = F.raise_error(F.lit(f"{path}: a row has more cells than the header")).cast("boolean")
-        df = df.filter(F.when(F.col(EXTRA).isNotNull(), more).otherwise(True)).drop(EXTRA)
+        # The reader marks rows with fewer or more cells than the header; the former are allowed.
+        long = _separators(F.col(RECORD), separator) >= len(names)
+        told = F.concat(F.lit(f"{path}: a row has more cells than the header: "), F.coalesce(F.col(f"`{names[0]}`"), F.lit("")))
+        df = df.filter(F.when(F.col(RECORD).isNotNull() & long, F.raise_error(told).cast("boolean")).otherwise(True)).drop(RECORD)
     return clean.null_tokens(df) if na_tokens else df
 
 

@@ -164,3 +164,45 @@ def test_validation_gate(spark, frame, tmp_path):
     assert gate(verdict.filter("passed"), strict=True) is True
     with pytest.raises(DataError, match="1 of 2 tables fail validation: t"):
         gate(verdict, strict=True)
+
+
+SPEC = "class_derivations: {{Participant: {{populated_from: {table}, slot_derivations: {{id: {{populated_from: {column}}}}}}}}}"
+
+
+def one_spec(tmp_path, table, column):
+    _, _, schema = write_study(tmp_path / "study")
+    (tmp_path / "spec").mkdir()
+    (tmp_path / "spec" / "p.yaml").write_text(SPEC.format(table=table, column=column))
+    return str(tmp_path / "spec"), schema
+
+
+def test_delimited_files_with_replacements(spark, frame, tmp_path):
+    specs, schema = one_spec(tmp_path, "my_people", "s")
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "deep" / "My-People.csv").write_text('s,t\n1,"a,b"\nx,\n')
+    (tmp_path / "in" / "other.tsv").write_text("s\tt\n9\t9\n")
+    rules = frame([("My-People.csv", "s", "x", "2"), ("other.tsv", "s", "1", "no")], ("filename", "column_name", "original_value", "replacement_value"))
+    run = run_pipeline(
+        spark, specs, schema, str(tmp_path / "out"), input_dir=str(tmp_path / "in"), replacements=rules, options=Options(formats=("jsonl",))
+    )
+    assert set(run.source_schema.classes) == {"my_people"}
+    assert sorted(text_of(run.outputs["Participant"][0]).splitlines()) == ['{"id":"1"}', '{"id":"2"}']
+    for more in ({"raw_dir": "x", "input_dir": "y"}, {"raw_dir": "x", "replacements": rules}, {}):
+        with pytest.raises(SpecError):
+            run_pipeline(spark, specs, schema, str(tmp_path / "no"), **more)
+
+
+@pytest.mark.parametrize("layout", ["markers", "blank"])
+def test_archive_rows_beyond_the_header_are_reported(spark, tmp_path, layout):
+    specs, schema = one_spec(tmp_path, "pht000001", "phv00000001")
+    (tmp_path / "raw").mkdir()
+    head = "# c\n\n##\tphv00000001.v1.p1\ndbGaP_Subject_ID\tX\n"
+    for name, body in (("a", "1\tS1\n2\tS2\tlost\n3\tS3\t\n4\tS4\t\tmore\n"), ("b", "5\tS5\n")):
+        (tmp_path / "raw" / f"{name}.pht000001.txt").write_text(head + body)
+    options = Options(formats=("jsonl",), layout=layout, archive_pattern="*.txt")
+    run = run_pipeline(spark, specs, schema, str(tmp_path / "out"), raw_dir=str(tmp_path / "raw"), options=options)
+    assert len(text_of(run.outputs["Participant"][0]).splitlines()) == 5
+    assert [tuple(r) for r in run.errors.collect()] == [
+        ("", "pht000001", "", "rows with cells beyond the header in a.pht000001.txt", 2)
+    ]
+    assert set(run.source_schema.classes["pht000001"]) == {"dbGaP_Subject_ID", "phv00000001"}

@@ -6,7 +6,8 @@ from conftest import records
 from slotweave.errors import SourceError
 from slotweave.plans.spec import parse_specs
 from slotweave.sources.archive import (
-    archive_catalog, archive_tables, header_columns, read_after_blank_line, read_archive, referenced_tables,
+    archive_catalog, archive_columns, archive_tables, header_columns, ragged_rows, read_after_blank_line, read_archive,
+    referenced_tables,
 )
 from slotweave.sources.catalog import Catalog
 from slotweave.sources.columns import column_catalogue, resolve_placeholder, tables_of_references
@@ -31,10 +32,12 @@ def test_archive_lines(spark, tmp_path):
         "dbGaP_Subject_ID\tSUBJECT_ID\tSEX\n4\tS4\n## second\tx\n5\tS5\t1\textra\n"
     )
     df = read_archive(spark, [archive(tmp_path / "phs1.v1.pht000001.v1.txt.gz", body)])
-    assert df.columns == ["dbGaP_Subject_ID", "phv00000001", "phv00000002", "_source_file"]
-    assert [tuple(r)[:3] for r in df.orderBy("dbGaP_Subject_ID").collect()] == [
-        ("1", "S1", "2"), ("2", "S2", None), ("4", "S4", None), ("5", "S5", "1"),
+    assert df.columns == ["dbGaP_Subject_ID", "phv00000001", "phv00000002", "_beyond_header", "_source_file"]
+    assert [tuple(r)[:4] for r in df.orderBy("dbGaP_Subject_ID").collect()] == [
+        ("1", "S1", "2", None), ("2", "S2", None, None), ("4", "S4", None, None), ("5", "S5", "1", "extra"),
     ]
+    (told,) = ragged_rows({"t": df, "u": df.drop("_beyond_header")})
+    assert [tuple(r) for r in told.collect()] == [("t", "phs1.v1.pht000001.v1.txt.gz", 1)]
 
 
 def test_archives_of_one_table_are_united(spark, tmp_path):
@@ -77,7 +80,7 @@ def test_header_far_down_a_split_file(spark, tmp_path):
     try:
         df = read_after_blank_line(spark, [str(path)])
         got = df.collect()
-        assert df.columns == ["dbGaP_Subject_ID", "phv00000001", "_source_file"]
+        assert df.columns == ["dbGaP_Subject_ID", "phv00000001", "_beyond_header", "_source_file"]
         assert len(got) == 3000 and {tuple(r)[:2] for r in got} == want
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -102,6 +105,50 @@ def test_pruning_by_specs(spark, tmp_path):
     assert "pht000099" not in catalog and catalog["pht000001"].count() == 1
 
 
+def job_count(spark, group):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("layout", ["markers", "blank"])
+def test_headers_of_many_files_take_one_job(spark, tmp_path, layout):
+    files = {}
+    for k in range(12):
+        accessions = f"##\tphv{k:08d}.v1.p1\tphv{k + 1:08d}.v2\n"
+        path = tmp_path / f"a.pht{k:06d}.txt.gz"
+        if layout == "markers":
+            archive(path, f"{k}\tS\t1\n", accessions)
+        else:
+            with gzip.open(path, "wt") as f:
+                f.write("# c\nanything\n\n" + accessions + f"{k}\tS\t1\textra\n")
+        files[f"pht{k:06d}"] = [str(path)]
+    spark.sparkContext.setJobGroup(f"headers-{layout}", "")
+    catalog = archive_catalog(spark, str(tmp_path), layout=layout)
+    before = job_count(spark, f"headers-{layout}")
+    columns = {t: catalog[t].columns for t in catalog}
+    assert job_count(spark, f"headers-{layout}") == before <= 4  # three to list, one for 12 headers; opening a table takes none
+    assert columns["pht000003"][:3] == ["dbGaP_Subject_ID", "phv00000003", "phv00000004"]
+    spark.sparkContext.setJobGroup(f"columns-{layout}", "")
+    found = {(r["table"], r["column"]) for r in archive_columns(spark, files, layout).collect()}
+    assert found == {(t, c) for t, cs in columns.items() for c in cs if not c.startswith("_")}
+    row = catalog["pht000007"].first()
+    assert (row[0], row["phv00000008"], row["_beyond_header"]) == ("7", "1", None if layout == "markers" else "extra")
+
+
+def test_header_scan_stops_at_the_header(tmp_path):
+    from slotweave.sources.files import headed, lines_of
+
+    path = tmp_path / "t.txt.gz"
+    with gzip.open(path, "wt") as f:
+        f.write("# c\r\n## h\tphv1\r\n" + "1\t2\n" * 10)
+    header, rest = headed(lines_of(str(path)), "markers")
+    assert header == "## h\tphv1" and len(list(rest)) == 10
+    assert headed(iter(["a", "b"]), "markers")[0] is None
+    assert headed(iter(["a", "", "h"]), "blank")[0] == "h" and headed(iter(["a", ""]), "blank")[0] is None
+    assert headed(iter([]), "first")[0] is None and headed(iter(["x"]), "first")[0] == "x"
+    assert list(headed(iter(["", "h", "dbGaP_Subject_ID\tx", "1"]), "blank")[1]) == ["1"]
+    assert list(headed(iter(["", "h", "0", "1"]), "blank")[1]) == ["0", "1"]
+
+
 def test_references(frame):
     df = frame([("a pht1 b pht22",), ("pht1",), (None,)], ("value",))
     assert sorted(r.table_id for r in referenced_tables(df).collect()) == ["pht1", "pht22"]
@@ -186,6 +233,11 @@ def test_cells_with_line_breaks_and_extra_cells(spark, tmp_path):
     (tmp_path / "m.csv").write_text('phv,desc,pht\nphv1,"line one\nline two",pht1\nphv2,x\n')
     rows = sorted(tuple(r) for r in read_metadata(spark, str(tmp_path / "m.csv")).collect())
     assert rows == [("phv1", "line one\nline two", "pht1"), ("phv2", "x", None)]
-    (tmp_path / "x.csv").write_text("a,b\n1,2,3\n")
-    with pytest.raises(Exception, match="more cells than the header"):
-        read_table(spark, str(tmp_path / "x.csv")).collect()
+    for k, row in enumerate(["1,2,3", "1,2,,4", "1,2,,", '"1,5",2,"x"', '1,"2\nb",3']):
+        (tmp_path / f"x{k}.csv").write_text(f"a,b\n7,8\n{row}\n")
+        for act in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("b").collect()):
+            with pytest.raises(Exception, match="more cells than the header"):
+                act(read_table(spark, str(tmp_path / f"x{k}.csv"), breaks=True))
+    (tmp_path / "y.csv").write_text('a,b,c\n"1,2",3\n"x, ""y"", z"\n1,"2,3,4",5\n')
+    got = sorted(tuple(r) for r in read_table(spark, str(tmp_path / "y.csv")).collect())
+    assert got == [("1", "2,3,4", "5"), ("1,2", "3", None), ('x, "y", z', None, None)]

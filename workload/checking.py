@@ -1,5 +1,6 @@
 """Profiles, validation, scans and sinks over the given tables."""
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from slotweave.functions.local import local_frame
@@ -8,7 +9,7 @@ from slotweave.operators.validate import summary, verdicts, violation_counts, vi
 from slotweave.plans.schema import parse_schema
 from slotweave.sinks.flatten import flatten
 from slotweave.sinks.writers import drop_columns, json_lines, write_quoted_csv, yaml_documents
-from slotweave.sources.archive import is_data_line, prune_files, referenced_tables, split_lines
+from slotweave.sources.archive import is_data_line, prune_files, read_archive, referenced_tables, split_lines
 from slotweave.sources.columns import tables_of_references
 from slotweave.sources.delimited import read_table
 from slotweave.sources.digests import pair_digests
@@ -169,10 +170,11 @@ def quoted_csv_round_trip(spark, sf_dir):
 
 @registry.add("""
 SELECT CAST(c_custkey AS VARCHAR) AS subject, CAST(NULL AS VARCHAR) AS phv1,
-       CASE WHEN c_nationkey > 5 THEN c_mktsegment END AS phv2 FROM customer WHERE c_nationkey >= 5
+       CASE WHEN c_nationkey > 5 THEN c_mktsegment END AS phv2, CASE WHEN c_nationkey > 5 THEN 'extra' END AS beyond
+FROM customer WHERE c_nationkey >= 5
 """)
 def archive_lines(spark, sf_dir):
-    """Archive lines of every kind: data rows kept and split, ragged and blank cells null."""
+    """Archive lines of every kind: data rows kept and split, missing and blank cells null, cells beyond the header kept apart."""
     n, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")
     line = (
         F.when(n == 0, F.concat(F.lit("# "), F.col("c_name")))
@@ -184,7 +186,42 @@ def archive_lines(spark, sf_dir):
         .otherwise(F.concat(key, F.lit("\t\t"), F.col("c_mktsegment"), F.lit("\textra")))
     )
     lines = table(spark, sf_dir, "customer").select(line.alias("line"))
-    return split_lines(lines.filter(is_data_line(F.col("line"))), "line", ["subject", "phv1", "phv2"])
+    return split_lines(lines.filter(is_data_line(F.col("line"))), "line", ["subject", "phv1", "phv2"], "beyond")
+
+
+def _archive_files(spark, sf_dir, layout: str, keys: Column) -> list[str]:
+    """A compressed file per nation of the customers chosen: head lines, then rows; returns the paths."""
+    nation, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")
+    more = F.when(nation % 3 == 0, F.lit("\tphv00000003.v2.p1")).otherwise("")
+    accessions = F.concat(F.lit("##\tphv00000001.v1.p1.c1\tphv00000002.v1"), more)
+    heads = ["# a comment", "# another", "", accessions, "dbGaP_Subject_ID\tNAME\tSEGMENT"]
+    cells = F.concat(key, F.lit("\t"), "c_name", F.lit("\t"), F.when(nation % 2 == 0, F.col("c_mktsegment")).otherwise(""))
+    third = F.when((nation % 3 == 0) & (F.col("c_custkey") % 4 > 0), F.lit("\tthird")).otherwise("")
+    beyond = F.when((nation % 3 > 0) & (F.col("c_custkey") % 5 == 0), F.concat(F.lit("\t\t"), key)).otherwise("")
+    rows = table(spark, sf_dir, "customer").where(keys)
+    first = [F.struct(F.lit(float(i - 9)).alias("at"), (F.lit(h) if isinstance(h, str) else h).alias("value")) for i, h in enumerate(heads)]
+    lines = rows.select(nation, F.struct(F.col("c_custkey").cast("double").alias("at"), F.concat(cells, third, beyond).alias("value")).alias("l"))
+    tops = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey")).where(keys).select(nation, F.explode(F.array(*first)).alias("l"))
+    placed = tops.unionAll(lines).select(nation, "l.at", "l.value").repartition(8, nation).sortWithinPartitions(nation, "at")
+    path = scratch(spark, f"archives-{layout}")
+    placed.select("value", nation).write.partitionBy("c_nationkey").option("compression", "gzip").text(path)
+    return spark.read.text(path).inputFiles()
+
+
+@registry.add("""
+SELECT CAST(c_custkey AS VARCHAR) AS subject, c_name AS name, CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment END AS segment,
+       CASE WHEN c_nationkey % 3 = 0 AND c_custkey % 4 > 0 THEN 'third' END AS third,
+       CASE WHEN c_nationkey % 3 > 0 AND c_custkey % 5 = 0 THEN chr(9) || c_custkey END AS beyond
+FROM customer
+""")
+def archive_files(spark, sf_dir):
+    """Compressed archives of both layouts, written and read: headers found by a task a file, longer rows kept apart."""
+    frames = []
+    for layout, keys in (("markers", F.col("c_nationkey") < 12), ("blank", F.col("c_nationkey") >= 12)):
+        read = read_archive(spark, _archive_files(spark, sf_dir, layout, keys), layout)
+        names = [F.col("dbGaP_Subject_ID").alias("subject"), F.col("phv00000001").alias("name"), F.col("phv00000002").alias("segment")]
+        frames.append(read.select(*names, F.col("phv00000003").alias("third"), F.col("_beyond_header").alias("beyond")))
+    return frames[0].unionAll(frames[1])
 
 
 @registry.add("""
