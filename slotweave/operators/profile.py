@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotweave.functions.local import local_frame
+from slotweave.functions.local import local_frame, side_by_side
 from slotweave.plans.schema import TargetSchema, TargetSlot
 from slotweave.sources.catalog import Catalog
 
@@ -21,6 +21,7 @@ DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MEASUREMENT = r"^[-+]?[0-9]+(\.[0-9]+)? [A-Za-z%/\[\]{}]+$"
 
 COLUMNS_AT_ONCE = 100  # groups of one aggregate, which Spark keeps in memory up to 128
+SLICE_VALUES = 10_000
 PROFILE = (
     "position int, column string, n_rows bigint, n_present bigint, n_distinct bigint, "
     "min_length int, max_length int, example string, type string"
@@ -111,6 +112,62 @@ def exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
     return values.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
+@dataclass(frozen=True)
+class Slice:
+    """What a slice of a column's values shows: whether one occurs twice, and how many there are."""
+
+    repeated: bool
+    values: int
+    whole: bool  # the slice holds all values
+
+
+def sliced(df: DataFrame, columns: list[str], n_rows: int, slice_values: int = SLICE_VALUES) -> dict[str, Slice]:
+    """A slice of each column's values, drawn by their hash, so that all cells of a value are in it or none.
+
+    It has about `slice_values` values of a column whose values are all different. Only cells of the slice
+    are moved, reduced to distinct values first. A value that occurs twice in it disproves a key for
+    certain, and a column has at least the values its slice has.
+    """
+    parts = max(1, n_rows // slice_values)
+
+    def cell(i: int, name: str) -> Column:
+        value = _c(name).cast("string")
+        inside = value.isNotNull() & (F.pmod(F.xxhash64(value), F.lit(parts)) == 0)
+        return F.when(inside, F.struct(F.lit(i).alias("position"), value.alias("value")))
+
+    cells = F.array_compact(F.array(*[cell(i, c) for i, c in enumerate(columns)]))
+    counted = df.select(F.explode(cells).alias("c")).groupBy("c.position", "c.value").agg(F.count(F.lit(1)).alias("n"))
+    told = counted.groupBy("position").agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("values")).collect()
+    found = {columns[r.position]: Slice(r.most > 1, r["values"], parts == 1) for r in told}
+    return {c: found.get(c, Slice(False, 0, parts == 1)) for c in columns}
+
+
+def surviving_counts(
+    df: DataFrame, n_rows: int, keys: set[str], enums: set[str], max_values: int, slice_values: int = SLICE_VALUES
+) -> dict[str, int]:
+    """Exact distinct counts of the columns that may still be keys (`keys`) or enums (`enums`) after a slice of values.
+
+    Columns that the slice disproves are left out, so only the values of survivors are all moved.
+    """
+    seen = sliced(df, sorted(keys | enums), n_rows, slice_values) if keys | enums else {}
+    left = {c for c in keys if not seen[c].repeated} | {c for c in enums if seen[c].values <= max_values}
+    counts = {c: seen[c].values for c in left if seen[c].whole}
+    open_ = sorted(left - set(counts))
+    return counts | ({r.column: r.n_distinct for r in exact_distinct(df, open_).collect()} if open_ else {})
+
+
+def key_columns(df: DataFrame, slice_values: int = SLICE_VALUES) -> DataFrame:
+    """(position, column, role) of the columns in which every row has its own value; the first is the identifier."""
+    fields = [f.name for f in _scalar_columns(df)]
+    present = [F.count(_c(f)).alias(f"c{i}") for i, f in enumerate(fields)]
+    n_rows, *found = df.agg(F.count(F.lit(1)), *present).first()
+    complete = {f for f, n in zip(fields, found) if n == n_rows > 0}
+    counts = surviving_counts(df, n_rows, complete, set(), 0, slice_values)
+    keys = [(i, f) for i, f in enumerate(fields) if counts.get(f) == n_rows > 0]
+    rows = [(i, f, "unique_key" if k else "identifier") for k, (i, f) in enumerate(keys)]
+    return local_frame(df.sparkSession, rows, "position int, column string, role string")
+
+
 def distinct_ratio(profile: DataFrame) -> DataFrame:
     """The profile with the share of distinct values among all rows."""
     return profile.withColumn("ratio", F.try_divide("n_distinct", "n_rows"))
@@ -146,7 +203,8 @@ def infer_table(df: DataFrame, options: InferenceOptions = InferenceOptions()) -
     """Slots, enums and unique keys of one table.
 
     Columns without a missing cell may be keys, and text columns enums if these are
-    asked for; all of them are counted exactly, so no estimate decides.
+    asked for. Most are disproved by an exact slice of their values; those left are counted
+    exactly, so no estimate decides.
     """
     profile = profile_columns(df).orderBy("position").collect()  # one row per column
     possible_key = {
@@ -157,11 +215,12 @@ def infer_table(df: DataFrame, options: InferenceOptions = InferenceOptions()) -
         r.column for r in profile
         if r.type == "string" and r.n_present and options.max_enum_size
     }
-    exact = {}
-    if possible_key | possible_enum:
-        exact = {r.column: r.n_distinct for r in exact_distinct(df, sorted(possible_key | possible_enum)).collect()}
+    n_rows = max((r.n_rows for r in profile), default=0)
+    exact = surviving_counts(df, n_rows, possible_key, possible_enum, options.max_enum_size)
     listed = [
-        r.column for r in profile if r.column in possible_enum and options.is_enum(r.type, exact[r.column], r.n_rows)
+        r.column
+        for r in profile
+        if r.column in possible_enum and options.is_enum(r.type, exact.get(r.column, 0), r.n_rows)
     ]
     values = {}
     if listed:  # each set holds at most max_enum_size values
@@ -171,7 +230,7 @@ def infer_table(df: DataFrame, options: InferenceOptions = InferenceOptions()) -
     slots: dict[str, TargetSlot] = {}
     keys: list[str] = []
     for r in profile:
-        if r.column in possible_key and exact[r.column] == r.n_rows:
+        if r.column in possible_key and exact.get(r.column) == r.n_rows:
             keys.append(r.column)
         kind = f"{r.column}_enum" if r.column in values else r.type
         slots[r.column] = TargetSlot(r.column, kind, identifier=keys == [r.column])
@@ -185,8 +244,9 @@ def infer_schema(catalog: Catalog, options: InferenceOptions = InferenceOptions(
     the enum, which then holds the values of all of them.
     """
     classes, enums, unique = {}, {}, {}
-    for table in catalog:
-        classes[table], found, keys = infer_table(catalog[table], options)
+    inferred = side_by_side(catalog.spark, lambda t: infer_table(catalog[t], options), list(catalog))
+    for table, (slots, found, keys) in zip(catalog, inferred):
+        classes[table] = slots
         for name, values in found.items():
             enums[name] = tuple(sorted({*enums.get(name, ()), *values}))
         if keys:

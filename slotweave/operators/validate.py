@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Collection
 from functools import reduce
 from operator import and_, or_
 
@@ -39,11 +40,14 @@ def _misfit(column: Column, dtype: T.DataType, slot: TargetSlot, schema: TargetS
     return None
 
 
-def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None = None) -> DataFrame:
+def violations(
+    df: DataFrame, table: str, schema: TargetSchema, cls: str | None = None, proved: Collection[str] = ()
+) -> DataFrame:
     """Every broken rule as (table, slot, rule, value).
 
     Row rules come from one scan; a duplicate key is one row per value, found for
-    all keys together by counting partial sums of their values.
+    all keys together by counting partial sums of their values. Columns `proved` to be
+    unique are not counted again.
     """
     slots = schema.classes[cls or table]
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -71,7 +75,7 @@ def violations(df: DataFrame, table: str, schema: TargetSchema, cls: str | None
         parts.append(found.select(F.lit(table).alias("table"), "v.slot", "v.rule", "v.value"))
     unique = [s.name for s in slots.values() if s.identifier] + list(schema.unique_keys.get(cls or table, ()))
     keys = [(key,) if isinstance(key, str) else tuple(key) for key in unique]
-    keys = [key for key in keys if set(key) <= set(types)]
+    keys = [key for key in keys if set(key) <= set(types) and not set(key) & set(proved)]
     if keys:
         # The cells of all keys come from one scan.
         cells = {key: [F.col(f"`{n}`") for n in key] for key in keys}

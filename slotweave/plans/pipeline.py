@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.errors import SourceError, SpecError
-from slotweave.functions.local import local_frame
+from slotweave.functions.local import local_frame, side_by_side
 from slotweave.operators.profile import InferenceOptions, infer_schema, schema_yaml
 from slotweave.operators.validate import VIOLATION_COUNT, gate, verdicts, violation_counts, violations
 from slotweave.plans.derive import ERROR_SUMMARY, Mapper
@@ -57,17 +57,19 @@ def store_tables(catalog: Catalog, directory: str) -> tuple[Catalog, list[str]]:
     later scans read columns in parallel and survive a lost executor. A large
     archive is cut into several files. Long rows are counted by the same pass.
     """
-    ragged = []
-    for name in catalog:
+
+    def store(name: str) -> bool:
         table, seen = catalog[name], None
         if BEYOND in table.columns:
             seen = Observation(f"stored {name}")
             table = table.observe(seen, F.count(F.col(BEYOND)).alias("n"))
         cut = table.write.mode("overwrite").option("maxRecordsPerFile", RECORDS_PER_FILE)
         cut.parquet(f"{directory}/{name}.parquet")
-        if seen is not None and seen.get["n"]:
-            ragged.append(name)
-    return Catalog.parquet(catalog.spark, directory, list(catalog), unique_keys=catalog.unique_keys), ragged
+        return seen is not None and seen.get["n"] > 0
+
+    names = list(catalog)
+    ragged = [n for n, long in zip(names, side_by_side(catalog.spark, store, names)) if long]
+    return Catalog.parquet(catalog.spark, directory, names, unique_keys=catalog.unique_keys), ragged
 
 
 def ragged_errors(catalog: Catalog, names: Sequence[str]) -> list[DataFrame]:
@@ -83,9 +85,9 @@ def stored(df: DataFrame, path: str, ddl: str) -> DataFrame:
     return df.sparkSession.read.schema(ddl).json(path)
 
 
-def validate_tables(catalog: Catalog, schema: TargetSchema, path: str) -> DataFrame:
-    """Violations of all tables, counted and stored."""
-    found = reduce(DataFrame.unionAll, [violations(catalog[t], t, schema) for t in catalog])
+def validate_tables(catalog: Catalog, schema: TargetSchema, path: str, proved: Mapping[str, Collection[str]] = {}) -> DataFrame:
+    """Violations of all tables, counted and stored; columns `proved` to be unique are not counted again."""
+    found = reduce(DataFrame.unionAll, [violations(catalog[t], t, schema, proved=proved.get(t, ())) for t in catalog])
     return stored(violation_counts(found), path, VIOLATION_COUNT)
 
 
@@ -157,11 +159,11 @@ def run_pipeline(
     local_frame(spark, [(text,)], "value string").write.mode("overwrite").text(
         f"{output_dir}/{options.schema_name}.yaml"
     )
-    found = validate_tables(study, schema, f"{output_dir}/validation")
+    # Columns just counted as unique need no second count, and no de-duplication in joins.
+    keys = {t: {s.name for s in schema.classes[t].values() if s.identifier} | set(schema.unique_keys.get(t, ())) for t in study}
+    found = validate_tables(study, schema, f"{output_dir}/validation", keys)
     verdict = verdicts(found, list(study))
     validated = gate(verdict, options.strict_validation)
-    # Columns just counted as unique need no de-duplication in joins.
-    keys = {t: {s.name for s in schema.classes[t].values() if s.identifier} | set(schema.unique_keys.get(t, ())) for t in study}
     tables = tables.knowing(keys)
     mapper = Mapper(tables, specs, load_schema(spark, target_schema), options.strict)
     outputs, errors = map_entities(mapper, f"{output_dir}/mapped-data", options, ragged_errors(tables, ragged))

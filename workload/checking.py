@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from slotweave.functions.local import local_frame
-from slotweave.operators.profile import InferenceOptions, distinct_ratio, infer_table, profile_columns, unique_columns
+from slotweave.operators.profile import InferenceOptions, distinct_ratio, infer_table, key_columns, profile_columns
 from slotweave.operators.validate import summary, verdicts, violation_counts, violations
 from slotweave.plans.schema import parse_schema
 from slotweave.sinks.flatten import flatten
@@ -77,7 +77,7 @@ FROM (
 def unique_keys(spark, sf_dir):
     """Identifier and further unique columns of a table."""
     customer = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_name", "c_acctbal")
-    return unique_columns(profile_columns(customer, exact=True))
+    return key_columns(customer, slice_values=200)
 
 
 # --- validation ------------------------------------------------------------
@@ -153,6 +153,43 @@ def inferred_enums(spark, sf_dir):
     return local_frame(spark, [(e, v) for e, values in enums.items() for v in values], "enum string, value string")
 
 
+# A wide text table: keys, almost keys, enums and what is neither.
+WIDE = {
+    "order": "o_orderkey",
+    "customer": "o_custkey",
+    "status": "o_orderstatus",
+    "priority": "o_orderpriority",
+    "pair": "o_custkey || '-' || o_orderstatus",
+    "almost": "'n' || CASE WHEN o_orderkey % 1000 = 0 THEN 0 ELSE o_orderkey END",
+    "back": "'k' || (900000000 - o_orderkey)",
+    "gaps": "CASE WHEN o_orderkey % 2 = 0 THEN 'v' || o_orderkey END",
+    "both": "o_orderstatus || CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END",
+    "sparse": "CASE WHEN o_custkey % 7 = 0 THEN 'x' || o_custkey % 3 END",
+}
+
+
+@registry.add(
+    "WITH w AS (SELECT "
+    + ", ".join(f'CAST({e} AS VARCHAR) AS "{c}"' for c, e in WIDE.items())
+    + " FROM orders) SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CASE WHEN count("{c}") = count(*) AND count(DISTINCT "{c}") = count(*) THEN 'key'
+            WHEN count(DISTINCT "{c}") <= 5 AND NOT bool_and(regexp_matches("{c}", '^[0-9]+$')) THEN 'enum' END AS role,
+            CASE WHEN count(DISTINCT "{c}") <= 5 AND NOT bool_and(regexp_matches("{c}", '^[0-9]+$'))
+            THEN string_agg(DISTINCT "{c}", ',' ORDER BY "{c}") END AS codes FROM w"""
+        for c in WIDE
+    )
+    + ") WHERE role IS NOT NULL"
+)
+def inferred_roles(spark, sf_dir):
+    """Keys and enums of a wide text table: most columns are disproved by a slice of their values."""
+    wide = table(spark, sf_dir, "orders").selectExpr(*[f"cast({e} AS string) AS `{c}`" for c, e in WIDE.items()])
+    slots, enums, keys = infer_table(wide, InferenceOptions(max_enum_size=5))
+    unique = [s.name for s in slots.values() if s.identifier] + list(keys)
+    rows = [(c, "key", None) for c in unique] + [(e.removesuffix("_enum"), "enum", ",".join(vs)) for e, vs in enums.items()]
+    return local_frame(spark, rows, "column string, role string, codes string")
+
+
 # --- scans -----------------------------------------------------------------
 
 
