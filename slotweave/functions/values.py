@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 NUMBER = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 
 
+# Codes up to which a mapping is a literal of the plan.
+LITERAL_CODES = 100
+
+
 def number(c: Column) -> Column:
     """The text cell as a double, null when it is not written as a number (as `5d`, `Infinity` and `nan` are not)."""
     text = c.cast("string")
@@ -29,10 +33,10 @@ def number_text(c: Column, dtype: T.DataType) -> Column:
 
 
 def lookup(mapping: Mapping[str, str], key: Column) -> Column:
-    """Value of ``key`` in a driver-side mapping, null when it is not listed.
+    """Value of ``key`` in a short driver-side mapping, null when it is not listed.
 
-    The mapping comes from a spec, so it is short; the literal map folds into
-    one constant of the plan.
+    The literal map folds into one constant of the plan, which is searched from its start;
+    mappings of more than LITERAL_CODES are joined (see ``plans.derive``).
     """
     if not mapping:
         return F.lit(None).cast("string")

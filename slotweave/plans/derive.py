@@ -9,19 +9,19 @@ record per block.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotweave.errors import DataError, SourceError, SpecError
 from slotweave.functions.local import local_frame
 from slotweave.functions.units import convert
-from slotweave.functions.values import coerce, lookup
+from slotweave.functions.values import LITERAL_CODES, coerce, lookup
 from slotweave.operators.joins import duplicate_keys, lookup_join, one_row_per_key
 from slotweave.plans.expression import (
     ExpressionCompiler,
@@ -33,12 +33,13 @@ from slotweave.plans.expression import (
     literal,
     unify,
 )
-from slotweave.plans.schema import SCALAR_TYPES, TargetSchema
+from slotweave.plans.schema import NUMERIC_RANGES, SCALAR_TYPES, TargetSchema
 from slotweave.plans.spec import ClassDerivation, SlotDerivation, SpecSet
 from slotweave.sources.catalog import Catalog
 
 ERRORS = "_errors"
 ERROR_TYPE = "array<struct<slot:string,message:string>>"
+DROPPED = "rows beyond the first of their join key are left out"
 ERROR_SUMMARY = "entity string, `table` string, slot string, message string, n bigint"
 
 
@@ -65,6 +66,52 @@ class Items:
 Node = Scalar | Record | Items
 
 
+@dataclass(frozen=True)
+class Coded:
+    """A slot whose code is looked up in the entity's dictionary."""
+
+    name: str  # of the column that will hold the value
+    mapping: int  # number of its mapping in the dictionary
+    code: Column
+
+    @property
+    def key(self) -> str:
+        return f"{self.name}_key"
+
+
+class Dictionary:
+    """The large code mappings of an entity as one table of (key, value).
+
+    A key is a mapping's number and the code, so that one table serves all coded slots: it is
+    broadcast (or shuffled) once, and every slot probes it.
+    """
+
+    def __init__(self) -> None:
+        self.mappings: dict[tuple[tuple[str, str], ...], int] = {}
+        self.slots = 0
+
+    def coded(self, mapping: Mapping[str, str], code: Column) -> Coded:
+        number = self.mappings.setdefault(tuple(sorted(mapping.items())), len(self.mappings))
+        self.slots += 1
+        return Coded(f"__code{self.slots}", number, code)
+
+    def frame(self, spark) -> DataFrame:
+        rows = [(_code_key(n, k), v) for entries, n in self.mappings.items() for k, v in entries]
+        return local_frame(spark, rows, "key string, value string")
+
+    @staticmethod
+    def joined(df: DataFrame, dictionary: DataFrame, coded: list[Coded]) -> DataFrame:
+        """The rows with the value of every coded slot, null for an unlisted code."""
+        df = df.select("*", *[F.concat(F.lit(_code_key(c.mapping, "")), c.code).alias(c.key) for c in coded])
+        for c in coded:
+            df = df.join(dictionary.select(F.col("key").alias(c.key), F.col("value").alias(c.name)), c.key, "left").drop(c.key)
+        return df
+
+
+def _code_key(mapping: int, code: str) -> str:
+    return f"{mapping}:{code}"
+
+
 @dataclass
 class Block:
     """One compiled class derivation."""
@@ -73,6 +120,7 @@ class Block:
     record: Record
     errors: list[tuple[str, RowError]]
     joined: dict[tuple[str, str], set[str]]  # (table, key) -> columns
+    coded: list[Coded]
 
 
 def _joined_name(table: str, key: str, column: str) -> str:
@@ -80,9 +128,11 @@ def _joined_name(table: str, key: str, column: str) -> str:
 
 
 class _BlockCompiler:
-    def __init__(self, block: ClassDerivation, mapper: Mapper):
+    def __init__(self, block: ClassDerivation, mapper: Mapper, dictionary: Dictionary):
         self.block = block
         self.mapper = mapper
+        self.dictionary = dictionary
+        self.coded: list[Coded] = []
         self.catalog = mapper.catalog
         self.source = mapper.types(block.populated_from)
         self.joins: dict[str, str] = dict(block.joins)
@@ -95,7 +145,7 @@ class _BlockCompiler:
             if key not in self.source or key not in self.catalog[table].columns:
                 raise SpecError(f"join key {key!r} is missing in {self.block.populated_from!r} or {table!r}")
         record = self._class(self.block, "")
-        return Block(self.block.populated_from, record, self.errors, self.joined)
+        return Block(self.block.populated_from, record, self.errors, self.joined, self.coded)
 
     def resolve(self, name: str) -> Value:
         table, _, column = name.partition(".")
@@ -105,12 +155,12 @@ class _BlockCompiler:
                 raise SpecError(f"table {table!r} has no column {column!r}")
             key = self.joins[table]
             self.joined.setdefault((table, key), set()).add(column)
-            return self.mapper.cell(_joined_name(table, key, column), types[column])
+            return self.mapper.cell(_joined_name(table, key, column), types[column], self.mapper.words(table, column))
         if column and table == self.block.populated_from and column in self.source:
             name = column
         if name not in self.source:
             raise SpecError(f"table {self.block.populated_from!r} has no column {name!r}")
-        return self.mapper.cell(name, self.source[name])
+        return self.mapper.cell(name, self.source[name], self.mapper.words(self.block.populated_from, name))
 
     def _class(self, block: ClassDerivation, path: str) -> Record:
         if block.populated_from != self.block.populated_from and block.populated_from not in self.joins:
@@ -136,7 +186,8 @@ class _BlockCompiler:
 
     def _scalar(self, slot: SlotDerivation, block: ClassDerivation, target) -> Value:
         if slot.expr is not None:
-            value = self.expressions.compile(str(slot.expr))
+            declared = SCALAR_TYPES.get(slot.range or (target.range if target else None) or "")
+            value = self.expressions.compile(str(slot.expr), declared)
         elif slot.has_value:
             value = literal(slot.value)
         elif slot.populated_from is not None:
@@ -146,7 +197,7 @@ class _BlockCompiler:
         else:
             value = literal(None)
         if slot.value_mappings is not None:
-            value = Value(lookup(slot.value_mappings, as_text(value)), T.StringType(), errors=value.errors)
+            value = Value(self._looked_up(slot.value_mappings, as_text(value)), T.StringType(), errors=value.errors)
         elif slot.unit_conversion is not None:
             unit = slot.unit_conversion
             parsed = as_number(value)
@@ -156,10 +207,17 @@ class _BlockCompiler:
         elif target is not None and target.range in self.mapper.specs.enums:
             enum = self.mapper.specs.enums[target.range]
             key = as_text(value)
-            mapped = lookup(enum.sources, key)
+            mapped = self._looked_up(enum.sources, key)
             value = Value(F.coalesce(mapped, key) if enum.mirror_source else mapped, T.StringType(), errors=value.errors)
         return value
 
+    def _looked_up(self, mapping: Mapping[str, str], code: Column) -> Column:
+        """A code's value: from a literal map if it is short, else from the entity's dictionary."""
+        if len(mapping) <= LITERAL_CODES:
+            return lookup(mapping, code)
+        self.coded.append(self.dictionary.coded(mapping, code))
+        return F.col(self.coded[-1].name)
+
     def _column(self, name: str, block: ClassDerivation) -> Value:
         if block.populated_from != self.block.populated_from and "." not in name:
             name = f"{block.populated_from}.{name}"
@@ -195,14 +253,17 @@ class Mapper:
         target: TargetSchema | None = None,
         strict: bool = False,
         functions: Mapping[str, SlotFunction] | None = None,
+        source: TargetSchema | None = None,
     ):
+        """``source`` is the schema inferred from the tables; without it no text column is known to hold no numbers."""
         self.catalog = catalog
+        self.source = source or TargetSchema({})
         self.specs = specs
         self.target = target or TargetSchema({})
         self.strict = strict
         self.functions: dict[str, SlotFunction] = dict(functions or {})
         self._types: dict[str, dict[str, T.DataType]] = {}
-        self._cells: dict[tuple[str, T.DataType], Value] = {}
+        self._cells: dict[tuple[str, T.DataType, bool], Value] = {}
 
     def types(self, table: str) -> dict[str, T.DataType]:
         """Column types of a table."""
@@ -210,11 +271,17 @@ class Mapper:
             self._types[table] = {f.name: f.dataType for f in self.catalog[table].schema.fields}
         return self._types[table]
 
-    def cell(self, name: str, dtype: T.DataType) -> Value:
+    def words(self, table: str, column: str) -> bool:
+        """Whether the source schema says that a column holds other text than numbers."""
+        slot = self.source.slot(table, column)
+        return slot is not None and slot.range not in NUMERIC_RANGES
+
+    def cell(self, name: str, dtype: T.DataType, words: bool = False) -> Value:
         """A source cell, built once however many slots read it."""
-        if (name, dtype) not in self._cells:
-            self._cells[name, dtype] = Value(F.col(f"`{name}`"), dtype, raw=isinstance(dtype, T.StringType))
-        return self._cells[name, dtype]
+        key = (name, dtype, words)
+        if key not in self._cells:
+            self._cells[key] = Value(F.col(f"`{name}`"), dtype, raw=isinstance(dtype, T.StringType), words=words)
+        return self._cells[key]
 
     def register_function(self, name: str, fn: SlotFunction) -> None:
         """Make ``fn`` (columns to column) callable in slot expressions."""
@@ -224,9 +291,10 @@ class Mapper:
         """The records of one entity over all its blocks."""
         blocks: list[Block] = []
         refused: list[tuple[str, str, str, str]] = []
+        dictionary = Dictionary()
         for derivation in self.specs.blocks(entity):
             try:
-                blocks.append(_BlockCompiler(derivation, self).compile())
+                blocks.append(_BlockCompiler(derivation, self, dictionary).compile())
             except (SpecError, SourceError) as e:
                 if self.strict:
                     raise
@@ -238,8 +306,12 @@ class Mapper:
         by_table: dict[str, list[Block]] = {}
         for b in blocks:
             by_table.setdefault(b.table, []).append(b)
-        staged = {t: self._fan_out(t, bs, shape, tracked) for t, bs in by_table.items()}
-        return Derivation(entity, self.catalog.spark, staged, shape.dtype(), tracked, refused)
+        codes = dictionary.frame(self.catalog.spark) if dictionary.mappings else None
+        staged = {t: self._fan_out(t, bs, shape, tracked, codes) for t, bs in by_table.items()}
+        kinds = {t: list(dict.fromkeys((slot, e.message) for b in bs for slot, e in b.errors)) for t, bs in by_table.items()}
+        joined = sorted({where for b in blocks for where in b.joined})
+        dropped = [self._dropped(entity, *where) for where in joined if not self.strict and not self._unique(*where)]
+        return Derivation(entity, self.catalog.spark, staged, shape.dtype(), tracked, refused, kinds if tracked else {}, dropped)
 
     def _shape(self, cls: str, records: list[Record], above: tuple[str, ...]) -> Shape:
         names: list[str] = list(self.target.classes.get(cls, {}))
@@ -267,8 +339,11 @@ class Mapper:
                 fields[name] = Shape(types, declared)
         return Shape(fields=fields)
 
-    def _fan_out(self, table: str, blocks: list[Block], shape: Shape, tracked: bool) -> DataFrame:
+    def _fan_out(self, table: str, blocks: list[Block], shape: Shape, tracked: bool, codes: DataFrame | None) -> DataFrame:
         base = self._base(table, blocks)
+        coded = [c for b in blocks for c in b.coded]
+        if coded:
+            base = Dictionary.joined(base, codes, coded)
         structs = [self._block_struct(b, shape, tracked) for b in blocks]
         # explode, unlike inline, is part of whole-stage code generation.
         # The array is a projection of its own, where what the blocks have in
@@ -290,13 +365,24 @@ class Mapper:
             )
             right = right.filter(F.col(f"`{key}`").isNotNull())
             single = right
-            if key not in self.catalog.unique_keys.get(other, ()):
+            if not self._unique(other, key):
                 if self.strict:
                     self._require_unique(other, key)
                 single = one_row_per_key(right, [key])
             base = lookup_join(base, single, [key])
         return base
 
+    def _unique(self, table: str, key: str) -> bool:
+        return key in self.catalog.unique_keys.get(table, ())
+
+    def _dropped(self, entity: str, table: str, key: str) -> DataFrame:
+        """How many rows of a join table its key leaves out, as an error; no row if none."""
+        counted = self.catalog[table].groupBy(F.col(f"`{key}`").alias("key")).agg((F.count(F.lit(1)) - 1).alias("more"))
+        total = counted.filter("key IS NOT NULL").agg(F.sum("more").alias("n")).filter("n > 0")
+        return total.select(
+            F.lit(entity).alias("entity"), F.lit(table).alias("table"), F.lit(key).alias("slot"), F.lit(DROPPED).alias("message"), "n"
+        )
+
     def _require_unique(self, table: str, key: str) -> None:
         keyed = self.catalog[table].filter(F.col(f"`{key}`").isNotNull())
         sample = duplicate_keys(keyed, [key]).limit(5).collect()
@@ -354,6 +440,31 @@ class Derivation:
     dtype: T.StructType
     tracked: bool
     refused: list[tuple[str, str, str, str]]
+    kinds: Mapping[str, list[tuple[str, str]]] = field(default_factory=dict)  # per table (slot, message) that can occur
+    dropped: list[DataFrame] = field(default_factory=list)  # counts of rows that joins leave out
+
+    def observed(self) -> tuple[Derivation, Callable[[], DataFrame]]:
+        """The same derivation, counting its errors in the pass that first reads it whole; and the counts after it."""
+        seen: dict[str, Observation] = {}
+        staged = dict(self.staged)
+        for table, kinds in self.kinds.items():
+            if kinds:
+                entry = lambda slot, message: F.struct(F.lit(slot).alias("slot"), F.lit(message).alias("message"))
+                counts = [F.count_if(F.array_contains(ERRORS, entry(*k))).alias(f"n{i}") for i, k in enumerate(kinds)]
+                seen[table] = Observation(f"{self.entity}/{table}")
+                staged[table] = staged[table].observe(seen[table], *counts)
+
+        def told() -> DataFrame:
+            rows = [
+                (self.entity, table, *kind, n)
+                for table, o in seen.items()
+                for i, kind in enumerate(self.kinds[table])
+                if (n := o.get[f"n{i}"])
+            ]
+            rows += [(*r, None) for r in self.refused]
+            return reduce(DataFrame.unionAll, [local_frame(self.spark, rows, ERROR_SUMMARY), *self.dropped])
+
+        return self.reading(staged), told
 
     def reading(self, staged: Mapping[str, DataFrame]) -> Derivation:
         """The same derivation over stored copies of its staged frames."""
@@ -388,10 +499,10 @@ class Derivation:
 
     @property
     def errors(self) -> DataFrame:
-        """Row errors counted per table and slot; ``n`` is null for a refused block."""
+        """Row errors counted per table and slot, and rows left out by joins; ``n`` is null for a refused block."""
         refused = local_frame(self.spark, [(*r, None) for r in self.refused], ERROR_SUMMARY)
         if not self.tracked:
-            return refused
+            return reduce(DataFrame.unionAll, [refused, *self.dropped])
         counted = [
             df.filter(F.col(ERRORS).isNotNull())
             .select(F.explode(ERRORS).alias("e"))
@@ -400,7 +511,7 @@ class Derivation:
             .select(F.lit(self.entity).alias("entity"), F.lit(table).alias("table"), "slot", "message", "n")
             for table, df in self.staged.items()
         ]
-        return reduce(DataFrame.unionAll, [*counted, refused] if self.refused else counted)
+        return reduce(DataFrame.unionAll, [*counted, *([refused] if self.refused else []), *self.dropped])
 
     def require_clean(self) -> None:
         """Raise when any row failed or any block was refused."""

@@ -40,6 +40,7 @@ class Value:
     column: Column
     dtype: T.DataType
     raw: bool = False
+    words: bool = False  # a source cell of a column that is known to hold other text than numbers
     errors: tuple[RowError, ...] = ()
     constant: object = None
     number_view: Value | None = field(default=None, compare=False, repr=False)  # kept by as_number
@@ -81,8 +82,11 @@ class ExpressionCompiler:
     def __init__(self, resolve: Resolver, functions: Mapping[str, SlotFunction] | None = None):
         self._resolve = resolve
         self._functions = dict(functions or {})
+        self._declared: T.DataType | None = None
+        self._sums: set[int] = set()  # the additions whose result is the slot's value
 
-    def compile(self, text: str) -> Value:
+    def compile(self, text: str, declared: T.DataType | None = None) -> Value:
+        """The expression for a slot of the declared type; None where none is declared."""
         try:
             tree = ast.parse(text.strip(), mode="eval")
         except SyntaxError as e:
@@ -90,6 +94,12 @@ class ExpressionCompiler:
         names = {n.id for n in ast.walk(tree) if isinstance(n, ast.Name)}
         if "__import__" in names:
             raise SpecError(f"Import expressions are not supported: {text!r}")
+        self._declared, self._sums, open_ = declared, set(), [tree.body]
+        while open_:
+            node = open_.pop()
+            if isinstance(node, ast.BinOp) and isinstance(node.op, ast.Add):
+                self._sums.add(id(node))
+                open_ += [node.left, node.right]
         return self._node(tree.body, text)
 
     def _node(self, node: ast.expr, text: str) -> Value:
@@ -127,7 +137,7 @@ class ExpressionCompiler:
 
     def _on_binop(self, node: ast.BinOp, text: str) -> Value:
         left, right = self._node(node.left, text), self._node(node.right, text)
-        if isinstance(node.op, ast.Add) and (left.is_text or right.is_text):
+        if isinstance(node.op, ast.Add) and (left.is_text or right.is_text or self._joins_words(node, left, right)):
             joined = F.concat(as_text(left), as_text(right))
             return Value(joined, T.StringType(), errors=left.errors + right.errors)
         a, b = as_number(left), as_number(right)
@@ -145,6 +155,14 @@ class ExpressionCompiler:
             return Value(F.try_divide(a.column, b.column), T.DoubleType(), errors=errors)
         raise SpecError(f"operator {type(node.op).__name__} is not supported: {text!r}")
 
+    def _joins_words(self, node: ast.BinOp, left: Value, right: Value) -> bool:
+        """Whether the sum of two source cells is a text: by the slot's declared type, else by what the columns hold."""
+        if not (left.raw and right.raw):
+            return False
+        if self._declared is not None and id(node) in self._sums:
+            return isinstance(self._declared, T.StringType)
+        return left.words and right.words
+
     def _on_compare(self, node: ast.Compare, text: str) -> Value:
         operands = [self._node(n, text) for n in [node.left, *node.comparators]]
         result: Column | None = None

@@ -16,7 +16,7 @@ from slotweave.operators.validate import VIOLATION_COUNT, gate, verdicts, violat
 from slotweave.plans.derive import ERROR_SUMMARY, Mapper
 from slotweave.plans.schema import TargetSchema, load_schema
 from slotweave.plans.spec import SpecSet, load_specs
-from slotweave.sinks.writers import write_entity
+from slotweave.sinks.writers import ONE_PASS, write_entity
 from slotweave.sources.archive import BEYOND, FILE, archive_catalog, ragged_rows
 from slotweave.sources.catalog import Catalog
 from slotweave.sources.delimited import discover
@@ -96,23 +96,28 @@ def map_entities(
 ) -> tuple[dict[str, list[str]], DataFrame]:
     """Derive and write every entity of the specs; returns outputs and the error summary, with errors found before.
 
-    Where several readers (formats, error counts) need the derived records, these are
-    stored once per entity and read from there, so no derivation runs twice.
+    Entities run side by side. Errors are counted by the pass that writes the records. Where several
+    formats, or a format that takes two passes, need records that cost a derivation, these are stored once
+    and read from there.
     """
     spark = mapper.catalog.spark
-    outputs: dict[str, list[str]] = {}
-    summaries: list[DataFrame] = [local_frame(spark, [], ERROR_SUMMARY), *found]
-    for entity in mapper.specs.entities():
-        derivation = mapper.derive(entity)
-        if derivation.tracked or len(options.formats) > 1:
+
+    def write(entity: str) -> tuple[list[str], DataFrame]:
+        derivation, errors = mapper.derive(entity).observed()
+        if not set(options.formats) <= ONE_PASS or len(options.formats) > 1:
+            copies = {}
             for table, staged in derivation.staged.items():
-                staged.write.mode("overwrite").parquet(f"{directory}/_staged/{entity}/{table}")
-            copies = {t: spark.read.parquet(f"{directory}/_staged/{entity}/{t}") for t in derivation.staged}
+                path = f"{directory}/_staged/{entity}/{table}"
+                staged.write.mode("overwrite").parquet(path)
+                copies[table] = spark.read.parquet(path)
             derivation = derivation.reading(copies)
-        outputs[entity] = write_entity(
-            derivation.records, directory, entity, options.formats, options.prefix, options.postfix
-        )
-        summaries.append(derivation.errors)
+        paths = write_entity(derivation.records, directory, entity, options.formats, options.prefix, options.postfix)
+        return paths, errors()
+
+    entities = mapper.specs.entities()
+    written = side_by_side(spark, write, entities)
+    summaries = [local_frame(spark, [], ERROR_SUMMARY), *found, *(errors for _, errors in written)]
+    outputs = {entity: paths for entity, (paths, _) in zip(entities, written)}
     return outputs, stored(reduce(DataFrame.unionAll, summaries), f"{directory}/_errors", ERROR_SUMMARY)
 
 
@@ -165,6 +170,6 @@ def run_pipeline(
     verdict = verdicts(found, list(study))
     validated = gate(verdict, options.strict_validation)
     tables = tables.knowing(keys)
-    mapper = Mapper(tables, specs, load_schema(spark, target_schema), options.strict)
+    mapper = Mapper(tables, specs, load_schema(spark, target_schema), options.strict, source=schema)
     outputs, errors = map_entities(mapper, f"{output_dir}/mapped-data", options, ragged_errors(tables, ragged))
     return Run(schema, validated, found, verdict, errors, outputs)

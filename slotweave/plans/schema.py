@@ -28,6 +28,11 @@ SCALAR_TYPES: dict[str, T.DataType] = {
 }
 
 
+NUMERIC_RANGES = frozenset(r for r, t in SCALAR_TYPES.items() if isinstance(t, T.NumericType))
+# The C parser where the library has it: specs with large maps are long.
+LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+
+
 @dataclass(frozen=True)
 class TargetSlot:
     name: str
@@ -89,7 +94,7 @@ def _slots(body: Mapping, shared: Mapping, default: str | None = None) -> dict[s
 
 
 def parse_schema(text: str) -> TargetSchema:
-    doc = yaml.safe_load(text) or {}
+    doc = yaml.load(text, LOADER) or {}
     shared, default = doc.get("slots") or {}, doc.get("default_range")
     classes, keys = {}, {}
     for name, body in (doc.get("classes") or {}).items():

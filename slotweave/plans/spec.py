@@ -15,6 +15,7 @@ import yaml
 from pyspark.sql import SparkSession
 
 from slotweave.errors import SpecError
+from slotweave.plans.schema import LOADER
 
 
 @dataclass(frozen=True)
@@ -158,7 +159,7 @@ def parse_specs(texts: Iterable[str]) -> SpecSet:
     classes: list[ClassDerivation] = []
     enums: dict[str, EnumDerivation] = {}
     for text in texts:
-        for doc in yaml.safe_load_all(text):
+        for doc in yaml.load_all(text, LOADER):
             for block in doc if isinstance(doc, list) else [doc]:
                 if not isinstance(block, Mapping):
                     continue

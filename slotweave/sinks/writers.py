@@ -115,6 +115,10 @@ FORMATS: dict[str, Writer] = {
 }
 
 
+#: Formats whose writer reads the records once.
+ONE_PASS = frozenset({"tsv", "jsonl", "yaml"})
+
+
 def output_name(entity: str, fmt: str, prefix: str = "", postfix: str = "") -> str:
     """``prefix-entity-postfix.fmt`` without the empty parts."""
     return "-".join(x for x in (prefix, entity, postfix) if x) + f".{fmt}"

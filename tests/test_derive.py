@@ -280,3 +280,74 @@ def test_declared_types_and_booleans(frame):
     assert sorted(tuple(r)[1:] for r in violations(df, "t", schema).collect()) == [
         ("a", "type", "x"), ("b", "type", "maybe"), ("d", "type", "soon"),
     ]
+
+
+# --- large code maps ----------------------------------------------------------
+
+
+def test_large_maps_share_one_broadcast(spark, frame):
+    import json
+
+    codes = {f"c{k}": f"v{k % 7}" for k in range(5000)}
+    other = {f"c{k}": f"w{k}" for k in range(300)}
+    slot = lambda column, mapping: {"populated_from": column, "value_mappings": mapping}
+    block = {"populated_from": "t", "slot_derivations": {"a": slot("x", codes), "b": slot("y", codes), "c": slot("x", other), "d": slot("x", {"c1": "short"})}}
+    df = frame([("c1", "c4999"), ("c0", None), ("none", ""), (None, "c1"), ("c1", "c4999")], ("x", "y"))
+    d = mapper(spark, {"t": df}, json.dumps({"class_derivations": {"C": block}}), strict=True).derive("C")
+    got = d.records
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [("v1", "v1", "w1", "short"), ("v0", None, "w0", None), (None, None, None, None), (None, "v1", None, None), ("v1", "v1", "w1", "short")], key=str
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+    assert plan.count("ReusedExchange") == 2
+
+
+def test_large_enum_mirrors_what_is_not_listed(spark, frame):
+    import json
+
+    listed = {f"T{k}": {"populated_from": f"s{k}"} for k in range(500)}
+    spec = {
+        "class_derivations": {"C": {"populated_from": "t", "slot_derivations": {"e": {"populated_from": "x"}}}},
+        "enum_derivations": {"big": {"mirror_source": True, "permissible_value_derivations": listed}},
+    }
+    schema = "enums: {big: {permissible_values: {T1: {}}}}\nclasses: {C: {attributes: {e: {range: big}}}}"
+    rows = mapper(spark, {"t": frame([("s3",), ("other",), (None,)], ("x",))}, json.dumps(spec), schema).derive("C").records.collect()
+    assert [r.e for r in rows] == ["T3", "other", None]
+
+
+# --- sums of two text columns, losses of joins, observed errors ----------------
+
+
+@pytest.mark.parametrize(
+    ("slot", "known", "want"),
+    [("{expr: '{a} + {b}', range: string}", None, "34"), ("{expr: '{a} + {b}', range: float}", "string", 7.0), ("{expr: '{a} + {b}'}", None, 7.0),
+     ("{expr: '{a} + {b}'}", "string", "34"), ("{expr: '{a} + {b}'}", "integer", 7.0), ("{expr: '{a} * 2 + {b}', range: string}", None, "10"),
+     ("{expr: 'str({a} + {b})', range: string}", None, "7"), ("{expr: '{a} + {b} + {a}', range: string}", None, "343")],
+)
+def test_plus_goes_by_declared_then_inferred_type(spark, frame, slot, known, want):
+    source = parse_schema(f"classes: {{t: {{attributes: {{a: {{range: {known}}}, b: {{range: {known}}}}}}}}}") if known else None
+    d = mapper(spark, {"t": frame([("3", "4")], ("a", "b"))}, slots(v=slot), source=source).derive("C")
+    assert [r.v for r in d.records.collect()] == [want] and d.errors.count() == 0
+
+
+JOINED = "class_derivations: {C: {populated_from: t, joins: {u: {join_on: k}}, slot_derivations: {v: {populated_from: u.w}, z: {expr: '1 / {n}'}}}}"
+
+
+def test_join_losses_are_counted(spark, frame):
+    left = frame([("1", "1"), ("2", "0"), ("3", "0")], ("k", "n"))
+    right = frame([("1", "b"), ("1", "a"), ("1", "a"), ("2", "c"), (None, "d"), (None, "e")], ("k", "w"))
+    want = {("C", "t", "z", "division by zero", 2), ("C", "u", "k", "rows beyond the first of their join key are left out", 2)}
+    d = mapper(spark, {"t": left, "u": right}, JOINED).derive("C")
+    assert {tuple(r) for r in d.errors.collect()} == want
+    observed, told = d.observed()
+    assert observed.records.count() == 1 and {tuple(r) for r in told().collect()} == want
+    unique = Catalog.of(spark, {"t": left, "u": right.filter("w = 'c'")}, unique_keys={"u": ["k"]})
+    assert not Mapper(unique, parse_specs([JOINED])).derive("C").dropped
+
+
+def test_observed_errors_of_empty_and_clean_tables(spark, frame):
+    for rows in ([], [("1", "1")]):
+        d = mapper(spark, {"t": frame(rows, ("k", "n")), "u": frame([("1", "a")], ("k", "w"))}, JOINED).derive("C")
+        observed, told = d.observed()
+        assert observed.records.count() == len(rows) and told().collect() == []

@@ -104,6 +104,10 @@ def test_lenient_run_reports_errors(spark, tmp_path):
         ("Participant", "", "Import expressions are not supported"): None,
     }
     assert len(text_of(run.outputs["Demography"][0]).splitlines()) == len(SUBJECTS)
+    assert not glob.glob(str(tmp_path / "out/mapped-data/_staged"))  # one format, one pass
+    twice = run_pipeline(spark, specs, schema, str(tmp_path / "two"), raw_dir=raw, options=Options(formats=("jsonl", "json")))
+    assert {tuple(r) for r in twice.errors.collect()} == {tuple(r) for r in run.errors.collect()}
+    assert glob.glob(str(tmp_path / "two/mapped-data/_staged/*"))
 
 
 def test_strict_run_stops(spark, tmp_path):

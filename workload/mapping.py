@@ -1,5 +1,7 @@
 """Class derivations: specs compiled over the given tables."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from slotweave.sinks.flatten import flatten
@@ -115,6 +117,42 @@ def derive_enum(spark, sf_dir):
     return derive(spark, sf_dir, "Shipment", ENUM_SPEC, ENUM_SCHEMA).records
 
 
+#: Codes 0 to 49 999 and their values; every seventh code is not listed.
+LARGE_CODES = {str(k): f"OMOP:{k * 37 % 50_000}" for k in range(50_000) if k % 7}
+LARGE_SPEC = {
+    "class_derivations": {
+        "CodedLine": {
+            "populated_from": "lineitem",
+            "slot_derivations": {
+                "line": {"expr": "l_orderkey * 10 + l_linenumber", "range": "integer"},
+                "part": {"populated_from": "l_partkey", "value_mappings": LARGE_CODES},
+                "order": {"populated_from": "l_orderkey", "value_mappings": LARGE_CODES},
+                "kind": {"populated_from": "l_suppkey"},
+            },
+        }
+    },
+    "enum_derivations": {
+        "kind_enum": {
+            "mirror_source": True,
+            "permissible_value_derivations": {f"K{k}": {"populated_from": str(k)} for k in range(0, 20_000, 2)},
+        }
+    },
+}
+LARGE_SCHEMA = "enums: {kind_enum: {permissible_values: {K0: {}}}}\nclasses: {CodedLine: {attributes: {line: {range: integer}, kind: {range: kind_enum}}}}"
+LARGE_SQL = "CASE WHEN {c} % 7 <> 0 AND {c} < 50000 THEN 'OMOP:' || {c} * 37 % 50000 END"
+
+
+@registry.add(f"""
+SELECT l_orderkey * 10 + l_linenumber AS line, {LARGE_SQL.format(c="l_partkey")} AS part, {LARGE_SQL.format(c="l_orderkey")} AS "order",
+       CASE WHEN l_suppkey % 2 = 0 AND l_suppkey < 20000 THEN 'K' ELSE '' END || l_suppkey AS kind
+FROM lineitem
+""")
+def derive_large_maps(spark, sf_dir):
+    """Two slots with a map of 43 000 codes and an enum of 10 000, from one dictionary."""
+    return derive(spark, sf_dir, "CodedLine", json.dumps(LARGE_SPEC), LARGE_SCHEMA).records
+
+
+
 CASE_SPEC = """
 - class_derivations:
     Visit:
@@ -155,17 +193,25 @@ CONCAT_SPEC = """
         id: {populated_from: n_nationkey}
         title: {expr: '{n_name} + " / " + {region.r_name}'}
         code: {expr: 'str({n_nationkey}) + ":" + str({n_regionkey} * 10)'}
+        joined: {expr: '{n_name} + {region.r_name}', range: string}
+        digits: {expr: '{tens} + {ones} + {tens}', range: string}
+        total: {expr: '{tens} + {ones} + {tens}', range: integer}
+        open: {expr: '{tens} + {ones}'}
 """
 
 
 @registry.add("""
 SELECT n_nationkey AS id, n_name || ' / ' || r_name AS title,
-       CAST(n_nationkey AS VARCHAR) || ':' || CAST(n_regionkey * 10 AS VARCHAR) AS code
+       CAST(n_nationkey AS VARCHAR) || ':' || CAST(n_regionkey * 10 AS VARCHAR) AS code, n_name || r_name AS joined,
+       (n_nationkey // 10) || '' || (n_nationkey % 10) || (n_nationkey // 10) AS digits,
+       CAST(2 * (n_nationkey // 10) + n_nationkey % 10 AS BIGINT) AS total,
+       CAST(n_nationkey // 10 + n_nationkey % 10 AS DOUBLE) AS "open"
 FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
 """)
 def derive_concat(spark, sf_dir):
-    """Text concatenation, str() of whole doubles, a joined text column."""
-    nation = table(spark, sf_dir, "nation").withColumn("r_regionkey", F.col("n_regionkey"))
+    """Texts joined by +, also of two source columns where the slot is text; sums where it is a number or open."""
+    tens, ones = F.floor(F.col("n_nationkey") / 10).cast("string"), (F.col("n_nationkey") % 10).cast("string")
+    nation = table(spark, sf_dir, "nation").withColumns({"tens": tens, "ones": ones, "r_regionkey": F.col("n_regionkey")})
     return derive(spark, sf_dir, "Place", CONCAT_SPEC, nation=nation).records
 
 
@@ -194,6 +240,32 @@ def derive_join(spark, sf_dir):
     return derive(spark, sf_dir, "Purchase", JOIN_SPEC, orders=orders).records
 
 
+DROPPED_SPEC = """
+- class_derivations:
+    Purchase:
+      populated_from: orders
+      joins:
+        lineitem: {join_on: o_orderkey}
+        customer: {join_on: o_custkey}
+      slot_derivations:
+        order: {populated_from: o_orderkey}
+        flag: {populated_from: lineitem.l_returnflag}
+        segment: {populated_from: customer.c_mktsegment}
+"""
+
+
+@registry.add("""
+SELECT 'Purchase' AS entity, 'lineitem' AS "table", 'o_orderkey' AS slot,
+       'rows beyond the first of their join key are left out' AS message, count(*) - count(DISTINCT l_orderkey) AS n
+FROM lineitem WHERE l_orderkey IS NOT NULL HAVING count(*) > count(DISTINCT l_orderkey)
+""")
+def derive_join_losses(spark, sf_dir):
+    """The rows of a join table that its key leaves out, counted in the error channel."""
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    return derive(spark, sf_dir, "Purchase", DROPPED_SPEC, lineitem=lines, customer=customer).errors
+
+
 UNIT_SPEC = """
 - class_derivations:
     Size:
