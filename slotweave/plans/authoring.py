@@ -10,7 +10,8 @@ from slotweave.errors import SourceError
 from slotweave.operators.metadata import DEFAULT_ENTITY, apply_overrides, prepare_metadata
 from slotweave.operators.render import render_specs
 from slotweave.operators.rules import CleanupRule, parse_rules
-from slotweave.sinks.writers import DEFAULT_LAYOUT, write_quoted_csv, write_spec_files
+from slotweave.sinks.spec_files import DEFAULT_LAYOUT, write_spec_files
+from slotweave.sinks.writers import write_quoted_csv
 from slotweave.sources.delimited import KNOWN_SHEETS, discover, pick_sheet, read_metadata
 
 

@@ -265,6 +265,10 @@ class Mapper:
         self._types: dict[str, dict[str, T.DataType]] = {}
         self._cells: dict[tuple[str, T.DataType, bool], Value] = {}
 
+    def over(self, catalog: Catalog) -> Mapper:
+        """The same specs over other tables."""
+        return Mapper(catalog, self.specs, self.target, self.strict, self.functions, self.source)
+
     def types(self, table: str) -> dict[str, T.DataType]:
         """Column types of a table."""
         if table not in self._types:

@@ -1,4 +1,4 @@
-"""Record writers: TSV, JSON Lines, wrapped JSON, YAML, quoted CSV, spec files.
+"""Record writers: TSV, JSON Lines, wrapped JSON, YAML, quoted CSV.
 
 Every writer leaves a directory of part files written by many tasks. Where a
 format needs a frame around all records, the parts in name order are the
@@ -7,10 +7,9 @@ document; tabular parts each carry the header.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,58 +136,3 @@ def write_entity(
         FORMATS[fmt](df, path, f"{entity.lower()}s")
         paths.append(path)
     return paths
-
-
-DEFAULT_LAYOUT = "{cohort}/{quality}/{varname}"
-
-
-def layout_columns(layout: str) -> list[str]:
-    """Partition columns of a layout pattern; absolute and parent paths are refused."""
-    if layout.startswith("/") or re.match(r"^[A-Za-z]+:", layout):
-        raise SpecError(f"layout {layout!r} is absolute; it must be relative to the output directory")
-    parts = [p for p in re.sub(r"\.ya?ml$", "", layout).split("/") if p]
-    if ".." in parts:
-        raise SpecError(f"layout {layout!r} leaves the output directory")
-    names = [re.fullmatch(r"\{(cohort|quality|varname)\}", p) for p in parts]
-    if not names or not all(names):
-        raise SpecError(f"layout {layout!r} must be made of {{cohort}}, {{quality}} and {{varname}}")
-    return [n[1] for n in names]
-
-
-def spec_texts(rendered: DataFrame, layout: str = DEFAULT_LAYOUT) -> DataFrame:
-    """One spec text per cohort, quality and variable, its rows by phv and text.
-
-    A text is one cell, so it must fit into a task; `write_spec_files` has no such bound.
-    """
-    columns = layout_columns(layout)
-    rows = F.array_sort(F.collect_list(F.struct("phv", "text")))
-    return rendered.groupBy(*columns).agg(F.array_join(F.transform(rows, lambda r: r["text"]), "").alias("text"))
-
-
-def write_spec_files(rendered: DataFrame, directory: str, layout: str = DEFAULT_LAYOUT) -> None:
-    """Rendered specs, one directory per cohort, quality and variable.
-
-    Rows are ranged over the directories and ordered in them, so a large
-    directory is written by several tasks and its parts in name order are the
-    spec text.
-    """
-    columns = layout_columns(layout)
-    unsafe = rendered.filter(F.col("varname").isin("", ".", "..")).limit(1).count()
-    if unsafe:
-        raise SpecError("a variable name would leave its directory")
-    order = [*[F.col(c) for c in columns], F.col("phv"), F.col("text")]
-    text = F.regexp_replace("text", r"\n$", "")
-    (
-        rendered.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select(*columns, text.alias("value"))
-        .write.mode("overwrite")
-        .partitionBy(*columns)
-        .text(directory)
-    )
-
-
-def read_spec_files(spark: SparkSession, directory: str) -> list[str]:
-    """Texts of the spec files a writer left below a directory (configuration-sized)."""
-    files = spark.read.text(directory, wholetext=True, recursiveFileLookup=True, pathGlobFilter="part-*")
-    return [r.value for r in files.selectExpr("_metadata.file_path AS path", "value").orderBy("path").collect()]

@@ -9,7 +9,7 @@ from metadata_fixture import (
 )
 from slotweave import apply_override_files, generate_spec_files, parse_specs, prepare_metadata_files
 from slotweave.operators.conditions import COLLAPSED, GROUP, condition_table
-from slotweave.sinks.writers import read_spec_files
+from slotweave.sinks.spec_files import read_spec_files
 from slotweave.sources.delimited import read_metadata
 
 

@@ -5,7 +5,8 @@ import yaml
 from pyspark.sql import functions as F
 
 from slotweave.sinks.flatten import flatten
-from slotweave.sinks.writers import output_name, spec_texts, write_tsv, write_wrapped_json, yaml_documents
+from slotweave.sinks.spec_files import placed_texts, read_spec_files, write_spec_files
+from slotweave.sinks.writers import output_name, write_tsv, write_wrapped_json, yaml_documents
 
 
 def test_wrapped_json_over_many_parts(spark, tmp_path):
@@ -59,8 +60,59 @@ def test_output_names():
     assert output_name("E", "tsv", "", "Q") == "E-Q.tsv"
 
 
-def test_spec_texts(frame):
-    """One text per variable, its rows by phv."""
-    names = ("cohort", "quality", "varname", "phv", "text")
-    rows = frame([("c", "good", "v", "p2", "b\n"), ("c", "good", "v", "p1", "a\n"), ("c", "bad", "v", "p3", "x\n")], names)
-    assert {tuple(r) for r in spec_texts(rows).collect()} == {("c", "good", "v", "a\nb\n"), ("c", "bad", "v", "x\n")}
+def many_texts(frame, n=600):
+    rows = [("c", "good", f"v{k % 3 if k % 2 else 0}", f"p{k % 50:02d}", f"text {k % 97} é\n" * (k % 5)) for k in range(n)]
+    return rows, frame([*rows, *rows[:40]], ("cohort", "quality", "varname", "phv", "text"))
+
+
+def joined(rows, part=None):
+    """Texts per file, in order; cut where a row begins beyond a multiple of `part` bytes."""
+    files, at = {}, {}
+    for c, q, v, _, text in sorted(rows, key=lambda r: (r[:3], r[3], r[4])):
+        name = f"{c}/{q}/{v}"
+        cut = at.get(name, 0) // part if part else 0
+        key = f"{name}-{cut + 1}.yaml" if cut else f"{name}.yaml"
+        files[key] = files.get(key, "") + text
+        at[name] = at.get(name, 0) + len(text.encode())
+    return files
+
+
+def test_places_are_prefix_sums_over_ranges(spark, frame, tmp_path):
+    rows, df = many_texts(frame)
+    rows = [*rows, *rows[:40]]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that a small table has several ranges
+    try:
+        placed = placed_texts(df, str(tmp_path / "ranged")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(str(tmp_path / "ranged")).select("range").distinct().count() > 1
+    for name, text in joined(rows).items():
+        mine = sorted((r for r in placed if f"{r.cohort}/{r.quality}/{r.varname}.yaml" == name), key=lambda r: (r["at"], r.phv, r.text))
+        assert "".join(r.text * r.times for r in mine) == text
+        whole = text.encode()
+        assert all(whole[r["at"] : r["at"] + len(r.text.encode())] == r.text.encode() for r in mine)
+
+
+def test_one_file_per_variable(spark, frame, tmp_path):
+    rows, df = many_texts(frame)
+    rows = [*rows, *rows[:40]]
+    for part in (None, 900):
+        for _ in range(2):  # a second run replaces the first
+            write_spec_files(df, str(tmp_path / "specs"), **({"part_bytes": part} if part else {}))
+        found = {str(p.relative_to(tmp_path / "specs")): p.read_text() for p in (tmp_path / "specs").rglob("*") if p.is_file()}
+        found = {k: v for k, v in found.items() if not k.rsplit("/", 1)[-1].startswith(".")}
+        if part is None:
+            assert found == joined(rows)
+        else:  # repeated texts stay together, so cuts may lie a little later
+            assert len(found) > 3 and all(len(t.encode()) < 2 * part for t in found.values())
+            whole = joined(rows)
+            for name, text in whole.items():
+                stem = name.removesuffix(".yaml")
+                parts = sorted((k for k in found if k == name or k.startswith(f"{stem}-")), key=lambda k: int(k[len(stem) + 1 : -5] or 1) if k != name else 1)
+                assert "".join(found[k] for k in parts) == text
+    assert sorted(read_spec_files(spark, str(tmp_path / "specs"))) == sorted(found.values())
+
+
+def test_no_spec_rows(frame, tmp_path):
+    write_spec_files(frame([], ("cohort", "quality", "varname", "phv", "text")), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").rglob("*.yaml"))

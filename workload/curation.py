@@ -6,8 +6,8 @@ from slotweave.operators import metadata
 from slotweave.operators.flags import quality_flags
 from slotweave.operators.render import render_specs
 from slotweave.operators.rules import apply_rules, parse_rules
-from slotweave.sinks.writers import spec_texts
-from workload.common import Registry, table
+from slotweave.sinks.spec_files import placed_texts, write_spec_files
+from workload.common import Registry, scratch, table
 
 registry = Registry()
 
@@ -491,7 +491,25 @@ def render_conditions(spark, sf_dir):
     return render_specs(rows, "Condition")
 
 
-@registry.add(f"SELECT cohort, quality, varname, string_agg(text, '' ORDER BY phv, text) AS text FROM ({CONDITION_SQL}) GROUP BY ALL")
+@registry.add(f"""
+WITH d AS (SELECT cohort, quality, varname, phv, text, count(*) AS times FROM ({CONDITION_SQL}) GROUP BY ALL)
+SELECT *, CAST(sum(times * strlen(text)) OVER (PARTITION BY cohort, quality, varname ORDER BY phv, text ROWS UNBOUNDED PRECEDING)
+            - times * strlen(text) AS BIGINT) AS "at"
+FROM d
+""")
 def variable_specs(spark, sf_dir):
-    """One spec text per cohort, quality and variable."""
-    return spec_texts(render_conditions(spark, sf_dir))
+    """Every text's place in the spec file of its cohort, quality and variable."""
+    return placed_texts(render_conditions(spark, sf_dir), scratch(spark, "placed"))
+
+
+@registry.add(f"""
+SELECT cohort || '/' || quality || '/' || varname || '.yaml' AS file, string_agg(text, '' ORDER BY phv, text) AS text
+FROM ({CONDITION_SQL}) GROUP BY cohort, quality, varname
+""")
+def variable_spec_files(spark, sf_dir):
+    """One spec file per cohort, quality and variable, written and read back."""
+    path = scratch(spark, "specs")
+    write_spec_files(render_conditions(spark, sf_dir), path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.yaml")
+    name = F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -3, 3), "/")
+    return files.select(name.alias("file"), F.col("value").alias("text"))

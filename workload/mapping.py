@@ -4,8 +4,12 @@ import json
 
 from pyspark.sql import functions as F
 
+from slotweave.plans.derive import Mapper
+from slotweave.plans.spec import parse_specs
 from slotweave.sinks.flatten import flatten
-from workload.common import Registry, derive, table
+from slotweave.sources.catalog import Catalog
+from slotweave.streaming import run_stream, stream_results
+from workload.common import Registry, derive, scratch, table
 
 registry = Registry()
 
@@ -537,6 +541,30 @@ def derive_lenient(spark, sf_dir):
     return derive(spark, sf_dir, "Reading", ERROR_SPEC, events=_events_with_code(spark, sf_dir)).records
 
 
+def _streamed(spark, sf_dir):
+    """Events in two lots of files, streamed in two runs over one checkpoint; (records, errors)."""
+    files, out = scratch(spark, "stream-in"), scratch(spark, "stream-out")
+    events = _events_with_code(spark, sf_dir)
+    for lot in (0, 1):
+        events.where(F.col("event_id") % 2 == lot).repartition(2).write.mode("append").parquet(files)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+        mapper = Mapper(Catalog.of(spark, {"events": stream}), parse_specs([ERROR_SPEC]))
+        run_stream(mapper, "Reading", f"{out}/data", f"{out}/checkpoint")
+    return stream_results(spark, f"{out}/data", "Reading")
+
+
+@registry.add(registry.sql["derive_lenient"])
+def stream_records(spark, sf_dir):
+    """The records that micro-batches leave, over a restart."""
+    return _streamed(spark, sf_dir)[0]
+
+
+@registry.add(registry.sql["derive_errors"])
+def stream_errors(spark, sf_dir):
+    """The errors of all micro-batches, summed up; the refused block is told once."""
+    return _streamed(spark, sf_dir)[1]
+
+
 UUID_SPEC = """
 - class_derivations:
     Participant:
