@@ -61,9 +61,10 @@ def placed_texts(rendered: DataFrame, scratch: str, layout: str = DEFAULT_LAYOUT
 
 
 def write_spec_files(
-    rendered: DataFrame, directory: str, layout: str = DEFAULT_LAYOUT, part_bytes: int = PART_BYTES
+    rendered: DataFrame, directory: str, layout: str = DEFAULT_LAYOUT, part_bytes: int = PART_BYTES, suffix: str = ".yaml"
 ) -> None:
     """Rendered specs as ``<layout>.yaml`` files; further parts of a large one are ``<layout>-2.yaml`` and so on.
+    Other texts, ordered alike, take another suffix.
 
     A file is streamed by one task from sorted rows, under another name until it is whole, so a task that
     runs again leaves the same files. A directory that exists is replaced.
@@ -97,7 +98,7 @@ def write_spec_files(
 
         for batch in batches:
             for file, part, times, text in zip(*(batch.column(c).to_pylist() for c in ("file", "part", "times", "text"))):
-                new = f"{file}{f'-{part + 1}' if part else ''}.yaml"
+                new = f"{file}{f'-{part + 1}' if part else ''}{suffix}"
                 if new != name:
                     if out:
                         close()

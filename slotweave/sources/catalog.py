@@ -47,7 +47,7 @@ class Catalog(Mapping[str, DataFrame]):
 
         ``replacements`` are made by file name, column and old value (see ``operators.replace``).
         """
-        from slotweave.operators.replace import replace_cells
+        from slotweave.operators.replace import replace_cells, ruled_columns
         from slotweave.sources.delimited import read_table, separator_of
         from slotweave.sources.files import file_headers
 
@@ -58,10 +58,12 @@ class Catalog(Mapping[str, DataFrame]):
                 raise SourceError(f"two files give table {name!r}: {path}")
             named[name] = path
         headers = file_headers(spark, list(named.values()), "first")
+        ruled = {} if replacements is None else ruled_columns(replacements)
 
         def opened(path: str) -> DataFrame:
             df = read_table(spark, path, separator_of(headers.get(path, "")))
-            return df if replacements is None else replace_cells(df, replacements, path.rsplit("/", 1)[-1])
+            file = path.rsplit("/", 1)[-1]
+            return replace_cells(df, replacements, file, ruled[file]) if file in ruled else df
 
         return cls(spark, {n: (lambda p=p: opened(p)) for n, p in named.items()}, **kw)
 

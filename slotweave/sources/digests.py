@@ -59,12 +59,26 @@ def _first_of_each(values):
 
 
 def data_dictionary(spark: SparkSession, dictionaries: list[str], reports: list[str]) -> DataFrame:
-    """Variables of the paired digests: table, variable, name, description, type, unit, codes.
+    """Variables of the paired digest files: table, variable, name, description, type, unit, codes.
 
     The calculated type and unit of the report win over the dictionary's.
     """
-    ours = _read(spark, dictionaries, DICTIONARY_SCHEMA)
-    theirs = _read(spark, reports, REPORT_SCHEMA)
+    return paired_variables(_read(spark, dictionaries, DICTIONARY_SCHEMA), _read(spark, reports, REPORT_SCHEMA))
+
+
+def data_dictionary_of_texts(dictionaries: DataFrame, reports: DataFrame) -> DataFrame:
+    """The same of digests that are rows of (path, text), each a whole XML document; a null or broken one has no variables."""
+    return paired_variables(_parsed(dictionaries, DICTIONARY_SCHEMA), _parsed(reports, REPORT_SCHEMA))
+
+
+def _parsed(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    document = T.StructType([T.StructField("variable", T.ArrayType(schema))])
+    parsed = texts.select("path", F.from_xml("text", document).alias("doc"))
+    return parsed.select("path", F.explode("doc.variable").alias("v")).select("v.*", "path")
+
+
+def paired_variables(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Dictionary variables with their path, of digests with a report, joined with the report's variables."""
     left = ours.select(
         digest_key(F.col("path")).alias("digest"),
         table_id("path").alias("table"),

@@ -1,18 +1,24 @@
 """Profiles, validation, scans and sinks over the given tables."""
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotweave.functions.local import local_frame
 from slotweave.operators.profile import InferenceOptions, distinct_ratio, infer_table, key_columns, profile_columns
 from slotweave.operators.validate import summary, verdicts, violation_counts, violations
+from slotweave.plans.pipeline import Options, run_pipeline
 from slotweave.plans.schema import parse_schema
 from slotweave.sinks.flatten import flatten
+from slotweave.sinks.spec_files import write_spec_files
 from slotweave.sinks.writers import drop_columns, json_lines, write_quoted_csv, yaml_documents
 from slotweave.sources.archive import is_data_line, prune_files, read_archive, referenced_tables, split_lines
+from slotweave.sources.catalog import Catalog
 from slotweave.sources.columns import tables_of_references
-from slotweave.sources.delimited import read_table
-from slotweave.sources.digests import pair_digests
+from slotweave.sources.delimited import discover, read_table
+from slotweave.sources.digests import data_dictionary_of_texts, pair_digests
 from workload.common import Registry, scratch, table
 
 registry = Registry()
@@ -138,7 +144,14 @@ def validate_counts(spark, sf_dir):
     return violation_counts(_order_violations(spark, sf_dir))
 
 
-@registry.add("SELECT CAST(2 AS BIGINT) AS n_tables, CAST(1 AS BIGINT) AS n_failing, 'orders' AS failing FROM region LIMIT 1")
+@registry.add(VIOLATION_SQL + """,
+c AS (
+  SELECT 'customer' AS t, count(*) FILTER (WHERE c_custkey IS NULL OR c_name IS NULL OR trim(c_name) = '') + count(c_custkey) - count(DISTINCT c_custkey) AS n FROM customer
+  UNION ALL SELECT 'orders', count(*) FROM v
+)
+SELECT count(*) AS n_tables, count(*) FILTER (WHERE n > 0) AS n_failing, coalesce(string_agg(t, ', ' ORDER BY t) FILTER (WHERE n > 0), '') AS failing
+FROM c
+""")
 def validate_summary(spark, sf_dir):
     """How many tables fail validation, and which."""
     good = violations(table(spark, sf_dir, "customer"), "customer", parse_schema(ORDER_SCHEMA))
@@ -261,6 +274,88 @@ def archive_files(spark, sf_dir):
     return frames[0].unionAll(frames[1])
 
 
+def _delimited_files(spark, sf_dir) -> str:
+    """A comma- or tab-separated file per nation with its customers; the folder."""
+    n, key = F.col("c_nationkey"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")
+    root = scratch(spark, "delimited")
+    for kind, sep, odd in (("csv", ",", 0), ("tsv", "\t", 1)):
+        note = F.concat(F.lit('"'), "c_mktsegment", F.lit(f'{sep} ""x""')) if kind == "csv" else F.col("c_mktsegment")
+        cells = F.concat_ws(sep, "c_name", F.concat(note, F.lit('"')) if kind == "csv" else note, F.when(n % 3 == 0, "t").otherwise(""))
+        rows = table(spark, sf_dir, "customer").select(n, key.alias("phv"), F.concat(cells, F.lit("\n")).alias("text"))
+        head = F.concat(F.lit(sep.join(("name", "note", "third"))), F.lit("\n"))
+        heads = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.lit("").alias("phv"), head.alias("text"))
+        named = rows.unionAll(heads).where(n % 2 == odd).select(
+            F.lit(kind).alias("cohort"), F.concat(F.lit("People-"), n.cast("string")).alias("varname"), "phv", "text"
+        )
+        write_spec_files(named, f"{root}/{kind}", "{cohort}/{varname}", suffix=f".{kind}")
+    return root
+
+
+@registry.add("""
+SELECT 'people_' || c_nationkey AS "table", c_name AS name,
+       CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment || ', "x"' WHEN c_mktsegment = 'BUILDING' THEN 'B' || c_nationkey ELSE c_mktsegment END AS note,
+       CASE WHEN c_nationkey % 3 = 0 THEN 't' WHEN c_nationkey = 4 THEN 'none' END AS third
+FROM customer
+""")
+def delimited_files(spark, sf_dir):
+    """Delimited files discovered below a folder, their separators found in one job, cells replaced by file and column."""
+    paths = discover(spark, _delimited_files(spark, sf_dir))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("n"))
+    rule = lambda column, old, new: [F.lit(column).alias("column_name"), F.lit(old).alias("original_value"), new.alias("replacement_value")]
+    rules = nation.select(F.concat(F.lit("People-"), "n", F.lit(".tsv")).alias("filename"), *rule("note", "BUILDING", F.concat(F.lit("B"), "n")))
+    more = nation.where("n = '4'").select(F.concat(F.lit("People-"), "n", F.lit(".csv")).alias("filename"), *rule("third", "", F.lit("none")))
+    catalog = Catalog.delimited(spark, paths, replacements=rules.unionAll(more))
+    return reduce(DataFrame.unionAll, [df.select(F.lit(t).alias("table"), "name", "note", "third") for t, df in catalog.items()])
+
+
+RUN_SPEC = """- class_derivations:
+    Account:
+      populated_from: customer
+      slot_derivations:
+        id: {populated_from: c_custkey}
+        label: {populated_from: c_name}
+        cents: {expr: '{c_acctbal} * 100'}
+        share: {expr: '100 / {c_nationkey}'}
+"""
+RUN_SCHEMA = "classes: {Account: {attributes: {id: {range: integer}, label: {range: string}, cents: {range: float}, share: {range: float}}}}\n"
+RUN_FORMATS = ("jsonl", "json", "tsv", "yaml")
+
+
+def _full_run(spark, sf_dir):
+    root = scratch(spark, "run")
+    texts = [("specs", "account", "", RUN_SPEC), ("schema", "target", "", RUN_SCHEMA)]
+    write_spec_files(local_frame(spark, texts, "cohort string, varname string, phv string, text string"), root, "{cohort}/{varname}")
+    tables = Catalog.of(spark, {"customer": table(spark, sf_dir, "customer"), "region": table(spark, sf_dir, "region")})
+    return run_pipeline(spark, f"{root}/specs", f"{root}/schema/target.yaml", f"{root}/out", tables=tables, options=Options(formats=RUN_FORMATS))
+
+
+@registry.add("""
+SELECT f AS format, c_custkey AS id, c_name AS label, c_acctbal * 100.0::DOUBLE AS cents, 100.0::DOUBLE / c_nationkey AS share
+FROM customer, (VALUES ('jsonl'), ('json'), ('tsv'), ('yaml')) v(f) WHERE c_nationkey <> 0
+""")
+def run_outputs(spark, sf_dir):
+    """The whole run, its records written in four formats and read back."""
+    paths = dict(zip(RUN_FORMATS, _full_run(spark, sf_dir).outputs["Account"]))
+    ddl = "id bigint, label string, cents double, share double"
+    lines = spark.read.text(paths["jsonl"]).select(F.lit("jsonl").alias("format"), F.from_json("value", ddl).alias("r"))
+    body = F.regexp_replace("value", "^,", "")
+    wrapped = spark.read.text(paths["json"]).where(body.startswith('{"id"')).select(F.lit("json").alias("format"), F.from_json(body, ddl).alias("r"))
+    cells = spark.read.schema(ddl).csv(paths["tsv"], sep="\t", header=True).select(F.lit("tsv").alias("format"), F.struct("*").alias("r"))
+    documents = spark.read.option("lineSep", "---\n").text(paths["yaml"]).where("trim(value) <> ''")
+    field = lambda name: F.regexp_extract("value", f'(?m)^{name}: "?([^"\\n]*)"?$', 1)
+    record = F.struct(*[field(c.name).cast(c.dataType).alias(c.name) for c in T._parse_datatype_string(ddl).fields])
+    return reduce(DataFrame.unionAll, [lines, wrapped, cells, documents.select(F.lit("yaml").alias("format"), record.alias("r"))]).select("format", "r.*")
+
+
+@registry.add("""
+SELECT 'Account' AS entity, 'customer' AS "table", 'share' AS slot, 'division by zero' AS message, count(*) AS n
+FROM customer WHERE c_nationkey = 0 HAVING count(*) > 0
+""")
+def run_errors(spark, sf_dir):
+    """The errors that the whole run counts while it writes."""
+    return _full_run(spark, sf_dir).errors
+
+
 @registry.add("""
 SELECT 'phs0.pht' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') || '.v1.txt.gz' AS path,
        'pht' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS table_id
@@ -328,6 +423,43 @@ def digest_unmatched(spark, sf_dir):
     return _digests(spark, sf_dir)[1]
 
 
+@registry.add("""
+WITH paired AS (SELECT * FROM customer JOIN supplier ON c_custkey = s_suppkey),
+v AS (
+  SELECT c_custkey, 1 AS i, 'SEX' AS name, c_mktsegment AS description, 'encoded' AS type, NULL AS unit,
+         '1=Male;2=Female;Other=Other' AS codes FROM paired
+  UNION ALL SELECT c_custkey, 2, c_name, NULL, CASE WHEN c_custkey % 2 = 0 THEN 'num' ELSE 'decimal' END,
+         CASE WHEN c_custkey % 4 = 0 THEN 'm' ELSE 'cm' END, NULL FROM paired
+  UNION ALL SELECT c_custkey, 3, 'C & "D"', 'a < b', CASE WHEN c_custkey % 3 = 0 THEN 'string' END, NULL, 'x=X' FROM paired
+)
+SELECT 'pht' || c_custkey AS "table", 'phv' || lpad(CAST(c_custkey * 10 + i AS VARCHAR), 8, '0') AS variable,
+       name, description, type, unit, codes
+FROM v
+""")
+def digest_variables(spark, sf_dir):
+    """Variables of XML digests: code lists with repeated and missing codes; types and units of reports win."""
+    key = F.col("c_custkey")
+    phv = lambda i: F.concat(F.lit('<variable id="phv'), F.lpad((key * 10 + i).cast("string"), 8, "0"), F.lit('.v1.p1">'))
+    path = lambda end: F.concat(F.lit("/d/phs1.v7.pht"), key.cast("string"), F.lit(end)).alias("path")
+    sex = F.concat(
+        phv(1), F.lit("<name>SEX</name><description>"), "c_mktsegment", F.lit("</description><type>encoded</type>"),
+        F.lit('<value code="1">Male</value><value code="2">Female</value><value code="1">Again</value><value>Other</value><value/></variable>'),
+    )
+    size = F.concat(phv(2), F.lit("<name>"), "c_name", F.lit("</name><type>decimal</type><unit>cm</unit></variable>"))
+    odd = F.concat(phv(3), F.lit('<name>C &amp; "D"</name><description>a &lt; b</description><value code="x">X</value></variable>'))
+    text = F.concat(F.lit("<data_table>"), sex, size, odd, F.lit("</data_table>")).alias("text")
+    dictionaries = table(spark, sf_dir, "customer").select(path(".v6.T.data_dict.xml"), text)
+    report = lambda i, attributes: F.concat(F.substring_index(phv(i), ">", 1), F.lit(" "), attributes, F.lit("/>"))
+    num = F.when(key % 2 == 0, F.lit('calculated_type="num"')).otherwise(F.lit(""))
+    metre = F.when(key % 4 == 0, F.lit(' units="m"')).otherwise(F.lit(""))
+    string = F.when(key % 3 == 0, F.lit('calculated_type="string"')).otherwise(F.lit(""))
+    body = F.concat(F.lit("<data_table>"), report(2, F.concat(num, metre)), report(3, string), F.lit("</data_table>")).alias("text")
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"))
+    found = data_dictionary_of_texts(dictionaries, suppliers.select(path(".v6.p2.T.var_report.xml"), body))
+    pairs = F.transform(F.array_sort(F.map_entries("codes")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return found.withColumn("codes", F.nullif(F.array_join(pairs, ";"), F.lit("")))
+
+
 # --- sinks -----------------------------------------------------------------
 
 
