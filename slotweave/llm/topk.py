@@ -13,6 +13,8 @@ The queries are a stated set: every block of rows meets every block of queries.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,7 +26,8 @@ SCALE = 1024
 KEPT_BITS = 8
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 16_384
-LIMIT = 1 << 24  # of a quantised component, so that scores of up to 2^14 dimensions fit a long
+LONG = 1 << 63
+SMALL = 1 << 24  # of a quantised component: scores of up to 2^13 dimensions fit in a long
 
 
 # --- bit slices ------------------------------------------------------------
@@ -143,14 +146,12 @@ def quantised(vectors: DataFrame) -> DataFrame:
     """(id, dims, q) of vectors(id, vector): q holds floor(1024 x) per component.
 
     Rows with a null id, a null or empty vector, or a null, NaN or infinite component take no part.
+    A component whose 1024-fold does not fit in a long ends the job.
     """
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     ok = vectors.where(F.col("id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", bad))
-    x = F.transform(F.col("vector"), lambda v: F.floor(v.cast("double") * SCALE))
-    limit = F.forall("q", lambda v: F.abs(v) < LIMIT)
-    big = F.raise_error(F.lit(f"a quantised component of {LIMIT} or more: scores might not fit"))
-    q = ok.select(F.col("id").cast("long").alias("id"), F.size("vector").alias("dims"), x.alias("q"))
-    return q.withColumn("q", F.when(limit, F.col("q")).otherwise(big.cast("array<bigint>")).cast("array<int>"))
+    x = F.transform(F.col("vector"), lambda v: F.floor(v.cast("double") * SCALE).cast("long"))
+    return ok.select(F.col("id").cast("long").alias("id"), F.size("vector").alias("dims"), x.alias("q"))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
@@ -174,9 +175,18 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     def tile(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int]] = []
         if mine.num_rows and theirs.num_rows:
-            block = SlicedBlock(mine.column("id").to_numpy(), _matrix(mine))
-            for query_id, q in zip(theirs.column("id").to_pylist(), _matrix(theirs)):
-                out += [(query_id, vec, score) for vec, score in block.best(query_id, q, k)]
+            rows, queries = _matrix(mine), _matrix(theirs)
+            ids, query_ids = mine.column("id").to_numpy(), theirs.column("id").to_numpy()
+            # Vectors whose scores might not fit in a long are scored by Python's integers.
+            most = lambda m: max(int(m.max(initial=0)), -int(m.min(initial=0)))
+            if rows.shape[1] * most(rows) * most(queries) < LONG >> 2:
+                out = _best(ids, rows, query_ids, queries, k)
+            else:
+                small = lambda m: np.abs(m).max(axis=1) < SMALL
+                out = _best(ids[small(rows)], rows[small(rows)], query_ids[small(queries)], queries[small(queries)], k)
+                for i, q in zip(query_ids.tolist(), queries.tolist()):
+                    wide = ~small(rows) if max(map(abs, q)) < SMALL else np.ones(len(rows), bool)
+                    out += _best_exactly(ids[wide].tolist(), rows[wide].tolist(), i, q, k)
         columns = zip(*out) if out else ((), (), ())
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns)})
 
@@ -188,6 +198,21 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _best(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    if not len(ids) or not len(query_ids):
+        return []
+    block = SlicedBlock(ids, rows)
+    return [(i, vec, score) for i, q in zip(query_ids.tolist(), queries) for vec, score in block.best(i, q, k)]
+
+
+def _best_exactly(ids: list[int], rows: list[list[int]], query_id: int, query: list[int], k: int) -> list[tuple[int, int, int]]:
+    scored = ((sum(a * b for a, b in zip(r, query)), i) for i, r in zip(ids, rows) if i != query_id)
+    best = heapq.nsmallest(k, ((-s, i) for s, i in scored))
+    if any(not -LONG <= -s < LONG for s, _ in best):
+        raise ArithmeticError(f"a score of vector {query_id} does not fit in a long")
+    return [(query_id, i, -s) for s, i in best]
+
+
 def _matrix(table: pa.Table) -> np.ndarray:
     values = table.column("q").combine_chunks()
     values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
