@@ -4,11 +4,12 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 word's probability is the sum over all its segmentations into pieces (the
 forward algorithm); a text's is the product over its words. The probabilities
 are learned by expectation maximisation on the word counts of a sample of
-labelled documents, about SAMPLE per language, chosen by a hash of the id.
+labelled documents, about SAMPLE per language, chosen by a hash of id and text.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 import re
 from collections import Counter, defaultdict
@@ -18,9 +19,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+logger = logging.getLogger(__name__)
+
 MODEL_FILE = "piece_bpe_32k.model"
 SAMPLE = 200
 LONGEST = 64  # characters: longer words are learned from in parts
@@ -194,7 +197,9 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, sample: int = SAMPLE, path: str | None = None) -> LanguageModel:
     """A model from labelled(id, text, lang); rows without text or language teach nothing.
 
-    At most about `sample` documents a language are read (all, if there are fewer).
+    At most about `sample` documents a language are read (all, if there are fewer). Of a language that the
+    draw misses, as when one text is all it has, the `sample` rows with the least hashes are read. One without
+    any word can't be learned; it is told in the log.
     """
     path = path or model_path()
     known = labelled.select("id", "text", "lang").where("text is not null and lang is not null")
@@ -202,7 +207,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, path: str | None = None) ->
     share = F.lit(0.0)
     for r in sizes:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, sample / r["count"]))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 20)) / float(1 << 20)
+    draw = F.pmod(F.xxhash64(F.lit("langid"), "id", "text"), F.lit(1 << 20)) / float(1 << 20)
 
     def counted(batches):
         for piece in _slices(batches):
@@ -227,15 +232,17 @@ def train(labelled: DataFrame, sample: int = SAMPLE, path: str | None = None) ->
             }
         )
 
-    counts = (
-        known.where(draw < share)
-        .select("text", "lang")
-        .mapInArrow(counted, "lang string, word string, n long")
-        .groupBy("lang", "word")
-        .agg(F.sum("n").alias("n"))
-    )
-    # At most the vocabulary's size per language comes to the driver.
-    learned = counts.groupBy("lang").applyInArrow(fitted, "lang string, row int, expected double").collect()
+    def learn(rows: DataFrame) -> list[Row]:
+        """Expected counts: at most the vocabulary's size per language comes to the driver."""
+        counted_words = rows.select("text", "lang").mapInArrow(counted, "lang string, word string, n long")
+        counts = counted_words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        return counts.groupBy("lang").applyInArrow(fitted, "lang string, row int, expected double").collect()
+
+    learned = learn(known.where(draw < share))
+    for lang in sorted({r["lang"] for r in sizes} - {r["lang"] for r in learned}):
+        learned += learn(known.where(F.col("lang") == lang).orderBy(draw).limit(sample))
+    if missing := sorted({r["lang"] for r in sizes} - {r["lang"] for r in learned}):
+        logger.warning("no labelled document has a word of %s", ", ".join(missing))
     langs = tuple(sorted({r["lang"] for r in learned}))
     size = max([*vocabulary(path).values(), unknown_row(path)]) + 2
     table = np.full((size, len(langs)), SMOOTHING)

@@ -48,6 +48,12 @@ def test_forward_sums_all_segmentations(model):
         assert got == pytest.approx([math.log(t) for t in total])
 
 
+def test_languages_without_ids_or_of_one_text_are_learned(spark):
+    rows = [(None, text, lang) for _, text, lang in two_languages(400)] + [(1, "eine einzige zeile", "cc")] * 500 + [(2, "123", "dd")]
+    learned = langid.train(spark.createDataFrame(rows, "id long, text string, lang string"), sample=20)
+    assert learned.langs == ("aa", "bb", "cc")
+
+
 def test_probabilities_sum_to_one(model):
     assert model.probability.sum(axis=0) == pytest.approx([1.0, 1.0])
 
