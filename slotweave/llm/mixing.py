@@ -6,7 +6,7 @@ the expected words meet the target. The whole part of that number is allocated
 for certain; the rest is the document's inclusion probability p. Documents are
 ranked by their random odds over their inclusion odds, (u / (1 - u)) / (p / (1 - p)),
 and taken in this order until the words still missing are reached, which fixes the
-sample's size: a source misses its target by at most half of one document.
+sample's size: a source misses its target by at most half of one document, also where equal rows meet the cut.
 
 The rank is cut without sorting a source: words are added up in 4096 bins of the
 order, and only the rows of the one bin that holds the cut are sorted.
@@ -26,7 +26,6 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
 BINS = 4096
-BROADCAST_SOURCES = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -82,7 +81,8 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     """docs(id, source, text, ...) with size, source_size, target and copies added.
 
     A null text has no words and gets no copies, as has a text of white space. A null id draws the same
-    number for all its rows; rows equal in id and text share one decision. An empty table stays empty.
+    number for all its rows; of rows equal in id and text as many are taken as still fit, which ones makes
+    no difference. An empty table stays empty.
     """
     spark = docs.sparkSession
     size = words()
@@ -104,7 +104,6 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
             rates.append((s, k, whole, min(max(copies - whole, 0.0), 1.0)))
         missing.append((s, sizes[s], targets[s], targets[s] - certain))
 
-    kept = (lambda df: F.broadcast(df)) if len(sizes) <= BROADCAST_SOURCES else (lambda df: df)
     string, whole, real = T.StringType(), T.LongType(), T.DoubleType()
     table = lambda rows, **cols: spark.createDataFrame(rows, T.StructType([T.StructField(k, v) for k, v in cols.items()]))
     rate = table(rates, rate_source=string, rate_class=T.IntegerType(), certain=T.IntegerType(), p=real)
@@ -112,7 +111,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
 
     def ranked(df: DataFrame) -> DataFrame:
         same = F.col("source").eqNullSafe(F.col("rate_source")) & (F.col("class") == F.col("rate_class"))
-        df = df.join(kept(rate), same, "left").drop("rate_source", "rate_class")
+        df = df.join(rate, same, "left").drop("rate_source", "rate_class")
         u, p = draw(), F.col("p")
         order = u * (1 - p) / (u * (1 - p) + (1 - u) * p)
         df = df.withColumn("order", F.when((p > 0) & (p < 1), order))
@@ -122,28 +121,58 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     bins = rows.where("order is not null").groupBy("source", "bin").agg(F.sum("size").alias("size"))
     upto = Window.partitionBy("source").orderBy("bin")
     bins = bins.withColumn("end", F.sum("size").over(upto)).withColumn("start", F.col("end") - F.col("size"))
-    wanted = lambda df: df.join(kept(want), F.col("source").eqNullSafe(F.col("want_source"))).drop("want_source")
+    wanted = lambda df: df.join(want, F.col("source").eqNullSafe(F.col("want_source"))).drop("want_source")
     border = wanted(bins).where("start <= rest and end > rest").select("source", "bin", "start", "rest")
-    # One bin of each source is sorted.
+    # One bin of each source is sorted; rows equal in id and text, of which there may be many, are one row of it.
     edge = border.select(F.col("source").alias("s"), F.col("bin").alias("b"), "start", "rest")
-    inside = rows.join(kept(edge), F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
+    inside = rows.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
+    inside = inside.groupBy("source", "start", "rest", "order", "id", "crc", "size").agg(F.count(F.lit(1)).alias("times"))
     place = F.struct("order", "id", "crc")
     run = Window.partitionBy("source").orderBy("order", "id", "crc").rowsBetween(Window.unboundedPreceding, 0)
-    taken = inside.withColumn("upto", F.col("start") + F.sum("size").over(run)).where("2 * upto - size <= 2 * rest")
-    last = taken.groupBy("source").agg(F.max(place).alias("last"))
+    before = F.col("start") + F.sum(F.col("size") * F.col("times")).over(run) - F.col("size") * F.col("times")
+    # The k-th of equal rows is taken while more than half of it is missing.
+    fit = F.floor((F.col("rest") - before) / F.col("size") + 0.5)
+    taken = inside.withColumn("fit", F.least(F.greatest(fit, F.lit(0)), F.col("times"))).where("fit > 0")
+    last = taken.groupBy("source").agg(F.max(F.struct(place.alias("place"), "fit", "times")).alias("last"))
     cuts = border.select("source", "bin").join(last.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
-    cuts = stored(cuts.select(F.col("source").alias("cut_source"), F.col("bin").alias("cut_bin"), "last"), "cuts")
+    split = F.coalesce(F.col("last.fit") < F.col("last.times"), F.lit(False)).alias("split")
+    cuts = cuts.select(F.col("source").alias("cut_source"), F.col("bin").alias("cut_bin"), F.col("last.place").alias("last"), F.col("last.fit").alias("fit"), split)
+    cuts = stored(cuts, "cuts")
 
     full = docs.withColumn("size", size).withColumn("class", rate_class(F.col("size")))
     full = full.withColumn("crc", F.crc32(F.coalesce("text", F.lit(""))))
-    full = wanted(ranked(full)).join(kept(cuts), F.col("source").eqNullSafe(F.col("cut_source")), "left")
-    before = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (place <= F.col("last")))
+    full = wanted(ranked(full)).join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
+    upto = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (place <= F.col("last")))
     drawn = (
         F.when(F.col("p") >= 1, 1)
         .when(F.col("order").isNull(), 0)
         .when(F.col("cut_bin").isNull(), (F.col("rest") > 0).cast("int"))  # no cut: all or none fit
-        .otherwise(F.coalesce(before, F.lit(False)).cast("int"))
+        .otherwise(F.coalesce(upto, F.lit(False)).cast("int"))
     )
-    copies = F.when(F.col("size") > 0, F.col("certain") + drawn).otherwise(0)
-    keep = [c for c in docs.columns]
-    return full.select(*keep, "size", "source_size", "target", copies.cast("int").alias("copies"))
+    keep = [*docs.columns, "size", "source_size", "target"]
+
+    def told(df: DataFrame, drawn) -> DataFrame:
+        copies = F.when(F.col("size") > 0, F.col("certain") + drawn).otherwise(0)
+        return df.select(*keep, copies.cast("int").alias("copies"))
+
+    if cuts.where("split").limit(1).count() == 0:
+        return told(full, drawn)
+    parted = F.coalesce(F.col("split") & (F.col("bin") == F.col("cut_bin")) & (place == F.col("last")), F.lit(False))
+    equal = _numbered(full.where(parted))
+    return told(full.where(~parted), drawn).unionAll(told(equal, (F.col("number") <= F.col("fit")).cast("int")))
+
+
+def _numbered(equal: DataFrame) -> DataFrame:
+    """The rows with their number within their source, from 1.
+
+    They are stored with their task's number, so they stay where they are; rows are numbered within
+    a task, and tasks by the rows of those before.
+    """
+    rows = stored(equal.withColumns({"task": F.spark_partition_id(), "nth": F.monotonically_increasing_id()}), "equal")
+    held = rows.groupBy(F.col("source").alias("s"), F.col("task").alias("t")).agg(F.count(F.lit(1)).alias("held"))
+    before = Window.partitionBy("s").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select("s", "t", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("first"))
+    within = F.row_number().over(Window.partitionBy("source", "task").orderBy("nth"))
+    numbered = rows.withColumn("number", within)
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("task") == F.col("t"))
+    return numbered.join(starts, same).withColumn("number", F.col("number") + F.col("first"))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from slotweave.llm import decontaminate, mixing, near_dup, sharding, topk, warc
@@ -20,6 +21,10 @@ def prose(r, n):
     return " ".join("".join(r.choices(["ba", "lo", "ti", "en", "ur", "sha"], k=r.randint(1, 4))) for _ in range(n))
 
 
+def leaks(texts, index):
+    return decontaminate.leaks(pa.array(texts, pa.string()), index)
+
+
 # --- archives -----------------------------------------------------------------
 
 
@@ -237,7 +242,7 @@ def test_leaks_miss_nothing_within_the_budget(monkeypatch, window):
             c[k : k + 1] = r.choice([[], ["q"], [c[k], "q"]])
         text = decontaminate.normal(f"{prose(r, 20)} {''.join(c)} {prose(r, 20)}")
         least = edit_distance(decontaminate.normal(item), text)
-        found = decontaminate.leaks(["", text, "other"], index)
+        found = leaks(["", text, "other"], index)
         assert [(x[0], x[4]) for x in found] == ([(1, least)] if least <= index.budget[0] else [])
 
 
@@ -254,9 +259,9 @@ def test_edited_and_partial_copies_are_found_and_clean_texts_are_not(spark):
     index, words = decontaminate.indexed(list(enumerate(items))), " ".join(items).split()
     for least, n in ((1.0, lambda w: 1), (0.95, lambda w: 2), (0.95, lambda w: -(-w // 10))):
         copies = [(k, edited(r, t, n(len(t.split())), words)) for k, t in enumerate(items) for _ in range(5)]
-        found = {(x[0], x[1]) for x in decontaminate.leaks([f"{prose(r, 20)} {c} {prose(r, 20)}" for _, c in copies], index)}
+        found = {(x[0], x[1]) for x in leaks([f"{prose(r, 20)} {c} {prose(r, 20)}" for _, c in copies], index)}
         assert sum((row, k) in found for row, (k, _) in enumerate(copies)) >= least * len(copies)
-    assert decontaminate.leaks([" ".join(r.choices(words, k=300)) for _ in range(50)], index) == []
+    assert leaks([" ".join(r.choices(words, k=300)) for _ in range(50)], index) == []
 
 
 def test_long_items_are_found_by_their_passages():
@@ -265,10 +270,10 @@ def test_long_items_are_found_by_their_passages():
     index = decontaminate.indexed([(5, item)])
     for at in range(0, len(item) - 300, 70):
         quote = item[at : at + 300]
-        ((_, i, start, end, edits),) = decontaminate.leaks([f"{prose(r, 50)} {quote} {prose(r, 50)}"], index)
+        ((_, i, start, end, edits),) = leaks([f"{prose(r, 50)} {quote} {prose(r, 50)}"], index)
         assert i == 0 and end - start >= 200 and edits <= decontaminate.edit_budget(decontaminate.PASSAGE)
-    assert [x[1:] for x in decontaminate.leaks([item], index)] == [(0, 0, len(item), 0)]
-    assert decontaminate.leaks([item[:120] + " " + prose(r, 100)], index) == []
+    assert [x[1:] for x in leaks([item], index)] == [(0, 0, len(item), 0)]
+    assert leaks([item[:120] + " " + prose(r, 100)], index) == []
 
 
 def test_many_items_are_counted_as_few(monkeypatch):
@@ -276,9 +281,9 @@ def test_many_items_are_counted_as_few(monkeypatch):
     items = [(k, prose(r, 40)) for k in range(60)]
     text = decontaminate.normal(" ".join([prose(r, 200), items[3][1], prose(r, 200), items[50][1]]))
     index = decontaminate.indexed(items)
-    want = decontaminate.leaks([text, ""], index)
+    want = leaks([text, ""], index)
     monkeypatch.setattr(decontaminate, "DENSE", 0)
-    assert decontaminate.leaks([text, ""], index) == want and {x[1] for x in want} == {3, 50}
+    assert leaks([text, ""], index) == want and {x[1] for x in want} == {3, 50}
 
 
 def test_slices_are_bounded(monkeypatch):
@@ -369,6 +374,18 @@ def test_filter_has_no_false_negatives(spark):
     assert all(got[i * 7919] for i in range(500)) and sum(got.values()) < 510 and got[None] is False
 
 
+def test_top_k_of_large_components(spark):
+    r = random.Random(8)
+    vectors = [(k, [float(r.randint(-9, 9)) for _ in range(6)]) for k in range(120)]
+    vectors += [(200, [1e8, -3.0, 0.5, 2.0, 1.0, 7.0]), (201, [16_384.0] * 6), (300, [-1e11, 1e11, 0.0, 1.0, 2.0, 3.0])]
+    got = topk.top_k(spark.createDataFrame(vectors, "id long, vector array<double>"), F.col("id") % 100 == 0, k=4).collect()
+    q = {i: [int(x * 1024 // 1) for x in v] for i, v in vectors}
+    for query in (0, 100, 200, 300):
+        want = sorted(((-sum(a * b for a, b in zip(q[query], q[i])), i) for i in q if i != query))[:4]
+        fits = [(i, -s) for s, i in want]
+        assert [(x["vec_id"], x["score"]) for x in sorted((g for g in got if g["query_id"] == query), key=lambda g: g["rank"])] == fits
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 
@@ -395,6 +412,23 @@ def test_mix(spark):
     assert mixing.mixed(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("equal", [500, 3])
+def test_equal_rows_that_meet_the_cut_are_taken_in_part(spark, equal):
+    """Three sources of 5000 words each, one of them equal rows that share their place in the order."""
+    rows = [(k, "b", "w " * 10) for k in range(500)] + [(1000 + k, "c", "w " * 10) for k in range(500)]
+    rows += [(-1, "a", "w " * (5000 // equal)) for _ in range(equal)] + [(-2, "a", "w " * (5000 % equal))]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "id long, source string, text string, number int").repartition(5)
+    got = mixing.mixed(df, weights=(1, 1, 1), share=1.25).collect()
+    assert len(got) == len(rows) and {x["copies"] for x in got} <= {0, 1, 2}
+    taken = Counter()
+    for x in got:
+        taken[x["source"]] += x["copies"] * x["size"]
+    for s in "abc":
+        most = max(x["size"] for x in got if x["source"] == s)
+        assert abs(taken[s] - 6250) <= most / 2 + 1e-6
+    assert Counter((x["id"], x["number"]) for x in got) == Counter((r[0], k) for k, r in enumerate(rows))
+
+
 def test_targets_by_hand():
     assert mixing.source_targets({"a": 100, "b": 100, None: 100}) == pytest.approx({"a": 200.0, "b": 250 / 3, None: 500 / 3})
     assert mixing.source_targets({"a": 10, "b": 1000}) == pytest.approx({"a": 20.0, "b": 1495.0})
@@ -446,3 +480,14 @@ def test_stages_take_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
         assert empty.count() == 0
+
+
+def test_pipeline_tells_rows_of_one_id_apart(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(31)
+    a, b, c = (prose(r, 80) for _ in range(3))
+    rows = [(1, a), (1, b), (None, c), (None, c), (2, c), (None, prose(r, 80)), (3, "x"), (3, "x"), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [x["text"] for x in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [a, b, c, rows[5][1], "x", None]))
