@@ -19,17 +19,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (similarity 0.8), that with the least id."""
-    docs = docs.select(*COLUMNS)
-    told = stored(near_dup.near_duplicates(docs, percent=NEAR_PERCENT).select("doc_id", "kept"), "kept")
+    """One document of each group of near-duplicates (similarity 0.8), that with the least id.
+
+    Rows are told apart by a hash of id and text, so different texts that share an id, or have none, are documents of
+    their own; of rows equal in id and text one stays.
+    """
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row"))
+    rows = keyed.select(F.col("row").alias("doc_id"), "text")
+    found = near_dup.near_duplicates(rows, percent=NEAR_PERCENT)
+    told = stored(found.select(F.col("doc_id").alias("row"), "component_id", "kept"), "kept")
+    # Groups of several rows: the ids of their rows say which one stays.
+    several = told.where("not kept").select("component_id").distinct()
+    members = stored(told.join(several, "component_id", "left_semi").select("row", "component_id").distinct(), "members")
+    named = keyed.select("row", "doc_id").join(members, "row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row")).alias("first"))
+    drop = members.join(first, "component_id").where("row <> first.row").select(F.col("row").alias("id"))
     # Few documents go, so the texts stay where they are: only rows that may have to go are joined.
-    drop = told.where("not kept").select(F.col("doc_id").alias("id"))
-    repeated = told.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    drop = stored(drop, "drop")
+    repeated = told.groupBy("row").count().where("count > 1").select("row")
     repeated = stored(repeated, "repeated")
-    tested = flagged(docs, drop.union(repeated), id_col="doc_id")
-    maybe = tested.where("maybe").drop("maybe").join(drop.withColumnRenamed("id", "doc_id").distinct(), "doc_id", "left_anti")
-    once = maybe.join(repeated, "doc_id", "left_anti")
-    again = maybe.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows that share an id are one group
+    tested = flagged(keyed, drop.union(repeated), id_col="row")
+    maybe = tested.where("maybe").drop("maybe").join(drop.withColumnRenamed("id", "row").distinct(), "row", "left_anti")
+    once = maybe.join(repeated, "row", "left_anti")
+    again = maybe.join(repeated, "row", "left_semi").dropDuplicates(["doc_id", "text"])
     return tested.where("not maybe").select(*COLUMNS).union(once.select(*COLUMNS)).union(again.select(*COLUMNS))
 
 
