@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +36,25 @@ STEP = PASSAGE // 2
 BLOCK_CHARS = 4_000_000
 SLICE = 256
 SLICE_CHARS = 1_000_000
-WINDOW = 1 << 16
+WINDOW = 1 << 13  # characters whose hits are counted at a time, at least the longest match
 DENSE = 8  # cells a hit, up to which they are counted in place
-FILTER_BITS = 20
-BREAK = re.compile(r"[\W_]+")
-WORD = re.compile(r"[^\W_]+")
+TABLE_BITS = 20
+BREAK = r"[^\pL\pN]+"
 BASE = np.uint64(0x9E3779B97F4A7C15)
+CUBE = np.uint64(pow(0x9E3779B97F4A7C15, 3, 1 << 64))
+
+
+def normals(texts: pa.Array) -> pa.Array:
+    """Texts in lower case, with one space for all that stands between letters and digits; null as empty.
+
+    Lower case is taken character by character, so a normal word is as long as the word itself.
+    """
+    plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), BREAK, " ")
+    return pc.utf8_trim(plain, " ")
 
 
 def normal(text: str | None) -> str:
-    return BREAK.sub(" ", (text or "").lower()).strip()
+    return normals(pa.array([text], pa.string()))[0].as_py()
 
 
 def codes(text: str) -> np.ndarray:
@@ -52,14 +62,16 @@ def codes(text: str) -> np.ndarray:
 
 
 def qgrams(c: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of all substrings of Q characters."""
+    """64-bit fingerprints of all substrings of Q characters: of halves of three, put together."""
     if len(c) < Q:
         return np.empty(0, np.uint64)
-    one, n = c.astype(np.uint64) + np.uint64(1), len(c) + 1 - Q
-    out = one[:n].copy()
-    for k in range(1, Q):
-        out *= BASE
-        out += one[k : k + n]
+    one = c.astype(np.uint64) + np.uint64(1)
+    half = one[:-2] * BASE
+    half += one[1:-1]
+    half *= BASE
+    half += one[2:]
+    out = half[:-3] * CUBE
+    out += half[3:]
     return out * np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -89,7 +101,8 @@ class Items:
     starts: np.ndarray  # into the two below, one more than grams
     item: np.ndarray
     at: np.ndarray
-    filter: np.ndarray  # bytes addressed by the upper bits of a gram
+    table: np.ndarray  # by the upper bits of a gram the number of the first with them, -1 if none
+    crowded: np.ndarray  # whether the next gram has the same upper bits
     short: tuple[int, ...]  # items of fewer than SHORT characters, looked for as they are
 
 
@@ -106,11 +119,13 @@ def indexed(items: list[tuple[int, str | None]]) -> Items:
     at = np.concatenate([np.empty(0, np.int64), *(np.arange(len(g)) for g in found)]).astype(np.int64)
     order = np.argsort(all_grams, kind="stable")
     grams, first = np.unique(all_grams[order], return_index=True)
-    table = np.zeros(1 << FILTER_BITS, np.bool_)
-    table[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+    top = (grams >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    table = np.full(1 << TABLE_BITS, -1, np.int32)
+    table[top[::-1]] = np.arange(len(grams) - 1, -1, -1)
+    crowded = np.append(top[:-1] == top[1:], False) if len(grams) else np.zeros(0, np.bool_)
     short = tuple(i for i, t in enumerate(texts) if len(t) < SHORT)
     ids = tuple(i for i, _ in pairs)
-    return Items(ids, texts, owner, length, budget, grams, np.append(first, len(order)), item[order].astype(np.int32), at[order].astype(np.int32), table, short)
+    return Items(ids, texts, owner, length, budget, grams, np.append(first, len(order)), item[order].astype(np.int32), at[order].astype(np.int32), table, crowded, short)
 
 
 def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int] | None:
@@ -141,10 +156,17 @@ def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -
 def _hits(c: np.ndarray, index: Items) -> tuple[np.ndarray, np.ndarray]:
     """(position, number of the gram) wherever a q-gram of the index begins."""
     g = qgrams(c)
-    maybe = np.flatnonzero(index.filter[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-    number = np.searchsorted(index.grams, g[maybe])
-    number[number == len(index.grams)] = 0
-    hit = index.grams[number] == g[maybe]
+    first = index.table[(g >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+    maybe = np.flatnonzero(first >= 0)
+    g, number = g[maybe], first[maybe]
+    hit = index.grams[number] == g
+    # Where the upper bits of several grams are the same, the others are searched for.
+    rest = np.flatnonzero(~hit & index.crowded[number])
+    if len(rest):
+        found = np.searchsorted(index.grams, g[rest])
+        found[found == len(index.grams)] = 0
+        number[rest] = found
+        hit[rest] = index.grams[found] == g[rest]
     return maybe[hit], number[hit]
 
 
@@ -156,41 +178,55 @@ def _bands(c: np.ndarray, index: Items) -> set[tuple[int, int]]:
     out: set[tuple[int, int]] = set()
     longest, half = int(index.length.max(initial=0)), index.budget + 1
     bound = np.maximum(index.length + 1 - Q * half, 1)
-    narrow = half.astype(np.int32)
-    for start in range(0, len(c) if len(index.grams) else 0, WINDOW):
-        at, place = _hits(c[start : start + WINDOW + longest + int(index.budget.max())], index)
+    width, of_gram = 1.0 / half, np.diff(index.starts).astype(np.int32)
+    step, over = max(WINDOW, longest), longest + int(index.budget.max(initial=0))
+    for start in range(0, len(c) if len(index.grams) else 0, step):
+        at, place = _hits(c[start : start + step + over], index)
         if not len(at):
             continue
-        counts = index.starts[place + 1] - index.starts[place]
-        total = int(counts.sum())
-        flat = np.repeat((index.starts[place] - np.cumsum(counts) + counts).astype(np.int32), counts) + np.arange(total, dtype=np.int32)
+        counts = of_gram[place]
+        flat = np.repeat((index.starts[place] - np.cumsum(counts) + counts).astype(np.int32), counts)
+        flat += np.arange(len(flat), dtype=np.int32)
         unit = index.item[flat]
-        diagonal = np.repeat((at + longest).astype(np.int32), counts) - index.at[flat]  # from the window's start on, not negative
-        band = diagonal // narrow[unit]
+        diagonal = np.repeat((at + longest).astype(np.int32), counts)
+        diagonal -= index.at[flat]  # from the window's start on, not negative
         # A unit's bands of this window are neighbouring cells, with an empty one on both sides.
         least = int(at[0]) // half - 1
         held = (longest + int(at[-1])) // half - least + 2
         base = np.cumsum(held) - held
-        cell = (base - least)[unit] + band
-        if held.sum() <= DENSE * len(cell):
-            n = np.bincount(cell, minlength=int(held.sum()))
-            cells = np.flatnonzero(n[:-1] + n[1:] >= np.repeat(bound, held)[:-1])
-            slot = np.full(len(n), -1, np.int32)
-            slot[cells] = np.arange(len(cells))
-            numbers = [slot[cell], slot[cell - 1]]
-        else:  # many units and few hits
-            cells, n = np.unique(np.concatenate([cell, cell - 1]), return_counts=True)
-            cells = cells[n >= bound[np.searchsorted(base, cells, side="right") - 1]]
-            ends = np.append(cells, -1)
-            numbers = [np.where(ends[k := np.searchsorted(cells, c)] == c, k, -1) for c in (cell, cell - 1)]
+        cell = ((diagonal + 0.5) * width[unit]).astype(np.int64)  # the band's number
+        cell += (base - least)[unit]
+        cells = _reached(cell, int(held.sum()), base, bound)
+        if not len(cells):
+            continue
         units = np.searchsorted(base, cells, side="right") - 1
         low = (cells - base[units] + least[units]) * half[units]
-        kept = _narrow(numbers, low, half[units], bound[units], diagonal, index.at[flat])
+        # A hit counts in the cell of its band and in the one before.
+        ends = np.append(cells, -1)
+        live = np.flatnonzero(np.isin(cell, np.concatenate([cells, cells + 1])))
+        numbers = [np.where(ends[k := np.searchsorted(cells, x)] == x, k, -1) for x in (cell[live], cell[live] - 1)]
+        kept = _narrow(numbers, low, half[units], bound[units], diagonal[live], index.at[flat[live]])
         cells, units = cells[kept], units[kept]
         out.update(zip(units.tolist(), (low[kept] + (start - longest)).tolist()))
     return out
 
 
+def _reached(cell: np.ndarray, held: int, base: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """The cells that, with the next one, hold as many hits as their unit's bound.
+
+    One of the two then holds half of the least bound: only such cells are looked at.
+    """
+    enough = (int(bound.min()) + 1) // 2
+    if held <= DENSE * len(cell):
+        n = np.append(np.bincount(cell, minlength=held), 0)
+        many = np.flatnonzero(n >= enough)
+        cells = np.unique(np.concatenate([many - 1, many]))
+        both = n[cells] + n[cells + 1]
+    else:  # many units and few hits
+        cells, both = np.unique(np.concatenate([cell, cell - 1]), return_counts=True)
+    return cells[both >= bound[np.searchsorted(base, cells, side="right") - 1]]
+
+
 def _narrow(numbers: list[np.ndarray], low: np.ndarray, half: np.ndarray, bound: np.ndarray, diagonal: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Which bands (from diagonal low on) reach the bound by different item positions within little more than the lemma's width.
 
@@ -212,15 +248,18 @@ def _narrow(numbers: list[np.ndarray], low: np.ndarray, half: np.ndarray, bound:
 Leak = tuple[int, int, int, int, int]  # row of the slice, item number, start, end, edits
 
 
-def leaks(texts: list[str], index: Items) -> list[Leak]:
+def leaks(texts: pa.Array, index: Items) -> list[Leak]:
     """The best match of every item in every text of a slice of normal texts, at most one per text and item.
 
-    A whole item goes before a passage; the fewest edits, then the first place.
+    A whole item goes before a passage; the fewest edits, then the first place. Only texts with a
+    band that reaches its bound become Python strings.
     """
     out: dict[tuple[int, int], tuple[bool, int, int, int]] = {}
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    starts = ends - [len(t) + 1 for t in texts]
-    for u, low in sorted(_bands(codes("\0".join(texts)), index)):
+    ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), "\0")[0].as_py()
+    starts = np.append(0, ends[:-1])
+    text = lru_cache(maxsize=SLICE)(lambda r: texts[r].as_py())
+    for u, low in sorted(_bands(codes(whole), index)):
         i = int(index.owner[u])
         half = int(index.budget[u]) + 1
         high = low + 2 * half - 1
@@ -230,11 +269,11 @@ def leaks(texts: list[str], index: Items) -> list[Leak]:
         for r in range(first, min(last, len(texts) - 1) + 1):
             start = int(starts[r])
             if u == i or (r, i) not in out or out[r, i][0]:
-                _better(out, (r, i), u != i, _verified(texts[r], index, u, low - start, high - start))
+                _better(out, (r, i), u != i, _verified(text(r), index, u, low - start, high - start))
     for i in index.short:
         t = f" {index.texts[i]} "
-        for r, text in enumerate(texts):
-            if (p := f" {text} ".find(t)) >= 0:
+        for r in np.flatnonzero(pc.match_substring(texts, index.texts[i]).to_numpy(zero_copy_only=False)).tolist():
+            if (p := f" {text(r)} ".find(t)) >= 0:
                 _better(out, (r, i), False, (0, p, p + len(index.texts[i])))
     return [(r, i, s, e, d) for (r, i), (_, d, s, e) in sorted(out.items())]
 
@@ -264,11 +303,23 @@ def _verified(text: str, index: Items, i: int, low: int, high: int) -> tuple[int
     return edits, a + start, a + end
 
 
+@lru_cache(maxsize=1 << 16)
+def breaks(character: str) -> bool:
+    """Whether a character stands between words."""
+    return pc.match_substring_regex(pa.array([character]), BREAK)[0].as_py()
+
+
+def words(text: str) -> Iterator[re.Match]:
+    """The words of a text, told apart as in its normal form."""
+    between = "".join(re.escape(c) for c in set(text) if breaks(c))
+    return re.finditer(f"[^{between}]+" if between else "(?s:.+)", text)
+
+
 def original_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans of the normal text as character positions of the text itself."""
     places, at = [], 0
-    for m in WORD.finditer(text):
-        width = len(m[0].lower())
+    for m in words(text):
+        width = len(m[0])
         places.append((at, at + width, m.start(), m.end()))
         at += width + 1
     lows, highs = [p[0] for p in places], [p[1] for p in places]
@@ -318,12 +369,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches, sent=sent):
             index = sent.value
             for piece in _slices(batches):
-                raw = piece.column("text").to_pylist()
-                ids = piece.column("id").to_pylist()
+                raw, ids = piece.column("text"), piece.column("id")
                 rows = []
-                for r, i, s, e, d in leaks([normal(t) for t in raw], index):
-                    ((s, e),) = original_spans(raw[r], [(s, e)])
-                    rows.append((ids[r], index.ids[i], s, e, d))
+                for r, i, s, e, d in leaks(normals(raw), index):
+                    ((s, e),) = original_spans(raw[r].as_py(), [(s, e)])
+                    rows.append((ids[r].as_py(), index.ids[i], s, e, d))
                 columns = list(zip(*rows)) or [()] * 5
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "item_id", "start", "end", "edits"])
@@ -340,9 +390,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Data
 
         def run(batches, sent=sent):
             for piece in _slices(batches, text_col):
-                texts = [normal(t) for t in piece.column(text_col).to_pylist()]
-                dirty = {r for r, *_ in leaks(texts, sent.value)}
-                yield piece.filter(pa.array([r not in dirty for r in range(len(texts))], pa.bool_()))
+                dirty = {r for r, *_ in leaks(normals(piece.column(text_col)), sent.value)}
+                yield piece.filter(pa.array([r not in dirty for r in range(piece.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
