@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,8 @@ BLOCK_CHARS = 4_000_000
 SLICE = 256
 SLICE_CHARS = 1_000_000
 WINDOW = 1 << 13  # characters whose hits are counted at a time, at least the longest match
-DENSE = 8  # cells a hit, up to which they are counted in place
+DENSE = 32  # cells a hit, up to which they are counted in place
+MARK = 0  # stands behind each of several texts
 TABLE_BITS = 20
 BREAK = r"[^\pL\pN]+"
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -61,6 +62,32 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """For every code point the one that stands for it in the normal form: its lower case, or a space."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    # A break between letters is replaced one by one, so places are kept.
+    told = pc.replace_substring_regex(pc.utf8_lower(pa.array([every], pa.large_string())), BREAK.rstrip("+"), " ")
+    out = np.full(0x110000, ord(" "), np.uint32)
+    out[codes(every)] = codes(told[0].as_py())
+    return out
+
+
+def joined(texts: pa.Array, stands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The normal forms of texts, by letters(), as code points in a row, MARK behind each, and the places of the marks."""
+    texts = pc.fill_null(texts, "")
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), "\0")[0].as_py()
+    c = stands[codes(f"{whole}\0")]
+    c[np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1) - 1] = MARK
+    blank = c == ord(" ")
+    between = blank | (c == MARK)
+    blank[1:] &= between[:-1]  # a space stays behind a letter only
+    c = c[~blank]
+    last = np.flatnonzero(c == MARK) - 1
+    c = np.delete(c, last[c[last] == ord(" ")])
+    return c, np.flatnonzero(c == MARK)
+
+
 def qgrams(c: np.ndarray) -> np.ndarray:
     """64-bit fingerprints of all substrings of Q characters: of halves of three, put together."""
     if len(c) < Q:
@@ -104,6 +131,37 @@ class Items:
     table: np.ndarray  # by the upper bits of a gram the number of the first with them, -1 if none
     crowded: np.ndarray  # whether the next gram has the same upper bits
     short: tuple[int, ...]  # items of fewer than SHORT characters, looked for as they are
+    letters: np.ndarray  # made once, on the driver
+
+    @cached_property
+    def plan(self) -> Plan:
+        longest, half = int(self.length.max(initial=0)), self.budget + 1
+        step, over = max(WINDOW, longest), longest + int(self.budget.max(initial=0))
+        held = (longest + step + over) // half + 3
+        base = np.cumsum(held) - held
+        slope = (1.0 / half)[self.item]
+        offset = (longest - self.at + 0.5) * slope + base[self.item] + 1
+        bound = np.maximum(self.length + 1 - Q * half, 1)
+        return Plan(longest, step, over, half, bound, base, int(held.sum()), slope, offset)
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How the bands of one window of text are numbered.
+
+    A unit's bands are neighbouring cells, with an empty one on both sides; a posting hit at position x
+    of the window lies in cell floor(x * slope + offset).
+    """
+
+    longest: int
+    step: int
+    over: int
+    half: np.ndarray  # a band's width by unit
+    bound: np.ndarray
+    base: np.ndarray  # a unit's first cell, the empty one
+    held: int  # number of cells
+    slope: np.ndarray  # by posting
+    offset: np.ndarray
 
 
 def indexed(items: list[tuple[int, str | None]]) -> Items:
@@ -125,7 +183,7 @@ def indexed(items: list[tuple[int, str | None]]) -> Items:
     crowded = np.append(top[:-1] == top[1:], False) if len(grams) else np.zeros(0, np.bool_)
     short = tuple(i for i, t in enumerate(texts) if len(t) < SHORT)
     ids = tuple(i for i, _ in pairs)
-    return Items(ids, texts, owner, length, budget, grams, np.append(first, len(order)), item[order].astype(np.int32), at[order].astype(np.int32), table, crowded, short)
+    return Items(ids, texts, owner, length, budget, grams, np.append(first, len(order)), item[order].astype(np.int32), at[order].astype(np.int32), table, crowded, short, letters())
 
 
 def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int] | None:
@@ -176,55 +234,46 @@ def _bands(c: np.ndarray, index: Items) -> set[tuple[int, int]]:
     Only a window is held at a time. Windows overlap by the longest match, so each match lies in one.
     """
     out: set[tuple[int, int]] = set()
-    longest, half = int(index.length.max(initial=0)), index.budget + 1
-    bound = np.maximum(index.length + 1 - Q * half, 1)
-    width, of_gram = 1.0 / half, np.diff(index.starts).astype(np.int32)
-    step, over = max(WINDOW, longest), longest + int(index.budget.max(initial=0))
-    for start in range(0, len(c) if len(index.grams) else 0, step):
-        at, place = _hits(c[start : start + step + over], index)
-        if not len(at):
-            continue
+    p, of_gram = index.plan, np.diff(index.starts)
+    for start in range(0, len(c) if len(index.grams) else 0, p.step):
+        at, place = _hits(c[start : start + p.step + p.over], index)
         counts = of_gram[place]
-        flat = np.repeat((index.starts[place] - np.cumsum(counts) + counts).astype(np.int32), counts)
-        flat += np.arange(len(flat), dtype=np.int32)
-        unit = index.item[flat]
-        diagonal = np.repeat((at + longest).astype(np.int32), counts)
-        diagonal -= index.at[flat]  # from the window's start on, not negative
-        # A unit's bands of this window are neighbouring cells, with an empty one on both sides.
-        least = int(at[0]) // half - 1
-        held = (longest + int(at[-1])) // half - least + 2
-        base = np.cumsum(held) - held
-        cell = ((diagonal + 0.5) * width[unit]).astype(np.int64)  # the band's number
-        cell += (base - least)[unit]
-        cells = _reached(cell, int(held.sum()), base, bound)
+        flat = np.repeat(index.starts[place] - np.cumsum(counts) + counts, counts)
+        flat += np.arange(len(flat))
+        at = np.repeat(at, counts)
+        cell = (at * p.slope[flat] + p.offset[flat]).astype(np.int64)
+        cells, numbers = _reached(cell, p)
         if not len(cells):
             continue
-        units = np.searchsorted(base, cells, side="right") - 1
-        low = (cells - base[units] + least[units]) * half[units]
-        # A hit counts in the cell of its band and in the one before.
-        ends = np.append(cells, -1)
-        live = np.flatnonzero(np.isin(cell, np.concatenate([cells, cells + 1])))
-        numbers = [np.where(ends[k := np.searchsorted(cells, x)] == x, k, -1) for x in (cell[live], cell[live] - 1)]
-        kept = _narrow(numbers, low, half[units], bound[units], diagonal[live], index.at[flat[live]])
-        cells, units = cells[kept], units[kept]
-        out.update(zip(units.tolist(), (low[kept] + (start - longest)).tolist()))
+        units = np.searchsorted(p.base, cells, side="right") - 1
+        low = (cells - p.base[units] - 1) * p.half[units]
+        live = np.flatnonzero((numbers[0] >= 0) | (numbers[1] >= 0))
+        place = index.at[flat[live]]
+        kept = _narrow([x[live] for x in numbers], low, p.half[units], p.bound[units], at[live] + p.longest - place, place)
+        out.update(zip(units[kept].tolist(), (low[kept] + (start - p.longest)).tolist()))
     return out
 
 
-def _reached(cell: np.ndarray, held: int, base: np.ndarray, bound: np.ndarray) -> np.ndarray:
-    """The cells that, with the next one, hold as many hits as their unit's bound.
-
-    One of the two then holds half of the least bound: only such cells are looked at.
-    """
-    enough = (int(bound.min()) + 1) // 2
-    if held <= DENSE * len(cell):
-        n = np.append(np.bincount(cell, minlength=held), 0)
-        many = np.flatnonzero(n >= enough)
-        cells = np.unique(np.concatenate([many - 1, many]))
-        both = n[cells] + n[cells + 1]
+def _reached(cell: np.ndarray, p: Plan) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The cells that, with the next one, hold as many hits as their unit's bound, and for every hit which of them
+    its own cell and the one before are, -1 for none."""
+    dense = p.held <= DENSE * len(cell)
+    if dense:
+        n = np.bincount(cell, minlength=p.held)
+        n[:-1] += n[1:]
+        cells = np.flatnonzero(n >= p.bound.min())
+        both = n[cells]
     else:  # many units and few hits
         cells, both = np.unique(np.concatenate([cell, cell - 1]), return_counts=True)
-    return cells[both >= bound[np.searchsorted(base, cells, side="right") - 1]]
+    cells = cells[both >= p.bound[np.searchsorted(p.base, cells, side="right") - 1]]
+    if not len(cells):
+        return cells, []
+    if dense:
+        of = np.full(p.held, -1, np.int32)
+        of[cells] = np.arange(len(cells), dtype=np.int32)
+        return cells, [of[cell], of[cell - 1]]
+    ends = np.append(cells, -1)
+    return cells, [np.where(ends[k := np.searchsorted(cells, x)] == x, k, -1) for x in (cell, cell - 1)]
 
 
 def _narrow(numbers: list[np.ndarray], low: np.ndarray, half: np.ndarray, bound: np.ndarray, diagonal: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -233,47 +282,50 @@ def _narrow(numbers: list[np.ndarray], low: np.ndarray, half: np.ndarray, bound:
     `numbers` are the bands each hit counts in, -1 for none. A match's diagonals, half in number, lie in one of four
     windows that are wider by a quarter.
     """
-    found = []
+    windows, places = [], []
     for number in numbers:
         hit = np.flatnonzero(number >= 0)
         k = number[hit].astype(np.int64)
         inside, quarter = diagonal[hit] - low[k], -(-half[k] // 4)
         for j in range(4):
             of = (inside >= j * quarter) & (inside < (j + 1) * quarter + half[k])
-            found.append((4 * k[of] + j << 40) | at[hit[of]])
-    n = np.bincount(np.unique(np.concatenate(found)) >> 40, minlength=4 * len(low)).reshape(-1, 4)
-    return n.max(axis=1, initial=0) >= bound
+            windows.append(4 * k[of] + j)
+            places.append(at[hit[of]])
+    window, place, least = np.concatenate(windows), np.concatenate(places), np.repeat(bound, 4)
+    # Positions are told apart only where all hits together reach the bound.
+    left = (np.bincount(window, minlength=len(least)) >= least)[window]
+    n = np.bincount(np.unique(window[left] << 40 | place[left]) >> 40, minlength=len(least))
+    return (n >= least).reshape(-1, 4).any(axis=1)
 
 
 Leak = tuple[int, int, int, int, int]  # row of the slice, item number, start, end, edits
 
 
 def leaks(texts: pa.Array, index: Items) -> list[Leak]:
-    """The best match of every item in every text of a slice of normal texts, at most one per text and item.
+    """The best match of every item in every text of a slice, at most one per text and item; places are of the normal form.
 
     A whole item goes before a passage; the fewest edits, then the first place. Only texts with a
     band that reaches its bound become Python strings.
     """
     out: dict[tuple[int, int], tuple[bool, int, int, int]] = {}
-    ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
-    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), "\0")[0].as_py()
-    starts = np.append(0, ends[:-1])
-    text = lru_cache(maxsize=SLICE)(lambda r: texts[r].as_py())
-    for u, low in sorted(_bands(codes(whole), index)):
+    whole, ends = joined(texts, index.letters)
+    starts = np.append(0, ends[:-1] + 1)
+    text = lru_cache(maxsize=SLICE)(lambda r: whole[starts[r] : ends[r]].tobytes().decode("utf-32-le"))
+    for u, low in sorted(_bands(whole, index)):
         i = int(index.owner[u])
         half = int(index.budget[u]) + 1
         high = low + 2 * half - 1
         # The band names its text; a band over a border may belong to either side.
-        first = int(np.searchsorted(ends, max(low, 0), side="right"))
-        last = int(np.searchsorted(ends, max(high, 0) + int(index.length[u]), side="right"))
+        first = int(np.searchsorted(ends, max(low, 0)))
+        last = int(np.searchsorted(ends, max(high, 0) + int(index.length[u])))
         for r in range(first, min(last, len(texts) - 1) + 1):
             start = int(starts[r])
             if u == i or (r, i) not in out or out[r, i][0]:
                 _better(out, (r, i), u != i, _verified(text(r), index, u, low - start, high - start))
-    for i in index.short:
-        t = f" {index.texts[i]} "
-        for r in np.flatnonzero(pc.match_substring(texts, index.texts[i]).to_numpy(zero_copy_only=False)).tolist():
-            if (p := f" {text(r)} ".find(t)) >= 0:
+    for r in range(len(texts)) if index.short else ():
+        spaced = f" {text(r)} "
+        for i in index.short:
+            if (p := spaced.find(f" {index.texts[i]} ")) >= 0:
                 _better(out, (r, i), False, (0, p, p + len(index.texts[i])))
     return [(r, i, s, e, d) for (r, i), (_, d, s, e) in sorted(out.items())]
 
@@ -371,7 +423,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for piece in _slices(batches):
                 raw, ids = piece.column("text"), piece.column("id")
                 rows = []
-                for r, i, s, e, d in leaks(normals(raw), index):
+                for r, i, s, e, d in leaks(raw, index):
                     ((s, e),) = original_spans(raw[r].as_py(), [(s, e)])
                     rows.append((ids[r].as_py(), index.ids[i], s, e, d))
                 columns = list(zip(*rows)) or [()] * 5
@@ -390,7 +442,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Data
 
         def run(batches, sent=sent):
             for piece in _slices(batches, text_col):
-                dirty = {r for r, *_ in leaks(normals(piece.column(text_col)), sent.value)}
+                dirty = {r for r, *_ in leaks(piece.column(text_col), sent.value)}
                 yield piece.filter(pa.array([r not in dirty for r in range(piece.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

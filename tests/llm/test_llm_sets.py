@@ -28,6 +28,18 @@ def leaks(texts, index):
 # --- archives -----------------------------------------------------------------
 
 
+def test_joined_is_normal():
+    """Code points in a row are the normal forms, for every code point and for odd texts."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [None, "", " ", "\0", "a\0B", " -A- ", "".join(every), "x".join(every), *every[:2000], None]
+    c, ends = decontaminate.joined(pa.array(texts, pa.string()), decontaminate.letters())
+    starts = [0, *(ends[:-1] + 1)]
+    got = [c[s:e].tobytes().decode("utf-32-le") for s, e in zip(starts, ends)]
+    assert got == decontaminate.normals(pa.array(texts, pa.string())).to_pylist()
+    c, ends = decontaminate.joined(pa.array([], pa.string()), decontaminate.letters())
+    assert len(ends) <= 1
+
+
 def test_archives_round_trip(spark):
     r = random.Random(1)
     same = f"<p>{prose(r, 50)}</p>"
