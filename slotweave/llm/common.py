@@ -15,11 +15,13 @@ FILTER_BITS = 25
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir), also set for checkpoint().
 
-    Where the setting is absent (tests, one machine) a folder is made once per session.
+    Where the setting is absent a folder is made once per session on one machine; on a cluster that is an error.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="slotweave-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if sc.getCheckpointDir() is None:
