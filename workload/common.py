@@ -51,8 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; a temporary one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="workload-")
+    """A new path in the folder that driver and executors share; a temporary one where none is set on one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    folder = folder or tempfile.mkdtemp(prefix="workload-")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
