@@ -48,8 +48,8 @@ class Catalog(Mapping[str, DataFrame]):
         ``replacements`` are made by file name, column and old value (see ``operators.replace``).
         """
         from slotweave.operators.replace import replace_cells, ruled_columns
-        from slotweave.sources.delimited import read_table, separator_of
-        from slotweave.sources.files import file_headers
+        from slotweave.sources.delimited import read_table
+        from slotweave.sources.files import file_headers, separator_of
 
         named: dict[str, str] = {}
         for path in paths:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.functions.local import local_frame
 from slotweave.plans.spec import ClassDerivation, SlotDerivation, SpecSet
 from slotweave.sources.catalog import Catalog
+from slotweave.sources.files import table_columns
 
 ACCESSION = r"(phv\d{8})"
 
@@ -20,6 +22,15 @@ def column_catalogue(catalog: Catalog) -> DataFrame:
     return local_frame(catalog.spark, rows, "`table` string, `column` string")
 
 
+def column_catalogue_of_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """(table, column) of delimited and Parquet tables, read from headers and footers in one job.
+
+    No table is opened on the driver. A table is named after its file; a column without a name is left out.
+    """
+    found = table_columns(spark, list(paths))
+    return found.where(F.trim("column") != "").select("table", "column")
+
+
 def tables_of_references(texts: DataFrame, catalogue: DataFrame, column: str = "value") -> DataFrame:
     """(column, table) of every accession mentioned in a text; the last table by name stands."""
     found = F.regexp_extract_all(F.col(f"`{column}`"), F.lit(ACCESSION), 1)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from slotweave.errors import SourceError
 from slotweave.operators import clean
 from slotweave.operators.metadata import combine_raw
+from slotweave.sources.files import separator_of
 
 # Sheets looked for in a metadata export, in order.
 KNOWN_SHEETS = ("right_join_full", "Export_BDCHM_noFHS-noCOPDGene_p")
@@ -32,12 +33,6 @@ def detect_separator(spark: SparkSession, path: str) -> str:
     return separator_of(first[0].value if first else "")
 
 
-def separator_of(header: str) -> str:
-    """Tab or comma, whichever a header line holds more often in its first 1024 characters; tab on a tie."""
-    header = header[:1024]
-    return "\t" if header.count("\t") >= max(header.count(","), 1) else ","
-
-
 def read_table(
     spark: SparkSession, path: str, separator: str | None = None, na_tokens: bool = False, breaks: bool = False
 ) -> DataFrame:

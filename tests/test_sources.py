@@ -10,7 +10,7 @@ from slotweave.sources.archive import (
     referenced_tables,
 )
 from slotweave.sources.catalog import Catalog
-from slotweave.sources.columns import column_catalogue, resolve_placeholder, tables_of_references
+from slotweave.sources.columns import column_catalogue, column_catalogue_of_files, resolve_placeholder, tables_of_references
 from slotweave.sources.delimited import detect_separator, discover, load_exports, pick_sheet, read_metadata, read_table
 from slotweave.sources.digests import data_dictionary, pair_digests
 
@@ -241,3 +241,28 @@ def test_cells_with_line_breaks_and_extra_cells(spark, tmp_path):
     (tmp_path / "y.csv").write_text('a,b,c\n"1,2",3\n"x, ""y"", z"\n1,"2,3,4",5\n')
     got = sorted(tuple(r) for r in read_table(spark, str(tmp_path / "y.csv")).collect())
     assert got == [("1", "2,3,4", "5"), ("1,2", "3", None), ('x, "y", z', None, None)]
+
+
+def test_columns_of_many_files_from_one_job(spark, tmp_path):
+    want = set()
+    for i in range(150):
+        sep = ",\t"[i % 2]
+        names = ["id", f"phv{i:08d}", f'"x{sep}{i}"', ""]
+        (tmp_path / f"pht-{i}.csv").write_text(sep.join(names) + "\n1\n")
+        want |= {(f"pht_{i}", "id"), (f"pht_{i}", f"phv{i:08d}"), (f"pht_{i}", f"x{sep}{i}")}
+    (tmp_path / "empty.tsv").write_text("")
+    (tmp_path / "marked.csv").write_text("\ufeffa,b\n")
+    spark.range(3).selectExpr("id AS `odd name`", "id AS b").repartition(2).write.parquet(str(tmp_path / "folder.parquet"))
+    want |= {("marked", "a"), ("marked", "b"), ("folder", "odd name"), ("folder", "b")}
+    paths = [str(p) for p in sorted(tmp_path.iterdir())]
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = [(r["table"], r["column"]) for r in column_catalogue_of_files(spark, paths).collect()]
+    assert len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - set(before)) == 1
+    assert len(got) == len(want) and set(got) == want
+    assert column_catalogue_of_files(spark, []).collect() == []
+
+
+def test_columns_of_a_folder_without_parts(spark, tmp_path):
+    (tmp_path / "none.parquet").mkdir()
+    with pytest.raises(Exception, match="holds no part file"):
+        column_catalogue_of_files(spark, [str(tmp_path / "none.parquet")]).collect()

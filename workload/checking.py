@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slotweave.errors import DataError
 from slotweave.functions.local import local_frame
 from slotweave.operators.profile import InferenceOptions, distinct_ratio, infer_table, key_columns, profile_columns
-from slotweave.operators.validate import summary, verdicts, violation_counts, violations
+from slotweave.operators.validate import gate, summary, verdicts, violation_counts, violations
 from slotweave.plans.pipeline import Options, run_pipeline
 from slotweave.plans.schema import parse_schema
 from slotweave.sinks.flatten import flatten
@@ -16,8 +17,8 @@ from slotweave.sinks.spec_files import write_spec_files
 from slotweave.sinks.writers import drop_columns, json_lines, write_quoted_csv, yaml_documents
 from slotweave.sources.archive import is_data_line, prune_files, read_archive, referenced_tables, split_lines
 from slotweave.sources.catalog import Catalog
-from slotweave.sources.columns import tables_of_references
-from slotweave.sources.delimited import discover, read_table
+from slotweave.sources.columns import column_catalogue_of_files, tables_of_references
+from slotweave.sources.delimited import discover, load_exports, read_table
 from slotweave.sources.digests import data_dictionary_of_texts, pair_digests
 from workload.common import Registry, scratch, table
 
@@ -144,18 +145,43 @@ def validate_counts(spark, sf_dir):
     return violation_counts(_order_violations(spark, sf_dir))
 
 
-@registry.add(VIOLATION_SQL + """,
+SUMMARY_SQL = VIOLATION_SQL + """,
 c AS (
   SELECT 'customer' AS t, count(*) FILTER (WHERE c_custkey IS NULL OR c_name IS NULL OR trim(c_name) = '') + count(c_custkey) - count(DISTINCT c_custkey) AS n FROM customer
   UNION ALL SELECT 'orders', count(*) FROM v
 )
 SELECT count(*) AS n_tables, count(*) FILTER (WHERE n > 0) AS n_failing, coalesce(string_agg(t, ', ' ORDER BY t) FILTER (WHERE n > 0), '') AS failing
 FROM c
-""")
+"""
+
+
+def _verdicts(spark, sf_dir):
+    good = violations(table(spark, sf_dir, "customer"), "customer", parse_schema(ORDER_SCHEMA))
+    return verdicts(violation_counts(good.unionAll(_order_violations(spark, sf_dir))), ["customer", "orders"])
+
+
+@registry.add(SUMMARY_SQL)
 def validate_summary(spark, sf_dir):
     """How many tables fail validation, and which."""
-    good = violations(table(spark, sf_dir, "customer"), "customer", parse_schema(ORDER_SCHEMA))
-    return summary(verdicts(violation_counts(good.unionAll(_order_violations(spark, sf_dir))), ["customer", "orders"]))
+    return summary(_verdicts(spark, sf_dir))
+
+
+@registry.add(f"""
+WITH s AS ({SUMMARY_SQL})
+SELECT mode, n_failing = 0 AS passed,
+       CASE WHEN mode = 'strict' AND n_failing > 0 THEN n_failing || ' of ' || n_tables || ' tables fail validation: ' || failing END AS message
+FROM s, (VALUES ('strict'), ('lenient')) m(mode)
+""")
+def validate_gate(spark, sf_dir):
+    """The gate after validation: a strict run ends with the tables that fail, a lenient one goes on."""
+    verdict = _verdicts(spark, sf_dir)
+    rows = [("lenient", str(gate(verdict, strict=False)), None)]
+    try:
+        rows.append(("strict", str(gate(verdict, strict=True)), None))
+    except DataError as e:
+        rows.append(("strict", "False", str(e)))
+    told = local_frame(spark, rows, "mode string, passed string, message string")
+    return told.withColumn("passed", F.col("passed").cast("boolean"))
 
 
 @registry.add(TEXT_SQL + "SELECT DISTINCT 'priority_enum' AS enum, priority AS value FROM t UNION ALL "
@@ -394,6 +420,47 @@ def column_lookup(spark, sf_dir):
     return tables_of_references(texts, catalogue)
 
 
+@registry.add("""
+SELECT 'phv' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS "column", max('pht_' || c_nationkey) AS "table"
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1
+UNION ALL SELECT column_name, 'customer' FROM (DESCRIBE customer)
+UNION ALL SELECT column_name, 'orders' FROM (DESCRIBE orders)
+""")
+def file_columns(spark, sf_dir):
+    """Accessions looked up in the headers of many written files, and the columns of stored tables, from one job."""
+    n, key = F.col("c_nationkey"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")
+    separator = F.when(n % 2 == 0, "\t").otherwise(",")
+    cells = table(spark, sf_dir, "customer").select(n, key.alias("phv"), F.concat(separator, F.lit("phv"), key).alias("text"))
+    ends = [F.struct(F.lit(phv).alias("phv"), F.lit(text).alias("text")) for phv, text in (("", "subject"), ("~", "\n1\n"))]
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.explode(F.array(*ends)).alias("e"))
+    named = cells.unionAll(nation.select(n, "e.phv", "e.text"))
+    root = scratch(spark, "headers")
+    write_spec_files(
+        named.select(F.lit("tables").alias("cohort"), F.concat(F.lit("pht-"), n.cast("string")).alias("varname"), "phv", "text"),
+        root, "{cohort}/{varname}", suffix=".csv",
+    )
+    catalogue = column_catalogue_of_files(spark, [*discover(spark, root), f"{sf_dir}/customer.parquet", f"{sf_dir}/orders.parquet"])
+    texts = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("expr: '{phv"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"), F.lit("} * 365'")).alias("value")
+    )
+    return tables_of_references(texts, catalogue).unionByName(catalogue.where("table in ('customer', 'orders')"))
+
+
+@registry.add("""
+SELECT DISTINCT trim(c_mktsegment) AS cohort, c_name AS name, NULL AS nation FROM customer WHERE c_custkey % 2 = 0
+UNION SELECT NULL, s_name, CAST(s_nationkey AS VARCHAR) FROM supplier
+""")
+def exports_combined(spark, sf_dir):
+    """Metadata exports of several sheets: the wanted sheet of each, cleaned, united, repeated rows once."""
+    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    padded = F.concat(F.lit("  "), "c_mktsegment", F.lit(" ")).alias("cohort")
+    sheet = customer.select(padded, F.col("c_name").alias("name"), F.lit(None).cast("string").alias("nothing")).where("c_custkey % 2 = 0")
+    other = customer.select(padded, F.lit("not wanted").alias("name"))
+    plain = supplier.select(F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("nation"))
+    exports = [{"notes": other, "second": other, "wanted": sheet}, {"any": plain, "later": other}, {"second": sheet}]
+    return load_exports(exports, known=("wanted", "second"))
+
+
 def _digests(spark, sf_dir):
     dictionaries = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("/d/phs1.v7.pht"), F.col("c_custkey").cast("string"), F.lit(".v6.T.data_dict.xml")).alias("path")

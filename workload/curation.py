@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from slotweave.operators import metadata
 from slotweave.operators.flags import quality_flags
-from slotweave.operators.render import render_specs
+from slotweave.operators.render import register_entity, render_specs
 from slotweave.operators.rules import apply_rules, parse_rules
 from slotweave.sinks.spec_files import placed_texts, write_spec_files
 from workload.common import Registry, scratch, table
@@ -513,3 +513,33 @@ def variable_spec_files(spark, sf_dir):
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.yaml")
     name = F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -3, 3), "/")
     return files.select(name.alias("file"), F.col("value").alias("text"))
+
+
+register_entity(
+    "Procedure",
+    lambda row: F.concat(F.lit("- procedure: '"), row.quoted("phv"), F.lit("'\n  concept: "), row.text("onto_id"), F.lit("\n")),
+    lambda row: row.has("onto_id"),
+)
+
+
+@registry.add("""
+WITH r AS (SELECT 'n' || c_nationkey AS varname, CASE WHEN c_nationkey % 3 > 0 THEN 'good' ELSE 'bad' END AS quality, c_name AS phv,
+  '- procedure: ''' || c_name || '''' || chr(10) || '  concept: ' || CASE WHEN c_nationkey % 3 > 0 THEN 'P:' || c_custkey ELSE '0' END || chr(10) AS text
+  FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 4 > 0)
+SELECT quality || '/' || varname || '.txt' AS file, string_agg(text, '' ORDER BY phv, text) AS text FROM r GROUP BY quality, varname
+""")
+def registered_entity_files(spark, sf_dir):
+    """An entity registered by the user, for one cohort, written in a layout of the user's choice."""
+    n = F.col("c_nationkey")
+    rows = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 4 > 0, "Procedure").otherwise("Condition").alias("bdchm_entity"),
+        F.lower("c_mktsegment").alias("cohort"),
+        F.concat(F.lit("n"), n.cast("string")).alias("bdchm_varname"),
+        F.when(n % 3 > 0, F.concat(F.lit("P:"), F.col("c_custkey").cast("string"))).alias("onto_id"),
+        F.col("c_name").alias("phv"),
+    )
+    path = scratch(spark, "layout")
+    write_spec_files(render_specs(rows, "Procedure", cohort="building"), path, "{quality}/{varname}", suffix=".txt")
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
+    name = F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -2, 2), "/")
+    return files.select(name.alias("file"), F.col("value").alias("text"))

@@ -5,11 +5,12 @@ import json
 from pyspark.sql import functions as F
 
 from slotweave.plans.derive import Mapper
+from slotweave.plans.schema import parse_schema
 from slotweave.plans.spec import parse_specs
 from slotweave.sinks.flatten import flatten
 from slotweave.sources.catalog import Catalog
 from slotweave.streaming import run_stream, stream_results
-from workload.common import Registry, derive, scratch, table
+from workload.common import Registry, catalog, derive, scratch, table
 
 registry = Registry()
 
@@ -50,6 +51,33 @@ def derive_basic(spark, sf_dir):
     return derive(spark, sf_dir, "Account", BASIC_SPEC, BASIC_SCHEMA).records
 
 
+REGISTERED_SPEC = """
+- class_derivations:
+    Account:
+      populated_from: customer
+      slot_derivations:
+        id: {populated_from: c_custkey}
+        code: {expr: 'initials({c_mktsegment}, 3) + "-" + shout({c_name})'}
+        cents: {expr: 'cents({c_acctbal})'}
+"""
+REGISTERED_SCHEMA = """
+classes: {Account: {attributes: {id: {range: integer}, code: {range: string}, cents: {range: integer}}}}
+"""
+
+
+@registry.add("""
+SELECT c_custkey AS id, lower(substr(c_mktsegment, 1, 3)) || '-' || upper(c_name) AS code, CAST(round(c_acctbal * 100) AS BIGINT) AS cents
+FROM customer
+""")
+def derive_registered(spark, sf_dir):
+    """Functions registered by the user, called in slot expressions."""
+    mapper = Mapper(catalog(spark, sf_dir), parse_specs([REGISTERED_SPEC]), parse_schema(REGISTERED_SCHEMA))
+    mapper.register_function("shout", F.upper)
+    mapper.register_function("initials", lambda text, n: F.lower(F.substring(text, F.lit(1), n.cast("int"))))
+    mapper.register_function("cents", lambda amount: F.round(amount * 100))
+    return mapper.derive("Account").records
+
+
 VALUE_MAP_SPEC = """
 - class_derivations:
     OrderState:
