@@ -503,3 +503,18 @@ def test_pipeline_tells_rows_of_one_id_apart(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = [x["text"] for x in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
     assert sorted(map(str, kept)) == sorted(map(str, [a, b, c, rows[5][1], "x", None]))
+
+
+def test_empty_and_clashing_tables(spark):
+    item = spark.createDataFrame([(1, "a benchmark item of quite some words that nobody else would write down")], "id long, text string")
+    none = item.limit(0)
+    assert decontaminate.contaminated(none, item).collect() == [] and decontaminate.contaminated(item, none).collect() == []
+    assert decontaminate.clean(none, item).collect() == [] and decontaminate.clean(item, none).count() == 1
+    vectors = spark.createDataFrame([], "id long, vector array<double>")
+    assert topk.top_k(vectors, F.col("id") % 100 == 0).collect() == []
+    rows = [(1, f"before {item.first()['text']} after"), (1, f"before {item.first()['text']} after"), (2, "clean"), (None, None)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    clashing = docs.selectExpr("'x' AS item_id", "'x' AS edits", "'x' AS start", "'x' AS maybe", "text", "id")
+    assert sorted(decontaminate.contaminated(clashing, item).collect(), key=repr) == sorted(decontaminate.contaminated(docs, item).collect(), key=repr)
+    left = decontaminate.clean(clashing, item)
+    assert left.columns == clashing.columns and sorted(r["id"] or 0 for r in left.collect()) == [0, 2]

@@ -228,3 +228,43 @@ def test_rows_without_an_id_get_only_their_own_dropped_lines(spark):
     got = line_dedup.without_repeated_lines(df, batches=2).collect()
     assert sorted(r["text"] for r in got) == sorted(["\n".join(shared), "", *(f"its own line {k}" for k in range(60))])
     assert sum(r["n_dropped"] for r in got) == 60
+
+
+# --- empty tables, clashing columns, repeated rows ------------------------------------
+
+
+def odd_documents(spark, rows, *more):
+    """documents(id, text) beside columns that bear the names of results."""
+    extra = [f"'other' AS `{c}`" for c in ("lang_pred", "score", "n_lines", "n_dropped", "gone", "row", "h", "n_tokens", "n_bytes", *more)]
+    return spark.createDataFrame(rows, "id long, text string").selectExpr(*extra, "text", "id")
+
+
+def test_empty_tables(spark, model):
+    empty = odd_documents(spark, [])
+    assert langid.identified(empty, model).collect() == [] and langid.recognised(empty, model).collect() == []
+    assert tokens.counted(empty).collect() == []
+    assert line_dedup.without_repeated_lines(empty).collect() == []
+    assert html_text.extracted(spark.createDataFrame([], "id long, url string, html string")).collect() == []
+
+
+def test_columns_of_clashing_names_do_not_matter(spark, model):
+    shared = "a line that two documents hold"
+    rows = [*ODD, (7, f"own\n{shared}"), (8, f"{shared}\nx"), (8, f"{shared}\nx")]
+    plain, odd = spark.createDataFrame(rows, "id long, text string"), odd_documents(spark, rows)
+    for f in (lambda d: langid.identified(d, model), tokens.counted, line_dedup.without_repeated_lines):
+        want, got = f(plain), f(odd)
+        assert got.columns == want.columns
+        assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+        assert got.count() == len(rows)
+    pages = [(1, "u", "<article><p>Some words of the article, more than a few of them.</p></article>"), (1, "u", None), (None, None, "")]
+    page = spark.createDataFrame(pages, "id long, url string, html string")
+    clashing = page.selectExpr("'other' AS text", "'other' AS page", "html", "url", "id")
+    assert sorted(html_text.extracted(clashing).collect(), key=repr) == sorted(html_text.extracted(page).collect(), key=repr)
+
+
+def test_repeated_rows_get_equal_results(spark, model):
+    rows = [(5, "x" * 50_000), (5, "x" * 50_000), (6, "the thing and"), (6, "the thing and")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    for f in (lambda d: langid.identified(d, model), tokens.counted):
+        got = f(docs).collect()
+        assert len(got) == 4 and len(set(got)) == 2
