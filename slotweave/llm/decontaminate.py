@@ -411,7 +411,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Of several places of an item in a document the one with the fewest edits counts, then the first. Where the
     whole item is in none, but a passage of PASSAGE characters of it is, the best passage's place and edits are told.
-    Null and empty texts and items match nothing; items equal in text are all told.
+    Null and empty texts and items match nothing; items equal in text are all told. Texts are read whole, in
+    windows; repeated rows are told each. An empty table on either side gives an empty result; other columns
+    are not read.
     """
     schema = "id long, item_id long, start long, end long, edits int"
     found = None
@@ -436,7 +438,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows, all columns, that hold no item of benchmark(id, text), nor a passage of one."""
+    """The rows, all columns, that hold no item of benchmark(id, text), nor a passage of one.
+
+    Null and empty texts stay; repeated rows stay or go together. With an empty benchmark every row stays.
+    """
     for index in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 

@@ -546,7 +546,11 @@ def _labelled(page: Page, label: np.ndarray) -> list[tuple[int, str, int]]:
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """(id, url, text) of pages(id, url, html): the main text, empty for a null or empty page or one without main text."""
+    """(id, url, text) of pages(id, url, html): the main text, empty for a null or empty page or one without main text.
+
+    Pages are read whole. Repeated rows give equal texts each, null ids and urls stay null, an empty table stays
+    empty, and other columns are not read.
+    """
     sent = pages.sparkSession.sparkContext.broadcast(fitted())
 
     def run(batches):

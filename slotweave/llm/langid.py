@@ -259,6 +259,8 @@ def identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(id, lang_pred, score) of docs(id, text). A text that is null or has no letter is `und` with score 0.
 
     The score is the posterior share of the predicted language; ties go to the first language by code point.
+    Texts are read whole, whatever their length. Repeated rows get equal results each; a null id stays null, an
+    empty table stays empty, and other columns are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -275,7 +277,10 @@ def identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def recognised(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows, all columns, whose language is determined with a score of at least `least`."""
+    """The rows, all columns, whose language is determined with a score of at least `least`.
+
+    Null and letterless texts go; repeated rows stay or go together. Columns may bear any names.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

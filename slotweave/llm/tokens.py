@@ -103,7 +103,11 @@ def _common(raw: bytes, left: list[int], right: list[int], low: int, high: int)
 
 
 def counted(docs: DataFrame, path: str | None = None, limit: int = 4096, chunk: int = CHUNK) -> DataFrame:
-    """(id, n_bytes, n_tokens, over_limit) of docs(id, text); a null or empty text has 0 bytes and 0 tokens."""
+    """(id, n_bytes, n_tokens, over_limit) of docs(id, text); a null or empty text has 0 bytes and 0 tokens.
+
+    Texts over `chunk` are counted in overlapping chunks, none is cut. Repeated rows are counted each, a null
+    id stays null, an empty table stays empty, and other columns are not read.
+    """
     path = path or model_path()
 
     def run(batches):

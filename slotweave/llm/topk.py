@@ -159,7 +159,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
 
     Only vectors of the query's length compete; the query's own id does not. A query with fewer
     candidates gets them all. Rows that share an id are each a candidate; equal ids with equal scores
-    rank in any order.
+    rank in any order. An empty table, or one without queries, gives an empty result; other columns are
+    read by `is_query` alone.
     """
     every = stored(quantised(vectors), "quantised")
     row_blocks, query_blocks = F.lit(1), F.lit(1)
