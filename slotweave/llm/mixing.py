@@ -16,9 +16,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slotweave.llm.common import stored
 
@@ -104,10 +104,10 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
             rates.append((s, k, whole, min(max(copies - whole, 0.0), 1.0)))
         missing.append((s, sizes[s], targets[s], targets[s] - certain))
 
-    string, whole, real = T.StringType(), T.LongType(), T.DoubleType()
-    table = lambda rows, **cols: spark.createDataFrame(rows, T.StructType([T.StructField(k, v) for k, v in cols.items()]))
-    rate = table(rates, rate_source=string, rate_class=T.IntegerType(), certain=T.IntegerType(), p=real)
-    want = table(missing, want_source=string, source_size=whole, target=real, rest=real)
+    # Local relations: Spark knows their size, so while they are small it joins them without a shuffle of texts.
+    string, short, whole, real = pa.string(), pa.int32(), pa.int64(), pa.float64()
+    rate = _local(spark, rates, rate_source=string, rate_class=short, certain=short, p=real)
+    want = _local(spark, missing, want_source=string, source_size=whole, target=real, rest=real)
 
     def ranked(df: DataFrame) -> DataFrame:
         same = F.col("source").eqNullSafe(F.col("rate_source")) & (F.col("class") == F.col("rate_class"))
@@ -159,7 +159,12 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
         return told(full, drawn)
     parted = F.coalesce(F.col("split") & (F.col("bin") == F.col("cut_bin")) & (place == F.col("last")), F.lit(False))
     equal = _numbered(full.where(parted))
-    return told(full.where(~parted), drawn).unionAll(told(equal, (F.col("number") <= F.col("fit")).cast("int")))
+    return told(full.where(~parted), drawn).unionAll(told(equal, (F.col("__number") <= F.col("fit")).cast("int")))
+
+
+def _local(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
+    arrays = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(columns.values())]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(columns)))
 
 
 def _numbered(equal: DataFrame) -> DataFrame:
@@ -168,11 +173,11 @@ def _numbered(equal: DataFrame) -> DataFrame:
     They are stored with their task's number, so they stay where they are; rows are numbered within
     a task, and tasks by the rows of those before.
     """
-    rows = stored(equal.withColumns({"task": F.spark_partition_id(), "nth": F.monotonically_increasing_id()}), "equal")
-    held = rows.groupBy(F.col("source").alias("s"), F.col("task").alias("t")).agg(F.count(F.lit(1)).alias("held"))
+    rows = stored(equal.withColumns({"__task": F.spark_partition_id(), "__nth": F.monotonically_increasing_id()}), "equal")
+    held = rows.groupBy(F.col("source").alias("s"), F.col("__task").alias("t")).agg(F.count(F.lit(1)).alias("held"))
     before = Window.partitionBy("s").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
     starts = held.select("s", "t", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("first"))
-    within = F.row_number().over(Window.partitionBy("source", "task").orderBy("nth"))
-    numbered = rows.withColumn("number", within)
-    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("task") == F.col("t"))
-    return numbered.join(starts, same).withColumn("number", F.col("number") + F.col("first"))
+    within = F.row_number().over(Window.partitionBy("source", "__task").orderBy("__nth"))
+    numbered = rows.withColumn("__number", within)
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("__task") == F.col("t"))
+    return numbered.join(starts, same).withColumn("__number", F.col("__number") + F.col("first"))
