@@ -2,10 +2,12 @@
 
 An item of m characters that lies in a text with at most k edits shares at least
 m + 1 - q * (k + 1) of its q-grams with that region, all on neighbouring diagonals
-(text position less item position, at most k + 1 of them). Shared q-grams are
-counted in diagonal bands of twice that width that overlap by half; bands that
-reach the bound are verified by an alignment banded to the same diagonals. Texts
-are compared as lower-cased words of letters and digits with single spaces.
+(text position less item position, at most k + 1 of them). Of the q-grams at every
+s-th place, s a divisor of q, an edit spoils q / s at most. These are counted in
+diagonal bands of twice that width that overlap by half; bands that reach their bound,
+and the bound of all q-grams, are verified by an alignment banded to the same diagonals.
+Texts are compared as
+lower-cased words of letters and digits with single spaces.
 
 A long item is also cut into overlapping passages, each looked for whole under its
 own budget, so that a document that quotes a large part of it is found.
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 
 Q = 6
 RATE = 0.15
+STRIDES = (3, 2, 1)  # of the q-grams that are counted in bands; divisors of Q
+PIECES = 3  # shared ones that a stride leaves at least, or else the next is taken
 LEAST = 12  # shared q-grams the budget leaves at least, in an item of 36 characters or more
 SHORT = 10
 PASSAGE = 240
@@ -107,6 +111,15 @@ def edit_budget(m: int, rate: float = RATE, q: int = Q) -> int:
     return max(0, min(int(m * rate), (m + 1 - min(LEAST, m // 3)) // q - 1))
 
 
+def counted(m: int, budget: int, q: int = Q) -> tuple[range, int]:
+    """Places of the q-grams of an item of m characters that are counted in bands, and how many of them a match shares."""
+    for stride in STRIDES:
+        places = range(0, m + 1 - q, stride)
+        if (bound := len(places) - q // stride * budget) >= PIECES:
+            break
+    return places, max(bound, 1)
+
+
 def passages(text: str) -> list[str]:
     """Overlapping passages of a long text, the last one at its end; none where the whole with its budget covers as much."""
     if len(text) * (1 - RATE) <= PASSAGE:
@@ -117,13 +130,15 @@ def passages(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Items:
-    """A block of items and the inverted index of their q-grams; the units looked for are the items, then their passages."""
+    """A block of items and the inverted index of their counted q-grams; the units looked for are the items, then their passages."""
 
     ids: tuple[int, ...]
     texts: tuple[str, ...]  # of the units, as all up to budget
     owner: np.ndarray  # number of the item
     length: np.ndarray
     budget: np.ndarray
+    bound: np.ndarray  # counted q-grams that a match shares at least
+    every: tuple[tuple[np.ndarray, np.ndarray], ...]  # all q-grams of a unit, sorted, and their places
     grams: np.ndarray  # sorted distinct
     starts: np.ndarray  # into the two below, one more than grams
     item: np.ndarray
@@ -141,8 +156,8 @@ class Items:
         base = np.cumsum(held) - held
         slope = (1.0 / half)[self.item]
         offset = (longest - self.at + 0.5) * slope + base[self.item] + 1
-        bound = np.maximum(self.length + 1 - Q * half, 1)
-        return Plan(longest, step, over, half, bound, base, int(held.sum()), slope, offset)
+        unit = np.repeat(np.arange(len(held), dtype=np.int32), held)
+        return Plan(longest, step, over, half, self.bound, base, unit, self.bound[unit], int(held.sum()), slope, offset)
 
 
 @dataclass(frozen=True)
@@ -159,6 +174,8 @@ class Plan:
     half: np.ndarray  # a band's width by unit
     bound: np.ndarray
     base: np.ndarray  # a unit's first cell, the empty one
+    unit: np.ndarray  # by cell
+    least: np.ndarray  # a unit's bound, by cell
     held: int  # number of cells
     slope: np.ndarray  # by posting
     offset: np.ndarray
@@ -171,10 +188,13 @@ def indexed(items: list[tuple[int, str | None]]) -> Items:
     owner = np.array([*range(len(pairs)), *(i for i, _ in cut)], np.int64)
     length = np.array([len(t) for t in texts], np.int64)
     budget = np.array([edit_budget(len(t)) for t in texts], np.int64)
-    found = [qgrams(codes(t if len(t) >= SHORT else "")) for t in texts]
+    every = [qgrams(codes(t if len(t) >= SHORT else "")) for t in texts]
+    told = [counted(len(t), int(k)) for t, k in zip(texts, budget)]
+    bound = np.array([least for _, least in told], np.int64)
+    found = [g[:: places.step] for g, (places, _) in zip(every, told)]
     all_grams = np.concatenate([np.empty(0, np.uint64), *found])
     item = np.repeat(np.arange(len(texts)), [len(g) for g in found]).astype(np.int64)
-    at = np.concatenate([np.empty(0, np.int64), *(np.arange(len(g)) for g in found)]).astype(np.int64)
+    at = np.concatenate([np.empty(0, np.int64), *(np.arange(len(g)) * places.step for g, (places, _) in zip(found, told))]).astype(np.int64)
     order = np.argsort(all_grams, kind="stable")
     grams, first = np.unique(all_grams[order], return_index=True)
     top = (grams >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
@@ -183,7 +203,7 @@ def indexed(items: list[tuple[int, str | None]]) -> Items:
     crowded = np.append(top[:-1] == top[1:], False) if len(grams) else np.zeros(0, np.bool_)
     short = tuple(i for i, t in enumerate(texts) if len(t) < SHORT)
     ids = tuple(i for i, _ in pairs)
-    return Items(ids, texts, owner, length, budget, grams, np.append(first, len(order)), item[order].astype(np.int32), at[order].astype(np.int32), table, crowded, short, letters())
+    return Items(ids, texts, owner, length, budget, bound, tuple((g[o], o) for g in every for o in [np.argsort(g, kind="stable")]), grams, np.append(first, len(order)), item[order].astype(np.int32), at[order].astype(np.int32), table, crowded, short, letters())
 
 
 def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int] | None:
@@ -242,38 +262,65 @@ def _bands(c: np.ndarray, index: Items) -> set[tuple[int, int]]:
         flat += np.arange(len(flat))
         at = np.repeat(at, counts)
         cell = (at * p.slope[flat] + p.offset[flat]).astype(np.int64)
-        cells, numbers = _reached(cell, p)
+        cells, live, numbers = _reached(cell, p)
         if not len(cells):
             continue
-        units = np.searchsorted(p.base, cells, side="right") - 1
+        units = p.unit[cells]
         low = (cells - p.base[units] - 1) * p.half[units]
-        live = np.flatnonzero((numbers[0] >= 0) | (numbers[1] >= 0))
         place = index.at[flat[live]]
-        kept = _narrow([x[live] for x in numbers], low, p.half[units], p.bound[units], at[live] + p.longest - place, place)
+        kept = _narrow(numbers, low, p.half[units], p.bound[units], at[live] + p.longest - place, place)
         out.update(zip(units[kept].tolist(), (low[kept] + (start - p.longest)).tolist()))
     return out
 
 
-def _reached(cell: np.ndarray, p: Plan) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The cells that, with the next one, hold as many hits as their unit's bound, and for every hit which of them
-    its own cell and the one before are, -1 for none."""
+def _shared(c: np.ndarray, index: Items, u: int, low: int) -> bool:
+    """Whether the unit shares as many of all its q-grams with a band as the lemma asks for, within little more than its width."""
+    half, m = int(index.budget[u]) + 1, int(index.length[u])
+    grams, places = index.every[u]
+    start = max(low, 0)
+    g = qgrams(c[start : max(low + 2 * half + m, 0)])
+    first = np.searchsorted(grams, g)
+    hit = np.flatnonzero(grams[np.minimum(first, len(grams) - 1)] == g)
+    least = m + 1 - Q * half
+    if len(hit) < least:
+        return False
+    first = first[hit]
+    counts = np.searchsorted(grams, g[hit], side="right") - first
+    of = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    at = places[of]
+    inside, quarter = np.repeat(hit, counts) + (start - low) - at, -(-half // 4)
+    for j in range(4):
+        seen = np.zeros(m, np.bool_)
+        seen[at[(inside >= j * quarter) & (inside < (j + 1) * quarter + half)]] = True
+        if np.count_nonzero(seen) >= least:
+            return True
+    return False
+
+
+def _reached(cell: np.ndarray, p: Plan) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The cells that, with the next one, hold as many hits as their unit's bound, the hits in them, and for each
+    of these which of them its own cell and the one before are, -1 for none."""
     dense = p.held <= DENSE * len(cell)
     if dense:
         n = np.bincount(cell, minlength=p.held)
         n[:-1] += n[1:]
-        cells = np.flatnonzero(n >= p.bound.min())
-        both = n[cells]
+        cells = np.flatnonzero(n >= p.least)
     else:  # many units and few hits
         cells, both = np.unique(np.concatenate([cell, cell - 1]), return_counts=True)
-    cells = cells[both >= p.bound[np.searchsorted(p.base, cells, side="right") - 1]]
+        cells = cells[both >= p.least[cells]]
     if not len(cells):
-        return cells, []
+        return cells, cells, []
     if dense:
+        hot = np.zeros(p.held, np.bool_)
+        hot[cells] = hot[cells + 1] = True
+        live = np.flatnonzero(hot[cell])
         of = np.full(p.held, -1, np.int32)
         of[cells] = np.arange(len(cells), dtype=np.int32)
-        return cells, [of[cell], of[cell - 1]]
+        return cells, live, [of[cell[live]], of[cell[live] - 1]]
     ends = np.append(cells, -1)
-    return cells, [np.where(ends[k := np.searchsorted(cells, x)] == x, k, -1) for x in (cell, cell - 1)]
+    numbers = [np.where(ends[k := np.searchsorted(cells, x)] == x, k, -1) for x in (cell, cell - 1)]
+    live = np.flatnonzero((numbers[0] >= 0) | (numbers[1] >= 0))
+    return cells, live, [x[live] for x in numbers]
 
 
 def _narrow(numbers: list[np.ndarray], low: np.ndarray, half: np.ndarray, bound: np.ndarray, diagonal: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -283,14 +330,20 @@ def _narrow(numbers: list[np.ndarray], low: np.ndarray, half: np.ndarray, bound:
     windows that are wider by a quarter.
     """
     windows, places = [], []
-    for number in numbers:
-        hit = np.flatnonzero(number >= 0)
-        k = number[hit].astype(np.int64)
-        inside, quarter = diagonal[hit] - low[k], -(-half[k] // 4)
-        for j in range(4):
-            of = (inside >= j * quarter) & (inside < (j + 1) * quarter + half[k])
-            windows.append(4 * k[of] + j)
-            places.append(at[hit[of]])
+    sides = [np.flatnonzero(number >= 0) for number in numbers]
+    k = np.concatenate([number[hit] for number, hit in zip(numbers, sides)]).astype(np.int64)
+    hit = np.concatenate(sides)
+    quarter = -(-half // 4)
+    inside = diagonal[hit] - low[k]
+    # Each window lies in five neighbouring quarters; most bands reach the bound in none.
+    n = np.bincount(8 * k + inside // quarter[k], minlength=8 * len(low)).reshape(-1, 8)
+    most = np.max([n[:, j : j + 5].sum(axis=1) for j in range(4)], axis=0)
+    some = np.flatnonzero((most >= bound)[k])
+    k, inside, place = k[some], inside[some], at[hit[some]]
+    for j in range(4):
+        of = (inside >= j * quarter[k]) & (inside < (j + 1) * quarter[k] + half[k])
+        windows.append(4 * k[of] + j)
+        places.append(place[of])
     window, place, least = np.concatenate(windows), np.concatenate(places), np.repeat(bound, 4)
     # Positions are told apart only where all hits together reach the bound.
     left = (np.bincount(window, minlength=len(least)) >= least)[window]
@@ -312,6 +365,8 @@ def leaks(texts: pa.Array, index: Items) -> list[Leak]:
     starts = np.append(0, ends[:-1] + 1)
     text = lru_cache(maxsize=SLICE)(lambda r: whole[starts[r] : ends[r]].tobytes().decode("utf-32-le"))
     for u, low in sorted(_bands(whole, index)):
+        if not _shared(whole, index, u, low):
+            continue
         i = int(index.owner[u])
         half = int(index.budget[u]) + 1
         high = low + 2 * half - 1

@@ -518,3 +518,20 @@ def test_empty_and_clashing_tables(spark):
     assert sorted(decontaminate.contaminated(clashing, item).collect(), key=repr) == sorted(decontaminate.contaminated(docs, item).collect(), key=repr)
     left = decontaminate.clean(clashing, item)
     assert left.columns == clashing.columns and sorted(r["id"] or 0 for r in left.collect()) == [0, 2]
+
+
+def test_few_qgrams_are_counted_and_every_match_shares_enough_of_them():
+    r = random.Random(11)
+    items = [(i, decontaminate.normal(prose(r, r.randint(4, 70)))) for i in range(60)]
+    index = decontaminate.indexed(items)
+    # Every q-gram was a posting: about one a character, where a third and the short items' do.
+    assert len(index.item) < sum(len(t) for t in index.texts) / 2
+    for text, most in zip(index.texts, index.budget):
+        places, bound = decontaminate.counted(len(text), int(most))
+        assert bound >= min(decontaminate.PIECES, len(text) + 1 - decontaminate.Q) or len(text) < 2 * decontaminate.SHORT
+        for _ in range(5):
+            c = list(text)
+            for at in r.sample(range(len(c)), int(most)):
+                c[at] = r.choice(["", "q", c[at] + "z"])
+            changed = "".join(c)
+            assert sum(text[p : p + decontaminate.Q] in changed for p in places) >= bound
