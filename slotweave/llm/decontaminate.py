@@ -6,8 +6,7 @@ m + 1 - q * (k + 1) of its q-grams with that region, all on neighbouring diagona
 s-th place, s a divisor of q, an edit spoils q / s at most. These are counted in
 diagonal bands of twice that width that overlap by half; bands that reach their bound,
 and the bound of all q-grams, are verified by an alignment banded to the same diagonals.
-Texts are compared as
-lower-cased words of letters and digits with single spaces.
+Texts are compared as lower-cased words of letters and digits with single spaces.
 
 A long item is also cut into overlapping passages, each looked for whole under its
 own budget, so that a document that quotes a large part of it is found.

@@ -15,6 +15,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _keyed_anew(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -56,3 +57,15 @@ def duplicate_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .filter(F.col("n_rows") > 1)
     )
+
+
+def dealt_out(df: DataFrame, *by: str) -> DataFrame:
+    """The same rows in as many partitions as shuffles have, by the given columns, or else all plain ones.
+
+    For rows that become wide in the same stage: adaptive execution, which knows them as narrow only, does not put
+    these partitions together.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = (T.StringType, T.NumericType, T.BooleanType, T.DatetimeType)
+    keys = by or [f.name for f in df.schema.fields if isinstance(f.dataType, plain)]
+    return df.repartition(n, *[F.col(f"`{c}`") for c in keys])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from slotweave.errors import SpecError
 from slotweave.functions.text import nonblank
 from slotweave.operators.flags import as_flag
+from slotweave.operators.joins import dealt_out
 
 PARTICIPANT_NAMESPACE = "https://w3id.org/bdchm/Participant"
 VISIT_NAMESPACE = "https://w3id.org/bdchm/Visit"
@@ -192,7 +193,8 @@ register_entity(
 def render_specs(df: DataFrame, entity: str, cohort: str | None = None) -> DataFrame:
     """(cohort, quality, varname, phv, text) for the rows of one entity (and cohort).
 
-    ``varname`` keeps only the last part of a path.
+    ``varname`` keeps only the last part of a path. A text is many times as large as its row, so the rows are dealt
+    out before: a task's texts then don't grow with the rows that it reads.
     """
     if entity not in _ENTITIES:
         raise SpecError(f"no registered entity {entity!r}; known: {sorted(_ENTITIES)}")
@@ -201,7 +203,7 @@ def render_specs(df: DataFrame, entity: str, cohort: str | None = None) -> DataF
     rows = df.filter(F.col("bdchm_entity") == entity)
     if cohort is not None:
         rows = rows.filter(F.col("cohort") == cohort)
-    rows = rows.filter(F.col("bdchm_varname").isNotNull())
+    rows = dealt_out(rows.filter(F.col("bdchm_varname").isNotNull()))
     return rows.select(
         F.col("cohort"),
         F.when(known.is_good(row), "good").otherwise("bad").alias("quality"),

@@ -1,4 +1,5 @@
 import glob
+from collections import Counter
 
 import pytest
 import yaml
@@ -118,3 +119,11 @@ def test_quoted_csv(spark, frame, tmp_path):
     write_quoted_csv(frame([('a "b", c', None)], ("x", "y")).coalesce(1), str(tmp_path / "q"))
     text = "".join(open(p).read() for p in sorted(glob.glob(f"{tmp_path}/q/part-*")))
     assert text == '"x","y"\n"a ""b"", c",""\n'
+
+
+def test_rows_of_one_task_are_rendered_by_many(spark, frame):
+    rows = frame([("Condition", "aric", f"v{i % 3}", f"phv{i}") for i in range(400)], ("bdchm_entity", "cohort", "bdchm_varname", "phv")).coalesce(1)
+    rendered = render_specs(rows, "Condition").withColumn("task", F.spark_partition_id()).collect()
+    tasks = Counter(r.task for r in rendered)
+    assert len(rendered) == 400 and len({r.phv for r in rendered}) == 400
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1 and max(tasks.values()) < 200
