@@ -19,6 +19,7 @@ from slotweave.functions.text import (
     nonblank,
 )
 from slotweave.functions.units import normalize_units
+from slotweave.operators.joins import dealt_out
 
 # Export column name -> working column name.
 COLUMN_ALIASES = {
@@ -164,11 +165,14 @@ def standardize(df: DataFrame) -> DataFrame:
 
 
 def finalize(df: DataFrame) -> DataFrame:
-    """Distinct rows with both keys present, and the label join key."""
+    """Distinct rows with both keys present, and the label join key.
+
+    The rows, often made wide by a join before, are dealt out whole: map tasks then hold no table of them.
+    """
     df = df.filter(nonblank("phv"))
     if "bdchm_label" in df.columns:
         df = df.filter(nonblank("bdchm_label"))
-    df = df.distinct()
+    df = dealt_out(df).distinct()
     if "bdchm_label" in df.columns:
         df = df.withColumn("merge_bdchm_label", F.replace(_c("bdchm_label"), F.lit(" "), F.lit("")))
     return df

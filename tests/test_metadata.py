@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +219,13 @@ def test_flag_collapse(spark):
     out = clean.collapse_flags(df)
     assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, "race_a"), (2, "more than one race"), (3, "")]
     assert out.filter(F.col("race").isNull()).count() == 0
+
+
+def test_distinct_rows_are_held_by_the_tasks_they_are_dealt_to(spark, frame):
+    rows = frame([(f"phv{i % 200}", "height", "aric") for i in range(400)], ("phv", "bdchm_label", "cohort")).coalesce(1)
+    done = clean.finalize(rows)
+    tasks = Counter(r.task for r in done.withColumn("task", F.spark_partition_id()).collect())
+    assert sum(tasks.values()) == 200 and len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    # No table of rows stands before the only exchange.
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan.split("Exchange")[1]
